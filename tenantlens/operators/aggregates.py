@@ -53,16 +53,17 @@ def hourly_summary(
     keys: Sequence[str],
     sums: Mapping[str, str],
     bounds: tuple[dt.datetime, dt.datetime] | None = None,
+    *,
+    ordered: bool = False,
 ) -> DataFrame:
-    """Sums per day and start of hour (and further keys), ordered by time."""
+    """Sums per day and start of hour (and further keys), in time order if asked."""
     if bounds:
         usage = usage.where(in_window(F.col(ts), bounds))
     hours = usage.groupBy(*keys, F.date_trunc("hour", ts).alias("start_of_hour")).agg(
         *[F.sum(column).alias(name) for name, column in sums.items()]
     )
-    return hours.select(
-        F.to_date("start_of_hour").alias("date"), "start_of_hour", *keys, *sums
-    ).orderBy("date", "start_of_hour", *keys)
+    hours = hours.select(F.to_date("start_of_hour").alias("date"), "start_of_hour", *keys, *sums)
+    return hours.orderBy("date", "start_of_hour", *keys) if ordered else hours
 
 
 def flag_range_percent(

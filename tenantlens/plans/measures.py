@@ -135,7 +135,7 @@ def evaluate(
         if show_all:
             flat = _all_groups(model, base, merged, by, on_dimensions, list(partial))
         else:
-            flat = StarModel({**model.tables, base: merged}).flat(
+            flat = model.with_table(base, merged).flat(
                 base, [*by, *[f"{base}.{p}" for p in partial]], on_dimensions, merged=True
             )
         groups = [F.col(f"`{n}`").alias(split_name(n)[1]) for n in by]

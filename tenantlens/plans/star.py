@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import ChainMap
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -64,6 +65,9 @@ class StarModel:
     def __getitem__(self, name: str) -> DataFrame:
         return self.tables[name]
 
+    def with_table(self, name: str, rows: DataFrame) -> StarModel:
+        return StarModel(ChainMap({name: rows}, self.tables), self.lookup_options)
+
     def flat(
         self,
         base: str,
