@@ -9,7 +9,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenantlens.operators.joins import BROADCAST_BYTES, spread, stored_bytes
+from tenantlens.operators.joins import BROADCAST_BYTES, slot, spread_slot, stored_bytes
 from tenantlens.schemas import ACTIVITY_WINDOW_DAYS, CAPACITY_WINDOW_DAYS
 from tenantlens.sources.tables import TableStore
 
@@ -42,13 +42,14 @@ def new_rows(
     dealt out over all tasks either way.
     """
     keys = list(keys)
-    found = target.select(*keys)
+    columns = [F.col(k) for k in keys]
     batch_keys = batch.select(*keys)
+    found = target.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in batch_keys.schema])
     if stored_bytes(batch_keys) <= broadcast_bytes:
         found = found.join(F.broadcast(batch_keys.distinct()), keys, "left_semi").distinct()
-    marked = batch.withColumn("_spread", spread(batch, _missing_key(keys)))
-    present = found.withColumn("_spread", F.lit(0).cast("bigint"))
-    return marked.join(present, [*keys, "_spread"], "left_anti").drop("_spread")
+    marked = batch.withColumn("_slot", spread_slot(batch, _missing_key(keys), *columns))
+    present = found.withColumn("_slot", slot(*columns))
+    return marked.join(present, [*keys, "_slot"], "left_anti").drop("_slot")
 
 
 def one_per_key(batch: DataFrame, keys: Sequence[str]) -> DataFrame:

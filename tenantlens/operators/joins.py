@@ -26,18 +26,24 @@ def stored_bytes(rows: DataFrame) -> int:
     return rows.agg(F.sum(size.cast("bigint")).alias("bytes")).first()["bytes"] or 0
 
 
-def spread(rows: DataFrame, apart: Column) -> Column:
-    """0 for rows that must meet their join partner; for rows marked ``apart``,
-    which meet none, a value that deals them out over all tasks.
+def slot(*keys: Column) -> Column:
+    """Second join column, the same on both sides wherever the keys are."""
+    return F.xxhash64(*keys)
+
+
+def spread_slot(rows: DataFrame, apart: Column, *keys: Column) -> Column:
+    """``slot`` of the keys, but for rows marked ``apart`` a value of their own
+    that deals them out over all tasks.
 
     The value depends on the row and its task only, so a task that is run again
-    after a lost executor deals the same rows to the same places.
+    after a lost executor deals the same rows to the same places. A constant in
+    its place would not do: the optimizer takes a constant out of the join keys.
     """
     hashable = [
         F.col(f"`{f.name}`") for f in rows.schema.fields if not _holds_map(f.dataType)
     ]
-    dealt = F.xxhash64(*hashable, F.spark_partition_id()).bitwiseOR(F.lit(1))
-    return F.when(apart, dealt).otherwise(F.lit(0).cast("bigint"))
+    dealt = F.xxhash64(*hashable, F.spark_partition_id())
+    return F.when(apart, dealt).otherwise(slot(*keys))
 
 
 def _holds_map(data_type: T.DataType) -> bool:
@@ -76,7 +82,8 @@ def left_lookup(
         F.col(dimension_key).alias("_key"),
         F.struct(F.lit(True).alias("_found"), *[F.col(f"`{c}`") for c in taken]).alias("_row"),
     )
-    keyed = facts.select("*", key.alias("_key"))
+    # Both sides of one type: equal keys must have equal slots.
+    keyed = facts.select("*", key.try_cast(dimension.schema[dimension_key].dataType).alias("_key"))
 
     if stored_bytes(dimension) <= broadcast_bytes:
         joined = keyed.join(F.broadcast(lookup), "_key", "left")
@@ -96,11 +103,10 @@ def left_lookup(
             "_key", F.lit(True).alias("_hot"), F.col("_row").alias("_hot_row")
         )
         marked = keyed.join(F.broadcast(hot), "_key", "left")
-        marked = marked.withColumn(
-            "_spread", spread(facts, F.col("_key").isNull() | F.col("_hot").isNotNull())
-        )
-        cold = lookup.withColumn("_spread", F.lit(0).cast("bigint"))
-        joined = marked.join(cold, ["_key", "_spread"], "left")
+        apart = F.col("_key").isNull() | F.col("_hot").isNotNull()
+        marked = marked.withColumn("_slot", spread_slot(facts, apart, F.col("_key")))
+        cold = lookup.withColumn("_slot", slot(F.col("_key")))
+        joined = marked.join(cold, ["_key", "_slot"], "left")
         row = F.coalesce(F.col("_hot_row"), F.col("_row"))
     return joined.select(
         *[F.col(f"`{c}`") for c in facts.columns], *[row.getField(c).alias(c) for c in taken]

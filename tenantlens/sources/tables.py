@@ -4,15 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tenantlens.schemas import PREVIEW_ROWS
 
-_MISSING = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
-
-
 class TableStore:
     """Names such as ``gold.dim_user`` are folders ``<root>/gold/dim_user``."""
 
@@ -25,13 +21,12 @@ class TableStore:
         return f"{self.root}/{name.replace('.', '/')}"
 
     def exists(self, name: str) -> bool:
-        try:
-            self.spark.read.parquet(self.path(name))
-        except AnalysisException as error:
-            if (error.getCondition() or "").startswith(_MISSING):
-                return False
-            raise
-        return True
+        """Whether the folder holds data files or partitions. What a first write
+        that broke off has left beside them does not count, what it has
+        finished does."""
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        data = jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/[^_.]*")
+        return bool(data.getFileSystem(conf).globStatus(data))
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))

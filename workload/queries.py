@@ -18,8 +18,7 @@ from tenantlens.operators.history import (
     in_window,
     merge_insert_only,
 )
-from tenantlens.operators.inventory import item_dimension, workspace_dimension
-from tenantlens.operators.lineage import dataset_source_edges, lineage_targets
+from tenantlens.operators.lineage import dataset_source_edges
 from tenantlens.operators.typed import explode_permissions
 from tenantlens.plans import reports
 from tenantlens.plans.measures import evaluate
@@ -305,12 +304,12 @@ def _(g: Governance) -> DataFrame:
 
 @query("dim_inventory")
 def _(g: Governance) -> DataFrame:
-    return item_dimension(g.typed("items"), g.typed("workspaces"), g.typed("capacities"))
+    return g.make("dim_inventory")
 
 
 @query("dim_workspace")
 def _(g: Governance) -> DataFrame:
-    return workspace_dimension(g.typed("workspaces"), g.typed("capacities"))
+    return g.make("dim_workspace")
 
 
 @query("merge_identities")
@@ -330,12 +329,12 @@ def _(g: Governance) -> DataFrame:
 
 @query("dim_user")
 def _(g: Governance) -> DataFrame:
-    return g.dim_user
+    return g.make("dim_user")
 
 
 @query("resolve_actor")
 def _(g: Governance) -> DataFrame:
-    return g.star()["fact_activity"]
+    return g.make("fact_activity")
 
 
 @query("explode_permissions")
@@ -360,7 +359,7 @@ def _(g: Governance) -> DataFrame:
 
 @query("lineage_targets")
 def _(g: Governance) -> DataFrame:
-    return lineage_targets(g.edges(), g.typed("items"))
+    return g.make("fact_lineage")
 
 
 @query("distinct_values")
@@ -408,7 +407,7 @@ def _(g: Governance) -> DataFrame:
 
 def _hour_averages(g: Governance) -> DataFrame:
     return (
-        g.typed("capacity_metrics")
+        g.gold("fact_capacity_metrics")
         .groupBy("date", "start_of_hour")
         .agg(
             F.avg("background_pct").alias("avg_background_pct"),
@@ -461,7 +460,7 @@ def _(g: Governance) -> DataFrame:
 
 
 @query("activity_matrix")
-def activity_matrix(g: Governance) -> DataFrame:
+def _(g: Governance) -> DataFrame:
     return reports.activity_matrix(g.star())
 
 

@@ -30,6 +30,7 @@ from tenantlens.operators.aggregates import hourly_summary
 from tenantlens.operators.inventory import item_dimension, workspace_dimension
 from tenantlens.operators.lineage import lineage_edges, lineage_targets
 from tenantlens.operators.typed import typed_table
+from tenantlens.plans.build import STAR_TABLES
 from tenantlens.plans.star import StarModel
 from tenantlens.session import scratch_dir
 from tenantlens.sources.calendar import calendar_hours, calendar_table
@@ -263,53 +264,64 @@ class Governance:
     def calendar(self) -> DataFrame:
         return calendar_table(calendar_hours(self.spark, self.today))
 
-    @cached_property
     def dim_user(self) -> DataFrame:
         return identity.actor_dimension(self.users(), self.typed("activity"))
 
-    @cached_property
-    def stored_dim_user(self) -> DataFrame:
-        return self.stored("gold.dim_user", self.dim_user)
+    def make(self, table: str) -> DataFrame:
+        """A table of the star schema from typed tables and stored dimensions."""
+        if table == "dim_inventory":
+            return item_dimension(
+                self.typed("items"), self.typed("workspaces"), self.typed("capacities")
+            )
+        if table == "dim_workspace":
+            return workspace_dimension(self.typed("workspaces"), self.typed("capacities"))
+        if table == "dim_user":
+            return self.dim_user()
+        if table == "dim_date":
+            return self.calendar()
+        if table == "fact_activity":
+            return identity.resolve_actor(self.typed("activity"), self.gold("dim_user"))
+        if table == "fact_lineage":
+            return lineage_targets(self.edges(), self.gold("dim_inventory"))
+        return self.typed(COPIES[table])
+
+    def gold(self, table: str) -> DataFrame:
+        """The written table, as reports find it; the first query that needs it
+        writes it, the later ones of the session read it."""
+        key = (self.spark.sparkContext.applicationId, self.folder)
+        if key not in _BUILT:
+            _BUILT[key] = TableStore(self.spark, scratch_dir(self.spark, "gold"))
+        store, name = _BUILT[key], f"gold.{table}"
+        if name not in store.audit:
+            store.overwrite(name, self.make(table))
+        return store.read(name)
 
     def star(self) -> StarModel:
-        return StarModel(
-            LazyTables(
-                {
-                    "dim_inventory": lambda: item_dimension(
-                        self.typed("items"), self.typed("workspaces"), self.typed("capacities")
-                    ),
-                    "dim_workspace": lambda: workspace_dimension(
-                        self.typed("workspaces"), self.typed("capacities")
-                    ),
-                    "dim_user": lambda: self.stored_dim_user,
-                    "dim_tenant_setting": lambda: self.typed("tenant_settings"),
-                    "dim_date": self.calendar,
-                    "fact_activity": lambda: identity.resolve_actor(
-                        self.typed("activity"), self.stored_dim_user
-                    ),
-                    "fact_workspace_access": lambda: self.typed("workspace_access"),
-                    "fact_item_access": lambda: self.typed("item_access"),
-                    "fact_lineage": lambda: lineage_targets(self.edges(), self.typed("items")),
-                    "fact_capacity_metrics": lambda: self.typed("capacity_metrics"),
-                }
-            )
-        )
+        return StarModel(GoldTables(self))
+
+
+# Star tables that are typed tables under another name.
+COPIES = {
+    "dim_tenant_setting": "tenant_settings",
+    "fact_workspace_access": "workspace_access",
+    "fact_item_access": "item_access",
+    "fact_capacity_metrics": "capacity_metrics",
+}
+
+_BUILT: dict[tuple[str, str], TableStore] = {}
 
 
-class LazyTables(Mapping):
-    """Tables put together when they are first asked for."""
+class GoldTables(Mapping):
+    """Star schema by name; a table is built when it is first asked for."""
 
-    def __init__(self, makers):
-        self._makers = makers
-        self._made: dict[str, DataFrame] = {}
+    def __init__(self, governance: Governance):
+        self._governance = governance
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._made:
-            self._made[name] = self._makers[name]()
-        return self._made[name]
+        return self._governance.gold(name)
 
     def __iter__(self) -> Iterator[str]:
-        return iter(self._makers)
+        return iter(STAR_TABLES)
 
     def __len__(self) -> int:
-        return len(self._makers)
+        return len(STAR_TABLES)
