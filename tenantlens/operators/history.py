@@ -9,7 +9,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenantlens.operators.joins import BROADCAST_BYTES, slot, spread_slot, stored_bytes
+from tenantlens.operators.joins import BROADCAST_BYTES, stored_bytes, without_match
 from tenantlens.schemas import ACTIVITY_WINDOW_DAYS, CAPACITY_WINDOW_DAYS
 from tenantlens.sources.tables import TableStore
 
@@ -31,6 +31,7 @@ def new_rows(
     keys: Sequence[str],
     *,
     broadcast_bytes: int = BROADCAST_BYTES,
+    **hot_key_options: int,
 ) -> DataFrame:
     """Batch rows whose key the target lacks. A row with a missing key part
     equals nothing and is always new.
@@ -38,18 +39,15 @@ def new_rows(
     Only the key columns of the target are read. If the counted size of the
     batch keys is within ``broadcast_bytes``, they are sent to the target, and
     only the keys found there are shuffled; the history itself stays where it
-    lies. If not, both sides are shuffled by key. Rows with a missing key are
-    dealt out over all tasks either way.
+    lies. If not, both sides are shuffled by key. Hot and missing keys of the
+    batch are kept apart either way.
     """
     keys = list(keys)
-    columns = [F.col(k) for k in keys]
+    found = target.select(*keys)
     batch_keys = batch.select(*keys)
-    found = target.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in batch_keys.schema])
     if stored_bytes(batch_keys) <= broadcast_bytes:
-        found = found.join(F.broadcast(batch_keys.distinct()), keys, "left_semi").distinct()
-    marked = batch.withColumn("_slot", spread_slot(batch, _missing_key(keys), *columns))
-    present = found.withColumn("_slot", slot(*columns))
-    return marked.join(present, [*keys, "_slot"], "left_anti").drop("_slot")
+        found = found.join(F.broadcast(batch_keys.distinct()), keys, "left_semi")
+    return without_match(batch, found, keys, **hot_key_options)
 
 
 def one_per_key(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -68,7 +66,7 @@ def merge_insert_only(
     merge_copies: bool = False,
     partition_by: Sequence[str] = (),
     prune_by: str | None = None,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    **join_options: int,
 ) -> int:
     """Append the batch rows whose key is not in the table yet; never change a
     row. The first load creates the table. Returns the rows added.
@@ -87,7 +85,7 @@ def merge_insert_only(
             target = store.read(name)
             if prune_by:
                 target = _same_partitions(target, batch, prune_by)
-            rows = new_rows(rows, target, keys, broadcast_bytes=broadcast_bytes)
+            rows = new_rows(rows, target, keys, **join_options)
         return store.append(name, rows, partition_by)["rows"]
     finally:
         batch.unpersist()

@@ -1,4 +1,12 @@
-"""Left join of many fact rows to a dimension, safe for hot and missing keys."""
+"""Joins of many rows to a dimension or a key list, safe for hot and missing keys.
+
+How the rows of a join are kept apart: rows without a key, and rows of hot keys
+(at least ``HOT_KEY_ROWS`` rows; of those keys the largest ``MAX_HOT_KEYS``),
+meet nothing in the shuffle. They are dealt out over all tasks by a second join
+column, the slot. What a hot key would have met is broadcast instead, at most
+one row per hot key. All other keys are joined by shuffle, so that no row is
+left out whatever the number of hot keys.
+"""
 
 from __future__ import annotations
 
@@ -54,6 +62,20 @@ def _holds_map(data_type: T.DataType) -> bool:
     return isinstance(data_type, T.MapType)
 
 
+def _hot_keys(keyed: DataFrame, hot_key_rows: int, max_hot_keys: int) -> DataFrame:
+    """Largest keys of the rows; only the key column is read, and rows are
+    counted where they lie before counts are shuffled."""
+    return (
+        keyed.where(F.col("_key").isNotNull())
+        .groupBy("_key")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_n") >= hot_key_rows)
+        .orderBy(F.desc("_n"), "_key")
+        .limit(max_hot_keys)
+        .select("_key")
+    )
+
+
 def left_lookup(
     facts: DataFrame,
     dimension: DataFrame,
@@ -68,10 +90,7 @@ def left_lookup(
 
     The dimension is unique on its key. If its counted size is within
     ``broadcast_bytes`` the facts are joined where they lie. If not, both sides
-    are shuffled by key, but two kinds of fact rows are dealt out evenly
-    instead of meeting in one task: rows without a key, and rows of hot keys
-    (at least ``hot_key_rows`` rows; the largest ``max_hot_keys`` of them),
-    whose dimension rows, at most ``max_hot_keys``, are broadcast.
+    are shuffled by key, with hot and missing keys kept apart.
     """
     key = F.col(fact_key) if isinstance(fact_key, str) else fact_key
     taken = [c for c in dimension.columns if c != dimension_key]
@@ -89,15 +108,7 @@ def left_lookup(
         joined = keyed.join(F.broadcast(lookup), "_key", "left")
         row = F.col("_row")
     else:
-        hot_keys = (
-            keyed.where(F.col("_key").isNotNull())
-            .groupBy("_key")
-            .agg(F.count(F.lit(1)).alias("_n"))
-            .where(F.col("_n") >= hot_key_rows)
-            .orderBy(F.desc("_n"), "_key")
-            .limit(max_hot_keys)
-            .select("_key")
-        )
+        hot_keys = _hot_keys(keyed, hot_key_rows, max_hot_keys)
         hot_rows = lookup.join(F.broadcast(hot_keys), "_key", "left_semi")
         hot = hot_keys.join(F.broadcast(hot_rows), "_key", "left").select(
             "_key", F.lit(True).alias("_hot"), F.col("_row").alias("_hot_row")
@@ -111,3 +122,45 @@ def left_lookup(
     return joined.select(
         *[F.col(f"`{c}`") for c in facts.columns], *[row.getField(c).alias(c) for c in taken]
     )
+
+
+def without_match(
+    rows: DataFrame,
+    present: DataFrame,
+    keys: list[str],
+    *,
+    hot_key_rows: int = HOT_KEY_ROWS,
+    max_hot_keys: int = MAX_HOT_KEYS,
+) -> DataFrame:
+    """Rows whose key no row of ``present`` has. A key with a missing part
+    equals nothing.
+
+    Both sides may hold many copies of a key: those of ``present`` are merged
+    on the way into the join, those of ``rows`` are kept apart as hot keys.
+    """
+    columns = [F.col(f"`{k}`") for k in keys]
+    types = rows.select(*columns).schema
+    complete = F.lit(True)
+    for column in columns:
+        complete = complete & column.isNotNull()
+    keyed = rows.select("*", F.when(complete, F.struct(*columns)).alias("_key"))
+    listed = present.select(
+        F.struct(
+            *[c.try_cast(f.dataType).alias(f.name) for c, f in zip(columns, types)]
+        ).alias("_key")
+    )
+    # Merged by both join columns: the join needs no further shuffle of them.
+    listed = listed.withColumn("_slot", slot(F.col("_key"))).dropDuplicates(["_key", "_slot"])
+
+    hot_keys = _hot_keys(keyed, hot_key_rows, max_hot_keys)
+    there = listed.join(F.broadcast(hot_keys), "_key", "left_semi").select(
+        "_key", F.lit(True).alias("_there")
+    )
+    hot = hot_keys.join(F.broadcast(there), "_key", "left").select(
+        "_key", F.lit(True).alias("_hot"), "_there"
+    )
+    marked = keyed.join(F.broadcast(hot), "_key", "left").where(F.col("_there").isNull())
+    apart = F.col("_key").isNull() | F.col("_hot").isNotNull()
+    marked = marked.withColumn("_slot", spread_slot(rows, apart, F.col("_key")))
+    left = marked.join(listed, ["_key", "_slot"], "left_anti")
+    return left.select(*[F.col(f"`{c}`") for c in rows.columns])

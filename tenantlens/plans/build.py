@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tenantlens.functions.columns import parse_timestamp
@@ -19,9 +19,16 @@ from tenantlens.operators.inventory import item_dimension, workspace_dimension
 from tenantlens.operators.lineage import lineage_edges, lineage_targets
 from tenantlens.operators.typed import typed_table
 from tenantlens.plans.star import StarModel
-from tenantlens.schemas import RAW_DDL, TYPED_COLUMNS
+from tenantlens.schemas import PAGE_ITEMS_KEY, PARENT_KEYS, RAW_DDL, TYPED_COLUMNS
 from tenantlens.sources.calendar import calendar_hours, calendar_table
-from tenantlens.sources.landing import landing_audit, read_records, usable_records
+from tenantlens.sources.landing import (
+    attach_parent_keys,
+    flatten_pages,
+    landing_audit,
+    read_pages,
+    read_records,
+    usable_records,
+)
 from tenantlens.sources.tables import TableStore
 
 SNAPSHOTS = (
@@ -46,35 +53,67 @@ STAR_TABLES = (
     "fact_lineage",
     "fact_capacity_metrics",
 )
+# Star tables that are a typed table as it stands. They are read where they
+# lie; writing them a second time would only double the largest tables.
+SAME_AS_TYPED = {
+    "dim_tenant_setting": "tenant_settings",
+    "dim_date": "calendar",
+    "fact_workspace_access": "workspace_access",
+    "fact_item_access": "item_access",
+    "fact_capacity_metrics": "capacity_metrics",
+}
 EVENT_DATE = "event_date"
 
 
+def landed(
+    spark: SparkSession, landing: str, entity: str, paged: bool, observation: Observation
+) -> DataFrame:
+    """Records of one entity; bad lines are counted by the observation."""
+    path, ddl = f"{landing}/{entity}", RAW_DDL[entity]
+    if not paged:
+        records = read_records(spark, path, ddl)
+        counts = landing_audit(records)
+        return records.observe(observation, *[c.alias(n) for n, c in counts.items()])
+    key, parents = PAGE_ITEMS_KEY[entity], PARENT_KEYS.get(entity, ())
+    pages = read_pages(spark, path, key, ddl, parents)
+    counts = landing_audit(pages)
+    pages = pages.observe(observation, *[c.alias(n) for n, c in counts.items()])
+    if parents:
+        return attach_parent_keys(pages, key, {p: p for p in parents})
+    return flatten_pages(pages, key)
+
+
 def build_raw(
     spark: SparkSession,
     landing: str,
     store: TableStore,
     today: dt.date,
-    entities: Iterable[str] = SNAPSHOTS,
+    paged: Iterable[str] = (),
 ) -> dict[str, dict[str, int]]:
-    """Raw tables from record files ``<landing>/<entity>``; returns the row
-    counts of each write, with the lines that were bad."""
+    """Raw tables from the files ``<landing>/<entity>``: one record per line,
+    or for entities in ``paged`` one page. Returns the rows of each write with
+    the count of lines (pages) read, of bad ones, and of ones that are lost."""
+    paged = set(paged)
     audit = {}
-    for entity in entities:
-        records = read_records(spark, f"{landing}/{entity}", RAW_DDL[entity])
-        name = f"bronze.{entity}"
-        audit[name] = store.overwrite(name, records, landing_audit(records))
+
+    def load(entity: str, write) -> None:
+        lines = Observation(f"land {entity}")
+        written = write(landed(spark, landing, entity, entity in paged, lines))
+        read = {f"landed_{n}": int(v or 0) for n, v in lines.get.items()}
+        audit[f"bronze.{entity}"] = {"rows": written, **read}
+
+    for entity in SNAPSHOTS:
+        load(entity, lambda rows, e=entity: store.overwrite(f"bronze.{e}", rows)["rows"])
+    load("activity", lambda rows: add_activity(store, usable_records(rows)))
+    load(
+        "capacity_metrics",
+        lambda rows: merge_insert_only(
+            store, "bronze.capacity_metrics", usable_records(rows), CAPACITY_KEYS
+        ),
+    )
     # Opaque until something reads it: kept as delivered.
     instances = spark.read.text(f"{landing}/datasource_instances")
     audit["bronze.datasource_instances"] = store.overwrite("bronze.datasource_instances", instances)
-
-    activity = read_records(spark, f"{landing}/activity", RAW_DDL["activity"])
-    audit["bronze.activity"] = {"rows": add_activity(store, usable_records(activity))}
-    metrics = read_records(spark, f"{landing}/capacity_metrics", RAW_DDL["capacity_metrics"])
-    audit["bronze.capacity_metrics"] = {
-        "rows": merge_insert_only(
-            store, "bronze.capacity_metrics", usable_records(metrics), CAPACITY_KEYS
-        )
-    }
     audit["bronze.calendar"] = store.overwrite("bronze.calendar", calendar_hours(spark, today))
     return audit
 
@@ -137,26 +176,28 @@ def build_star(store: TableStore) -> None:
         item_dimension(typed("items"), typed("workspaces"), typed("capacities")),
     )
     actors = gold("dim_user", identity.actor_dimension(typed("users"), typed("activity")))
-    gold("dim_tenant_setting", typed("tenant_settings"))
-    gold("dim_date", typed("calendar"))
     gold("fact_activity", identity.resolve_actor(typed("activity"), actors))
-    gold("fact_workspace_access", typed("workspace_access"))
-    gold("fact_item_access", typed("item_access"))
     gold("fact_lineage", lineage_targets(typed("lineage"), inventory))
-    gold("fact_capacity_metrics", typed("capacity_metrics"))
 
 
 def build_all(
-    spark: SparkSession, landing: str, store: TableStore, today: dt.date
+    spark: SparkSession,
+    landing: str,
+    store: TableStore,
+    today: dt.date,
+    paged: Iterable[str] = (),
 ) -> dict[str, dict[str, int]]:
     """All three layers; returns the row counts of all writes."""
-    build_raw(spark, landing, store, today)
+    landed_counts = build_raw(spark, landing, store, today, paged)
     build_typed(store)
     build_star(store)
-    return dict(store.audit)
+    return {**store.audit, **landed_counts}
 
 
-def star_model(store: TableStore, **lookup_options) -> StarModel:
-    return StarModel({t: store.read(f"gold.{t}") for t in STAR_TABLES}, lookup_options)
+def star_table(store: TableStore, name: str) -> DataFrame:
+    same = SAME_AS_TYPED.get(name)
+    return store.read(f"silver.{same}" if same else f"gold.{name}")
 
 
+def star_model(store: TableStore, **lookup_options) -> StarModel:
+    return StarModel({t: star_table(store, t) for t in STAR_TABLES}, lookup_options)

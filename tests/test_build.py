@@ -1,17 +1,19 @@
 """Landed fixture files through all layers; expected rows are FIXTURES.md §3."""
 
 import datetime as dt
+import json
 
 from helpers import rows
-from tenantlens.plans.build import add_activity, build_raw
-from tenantlens.sources.landing import read_records, usable_records
-from tenantlens.schemas import RAW_DDL
+from tenantlens.plans.build import SAME_AS_TYPED, add_activity, build_raw, star_table
+from tenantlens.schemas import PAGE_ITEMS_KEY, PARENT_KEYS, RAW_DDL
+from tenantlens.sources.landing import CORRUPT, read_records, usable_records
+from tenantlens.sources.tables import TableStore
 
 
 def test_all_tables_are_written_and_counted(store):
-    assert len(store.audit) == 33
-    assert store.audit["bronze.items"] == {"rows": 3, "bad_rows": 0, "lost_rows": 0}
-    assert store.audit["gold.dim_date"]["rows"] == 366 * 24
+    assert len(store.audit) + len(SAME_AS_TYPED) == 33
+    assert store.audit["bronze.items"] == {"rows": 3}
+    assert store.audit["silver.calendar"] == {"rows": 366 * 24}
 
 
 def test_dim_inventory(store):
@@ -69,7 +71,7 @@ def test_every_foreign_key_is_null_or_in_its_dimension(store):
 
 
 def test_item_access_has_one_row_per_permission(store):
-    table = store.read("gold.fact_item_access")
+    table = star_table(store, "fact_item_access")
     assert rows(table, "item_id", "principal_id", "permission") == [
         ("i1", "s1", "Read"),
         ("i1", "s1", "Write"),
@@ -94,15 +96,16 @@ def test_lineage(store):
 
 
 def test_calendar_attributes(store):
-    day = store.read("gold.dim_date").where("date = date'2026-08-02' and hour = 5")
+    day = star_table(store, "dim_date").where("date = date'2026-08-02' and hour = 5")
     assert rows(day, "day_of_week", "is_weekend") == [("Sunday", True)]
 
 
 def test_second_run_adds_nothing_to_the_histories(spark, landing, store):
     again = build_raw(spark, str(landing), store, dt.date(2026, 8, 3))
     # a3 to a5 and all others are there already; no fixture event lacks an Id
-    assert again["bronze.activity"] == {"rows": 0}
-    assert again["bronze.capacity_metrics"] == {"rows": 0}
+    read = {"landed_bad_rows": 0, "landed_lost_rows": 0}
+    assert again["bronze.activity"] == {"rows": 0, "landed_rows": 5, **read}
+    assert again["bronze.capacity_metrics"] == {"rows": 0, "landed_rows": 3, **read}
     assert store.read("bronze.activity").count() == 5
 
 
@@ -117,3 +120,27 @@ def test_event_without_time_is_found_again(spark, store, tmp_path):
 def test_views_for_sql(spark, store):
     store.create_views(["gold.dim_user"])
     assert spark.sql("SELECT count(*) FROM gold_dim_user").first()[0] == 6
+
+
+def test_paged_files_give_the_same_tables(spark, landing, store, tmp_path):
+    """The fixture records once more, wrapped in pages, one of them broken."""
+    pages = tmp_path / "pages"
+    for entity in (*PAGE_ITEMS_KEY, "capacity_metrics", "datasource_instances"):
+        lines = (landing / entity / "part-0.json").read_text().splitlines()
+        (pages / entity).mkdir(parents=True)
+        if entity in PAGE_ITEMS_KEY:
+            records = [json.loads(line) for line in lines]
+            lines = ["{broken"]
+            for record in records:
+                keys = {k: record.pop(k) for k in PARENT_KEYS.get(entity, ())}
+                lines.append(json.dumps({**keys, PAGE_ITEMS_KEY[entity]: [record]}))
+        (pages / entity / "0.json").write_text("\n".join(lines) + "\n")
+    other = TableStore(spark, str(tmp_path / "tables"))
+    audit = build_raw(spark, str(pages), other, dt.date(2026, 8, 3), paged=PAGE_ITEMS_KEY)
+    assert audit["bronze.items"] == {
+        "rows": 3, "landed_rows": 4, "landed_bad_rows": 1, "landed_lost_rows": 1,
+    }
+    for entity in PAGE_ITEMS_KEY:
+        columns = [c for c in store.read(f"bronze.{entity}").columns if c != CORRUPT]
+        expected = rows(store.read(f"bronze.{entity}"), *columns)
+        assert rows(other.read(f"bronze.{entity}"), *columns) == expected

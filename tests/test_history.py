@@ -48,6 +48,34 @@ def test_copies_inside_a_batch(spark, empty):
     assert merge_insert_only(empty, "merged", batch, ["k"], merge_copies=True) == 3
 
 
+@pytest.mark.parametrize("broadcast_bytes", [0, 10**6])
+def test_hot_copies_and_missing_keys_are_spread(spark, broadcast_bytes):
+    """A third of the batch is one known key, a third one new key, a third has
+    no key; the target holds the known key many times."""
+    third = F.col("id") % 3
+    batch = spark.range(0, 6000, 1, 6).select(
+        "id", F.when(third == 0, "known").when(third == 1, "new").alias("k")
+    )
+    target = spark.range(3000).select(F.lit("known").alias("k"))
+    settings = {
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        options = {"broadcast_bytes": broadcast_bytes, "hot_key_rows": 500}
+        added = new_rows(batch, target, ["k"], **options)
+        counts = {r["k"]: r["count"] for r in added.groupBy("k").count().collect()}
+        sizes = [r["count"] for r in added.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert counts == {"new": 2000, None: 2000}
+    assert max(sizes) < 4000 / 8 * 1.5
+
+
 def test_empty_batch(spark, empty):
     nothing = frame(spark, ("a", "1")).where("false")
     assert merge_insert_only(empty, "t", frame(spark, ("a", "1")), ["k"]) == 1

@@ -50,11 +50,8 @@ def test_bad_lines_are_counted_and_good_fields_kept(spark, tmp_path):
     path = land(tmp_path / "a", {"Id": "1"}, '{"Id": "2", "UserType": "seven"}', "no json at all")
     records = read_records(spark, path, RAW_DDL["activity"])
     assert rows(usable_records(records), "Id", "UserType") == [("1", None), ("2", None)]
-    store = TableStore(spark, str(tmp_path / "tables"))
-    counts = store.overwrite("bronze.activity", records, landing_audit(records))
-    assert counts == {"rows": 3, "bad_rows": 2, "lost_rows": 1}
-    kept = store.read("bronze.activity").where(F.col(CORRUPT).isNotNull())
-    assert kept.count() == 2
+    counts = records.cache().agg(*[c.alias(n) for n, c in landing_audit(records).items()])
+    assert counts.first().asDict() == {"rows": 3, "bad_rows": 2, "lost_rows": 1}
 
 
 def test_pages_are_flattened_and_pages_without_the_array_give_nothing(spark, tmp_path):

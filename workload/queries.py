@@ -372,7 +372,7 @@ def _(g: Governance) -> DataFrame:
 
 @query("calendar_attrs")
 def _(g: Governance) -> DataFrame:
-    return g.calendar()
+    return g.typed("calendar")
 
 
 @query("hourly_summary")

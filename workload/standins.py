@@ -30,7 +30,7 @@ from tenantlens.operators.aggregates import hourly_summary
 from tenantlens.operators.inventory import item_dimension, workspace_dimension
 from tenantlens.operators.lineage import lineage_edges, lineage_targets
 from tenantlens.operators.typed import typed_table
-from tenantlens.plans.build import STAR_TABLES
+from tenantlens.plans.build import SAME_AS_TYPED, STAR_TABLES
 from tenantlens.plans.star import StarModel
 from tenantlens.session import scratch_dir
 from tenantlens.sources.calendar import calendar_hours, calendar_table
@@ -229,6 +229,8 @@ class Governance:
         return self.source(table).select(*[F.expr(e).alias(n) for n, e in fields.items()])
 
     def typed(self, entity: str) -> DataFrame:
+        if entity == "calendar":
+            return calendar_table(calendar_hours(self.spark, self.today))
         return typed_table(entity, self.raw(entity))
 
     @cached_property
@@ -261,9 +263,6 @@ class Governance:
     def edges(self) -> DataFrame:
         return lineage_edges(self.raw("workspace_scan"))
 
-    def calendar(self) -> DataFrame:
-        return calendar_table(calendar_hours(self.spark, self.today))
-
     def dim_user(self) -> DataFrame:
         return identity.actor_dimension(self.users(), self.typed("activity"))
 
@@ -277,13 +276,11 @@ class Governance:
             return workspace_dimension(self.typed("workspaces"), self.typed("capacities"))
         if table == "dim_user":
             return self.dim_user()
-        if table == "dim_date":
-            return self.calendar()
         if table == "fact_activity":
             return identity.resolve_actor(self.typed("activity"), self.gold("dim_user"))
         if table == "fact_lineage":
             return lineage_targets(self.edges(), self.gold("dim_inventory"))
-        return self.typed(COPIES[table])
+        return self.typed(SAME_AS_TYPED[table])
 
     def gold(self, table: str) -> DataFrame:
         """The written table, as reports find it; the first query that needs it
@@ -300,14 +297,6 @@ class Governance:
         return StarModel(GoldTables(self))
 
 
-# Star tables that are typed tables under another name.
-COPIES = {
-    "dim_tenant_setting": "tenant_settings",
-    "fact_workspace_access": "workspace_access",
-    "fact_item_access": "item_access",
-    "fact_capacity_metrics": "capacity_metrics",
-}
-
 _BUILT: dict[tuple[str, str], TableStore] = {}
 
 
