@@ -38,16 +38,17 @@ def new_rows(
 
     Only the key columns of the target are read. If the counted size of the
     batch keys is within ``broadcast_bytes``, they are sent to the target, and
-    only the keys found there are shuffled; the history itself stays where it
-    lies. If not, both sides are shuffled by key. Hot and missing keys of the
-    batch are kept apart either way.
+    the distinct keys found there, no more than were sent, are sent back:
+    neither the history nor the batch is shuffled. If not, both are shuffled by
+    key, with hot and missing keys of the batch kept apart.
     """
     keys = list(keys)
-    found = target.select(*keys)
     batch_keys = batch.select(*keys)
-    if stored_bytes(batch_keys) <= broadcast_bytes:
-        found = found.join(F.broadcast(batch_keys.distinct()), keys, "left_semi")
-    return without_match(batch, found, keys, **hot_key_options)
+    if stored_bytes(batch_keys) > broadcast_bytes:
+        return without_match(batch, target, keys, **hot_key_options)
+    sent = F.broadcast(batch_keys.distinct())
+    found = target.select(*keys).join(sent, keys, "left_semi").distinct()
+    return batch.join(F.broadcast(found), keys, "left_anti").select(*batch.columns)
 
 
 def one_per_key(batch: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -1,22 +1,25 @@
 """Joins of many rows to a dimension or a key list, safe for hot and missing keys.
 
 How the rows of a join are kept apart: rows without a key, and rows of hot keys
-(at least ``HOT_KEY_ROWS`` rows; of those keys the largest ``MAX_HOT_KEYS``),
-meet nothing in the shuffle. They are dealt out over all tasks by a second join
-column, the slot. What a hot key would have met is broadcast instead, at most
-one row per hot key. All other keys are joined by shuffle, so that no row is
-left out whatever the number of hot keys.
+(about ``HOT_KEY_ROWS`` rows or more; of those keys the largest
+``MAX_HOT_KEYS``), meet nothing in the shuffle. They are dealt out over all
+tasks by a second join column, the slot. What a hot key would have met is
+broadcast instead, at most one row per hot key. All other keys are joined by
+shuffle, so the result is whole whatever keys are taken for hot ones.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_KEY_ROWS = 1_000_000
 MAX_HOT_KEYS = 1_000
+SAMPLED_ROWS_PER_HOT_KEY = 1_000
 
 
 def stored_bytes(rows: DataFrame) -> int:
@@ -62,20 +65,35 @@ def _holds_map(data_type: T.DataType) -> bool:
     return isinstance(data_type, T.MapType)
 
 
-def _hot_keys(keyed: DataFrame, hot_key_rows: int, max_hot_keys: int) -> DataFrame:
-    """Largest keys of the rows; only the key column is read, and rows are
-    counted where they lie before counts are shuffled."""
+def _crowded_keys(keyed: DataFrame, hot_key_rows: int, max_hot_keys: int) -> list[Row]:
+    """Largest keys by an estimate of their rows, the missing key among them.
+
+    A key that is hot shows in a small share of the rows, so only that share is
+    counted; of the rows nothing but the key is read. The list only decides
+    which way rows take, never which rows there are.
+    """
+    share = min(1.0, SAMPLED_ROWS_PER_HOT_KEY / hot_key_rows)
+    keys = keyed.select("_key")
+    if share < 1.0:
+        keys = keys.sample(share, seed=1)
     return (
-        keyed.where(F.col("_key").isNotNull())
-        .groupBy("_key")
+        keys.groupBy("_key")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") >= hot_key_rows)
-        .orderBy(F.desc("_n"), "_key")
-        .limit(max_hot_keys)
+        .where(F.col("_n") >= math.ceil(share * hot_key_rows))
+        .orderBy(F.desc("_n"))
+        .limit(max_hot_keys + 1)
         .select("_key")
+        .collect()
     )
 
 
+def _hot_frame(keyed: DataFrame, crowded: list[Row]) -> DataFrame:
+    """The crowded keys but the missing one; at most ``MAX_HOT_KEYS`` rows."""
+    hot = [(r["_key"],) for r in crowded if r["_key"] is not None]
+    schema = T.StructType([T.StructField("_key", keyed.schema["_key"].dataType)])
+    return F.broadcast(keyed.sparkSession.createDataFrame(hot, schema))
+
+
 def left_lookup(
     facts: DataFrame,
     dimension: DataFrame,
@@ -107,9 +125,12 @@ def left_lookup(
     if stored_bytes(dimension) <= broadcast_bytes:
         joined = keyed.join(F.broadcast(lookup), "_key", "left")
         row = F.col("_row")
+    elif not (crowded := _crowded_keys(keyed, hot_key_rows, max_hot_keys)):
+        joined = keyed.join(lookup, "_key", "left")
+        row = F.col("_row")
     else:
-        hot_keys = _hot_keys(keyed, hot_key_rows, max_hot_keys)
-        hot_rows = lookup.join(F.broadcast(hot_keys), "_key", "left_semi")
+        hot_keys = _hot_frame(keyed, crowded)
+        hot_rows = lookup.join(hot_keys, "_key", "left_semi")
         hot = hot_keys.join(F.broadcast(hot_rows), "_key", "left").select(
             "_key", F.lit(True).alias("_hot"), F.col("_row").alias("_hot_row")
         )
@@ -149,11 +170,15 @@ def without_match(
             *[c.try_cast(f.dataType).alias(f.name) for c, f in zip(columns, types)]
         ).alias("_key")
     )
+    crowded = _crowded_keys(keyed, hot_key_rows, max_hot_keys)
+    if not crowded:
+        left = keyed.join(listed.distinct(), "_key", "left_anti")
+        return left.select(*[F.col(f"`{c}`") for c in rows.columns])
+
     # Merged by both join columns: the join needs no further shuffle of them.
     listed = listed.withColumn("_slot", slot(F.col("_key"))).dropDuplicates(["_key", "_slot"])
-
-    hot_keys = _hot_keys(keyed, hot_key_rows, max_hot_keys)
-    there = listed.join(F.broadcast(hot_keys), "_key", "left_semi").select(
+    hot_keys = _hot_frame(keyed, crowded)
+    there = listed.join(hot_keys, "_key", "left_semi").select(
         "_key", F.lit(True).alias("_there")
     )
     hot = hot_keys.join(F.broadcast(there), "_key", "left").select(

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import rows
-from tenantlens.operators.joins import left_lookup, stored_bytes
+from tenantlens.operators.joins import _crowded_keys, left_lookup, stored_bytes, without_match
 
 HOT, LOST = "k0", "lost"
 
@@ -99,3 +99,25 @@ def test_keys_of_different_integer_types(spark):
     for options in ({}, {"broadcast_bytes": 0}, {"broadcast_bytes": 0, "hot_key_rows": 1}):
         result = left_lookup(facts, dimension, "k", "id", **options)
         assert rows(result, "f", "name") == [(1, "three"), (2, None), (3, None)]
+
+
+def test_sampled_search_finds_a_key_with_a_third_of_the_rows(spark):
+    keys = spark.range(300_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("_key")
+    )
+    assert [r["_key"] for r in _crowded_keys(keys, 50_000, 10)] == ["hot"]
+    assert _crowded_keys(keys, 200_000, 10) == []
+
+
+def test_without_match_on_hot_copies_of_two_part_keys(spark):
+    rows_of = spark.range(400).select(
+        "id",
+        F.when(F.col("id") % 4 < 2, 1).when(F.col("id") % 4 == 2, 2).alias("a"),
+        F.when(F.col("id") % 40 != 0, "x").alias("b"),
+    )
+    present = spark.range(50).select(F.lit(1).cast("bigint").alias("a"), F.lit("x").alias("b"))
+    expected = sorted(i for i in range(400) if i % 4 >= 2 or i % 40 == 0)
+    for hot_key_rows in (1, 50, 10**6):
+        left = without_match(rows_of, present, ["a", "b"], hot_key_rows=hot_key_rows)
+        assert left.columns == rows_of.columns
+        assert sorted(r["id"] for r in left.collect()) == expected
