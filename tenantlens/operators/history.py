@@ -79,10 +79,13 @@ def merge_insert_only(
     the same key (the day of an immutable event). Then only the partitions the
     batch has rows for are read.
     """
-    batch = batch.persist(StorageLevel.DISK_ONLY)
+    loaded = store.exists(name)
+    if loaded or merge_copies:
+        # read several times below, and parsed from its files only once
+        batch = batch.persist(StorageLevel.DISK_ONLY)
     try:
         rows = one_per_key(batch, keys) if merge_copies else batch
-        if store.exists(name):
+        if loaded:
             target = store.read(name)
             if prune_by:
                 target = _same_partitions(target, batch, prune_by)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenantlens.functions.predicates import Above, IsFalseOrBlank, OneOf, Predicate
@@ -147,7 +147,7 @@ def evaluate(
 
     values = {}
     for i, leaf in enumerate(parts):
-        value = F.col(f"_p{i}")
+        value = _across_own_groups(result, f"_p{i}", leaf, by)
         blank_is_zero = leaf.kind != "sum" and not show_all
         values[i] = F.coalesce(value, F.lit(0)) if blank_is_zero else value
     columns = []
@@ -158,6 +158,21 @@ def evaluate(
     return result.select(*[split_name(n)[1] for n in by], *columns)
 
 
+def _across_own_groups(
+    result: DataFrame, part: str, leaf: Measure, by: Sequence[str]
+) -> Column:
+    """A group is an outer filter too: where the measure filters the grouping
+    column itself, every group shows the value over all of that column."""
+    others = [split_name(n)[1] for n in by if n not in {f"{leaf.base}.{c}" for c in leaf.own}]
+    if len(others) == len(by):
+        return F.col(part)
+    if leaf.kind == "distinct":
+        raise ValueError("a distinct count cannot be merged over groups")
+    if others:
+        return F.sum(part).over(Window.partitionBy(*others))
+    return result.agg(F.sum(part)).scalar()
+
+
 def _aggregate(leaf: Measure, condition: Column | None) -> Column:
     if leaf.kind == "rows":
         return F.count(F.lit(1)) if condition is None else F.count_if(condition)

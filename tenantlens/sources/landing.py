@@ -51,14 +51,18 @@ def read_pages(
 
 
 def parse_records(texts: DataFrame, column: str, ddl: str, keep: Sequence[str] = ()) -> DataFrame:
-    """Records held as JSON text in a table column; bad text gives NULL fields
-    and is kept in CORRUPT."""
+    """Records held as JSON text in a table column, with the ``keep`` columns of
+    their row; bad text gives NULL fields and is kept in CORRUPT.
+
+    The record is unpacked by a generator, so filters on its fields run after
+    it and do not parse the text once more each.
+    """
     fields = record_type(ddl)
     schema = T.StructType(fields.fields + [T.StructField(CORRUPT, T.StringType())])
     parsed = F.from_json(
         F.col(column), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     )
-    return texts.select(*keep, parsed.alias("_record")).select(*keep, "_record.*")
+    return texts.select(*keep, F.inline(F.array(parsed)))
 
 
 def flatten_pages(pages: DataFrame, items_key: str) -> DataFrame:
@@ -102,13 +106,13 @@ def _nothing_parsed(columns: Sequence[str]) -> Column:
     return condition
 
 
-def usable_records(records: DataFrame) -> DataFrame:
-    """Records with at least one field read. A line that is bad in one field
-    stays, with NULL there; a line that is no record at all is left out (and is
-    counted by ``landing_audit``)."""
+def usable_records(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Records with at least one field read, ``keep`` columns not among them. A
+    line that is bad in one field stays, with NULL there; a line that is no
+    record at all is left out (and is counted by ``landing_audit``)."""
     if CORRUPT not in records.columns:
         return records
-    fields = [c for c in records.columns if c != CORRUPT]
+    fields = [c for c in records.columns if c != CORRUPT and c not in keep]
     return records.where(F.col(CORRUPT).isNull() | ~_nothing_parsed(fields)).drop(CORRUPT)
 
 

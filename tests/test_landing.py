@@ -90,6 +90,9 @@ def test_records_in_a_text_column(spark):
     parsed = parse_records(texts, "t", "id STRING, size INT", keep=["n"])
     assert rows(parsed, "n", "id", "size") == [(1, "a", None), (2, None, None), (3, None, None)]
     assert rows(parsed.where(F.col(CORRUPT).isNotNull()), "n") == [(2,)]
+    usable = usable_records(parsed, keep=["n"])
+    assert rows(usable, "n") == [(1,), (3,)]
+    assert usable._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
 
 
 def test_tabular_import(spark):

@@ -82,6 +82,23 @@ def test_groups_on_facts_and_dimensions(model):
     ]
 
 
+def test_groups_on_the_column_a_measure_filters_itself(model):
+    by_success = evaluate(model, ACTIVITY, None, ["fact_activity.is_success"])
+    assert rows(by_success) == [
+        (None, 1, 2, 2.0),
+        (False, 1, 2, 2.0),
+        (True, 3, 2, pytest.approx(2 / 3)),
+    ]
+    both = evaluate(
+        model, ACTIVITY[:2], None, ["fact_activity.workload", "fact_activity.is_success"]
+    )
+    assert rows(both) == [
+        ("Lake", False, 1, 1),
+        ("Platform", None, 1, 1),
+        ("Platform", True, 3, 1),
+    ]
+
+
 def test_filter_through_two_relationships(model):
     permissions = {"permissions": Measure("fact_item_access", "rows")}
     sales = {"dim_workspace.workspace_name": OneOf(("sales",))}

@@ -235,7 +235,7 @@ def _(g: Governance) -> DataFrame:
     """Principals as JSON text, most of them without the optional field."""
     texts = g.raw("item_access").select("itemId", F.to_json("principal").alias("text"))
     ddl = "id STRING, type STRING, userDetails STRUCT<userPrincipalName: STRING>"
-    records = usable_records(parse_records(texts, "text", ddl, keep=["itemId"]))
+    records = usable_records(parse_records(texts, "text", ddl, ["itemId"]), ["itemId"])
     return records.select(
         F.col("itemId").alias("item_id"),
         F.col("id").alias("principal_id"),

@@ -144,7 +144,7 @@ RECORDS: dict[str, tuple[str, dict[str, str]]] = {
                 "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss\"))"
             ),
             "Operation": "event_type",
-            "Activity": "concat(event_type, ' ', from_json(props, 'k INT').k % 3)",
+            "Activity": "concat(event_type, ' ', CAST(get_json_object(props, '$.k') AS INT) % 3)",
             "UserId": (
                 "CASE WHEN event_id % 97 = 0 THEN NULL "
                 "WHEN event_id % 4 = 0 THEN concat('U', user_id) "
@@ -154,11 +154,11 @@ RECORDS: dict[str, tuple[str, dict[str, str]]] = {
                 "ELSE concat('u', user_id, '@corp.org') END"
             ),
             "UserType": "user_id % 5",
-            "Workload": "concat('W', from_json(props, 'k INT').k % 5)",
-            "ItemName": "concat('item ', from_json(props, 'k INT').k)",
+            "Workload": "concat('W', CAST(get_json_object(props, '$.k') AS INT) % 5)",
+            "ItemName": "concat('item ', CAST(get_json_object(props, '$.k') AS INT))",
             "WorkSpaceName": (
-                "if(from_json(props, 'k INT').k % 20 = 19, NULL, "
-                "concat('space ', from_json(props, 'k INT').k % 20))"
+                "if(CAST(get_json_object(props, '$.k') AS INT) % 20 = 19, NULL, "
+                "concat('space ', CAST(get_json_object(props, '$.k') AS INT) % 20))"
             ),
             "IsSuccess": (
                 "if(event_type = 'signup' AND event_id % 11 = 0, NULL, event_type <> 'error')"
