@@ -24,6 +24,7 @@ def spark():
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "8g",
+            "spark.sql.maxMetadataStringLength": "10000",
         },
     )
     session.sparkContext.setLogLevel("ERROR")
