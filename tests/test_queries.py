@@ -6,6 +6,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from compare import connect, difference
+from tenantlens.operators import history, joins
+from workload import standins
 
 FOLDER = "/root/testdata/sf0.001"
 NAMES = sorted(queries())
@@ -29,3 +31,31 @@ def test_query_equals_its_sql(spark, con, name):
 
 def test_entry(spark):
     assert entry(spark).count() > 0
+
+
+JOINED = [
+    "dim_inventory",
+    "dim_workspace",
+    "resolve_actor",
+    "lineage_targets",
+    "star_item_access",
+    "report_activity",
+    "report_lineage",
+    "report_workspace_access",
+    "merge_insert_only",
+    "merge_composite_key",
+    "measure_by_principal_type",
+    "activity_stream",
+]
+
+
+@pytest.mark.parametrize("hot_key_rows", [3, 10**6])
+@pytest.mark.parametrize("name", JOINED)
+def test_query_equals_its_sql_without_broadcast(spark, con, monkeypatch, name, hot_key_rows):
+    """The way large tables go: shuffled joins, with many hot keys and with none."""
+    for function in (joins.left_lookup, joins.without_match, history.new_rows):
+        for option, value in (("broadcast_bytes", 0), ("hot_key_rows", hot_key_rows)):
+            if option in function.__kwdefaults__:
+                monkeypatch.setitem(function.__kwdefaults__, option, value)
+    monkeypatch.setattr(standins, "_BUILT", {})
+    assert difference(queries()[name](spark, FOLDER), con, oracle_sql()[name]) is None
