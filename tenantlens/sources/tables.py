@@ -31,9 +31,25 @@ class TableStore:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
-    def overwrite(self, name: str, rows: DataFrame) -> dict[str, int]:
-        """Full refresh: replaces rows and columns of the table."""
-        return self._write(name, rows, "overwrite", ())
+    def overwrite(
+        self,
+        name: str,
+        rows: DataFrame,
+        partition_by: Sequence[str] = (),
+        *,
+        gather: bool = False,
+    ) -> dict[str, int]:
+        """Full refresh: replaces rows and columns of the table.
+
+        ``gather`` brings the rows of a partition together before they are
+        written. Rows that come from a table with the same partitions lie
+        together already, unless a join has shuffled them.
+        """
+        if gather:
+            rows = rows.hint("rebalance", *partition_by)
+        return self._write(
+            name, rows, "overwrite", partition_by, partitionOverwriteMode="static"
+        )
 
     def append(
         self, name: str, rows: DataFrame, partition_by: Sequence[str] = ()
@@ -44,12 +60,27 @@ class TableStore:
             rows = rows.hint("rebalance", *partition_by)
         return self._write(name, rows, "append", partition_by)
 
+    def replace_partitions(
+        self, name: str, rows: DataFrame, partition_by: Sequence[str]
+    ) -> dict[str, int]:
+        """Replaces the partitions the rows belong to, all others stay. Creates
+        the table if there is none."""
+        rows = rows.hint("rebalance", *partition_by)
+        return self._write(
+            name, rows, "overwrite", partition_by, partitionOverwriteMode="dynamic"
+        )
+
     def _write(
-        self, name: str, rows: DataFrame, mode: str, partition_by: Sequence[str]
+        self,
+        name: str,
+        rows: DataFrame,
+        mode: str,
+        partition_by: Sequence[str],
+        **options: str,
     ) -> dict[str, int]:
         observation = Observation(f"write {name}")
         observed = rows.observe(observation, F.count(F.lit(1)).alias("rows"))
-        writer = observed.write.mode(mode)
+        writer = observed.write.mode(mode).options(**options)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(self.path(name))
