@@ -73,7 +73,8 @@ def merge_insert_only(
     row. The first load creates the table. Returns the rows added.
 
     Rows are only added, and those that are there are found again, so a run
-    that broke off is repaired by running it once more.
+    that broke off is repaired by running it once more. Rows without a key
+    cannot be found again: every run adds them.
 
     ``prune_by`` names a partition column that always has the same value for
     the same key (the day of an immutable event). Then only the partitions the

@@ -24,7 +24,8 @@ def facts(spark):
 @pytest.fixture(scope="module")
 def dimension(spark):
     name = F.when(F.col("id") % 5 != 0, F.concat(F.lit("name "), "id"))
-    return spark.range(30).select(F.concat(F.lit("k"), "id").alias("key"), name.alias("name"), "id").withColumnRenamed("id", "no")
+    key = F.concat(F.lit("k"), "id")
+    return spark.range(30).select(key.alias("key"), name.alias("name"), F.col("id").alias("no"))
 
 
 def expected(facts, dimension):

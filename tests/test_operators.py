@@ -186,7 +186,8 @@ def test_capacity_matrix_flags_hours_only(model):
     matrix = reports.capacity_matrix(model)
     assert matrix.where("total_start_of_hour").select("background_flag").distinct().collect()[0][0] is None
     hours = matrix.where("not total_start_of_hour")
-    assert rows(hours, F.hour("start_of_hour"), "avg_background_pct", "background_flag", "interactive_flag") == [
+    columns = ("avg_background_pct", "background_flag", "interactive_flag")
+    assert rows(hours, F.hour("start_of_hour"), *columns) == [
         (11, 20.0, False, False),
         (9, 120.5, True, False),
     ]
@@ -209,7 +210,8 @@ def test_report_tables_on_the_fixture(model):
         ("sales", "Daily report", "Write", "ServicePrincipal"),
         ("sales", "Sales model", "Read", "Group"),
     ]
-    events = reports.table(model, "activity", {"fact_activity.creation_time": HalfOpen(dt.datetime(2026, 8, 3))})
+    since = {"fact_activity.creation_time": HalfOpen(dt.datetime(2026, 8, 3))}
+    events = reports.table(model, "activity", since)
     assert [r["activity_id"] for r in events.collect()] == ["a3", "a4", "a5"]
     # both outside sources of one data set show as one row
     assert reports.table(model, "lineage").count() == 2
