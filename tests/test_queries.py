@@ -8,9 +8,11 @@ from __spark_entry__ import entry, oracle_sql, queries
 from compare import connect, difference
 from tenantlens.operators import history, joins
 from workload import standins
+from workload.oracles import ORACLES
+from workload.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-NAMES = sorted(queries())
+NAMES = sorted(QUERIES)
 
 pytestmark = pytest.mark.skipif(not pathlib.Path(FOLDER).exists(), reason="no test tables")
 
@@ -21,7 +23,8 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert NAMES == sorted(oracle_sql())
+    assert NAMES == sorted(ORACLES)
+    assert set(NAMES) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
 @pytest.mark.parametrize("name", NAMES)
