@@ -1,5 +1,24 @@
 """DuckDB SQL for the operators that SQL can express, on the same tables."""
 
+OP1 = r"""
+WITH docs AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+  FROM documents),
+windows AS (
+  SELECT doc_id, p, md5(array_to_string(words[p:p + 49], ' ')) AS content
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS p FROM docs WHERE len(words) >= 50)),
+firsts AS (SELECT content, min(doc_id) AS first FROM windows GROUP BY content),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(p, p + 50)) AS i
+  FROM windows JOIN firsts USING (content) WHERE doc_id > first),
+each AS (
+  SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM docs)
+SELECT d.doc_id, max(len(d.words))::BIGINT AS n_words, count(g.i) AS n_removed,
+       sha256(coalesce(string_agg(e.word, ' ' ORDER BY e.i) FILTER (WHERE e.i IS NOT NULL AND g.i IS NULL), '')) AS kept_sha256
+FROM docs d LEFT JOIN each e USING (doc_id) LEFT JOIN gone g ON g.doc_id = e.doc_id AND g.i = e.i
+GROUP BY d.doc_id
+"""
+
 OP10 = r"""
 WITH lines AS (
   SELECT rowid_ AS r, doc_id, generate_subscripts(parts, 1) AS i, unnest(parts) AS line
@@ -18,5 +37,6 @@ GROUP BY r, doc_id
 """
 
 ORACLES = {
+    "op1_substring_dedup": OP1,
     "op10_line_dedup": OP10,
 }
