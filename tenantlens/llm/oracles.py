@@ -19,6 +19,37 @@ FROM docs d LEFT JOIN each e USING (doc_id) LEFT JOIN gone g ON g.doc_id = e.doc
 GROUP BY d.doc_id
 """
 
+# sets: (doc_id, shingle) of a table, linked at 80 in 100, and what each reaches
+LINKS = r"""
+words AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM {source}),
+sets AS (
+  SELECT DISTINCT doc_id, array_to_string(words[p:p + 4], ' ') AS shingle
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 2))) AS p FROM words WHERE len(words) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+reach AS (
+  SELECT doc_id, doc_id AS r FROM {source}
+  UNION SELECT l.b, reach.r FROM reach JOIN links l ON l.a = reach.doc_id),
+classes AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
+"""
+
+OP8 = (
+    "WITH RECURSIVE "
+    + LINKS.format(source="documents")
+    + """, copies AS (
+  SELECT doc_id, count(*) OVER (PARTITION BY s) AS n_copies
+  FROM (SELECT doc_id, list(shingle ORDER BY shingle) AS s FROM sets GROUP BY doc_id))
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, coalesce(n_copies, 1) AS n_copies
+FROM classes LEFT JOIN sizes USING (doc_id) LEFT JOIN copies USING (doc_id)"""
+)
+
 OP10 = r"""
 WITH lines AS (
   SELECT rowid_ AS r, doc_id, generate_subscripts(parts, 1) AS i, unnest(parts) AS line
@@ -38,5 +69,6 @@ GROUP BY r, doc_id
 
 ORACLES = {
     "op1_substring_dedup": OP1,
+    "op8_ngram_jaccard": OP8,
     "op10_line_dedup": OP10,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenantlens.llm import line_dedup, substring_dedup
+from tenantlens.llm import line_dedup, ngram_jaccard, substring_dedup
 from tenantlens.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard.jaccard_classes(table(spark, sf_dir, "documents"), n=5, percent=80)
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.drop_lines(table(spark, sf_dir, "documents"), least_refs=10)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -21,5 +25,6 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op8_ngram_jaccard": op8_ngram_jaccard,
     "op10_line_dedup": op10_line_dedup,
 }
