@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenantlens.llm import line_dedup, ngram_jaccard, substring_dedup
+from tenantlens.llm import line_dedup, ngram_jaccard, substring_dedup, token_shards
 from tenantlens.llm.common import table
+from tenantlens.session import scratch_dir
+
+VOCABULARY = "word_bpe_49k.json"
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,6 +17,19 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op7_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded(spark, table(spark, sf_dir, "documents"))
+
+
+def encoded(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The documents written as token shards in the shared folder, and read from them."""
+    import public_tokenizers
+
+    path = scratch_dir(spark, "token-shards")
+    token_shards.write_shards(docs, public_tokenizers.path(VOCABULARY), path, end_id=2)
+    return token_shards.read_documents(spark, path)
+
+
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.jaccard_classes(table(spark, sf_dir, "documents"), n=5, percent=80)
 
@@ -25,6 +41,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op7_token_shards": op7_token_shards,
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op10_line_dedup": op10_line_dedup,
 }
