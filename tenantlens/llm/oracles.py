@@ -19,6 +19,46 @@ FROM docs d LEFT JOIN each e USING (doc_id) LEFT JOIN gone g ON g.doc_id = e.doc
 GROUP BY d.doc_id
 """
 
+# the mix of a table {source} with doc_id, text, source: `mixed` has times per row
+MIX = r"""
+labelled AS (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY doc_id),
+sized AS (
+  SELECT d.*, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+    -ln((('0x' || substr(md5(concat_ws('|', coalesce(d.doc_id::VARCHAR, 'null'), md5(coalesce(text, '')), '17')), 1, 13))::BIGINT
+        + 0.5::DOUBLE) / 4503599627370496)
+      / CASE quality WHEN 1 THEN 2.0::DOUBLE WHEN 0 THEN 0.5::DOUBLE ELSE 1.0::DOUBLE END AS key
+  FROM {source} d LEFT JOIN labelled USING (doc_id)),
+sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+    ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::BIGINT AS weight
+  FROM sized GROUP BY source),
+levels AS (
+  SELECT *, (sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER f, 0))::DOUBLE
+      / (sum(weight) OVER () - coalesce(sum(weight) OVER f, 0))::DOUBLE AS level,
+    row_number() OVER (ORDER BY (3 * source_size)::DOUBLE / weight, source NULLS LAST) AS place
+  FROM sources
+  WINDOW f AS (ORDER BY (3 * source_size)::DOUBLE / weight, source NULLS LAST
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+goals AS (
+  SELECT source, source_size, target, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs
+  FROM (SELECT *, least((3 * source_size)::DOUBLE, weight * coalesce(
+          (SELECT arg_min(level, place) FROM levels WHERE level * weight <= 3 * source_size), 0)) AS target FROM levels)),
+running AS (
+  SELECT s.*, source_size, target, epochs, target - epochs * source_size AS rest,
+    sum(size) OVER (PARTITION BY s.source ORDER BY key) AS after
+  FROM sized s JOIN goals g ON s.source IS NOT DISTINCT FROM g.source),
+mixed AS (
+  SELECT *, (epochs + CASE WHEN size > 0 AND rest > 0 AND (after <= rest OR
+      (after - size < rest AND after - rest < rest - (after - size))) THEN 1 ELSE 0 END)::BIGINT AS times
+  FROM running)
+"""
+
+OP2 = (
+    "WITH "
+    + MIX.format(source="documents")
+    + " SELECT doc_id, size, source_size, target, size * times AS taken FROM mixed"
+)
+
 # sets: (doc_id, shingle) of a table, linked at 80 in 100, and what each reaches
 LINKS = r"""
 words AS (
@@ -69,6 +109,7 @@ GROUP BY r, doc_id
 
 ORACLES = {
     "op1_substring_dedup": OP1,
+    "op2_source_mix": OP2,
     "op8_ngram_jaccard": OP8,
     "op10_line_dedup": OP10,
 }

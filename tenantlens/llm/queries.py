@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenantlens.llm import line_dedup, ngram_jaccard, substring_dedup, token_shards
+from tenantlens.llm import line_dedup, ngram_jaccard, source_mix, substring_dedup, token_shards
 from tenantlens.llm.common import table
 from tenantlens.session import scratch_dir
 
@@ -17,6 +17,11 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
+    return source_mix.mix(docs, labels)
+
+
 def op7_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(spark, table(spark, sf_dir, "documents"))
 
@@ -41,6 +46,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_source_mix": op2_source_mix,
     "op7_token_shards": op7_token_shards,
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op10_line_dedup": op10_line_dedup,
