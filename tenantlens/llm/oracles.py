@@ -80,6 +80,31 @@ reach AS (
 classes AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
 """
 
+# items of `benchmark` in the documents of {source}
+LEAKS = r"""
+items AS (
+  SELECT item_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM benchmark),
+item_sets AS (
+  SELECT DISTINCT item_id, array_to_string(words[p:p + 4], ' ') AS shingle
+  FROM (SELECT item_id, words, unnest(range(1, len(words) - 3)) AS p FROM items)),
+item_sizes AS (SELECT item_id, count(*) AS n_item FROM item_sets GROUP BY item_id),
+doc_words AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM {source}),
+doc_sets AS (
+  SELECT DISTINCT doc_id, array_to_string(words[p:p + 4], ' ') AS shingle
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS p FROM doc_words)),
+leaks AS (
+  SELECT doc_id, item_id, n_item, count(*) AS n_common, count(*) / n_item AS containment
+  FROM doc_sets JOIN item_sets USING (shingle) JOIN item_sizes USING (item_id)
+  GROUP BY doc_id, item_id, n_item HAVING 100 * count(*) >= 80 * n_item)
+"""
+
+OP4 = "WITH " + LEAKS.format(source="documents") + " SELECT * FROM leaks"
+
 OP8 = (
     "WITH RECURSIVE "
     + LINKS.format(source="documents")
@@ -110,6 +135,7 @@ GROUP BY r, doc_id
 ORACLES = {
     "op1_substring_dedup": OP1,
     "op2_source_mix": OP2,
+    "op4_decontamination": OP4,
     "op8_ngram_jaccard": OP8,
     "op10_line_dedup": OP10,
 }

@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenantlens.llm import line_dedup, ngram_jaccard, source_mix, substring_dedup, token_shards
+from tenantlens.llm import (
+    decontamination,
+    language_id,
+    line_dedup,
+    ngram_jaccard,
+    secret_scan,
+    source_mix,
+    substring_dedup,
+    token_shards,
+)
 from tenantlens.llm.common import table
 from tenantlens.session import scratch_dir
 
@@ -22,6 +31,19 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.mix(docs, labels)
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = (table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return decontamination.leaks(docs, items, n=5, percent=80)
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"), owner="source")
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op7_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded(spark, table(spark, sf_dir, "documents"))
 
@@ -47,6 +69,9 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_source_mix": op2_source_mix,
+    "op4_decontamination": op4_decontamination,
+    "op5_secret_scan": op5_secret_scan,
+    "op6_language_id": op6_language_id,
     "op7_token_shards": op7_token_shards,
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op10_line_dedup": op10_line_dedup,
