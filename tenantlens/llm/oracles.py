@@ -80,6 +80,18 @@ reach AS (
 classes AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
 """
 
+OP3 = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id AND q.vec_id % 50 = 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
 # items of `benchmark` in the documents of {source}
 LEAKS = r"""
 items AS (
@@ -135,6 +147,7 @@ GROUP BY r, doc_id
 ORACLES = {
     "op1_substring_dedup": OP1,
     "op2_source_mix": OP2,
+    "op3_topk_search": OP3,
     "op4_decontamination": OP4,
     "op8_ngram_jaccard": OP8,
     "op10_line_dedup": OP10,

@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 from tenantlens.llm import (
     decontamination,
     language_id,
+    license_scan,
     line_dedup,
     ngram_jaccard,
     secret_scan,
     source_mix,
     substring_dedup,
     token_shards,
+    topk_search,
 )
 from tenantlens.llm.common import table
 from tenantlens.session import scratch_dir
@@ -31,6 +33,10 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.mix(docs, labels)
 
 
+def op3_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = (table(spark, sf_dir, t) for t in ("documents", "benchmark"))
     return decontamination.leaks(docs, items, n=5, percent=80)
@@ -61,6 +67,10 @@ def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard.jaccard_classes(table(spark, sf_dir, "documents"), n=5, percent=80)
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.find_licenses(table(spark, sf_dir, "documents"), least=0.8)
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.drop_lines(table(spark, sf_dir, "documents"), least_refs=10)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -69,10 +79,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_source_mix": op2_source_mix,
+    "op3_topk_search": op3_topk_search,
     "op4_decontamination": op4_decontamination,
     "op5_secret_scan": op5_secret_scan,
     "op6_language_id": op6_language_id,
     "op7_token_shards": op7_token_shards,
     "op8_ngram_jaccard": op8_ngram_jaccard,
+    "op9_license_scan": op9_license_scan,
     "op10_line_dedup": op10_line_dedup,
 }
