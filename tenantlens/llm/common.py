@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import pathlib
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -16,7 +20,19 @@ BASE = 0x9E3779B97F4A7C15
 CACHED_WORDS = 200_000
 
 
+def on_workers(spark: SparkSession) -> None:
+    """Lets Python workers import this package where the driver found it on its own path.
+
+    A cluster brings the package along by ``--py-files`` or installs it.
+    """
+    root = str(pathlib.Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    if root not in (path := env.get("PYTHONPATH", "")).split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [path, root]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    on_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -91,3 +107,43 @@ def signed(x: np.ndarray) -> np.ndarray:
 def identified(docs: DataFrame, columns: tuple[str, ...] = ("doc_id", "text")) -> DataFrame:
     """Only the columns named: others, whatever their names, take no part."""
     return docs.select(*[F.col(c) for c in columns])
+
+
+FILTER_BITS = 1 << 25  # of a Bloom filter: 4 MB, whatever the number of keys
+
+
+def _filter_positions(one: np.ndarray, two: np.ndarray) -> list[np.ndarray]:
+    x = mixed(one.view(np.uint64) * np.uint64(BASE) + two.view(np.uint64))
+    return [(x >> np.uint64(shift)) % np.uint64(FILTER_BITS) for shift in (0, 13, 26, 39)]
+
+
+def likely_in(rows: DataFrame, keys: DataFrame, columns: tuple[str, str]) -> DataFrame:
+    """The rows whose two long key columns may be among ``keys``: all that are, and few others.
+
+    Goes before a join on these columns, so that rows without a partner are not
+    shuffled. The filter has a fixed size: with very many keys it lets more rows
+    through, and the join after it is right in any case.
+    """
+
+    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.unique(np.concatenate(_filter_positions(*(batch.column(c).to_numpy() for c in columns))))
+            word, first = np.unique(at >> np.uint64(6), return_index=True)
+            ones = np.uint64(1) << (at & np.uint64(63))
+            value = np.bitwise_or.reduceat(ones, first) if len(at) else ones
+            yield pa.record_batch([pa.array(word.astype(np.int64)), pa.array(signed(value))], ["word", "value"])
+
+    found = keys.select(*columns).mapInArrow(bits, "word long, value long")
+    words = found.groupBy("word").agg(F.bit_or("value").alias("value")).toPandas()  # FILTER_BITS / 64 rows at most
+    table = np.zeros(FILTER_BITS // 64, np.uint64)
+    table[words["word"].to_numpy(np.int64)] = words["value"].to_numpy(np.int64).view(np.uint64)
+    shared = rows.sparkSession.sparkContext.broadcast(table)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = np.ones(batch.num_rows, bool)
+            for at in _filter_positions(*(batch.column(c).to_numpy() for c in columns)):
+                ok &= (shared.value[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+            yield batch.filter(pa.array(ok))
+
+    return rows.mapInArrow(ask, rows.schema)

@@ -29,12 +29,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
 
 from tenantlens.llm.common import WordHashes, gram_hashes, texts, words_of
 
 BLOCK_WORDS = 2_000_000
-FOUND = "leaks array<struct<item_id:long,n_item:long,n_common:long>>"
 
 
 class Signatures:
@@ -80,6 +78,13 @@ class Signatures:
                 yield item_id, len(shingles), common
 
 
+def matches(text: bytes | None, block: list[Signatures], known: WordHashes) -> Iterator[tuple[int, int, int]]:
+    words = words_of((text or b"").lower())
+    hashes = known.of(words)
+    for own in block:
+        yield from own.search(words, hashes)
+
+
 def signatures(items: DataFrame, n: int, percent: int) -> list[Signatures]:
     """One per shingle length of the items; for a block that fits the driver."""
     by_length: dict[int, list] = {}
@@ -90,36 +95,50 @@ def signatures(items: DataFrame, n: int, percent: int) -> list[Signatures]:
     return [Signatures(length, own, percent) for length, own in sorted(by_length.items())]
 
 
-def flagged(docs: DataFrame, items: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """The rows and columns of ``docs``, and ``leaks``: the items that lie in the text."""
-    spark = docs.sparkSession
+def item_blocks(items: DataFrame, n: int, percent: int) -> Iterator[list[Signatures]]:
+    """Signatures of all items, in blocks of bounded size."""
     items = items.filter("item_id IS NOT NULL AND text IS NOT NULL")
-    words = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = int(words // (2 * BLOCK_WORDS)) + 1  # a word and its space are two characters at least
-    leak = StructField("leaks", spark.createDataFrame([], FOUND).schema["leaks"].dataType)
-    out = docs.select("*", F.lit(None).cast(leak.dataType).alias("leaks"))
+    letters = items.agg(F.sum(F.length("text"))).first()[0] or 0
+    blocks = int(letters // (2 * BLOCK_WORDS)) + 1  # a word and its space are two characters at least
     for block in range(blocks):
-        own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        shared = spark.sparkContext.broadcast(signatures(own, n, percent))
+        yield signatures(items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block), n, percent)
+
+
+def leaks(docs: DataFrame, items: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, item_id, n_item, n_common, containment: a row per item that lies in a document."""
+    names = ["doc_id", "item_id", "n_item", "n_common", "containment"]
+    out = None
+    for block in item_blocks(items, n, percent):
+        shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            known, kind = WordHashes(), pa.list_(pa.struct([(c, pa.int64()) for c in ("item_id", "n_item", "n_common")]))
+            known = WordHashes()
             for batch in batches:
                 found = []
-                for text, before in zip(texts(batch), batch.column("leaks").to_pylist(), strict=True):
-                    words = words_of((text or b"").lower())
-                    hashes = known.of(words)
-                    own = [m for s in shared.value for m in s.search(words, hashes)]
-                    found.append((before or []) + [dict(zip(("item_id", "n_item", "n_common"), m, strict=True)) for m in own])
-                at = batch.schema.get_field_index("leaks")
-                yield batch.set_column(at, "leaks", pa.array(found, kind))
-
-        out = out.mapInArrow(search, StructType([*docs.schema.fields, leak]))
+                for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch), strict=True):
+                    for item_id, size, common in matches(text, shared.value, known):
+                        found.append((doc_id, item_id, size, common, common / size))
+                columns = list(zip(*found, strict=True)) or [()] * 5
+                kinds = [pa.int64()] * 4 + [pa.float64()]
+                yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+        rows = docs.select("doc_id", "text").mapInArrow(
+            search, "doc_id long, item_id long, n_item long, n_common long, containment double"
+        )
+        out = rows if out is None else out.unionByName(rows)
     return out
 
 
-def leaks(docs: DataFrame, items: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, item_id, n_item, n_common, containment: a row per item that lies in a document."""
-    found = flagged(docs.select("doc_id", "text"), items, n, percent)
-    rows = found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
-    return rows.withColumn("containment", F.col("n_common") / F.col("n_item"))
+def without_leaks(docs: DataFrame, items: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, all columns kept, whose text holds no item."""
+    for block in item_blocks(items, n, percent):
+        shared = docs.sparkSession.sparkContext.broadcast(block)
+
+        def clean(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            known = WordHashes()
+            for batch in batches:
+                ok = [next(matches(t, shared.value, known), None) is None for t in texts(batch)]
+                yield batch.filter(pa.array(ok, pa.bool_()))
+
+        docs = docs.mapInArrow(clean, docs.schema)
+    return docs

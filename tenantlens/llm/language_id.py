@@ -185,3 +185,16 @@ def identify(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", "text", "lang")
     found = predictions(rows.select("doc_id", "text"), learn(rows), ("doc_id",))
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+def recognized(docs: DataFrame, learned: LanguageFilter, least_score: float) -> DataFrame:
+    """The rows of ``docs``, all columns kept, in a learned language with ``least_score`` or more."""
+    shared = docs.sparkSession.sparkContext.broadcast(learned)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            found = [model.predict(None if t is None else t.decode()) for t in texts(batch)]
+            yield batch.filter(pa.array([f[0] != UNKNOWN and f[1] >= least_score for f in found], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -12,10 +12,10 @@ count. Two sets that link share a shingle among the first
    shuffled. Classes of the same size and prefix form one group.
 2. Prefix shingles are dealt out in packed blocks; what only one group holds
    leaves there. Heavy shingles are spread by row instead, so none of them fills a task.
-3. Neighbours in each list (sorted by size) are tried first, groups then expand
-   to their members, and all are verified on whole sets.
-4. The pairs of a list that are not yet in one component follow, filtered by
-   size and by the positions of the shared shingle, and are verified.
+3. Classes that follow each other in many lists (sorted by size) are verified on
+   whole sets first: most members of a cluster come together here.
+4. All pairs of a list that are not yet in one component follow, filtered by
+   size, by the positions of the shared shingles and by their number, and are verified.
 
 A pair that is already connected needs no check, so a cluster of L near copies
 costs about L checks and not L squared, and no link between components is lost.
@@ -26,8 +26,8 @@ largest sums are sent to all tasks (2 x 8 bytes each). They only set the order,
 which any choice gives the same links.
 
 Defined cases: a null or empty text has an empty set and no link. Repeated rows
-are copies. A null ``doc_id`` is a document that links last (its component is
-that of its texts, null if all are null). Other columns take no part.
+are copies. Ids are below 2^62; a document without one links like others, and a
+component of none but such has a null id. Other columns take no part.
 """
 
 from __future__ import annotations
@@ -38,12 +38,12 @@ from itertools import groupby
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenantlens.llm.common import WordHashes, mixed, shingles, signed, stored, texts, words_of
+from tenantlens.llm.common import WordHashes, likely_in, mixed, shingles, signed, stored, texts, words_of
 from tenantlens.llm.components import components
-from tenantlens.llm.substring_dedup import LAST, identity
+from tenantlens.llm.substring_dedup import NO_ID, identity, rank
 
 LOCAL_DOCS = 8
 MOST_HEAVY = 250_000
@@ -206,24 +206,63 @@ def shared_prefixes(docs: DataFrame, order, parts: int, n: int, percent: int) ->
     )
 
 
+def least_shared(percent: int) -> Column:
+    """How many prefix shingles two sets of sizes sa and sb must share to link.
+
+    What they share beyond their prefixes lies after the prefix that ends first,
+    so it is not more than a set has there.
+    """
+
+    def part(size: Column, of: int) -> Column:
+        return F.floor((size * percent + (of - 1)) / of)
+
+    beyond = F.greatest(part(F.col("sa"), 100), part(F.col("sb"), 100)) - 1
+    return F.greatest(F.lit(1), part(F.col("sa") + F.col("sb"), 100 + percent) - beyond)
+
+
 def neighbours(lists: DataFrame, percent: int) -> DataFrame:
-    """a, b: consecutive classes of each list sorted by size, where their sizes allow a link."""
+    """a, b: classes that follow each other in enough lists, sorted by size, to be likely links."""
 
     def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
         for batch in batches:
-            token, size, pos, node = (batch.column(c).to_numpy() for c in ("token", "size", "pos", "node"))
+            token, size, node = (batch.column(c).to_numpy() for c in ("token", "size", "node"))
             if last is not None:
-                token, size, pos, node = (np.append(o, c) for o, c in zip(last, (token, size, pos, node), strict=True))
+                token, size, node = (np.append(o, c) for o, c in zip(last, (token, size, node), strict=True))
             if not len(token):
                 continue
-            last = token[-1], size[-1], pos[-1], node[-1]
+            last = token[-1], size[-1], node[-1]
             near = (token[1:] == token[:-1]) & (node[1:] != node[:-1]) & (100 * size[:-1] >= percent * size[1:])
-            low, high = np.minimum(node[1:], node[:-1])[near], np.maximum(node[1:], node[:-1])[near]
-            yield pa.record_batch([pa.array(low), pa.array(high)], ["a", "b"])
+            columns = (node[:-1], node[1:], size[:-1], size[1:])
+            yield pa.record_batch([pa.array(c[near]) for c in columns], ["a", "b", "sa", "sb"])
 
     ordered = lists.repartitionByRange("token", "size", "node").sortWithinPartitions("token", "size", "node")
-    return ordered.mapInArrow(follow, "a long, b long").distinct()
+    pairs = ordered.mapInArrow(follow, "a long, b long, sa long, sb long")
+    counted = pairs.groupBy("a", "b").agg(F.count("*").alias("n"), F.max("sa").alias("sa"), F.max("sb").alias("sb"))
+    likely = counted.filter(2 * F.col("n") >= least_shared(percent))
+    return likely.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def missing_pairs(labelled: DataFrame, percent: int) -> DataFrame:
+    """a, b: all pairs of different components that may link by the prefix shingles they share."""
+    a, b = labelled.alias("a"), labelled.alias("b")
+    across = a.join(
+        b,
+        (F.col("a.token") == F.col("b.token"))
+        & ((F.col("a.size") < F.col("b.size")) | ((F.col("a.size") == F.col("b.size")) & (F.col("a.node") < F.col("b.node"))))
+        & (F.col("a.component") != F.col("b.component"))
+        & (100 * F.col("a.size") >= percent * F.col("b.size")),
+    )
+    # nothing before the first shared shingle is shared, so what follows bounds the overlap
+    bound = F.least(F.max(F.col("a.size") - F.col("a.pos")), F.max(F.col("b.size") - F.col("b.pos")))
+    counted = across.groupBy(F.col("a.node").alias("a"), F.col("b.node").alias("b")).agg(
+        F.count("*").alias("n"), bound.alias("bound"), F.max("a.size").alias("sa"), F.max("b.size").alias("sb")
+    )
+    close = counted.filter(
+        ((100 + percent) * F.col("bound") >= percent * (F.col("sa") + F.col("sb")))
+        & (F.col("n") >= least_shared(percent))
+    )
+    return close.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -243,24 +282,30 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     one = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x"))
     two = sets.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
+    found = pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
+    return found.distinct()
 
 
 def whole_sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
-    """node, tokens: the sorted shingles of a document of each class."""
+    """node, tokens: the sorted shingles of a document of each class (repeated rows may repeat it)."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
+        known, last = WordHashes(), None
         for batch in batches:
+            node = batch.column("node").to_numpy()
+            new = node != np.concatenate([node[:1] - 1 if last is None else [last], node[:-1]])
+            last = node[-1] if len(node) else last
+            batch = batch.filter(pa.array(new, pa.bool_()))
             made = [s.tobytes() for s in sets_of(batch, known, n)]
             yield pa.record_batch([batch.column("node"), pa.array(made, pa.binary())], ["node", "tokens"])
 
-    joined = docs.join(nodes, ["rank", "text_key"]).select("node", "text")
-    return joined.mapInArrow(encode, "node long, tokens binary").dropDuplicates(["node"])
+    few = likely_in(docs.select("rank", "text_key", "text"), nodes, ("rank", "text_key"))
+    joined = few.join(nodes, ["rank", "text_key"]).select("node", "text")
+    return joined.mapInArrow(encode, "node long, tokens binary")
 
 
-def jaccard_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, n_copies (documents with the same set), per document."""
+def labelled_rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """rank, text_key, size, component (a rank), n_copies per document."""
     docs = identity(docs)
     spark = docs.sparkSession
     table = stored(described(docs, n), "sets")
@@ -285,46 +330,59 @@ def jaccard_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     parts = int(total // BLOCK_ENTRIES) + 1
     found = shared_prefixes(docs, order, parts, n, percent)
     lists = stored(found.join(classes, ["g1", "g2"]).select("token", "size", "pos", "node").distinct(), "lists")
-    wanted = lists.select("node").distinct()
-    reps = classes.select("node", F.col("node").alias("rank"), "text_key").join(wanted, "node", "left_semi")
-    sets = stored(whole_sets(docs, reps, n), "whole-sets")
 
-    first = stored(verified(neighbours(lists, percent), sets, percent), "links")
+    def links(pairs: DataFrame) -> DataFrame:
+        pairs = stored(pairs, "pairs")
+        nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        reps = classes.select("node", F.col("node").alias("rank"), "text_key").join(nodes, "node", "left_semi")
+        sets = stored(whole_sets(docs, stored(reps, "representatives"), n), "whole-sets")
+        return stored(verified(pairs, sets, percent), "links")
+
+    first = links(neighbours(lists, percent))
     near = stored(components(first), "near")
     labelled = lists.join(near, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    open_lists = labelled.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    labelled = stored(
-        labelled.join(open_lists.filter("low < high").select("token"), "token"), "open-lists"
-    )
-    a, b = labelled.alias("a"), labelled.alias("b")
-    across = a.join(
-        b,
-        (F.col("a.token") == F.col("b.token"))
-        & (F.col("a.size") <= F.col("b.size"))
-        & (F.col("a.node") != F.col("b.node"))
-        & (F.col("a.component") != F.col("b.component"))
-        & (100 * F.col("a.size") >= percent * F.col("b.size")),
-    )
-    # nothing before the first shared shingle is shared, so what follows bounds the overlap
-    bound = F.least(F.max(F.col("a.size") - F.col("a.pos")), F.max(F.col("b.size") - F.col("b.pos")))
-    pairs = (
-        across.groupBy(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
-        .agg(bound.alias("bound"), F.first("a.size").alias("sa"), F.first("b.size").alias("sb"))
-        .filter((100 + percent) * F.col("bound") >= percent * (F.col("sa") + F.col("sb")))
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    )
-    second = verified(pairs.distinct(), sets, percent)
+    ends = labelled.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    # written first: a join of plain scans is one that adaptive execution can split at a hot shingle
+    open_tokens = stored(ends.filter("low < high").select("token"), "open-tokens")
+    labelled = stored(labelled.join(open_tokens, "token"), "open-lists")
+    second = links(missing_pairs(labelled, percent))
     labels = stored(components(first.unionByName(second)), "components")
 
     named = classes.join(labels, "node", "left").select(
         "g1", "g2", "n_copies", F.coalesce("component", "node").alias("component")
     )
     out = members.join(named, ["g1", "g2"], "left")
-    doc_id = F.when(F.col("rank") != LAST, F.col("rank"))
-    component = F.coalesce("component", "rank")
-    return out.select(
-        doc_id.alias("doc_id"),
+    component, copies = F.coalesce("component", "rank"), F.coalesce("n_copies", F.lit(1))
+    return out.select("rank", "text_key", "size", component.alias("component"), copies.alias("n_copies"))
+
+
+def jaccard_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id, n_copies (documents with the same set), per document."""
+    return labelled_rows(docs, n, percent).select(
+        F.when(F.col("rank") < NO_ID, F.col("rank")).alias("doc_id"),
         F.col("size").alias("n_shingles"),
-        F.when(component != LAST, component).alias("component_id"),
-        F.coalesce("n_copies", F.lit(1)).alias("n_copies"),
+        F.when(F.col("component") < NO_ID, F.col("component")).alias("component_id"),
+        "n_copies",
     )
+
+
+def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """One row of each component, all columns kept: that of its smallest id (of equal ids, one)."""
+    stay = labelled_rows(docs, n, percent).filter("rank = component").groupBy("rank")
+    stay = stored(stay.agg(F.min("text_key").alias("text_key")), "staying")
+    keys = ["__rank", "__text_key"]
+    stay = stay.toDF(*keys)
+    kept = docs.withColumns({"__rank": rank(), "__text_key": F.xxhash64("text")})
+    kept = kept.repartition(*keys).sortWithinPartitions(*keys).join(stay, keys)
+
+    columns = docs.columns
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None  # repeated rows follow each other
+        for batch in batches:
+            own = list(zip(*(batch.column(k).to_pylist() for k in keys), strict=True))
+            new = [key != before for key, before in zip(own, [last, *own], strict=False)]
+            last = own[-1] if own else last
+            yield batch.filter(pa.array(new, pa.bool_())).select(columns)
+
+    return kept.select(*docs.columns, *keys).mapInArrow(first, docs.schema)

@@ -47,15 +47,24 @@ def draw(doc_id: str = "doc_id", text: str = "text", seed: int = SEED) -> Column
     return (F.conv(hexes, 16, 10).cast("double") + 0.5) / float(1 << 52)
 
 
+def quality_of(labels: DataFrame) -> DataFrame:
+    """doc_id, quality: the best label of each document."""
+    return labels.groupBy("doc_id").agg(F.max("quality").alias("quality")).filter("doc_id IS NOT NULL")
+
+
+def weight_of(quality: str) -> Column:
+    weight = F.lit(1.0)
+    for value, factor in QUALITY_WEIGHTS.items():
+        weight = F.when(F.col(quality) == value, factor).otherwise(weight)
+    return weight
+
+
 def sized(docs: DataFrame, labels: DataFrame | None, seed: int = SEED) -> DataFrame:
     """doc_id, source, size, key: what the mix needs of each document."""
     rows = docs.select("doc_id", "source", size_of().alias("size"), draw(seed=seed).alias("u"))
     weight = F.lit(1.0)
     if labels is not None:
-        known = labels.groupBy("doc_id").agg(F.max("quality").alias("quality")).filter("doc_id IS NOT NULL")
-        rows = rows.join(known, "doc_id", "left")
-        for quality, value in QUALITY_WEIGHTS.items():
-            weight = F.when(F.col("quality") == quality, value).otherwise(weight)
+        rows, weight = rows.join(quality_of(labels), "doc_id", "left"), weight_of("quality")
     return rows.select("doc_id", "source", "size", (-F.log("u") / weight).alias("key"))
 
 
@@ -119,9 +128,10 @@ def cuts(rows: DataFrame) -> DataFrame:
     )
 
 
-def taken_times(key: Column) -> Column:
+def taken_times(key: Column, prefix: str = "") -> Column:
     """How often a document of this key is taken, beside its source's row of ``cuts``."""
-    return F.col("epochs") + F.when(key <= F.col("cut"), F.lit(1)).otherwise(F.lit(0))
+    once_more = F.when(key <= F.col(prefix + "cut"), F.lit(1)).otherwise(F.lit(0))
+    return F.col(prefix + "epochs") + once_more
 
 
 def mix(docs: DataFrame, labels: DataFrame | None = None, seed: int = SEED) -> DataFrame:
@@ -132,3 +142,17 @@ def mix(docs: DataFrame, labels: DataFrame | None = None, seed: int = SEED) -> D
     return joined.select(
         "doc_id", "size", "source_size", "target", (F.col("size") * taken_times(F.col("key"))).alias("taken")
     )
+
+
+def mixed(docs: DataFrame, labels: DataFrame | None = None, seed: int = SEED) -> DataFrame:
+    """The rows of ``docs``, all columns kept, each as often as the mix takes it."""
+    per_source = stored(cuts(stored(sized(docs, labels, seed), "mix-rows")), "mix-cuts")
+    per_source = per_source.select(F.col("source").alias("__of"), "epochs", "cut").toDF("__of", "__epochs", "__cut")
+    rows, weight = docs, F.lit(1.0)
+    if labels is not None:
+        known = quality_of(labels).toDF("__id", "__quality")
+        rows = rows.join(known, F.col("doc_id") == F.col("__id"), "left")
+        weight = weight_of("__quality")
+    rows = rows.join(per_source, F.col("source").eqNullSafe(F.col("__of")))
+    times = F.when(size_of() > 0, taken_times(-F.log(draw(seed=seed)) / weight, "__")).otherwise(F.lit(0))
+    return rows.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), times.cast("int")))).select(*docs.columns)
