@@ -30,7 +30,7 @@ from pyspark.sql.window import Window
 from tenantlens.llm.common import stored
 
 MOST_EPOCHS = 3
-BUCKETS = 65_536
+BUCKETS = 4_096
 SEED = 17
 WORD = r"[^\x20\x09-\x0D]+"
 QUALITY_WEIGHTS = {1: 2.0, 0: 0.5}  # of a labelled document; 1.0 without label

@@ -24,7 +24,8 @@ own length, are the only thing gathered.
 
 Defined cases: words are ``[^\x20\x09-\x0D]+``; a null text has none. Edges are
 judged on the input. Documents of the same ``doc_id`` do not take words from each
-other; a null ``doc_id`` comes after all others. Other columns take no part.
+other; documents without an id come after all others, by a hash of their text.
+Ids are below 2^62. Other columns take no part.
 """
 
 from __future__ import annotations
@@ -41,11 +42,12 @@ from tenantlens.llm.common import WordHashes, gram_hashes, signed, stored, texts
 
 SEED = 12
 PATHS = "rank long, text_key long, anchor long, content long, start int, edges int"
-LAST = 2**63 - 1
+NO_ID = 2**62  # ranks from here on belong to documents without an id
 
 
-def rank(column: str = "doc_id") -> Column:
-    return F.coalesce(F.col(column), F.lit(LAST))
+def rank() -> Column:
+    """The id; documents without one come after all others, by a hash of their text."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID) + F.shiftrightunsigned(F.xxhash64("text"), 2))
 
 
 def identity(docs: DataFrame) -> DataFrame:
@@ -138,26 +140,24 @@ def split_edges(docs: DataFrame, branching: DataFrame, window: int) -> DataFrame
 
 def repeated_ranges(docs: DataFrame, window: int, seed: int = SEED) -> DataFrame:
     """rank, text_key, start, stop: runs of words that a document of smaller rank has as well."""
+    # lists of anchors and digests are written before they are joined: a join of plain
+    # scans is one that adaptive execution can split where a passage is hot
     found = stored(paths(docs, window, seed), "paths")
-    shared = (
-        found.groupBy("anchor")
-        .agg(F.min("rank").alias("low"), F.max("rank").alias("high"))
-        .filter("low < high")
-        .select("anchor")
-    )
+    ends = found.groupBy("anchor").agg(F.min("rank").alias("low"), F.max("rank").alias("high"))
+    shared = stored(ends.filter("low < high").select("anchor"), "shared-anchors")
     repeated = stored(found.join(shared, "anchor"), "shared-paths")
-    compact = repeated.groupBy("anchor", "content").agg(F.min("rank").alias("first"))
-    branches = (
-        compact.groupBy("anchor").agg(F.min("content").alias("a"), F.max("content").alias("b")).filter("a <> b")
-    ).select("anchor", F.lit(True).alias("branches"))
+    compact = stored(repeated.groupBy("anchor", "content").agg(F.min("rank").alias("first")), "compact-paths")
+    ends = compact.groupBy("anchor").agg(F.min("content").alias("a"), F.max("content").alias("b"))
+    branches = stored(ends.filter("a <> b").select("anchor"), "branching-anchors")
     judged = repeated.join(compact, ["anchor", "content"])
     whole = judged.filter("rank > first").select(
         "rank", "text_key", "start", (F.col("start") + F.col("edges") + (window - 1)).alias("stop")
     )
     branching = judged.filter("rank = first").join(branches, "anchor")
     edges = stored(split_edges(docs, branching, window), "branching-edges")
-    earliest = edges.groupBy("w1", "w2").agg(F.min("rank").alias("first"), F.max("rank").alias("last"))
-    late = edges.join(earliest.filter("first < last"), ["w1", "w2"]).filter("rank > first")
+    ends = edges.groupBy("w1", "w2").agg(F.min("rank").alias("first"), F.max("rank").alias("last"))
+    earliest = stored(ends.filter("first < last").select("w1", "w2", "first"), "shared-edges")
+    late = edges.join(earliest, ["w1", "w2"]).filter("rank > first")
     return whole.unionByName(late.select("rank", "text_key", "start", (F.col("start") + window).alias("stop")))
 
 
