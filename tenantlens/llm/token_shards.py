@@ -28,6 +28,7 @@ shard; repeated rows are encoded each; other columns take no part.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import zlib
@@ -45,11 +46,25 @@ MAGIC = b"WVM1"
 HEAD = struct.Struct("<4sIIIQQ")
 SHARD_TOKENS = 1 << 19
 BATCH_DOCS = 256
-CACHED_PIECES = 500_000
+CACHED_PIECES = 800_000
 SUPER = 512  # bits of a rank block
 WORDS = SUPER // 64
 # one mark between an ASCII letter and white space is a token of its own either way
+LETTERS = re.compile(rb"[a-z]+")
 MARK = re.compile(rb"(?<=[a-z])([.,;:!?])(?=[ \t\n\x0b\f\r]|$)")
+# fixed values: the steps of a vocabulary file that drop white space and lower-case
+BY_WORD = [
+    [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+    [
+        {
+            "type": "Split",
+            "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+            "behavior": "Removed",
+            "invert": True,
+        },
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+]
 
 
 class WaveletMatrix:
@@ -196,10 +211,12 @@ _ENCODERS: dict[int, tuple] = {}  # of this Python worker, by the tokenizer's ha
 
 
 class Encoder:
-    """Encodes white-space separated pieces once and keeps them, for all tasks of a worker.
+    """Encodes texts; pieces between white space only once, kept for all tasks of a worker.
 
-    White space separates tokens, and ASCII letters are lower-cased before use, as
-    the vocabulary does itself (``lower``), unless a text may hold special tokens.
+    A vocabulary that drops white space and lower-cases (``BY_WORD``) gives a text the
+    ids of its pieces. A piece of ASCII letters is a word to the model as it stands;
+    other pieces, and texts that may hold special tokens, go through the whole
+    tokenizer. For other vocabularies every text does.
     """
 
     def __init__(self, spec: str):
@@ -209,6 +226,9 @@ class Encoder:
         self.bits = max(1, (self.tokenizer.get_vocab_size(with_added_tokens=True) - 1).bit_length())
         self.kind = np.dtype("<u2" if self.bits <= 16 else "<u4")
         self.known: dict[bytes, bytes] = {}
+        read = json.loads(spec)
+        steps = [read.get("normalizer") or {}, read.get("pre_tokenizer") or {}]
+        self.by_word = [s.get("normalizers") or s.get("pretokenizers") for s in steps] == BY_WORD
 
     @classmethod
     def of(cls, spec: str) -> Encoder:
@@ -224,14 +244,26 @@ class Encoder:
             return text.split()
         return MARK.sub(rb" \1", text.lower()).split()
 
+    def learn(self, missing: set[bytes]) -> None:
+        tokenize, other = self.tokenizer.model.tokenize, []
+        for piece in missing:
+            if LETTERS.fullmatch(piece):
+                ids = [t.id for t in tokenize(piece.decode())]
+                self.known[piece] = np.array(ids, self.kind).tobytes()
+            else:
+                other.append(piece)
+        found = self.tokenizer.encode_batch_fast([p.decode() for p in other], add_special_tokens=False)
+        for piece, one in zip(other, found, strict=True):
+            self.known[piece] = np.array(one.ids, self.kind).tobytes()
+
     def encode(self, batch: list[bytes | None]) -> list[np.ndarray]:
+        if not self.by_word:
+            found = self.tokenizer.encode_batch_fast([(t or b"").decode() for t in batch], add_special_tokens=False)
+            return [np.array(one.ids, self.kind) for one in found]
         split = [self.pieces(t) for t in batch]
         if len(self.known) > CACHED_PIECES:
             self.known.clear()
-        missing = list(set().union(*split).difference(self.known))
-        found = self.tokenizer.encode_batch_fast([m.decode() for m in missing], add_special_tokens=False)
-        for piece, one in zip(missing, found, strict=True):
-            self.known[piece] = np.array(one.ids, self.kind).tobytes()
+        self.learn(set().union(*split).difference(self.known))
         return [np.frombuffer(b"".join(map(self.known.__getitem__, p)), self.kind) for p in split]
 
 
