@@ -37,7 +37,7 @@ PIVOTS = 32
 LENGTHS = 64
 BLOCK_ROWS = 4_096
 BLOCK_QUERIES = 512
-STEP = 64  # candidates evaluated at a time
+FIRST = 128  # candidates of the highest bounds, evaluated before the others
 EXACT = 2**53
 LIMIT = 2**63 - 1
 BLOCK = "width int, block long, ids binary, keys binary, vectors binary, wide boolean, distances binary"
@@ -144,26 +144,48 @@ def blocks(rows: DataFrame, pivots, scale: int, size: int) -> DataFrame:
     return rows.select("vec_id", F.xxhash64("vector").alias("key"), "vector").mapInArrow(make, BLOCK)
 
 
-def best(query, q_id: int, q_far, vectors, ids, far, norms, k: int) -> list[tuple[int, int]]:
-    """(score, id) of the k best candidates of a block, by bounds and exact stopping."""
-    if far.shape[1] and q_far is not None:
+class Candidates:
+    """A block's vectors with what all queries need of them."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, far: np.ndarray):
+        self.ids, self.vectors, self.far = ids, vectors, far
+        self.floats = vectors.astype(np.float64)
+        self.norms = (self.floats**2).sum(axis=1)
+        self.most = 0 if vectors.dtype == object else int(np.abs(vectors).max(initial=0))
+
+    def scores(self, query: np.ndarray, chosen) -> np.ndarray:
+        if query.dtype != object and self.vectors.dtype != object:
+            if int(np.abs(query).max(initial=0)) * self.most * max(1, len(query)) < EXACT:
+                return (self.floats[chosen] @ query.astype(np.float64)).astype(np.int64)
+        return products(query, self.vectors[chosen])
+
+    def best(self, query: np.ndarray, q_id: int, q_far: np.ndarray | None, k: int) -> list[tuple[int, int]]:
+        """(score, id) of the k best: those of the highest bounds set a score, then all
+        whose bound reaches it are evaluated."""
+        other = self.ids != q_id
+        if q_far is None or len(self.ids) <= FIRST:
+            return top(self.scores(query, other), self.ids[other], k)
         q_norm = float((query.astype(np.float64) ** 2).sum())
-        low = np.abs(far - q_far).max(axis=1)
-        bound = (q_norm + norms - low * low) / 2
-        bound += 1 + 1e-9 * (q_norm + norms)  # rounding
-        order = np.argsort(-bound)
-    else:
-        bound, order = None, np.arange(len(ids))
-    order = order[ids[order] != q_id]
-    kept: list[tuple[int, int]] = []
-    for at in range(0, len(order), STEP):
-        chosen = order[at : at + STEP]
-        if bound is not None and len(kept) == k and bound[chosen[0]] < kept[-1][0]:
-            break
-        scores = products(query, vectors[chosen])
-        kept += zip((int(s) for s in scores), ids[chosen].tolist(), strict=True)
-        kept = sorted(kept, key=lambda x: (-x[0], x[1]))[:k]
-    return kept
+        low = np.abs(self.far - q_far).max(axis=1)
+        bound = (q_norm + self.norms - low * low) / 2
+        bound += 1 + 1e-9 * (q_norm + self.norms)  # rounding
+        bound[~other] = -np.inf
+        first = np.argpartition(-bound, FIRST)[:FIRST]
+        first = first[other[first]]
+        kept = top(self.scores(query, first), self.ids[first], k)
+        rest = bound >= (kept[-1][0] if len(kept) == k else -np.inf)
+        rest[first], rest[~other] = False, False
+        if rest.any():
+            kept = sorted(kept + top(self.scores(query, rest), self.ids[rest], k), key=lambda x: (-x[0], x[1]))[:k]
+        return kept
+
+
+def top(scores: np.ndarray, ids: np.ndarray, k: int) -> list[tuple[int, int]]:
+    """(score, id) of the k highest scores, ties to the smaller id."""
+    if scores.dtype != object and len(scores) > k:
+        reach = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
+        scores, ids = scores[reach], ids[reach]
+    return sorted(zip((int(s) for s in scores), ids.tolist(), strict=True), key=lambda x: (-x[0], x[1]))[:k]
 
 
 def searched(queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
@@ -179,13 +201,11 @@ def searched(queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
                 q_ids, q_vectors, q_far = side(row, "q_")
-                ids, vectors, far = side(row, "")
-                norms = (vectors.astype(np.float64) ** 2).sum(axis=1)
-                pruned = q_far.shape[1] == far.shape[1] > 0
+                block = Candidates(*side(row, ""))
+                pruned = q_far.shape[1] == block.far.shape[1] > 0
                 out = []
                 for j, (q_id, key) in enumerate(zip(q_ids.tolist(), np.frombuffer(row["q_keys"], "<i8").tolist(), strict=True)):
-                    own_far = far if pruned else far[:, :0]
-                    for score, c in best(q_vectors[j], q_id, q_far[j] if pruned else None, vectors, ids, own_far, norms, k):
+                    for score, c in block.best(q_vectors[j], q_id, q_far[j] if pruned else None, k):
                         out.append((q_id, key, c, score))
                 columns = list(zip(*out, strict=True)) or [()] * 4
                 yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], ["query_id", "key", "vec_id", "score"])
