@@ -48,6 +48,13 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.split() if text else []
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 2_000) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, for work that keeps much more than the text of each row."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes | None]:
     return batch.column(column).cast(pa.binary()).to_pylist()
 

@@ -21,7 +21,7 @@ A pair that is already connected needs no check, so a cluster of L near copies
 costs about L checks and not L squared, and no link between components is lost.
 
 Heavy shingles are found over the whole corpus: each task reports what
-``LOCAL_DOCS`` or more documents of a batch hold, and the ``MOST_HEAVY`` of the
+``LOCAL_DOCS`` or more documents of a slice hold, and the ``MOST_HEAVY`` of the
 largest sums are sent to all tasks (2 x 8 bytes each). They only set the order, for
 which any choice gives the same links.
 
@@ -41,11 +41,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenantlens.llm.common import WordHashes, likely_in, mixed, shingles, signed, stored, texts, words_of
+from tenantlens.llm.common import WordHashes, likely_in, mixed, shingles, signed, sliced, stored, texts, words_of
 from tenantlens.llm.components import components
 from tenantlens.llm.substring_dedup import NO_ID, identity, rank
 
-LOCAL_DOCS = 8
+LOCAL_DOCS = 4  # of a slice of the reading task
 MOST_HEAVY = 250_000
 BLOCK_ENTRIES = 1_500_000  # prefix entries of a part, about
 SPREAD = 64  # tasks that share the heavy shingles
@@ -71,7 +71,7 @@ def described(docs: DataFrame, n: int) -> DataFrame:
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
-        for batch in batches:
+        for batch in sliced(batches):
             found = sets_of(batch, known, n)
             digests = np.array([set_digest(s) for s in found], np.uint64).reshape(-1, 2)
             distinct = np.unique(digests, axis=0, return_index=True)[1]
@@ -127,7 +127,7 @@ def shared_prefixes(docs: DataFrame, order, parts: int, n: int, percent: int) ->
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, ordered = WordHashes(), order.value
-        for batch in batches:
+        for batch in sliced(batches):
             seen: set[tuple[int, int]] = set()
             heads, rows, spread = [], [], []
             for tokens in sets_of(batch, known, n):
@@ -271,14 +271,12 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-                one, two = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = np.concatenate([one, two])
+            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
+                both = np.concatenate([np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y)])
                 both.sort(kind="stable")
                 common = int((both[1:] == both[:-1]).sum())
                 ok.append(100 * common >= percent * (len(both) - common))
-            kept = batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
-            yield kept
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     one = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x"))
     two = sets.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
@@ -291,7 +289,7 @@ def whole_sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, last = WordHashes(), None
-        for batch in batches:
+        for batch in sliced(batches):
             node = batch.column("node").to_numpy()
             new = node != np.concatenate([node[:1] - 1 if last is None else [last], node[:-1]])
             last = node[-1] if len(node) else last
