@@ -28,19 +28,42 @@ def subtotals(
     Leaf groups are aggregated first; the level expansion then runs over the
     leaf groups instead of over every row.
     """
-    averages = averages or {}
+    leaves = leaf_groups(rows, levels, counts=counts, averages=averages)
+    return level_groups(leaves, levels, counts=counts, averages=averages)
+
+
+def leaf_groups(
+    rows: DataFrame,
+    levels: Sequence[str],
+    *,
+    counts: Sequence[str] = (),
+    averages: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """The innermost groups, with what their averages are merged from."""
     parts = {f"_n_{name}": F.count(F.lit(1)) for name in counts}
-    for name, column in averages.items():
+    for name, column in (averages or {}).items():
         parts[f"_s_{name}"] = F.sum(column)
         parts[f"_k_{name}"] = F.count(column)
-    leaves = rows.groupBy(*levels).agg(*[c.alias(n) for n, c in parts.items()])
+    return rows.groupBy(*levels).agg(*[c.alias(n) for n, c in parts.items()])
 
-    merged = leaves.rollup(*levels).agg(
+
+def level_groups(
+    leaves: DataFrame,
+    levels: Sequence[str],
+    *,
+    counts: Sequence[str] = (),
+    averages: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """The groups of all levels, merged from the leaves."""
+    return leaves.rollup(*levels).agg(
         *[(F.grouping(level) == 1).alias(f"total_{level}") for level in levels],
         *[F.coalesce(F.sum(f"_n_{name}"), F.lit(0)).alias(name) for name in counts],
-        *[_merged_average(name).alias(name) for name in averages],
+        *[_merged_average(name).alias(name) for name in averages or {}],
     )
-    return merged
+
+
+def leaf_average(name: str) -> Column:
+    return F.try_divide(F.col(f"_s_{name}"), F.col(f"_k_{name}"))
 
 
 def _merged_average(name: str) -> Column:
@@ -70,11 +93,22 @@ def flag_range_percent(
     groups: DataFrame, column: str, flag: str, share: float = RANGE_FLAG_SHARE
 ) -> DataFrame:
     """Marks groups whose value reaches ``min + share * (max - min)`` over all
-    groups. The two extremes are one scalar subquery, so the groups stay where
-    they are."""
-    low, high = F.min(column), F.max(column)
-    bound = groups.agg((low + F.lit(share) * (high - low)).alias("bound")).scalar()
-    return groups.withColumn(flag, F.col(column) >= bound)
+    groups."""
+    return groups.withColumn(flag, F.col(column) >= range_bound(groups, F.col(column), share))
+
+
+def range_bound(groups: DataFrame, value: Column, share: float = RANGE_FLAG_SHARE) -> Column:
+    """``min + share * (max - min)`` of a value over all groups, as a scalar
+    subquery: the groups stay where they are.
+
+    The subquery reads every column of the groups, though it needs one. So its
+    plan for the groups is the same as that of the query around it, and what
+    they shuffle is computed once and read twice.
+    """
+    low, high = F.min(value), F.max(value)
+    whole = F.max(F.struct(*[F.col(f"`{c}`") for c in groups.columns]))
+    both = F.struct((low + F.lit(share) * (high - low)).alias("bound"), whole.alias("whole"))
+    return groups.agg(both.alias("found")).scalar()["bound"]
 
 
 def flag_threshold(

@@ -9,7 +9,12 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenantlens.operators.joins import BROADCAST_BYTES, stored_bytes, without_match
+from tenantlens.operators.joins import (
+    BROADCAST_BYTES,
+    common_types,
+    stored_bytes,
+    without_match,
+)
 from tenantlens.schemas import ACTIVITY_WINDOW_DAYS, CAPACITY_WINDOW_DAYS
 from tenantlens.sources.tables import TableStore
 
@@ -43,19 +48,23 @@ def new_rows(
     key, with hot and missing keys of the batch kept apart.
     """
     keys = list(keys)
+    common = common_types(batch, target, keys)
     batch_keys = batch.select(*keys)
     if stored_bytes(batch_keys) > broadcast_bytes:
         return without_match(batch, target, keys, **hot_key_options)
-    sent = F.broadcast(batch_keys.distinct())
-    found = target.select(*keys).join(sent, keys, "left_semi").distinct()
+    typed = [F.col(f"`{k}`").cast(t).alias(k) for k, t in common.items()]
+    sent = F.broadcast(batch.select(*typed).distinct())
+    found = target.select(*typed).join(sent, keys, "left_semi").distinct()
     return batch.join(F.broadcast(found), keys, "left_anti").select(*batch.columns)
 
 
 def one_per_key(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Copies of a key inside one batch merged to one; rows with a missing key
-    part all stay. Copies meet pre-merged, one per task."""
+    """Copies of a key inside one batch merged to the smallest row; rows with a
+    missing key part all stay. Copies meet pre-merged, one per task."""
     missing = _missing_key(keys)
-    return batch.where(~missing).dropDuplicates(list(keys)).unionByName(batch.where(missing))
+    row = F.struct(*[F.col(f"`{c}`") for c in batch.columns])
+    kept = batch.where(~missing).groupBy(*keys).agg(F.min(row).alias("_row")).select("_row.*")
+    return kept.unionByName(batch.where(missing))
 
 
 def merge_insert_only(
@@ -66,7 +75,6 @@ def merge_insert_only(
     *,
     merge_copies: bool = False,
     partition_by: Sequence[str] = (),
-    prune_by: str | None = None,
     **join_options: int,
 ) -> int:
     """Append the batch rows whose key is not in the table yet; never change a
@@ -75,10 +83,6 @@ def merge_insert_only(
     Rows are only added, and those that are there are found again, so a run
     that broke off is repaired by running it once more. Rows without a key
     cannot be found again: every run adds them.
-
-    ``prune_by`` names a partition column that always has the same value for
-    the same key (the day of an immutable event). Then only the partitions the
-    batch has rows for are read.
     """
     loaded = store.exists(name)
     if loaded or merge_copies:
@@ -87,30 +91,12 @@ def merge_insert_only(
     try:
         rows = one_per_key(batch, keys) if merge_copies else batch
         if loaded:
-            target = store.read(name)
-            if prune_by:
-                target = _same_partitions(target, batch, prune_by)
-            rows = new_rows(rows, target, keys, **join_options)
+            rows = new_rows(rows, store.read(name), keys, **join_options)
         return store.append(name, rows, partition_by)["rows"]
     finally:
         batch.unpersist()
 
 
-def _same_partitions(target: DataFrame, batch: DataFrame, column: str) -> DataFrame:
-    """Target partitions inside the range of the batch's values (and the one
-    without a value, if the batch has such rows)."""
-    c = F.col(column)
-    bounds = batch.agg(
-        F.min(c).alias("low"), F.max(c).alias("high"), F.count_if(c.isNull()).alias("blank")
-    ).first()
-    condition = F.lit(False)
-    if bounds["low"] is not None:
-        condition = c.between(F.lit(bounds["low"]), F.lit(bounds["high"]))
-    if bounds["blank"]:
-        condition = condition | c.isNull()
-    return target.where(condition)
-
-
 def window_bounds(
     today: dt.date, days: int, include_today: bool
 ) -> tuple[dt.datetime, dt.datetime]:

@@ -1,8 +1,8 @@
 """Joins of many rows to a dimension or a key list, safe for hot and missing keys.
 
 How the rows of a join are kept apart: rows without a key, and rows of hot keys
-(about ``HOT_KEY_ROWS`` rows or more; of those keys the largest
-``MAX_HOT_KEYS``), meet nothing in the shuffle. They are dealt out over all
+(about ``HOT_KEY_ROWS`` rows or more; of those keys the largest whose rows fit
+into ``HOT_BYTES``), meet nothing in the shuffle. They are dealt out over all
 tasks by a second join column, the slot. What a hot key would have met is
 broadcast instead, at most one row per hot key. All other keys are joined by
 shuffle, so the result is whole whatever keys are taken for hot ones.
@@ -18,13 +18,32 @@ from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_KEY_ROWS = 1_000_000
-MAX_HOT_KEYS = 1_000
+HOT_BYTES = BROADCAST_BYTES
 SAMPLED_ROWS_PER_HOT_KEY = 1_000
 
 
-def stored_bytes(rows: DataFrame) -> int:
-    """Bytes of the given rows, counted, not estimated: text by its length,
-    other values 16 each, plus 16 a row."""
+def common_type(left: T.DataType, right: T.DataType) -> T.DataType:
+    """The type two key columns are compared in: their own if it is one, the
+    wider one of two whole-number types. Other pairs are refused, whichever way
+    the join would go."""
+    if left == right or isinstance(right, T.NullType):
+        return left
+    if isinstance(left, T.NullType):
+        return right
+    if isinstance(left, T.IntegralType) and isinstance(right, T.IntegralType):
+        order = [T.ByteType, T.ShortType, T.IntegerType, T.LongType]
+        return max(left, right, key=lambda t: order.index(type(t)))
+    if isinstance(left, T.StringType) and isinstance(right, T.StringType):
+        return T.StringType()
+    raise TypeError(f"keys of different types: {left.simpleString()}, {right.simpleString()}")
+
+
+def common_types(left: DataFrame, right: DataFrame, keys: list[str]) -> dict[str, T.DataType]:
+    return {k: common_type(left.schema[k].dataType, right.schema[k].dataType) for k in keys}
+
+
+def _row_bytes(rows: DataFrame) -> Column:
+    """Bytes of a row: text by its length, other values 16 each, plus 16."""
     size = F.lit(16)
     for field in rows.schema.fields:
         column = F.col(f"`{field.name}`")
@@ -34,7 +53,18 @@ def stored_bytes(rows: DataFrame) -> int:
             size = size + F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0)) + 16
         else:
             size = size + 16
-    return rows.agg(F.sum(size.cast("bigint")).alias("bytes")).first()["bytes"] or 0
+    return size.cast("bigint")
+
+
+def stored_bytes(rows: DataFrame) -> int:
+    """Bytes of the given rows, counted, not estimated."""
+    return rows.agg(F.sum(_row_bytes(rows)).alias("bytes")).first()["bytes"] or 0
+
+
+def _rows_within(rows: DataFrame, budget: int) -> int:
+    """How many rows fit into a budget, were they all as large as the largest."""
+    widest = rows.agg(F.max(_row_bytes(rows)).alias("bytes")).first()["bytes"] or 16
+    return max(1, budget // widest)
 
 
 def slot(*keys: Column) -> Column:
@@ -88,7 +118,7 @@ def _crowded_keys(keyed: DataFrame, hot_key_rows: int, max_hot_keys: int) -> lis
 
 
 def _hot_frame(keyed: DataFrame, crowded: list[Row]) -> DataFrame:
-    """The crowded keys but the missing one; at most ``MAX_HOT_KEYS`` rows."""
+    """The crowded keys but the missing one."""
     hot = [(r["_key"],) for r in crowded if r["_key"] is not None]
     schema = T.StructType([T.StructField("_key", keyed.schema["_key"].dataType)])
     return F.broadcast(keyed.sparkSession.createDataFrame(hot, schema))
@@ -102,7 +132,7 @@ def left_lookup(
     *,
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_key_rows: int = HOT_KEY_ROWS,
-    max_hot_keys: int = MAX_HOT_KEYS,
+    hot_bytes: int = HOT_BYTES,
 ) -> DataFrame:
     """Every fact row with the other columns of its dimension row, or NULLs.
 
@@ -115,17 +145,18 @@ def left_lookup(
     clash = set(taken) & set(facts.columns)
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
+    # Both sides of one type: equal keys must have equal slots.
+    key_type = common_type(facts.select(key).schema[0].dataType, dimension.schema[dimension_key].dataType)
+    keyed = facts.select("*", key.cast(key_type).alias("_key"))
     lookup = dimension.select(
-        F.col(dimension_key).alias("_key"),
+        F.col(dimension_key).cast(key_type).alias("_key"),
         F.struct(F.lit(True).alias("_found"), *[F.col(f"`{c}`") for c in taken]).alias("_row"),
     )
-    # Both sides of one type: equal keys must have equal slots.
-    keyed = facts.select("*", key.try_cast(dimension.schema[dimension_key].dataType).alias("_key"))
 
     if stored_bytes(dimension) <= broadcast_bytes:
         joined = keyed.join(F.broadcast(lookup), "_key", "left")
         row = F.col("_row")
-    elif not (crowded := _crowded_keys(keyed, hot_key_rows, max_hot_keys)):
+    elif not (crowded := _crowded_keys(keyed, hot_key_rows, _rows_within(dimension, hot_bytes))):
         joined = keyed.join(lookup, "_key", "left")
         row = F.col("_row")
     else:
@@ -151,7 +182,7 @@ def without_match(
     keys: list[str],
     *,
     hot_key_rows: int = HOT_KEY_ROWS,
-    max_hot_keys: int = MAX_HOT_KEYS,
+    hot_bytes: int = HOT_BYTES,
 ) -> DataFrame:
     """Rows whose key no row of ``present`` has. A key with a missing part
     equals nothing.
@@ -160,17 +191,14 @@ def without_match(
     on the way into the join, those of ``rows`` are kept apart as hot keys.
     """
     columns = [F.col(f"`{k}`") for k in keys]
-    types = rows.select(*columns).schema
+    common = common_types(rows, present, keys)
+    typed = F.struct(*[F.col(f"`{k}`").cast(t).alias(k) for k, t in common.items()])
     complete = F.lit(True)
     for column in columns:
         complete = complete & column.isNotNull()
-    keyed = rows.select("*", F.when(complete, F.struct(*columns)).alias("_key"))
-    listed = present.select(
-        F.struct(
-            *[c.try_cast(f.dataType).alias(f.name) for c, f in zip(columns, types)]
-        ).alias("_key")
-    )
-    crowded = _crowded_keys(keyed, hot_key_rows, max_hot_keys)
+    keyed = rows.select("*", F.when(complete, typed).alias("_key"))
+    listed = present.select(typed.alias("_key"))
+    crowded = _crowded_keys(keyed, hot_key_rows, _rows_within(rows.select(*columns), hot_bytes))
     if not crowded:
         left = keyed.join(listed.distinct(), "_key", "left_anti")
         return left.select(*[F.col(f"`{c}`") for c in rows.columns])

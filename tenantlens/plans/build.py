@@ -14,7 +14,12 @@ from pyspark.sql import functions as F
 
 from tenantlens.functions.columns import parse_timestamp
 from tenantlens.operators import identity
-from tenantlens.operators.history import ACTIVITY_KEYS, CAPACITY_KEYS, merge_insert_only
+from tenantlens.operators.history import (
+    ACTIVITY_KEYS,
+    CAPACITY_KEYS,
+    activity_window,
+    merge_insert_only,
+)
 from tenantlens.operators.inventory import item_dimension, workspace_dimension
 from tenantlens.operators.lineage import lineage_edges, lineage_targets
 from tenantlens.operators.typed import typed_table
@@ -23,8 +28,11 @@ from tenantlens.schemas import PAGE_ITEMS_KEY, PARENT_KEYS, RAW_DDL, TYPED_COLUM
 from tenantlens.sources.calendar import calendar_hours, calendar_table
 from tenantlens.sources.landing import (
     attach_parent_keys,
+    broken_lists,
     flatten_pages,
     landing_audit,
+    parents_without_children,
+    quarantined,
     read_pages,
     read_records,
     usable_records,
@@ -69,18 +77,22 @@ def landed(
     spark: SparkSession, landing: str, entity: str, paged: bool, observation: Observation
 ) -> DataFrame:
     """Records of one entity; bad lines are counted by the observation."""
+    lines, key = _lines(spark, landing, entity, paged)
+    counts = landing_audit(lines, key)
+    lines = lines.observe(observation, *[c.alias(n) for n, c in counts.items()])
+    if not paged:
+        return lines
+    parents = PARENT_KEYS.get(entity, ())
+    return attach_parent_keys(lines, key, {p: p for p in parents}) if parents else flatten_pages(lines, key)
+
+
+def _lines(spark: SparkSession, landing: str, entity: str, paged: bool) -> tuple[DataFrame, str | None]:
+    """Records or pages as landed, and the pages' array."""
     path, ddl = f"{landing}/{entity}", RAW_DDL[entity]
     if not paged:
-        records = read_records(spark, path, ddl)
-        counts = landing_audit(records)
-        return records.observe(observation, *[c.alias(n) for n, c in counts.items()])
-    key, parents = PAGE_ITEMS_KEY[entity], PARENT_KEYS.get(entity, ())
-    pages = read_pages(spark, path, key, ddl, parents)
-    counts = landing_audit(pages)
-    pages = pages.observe(observation, *[c.alias(n) for n, c in counts.items()])
-    if parents:
-        return attach_parent_keys(pages, key, {p: p for p in parents})
-    return flatten_pages(pages, key)
+        return read_records(spark, path, ddl), None
+    key = PAGE_ITEMS_KEY[entity]
+    return read_pages(spark, path, key, ddl, PARENT_KEYS.get(entity, ())), key
 
 
 def build_raw(
@@ -92,7 +104,9 @@ def build_raw(
 ) -> dict[str, dict[str, int]]:
     """Raw tables from the files ``<landing>/<entity>``: one record per line,
     or for entities in ``paged`` one page. Returns the rows of each write with
-    the count of lines (pages) read, of bad ones, and of ones that are lost."""
+    the count of lines (pages) read, of bad ones, of ones of which nothing is
+    kept, and of page lists that break off. The text of bad lines is kept in
+    ``quarantine.<entity>``; only if there are any, the files are read again."""
     paged = set(paged)
     audit = {}
 
@@ -100,7 +114,12 @@ def build_raw(
         lines = Observation(f"land {entity}")
         written = write(landed(spark, landing, entity, entity in paged, lines))
         read = {f"landed_{n}": int(v or 0) for n, v in lines.get.items()}
+        if entity in paged:
+            pages, _ = _lines(spark, landing, entity, True)
+            read["landed_broken_lists"] = broken_lists(pages, PARENT_KEYS.get(entity, ())).count()
         audit[f"bronze.{entity}"] = {"rows": written, **read}
+        if read["landed_bad_rows"] or read["landed_lost_rows"] or store.exists(f"quarantine.{entity}"):
+            store.overwrite(f"quarantine.{entity}", quarantined(*_lines(spark, landing, entity, entity in paged)))
 
     for entity in SNAPSHOTS:
         load(entity, lambda rows, e=entity: store.overwrite(f"bronze.{e}", rows)["rows"])
@@ -119,11 +138,8 @@ def build_raw(
 
 
 def add_activity(store: TableStore, events: DataFrame) -> int:
-    """New events into the history, which lies by day.
-
-    An event never changes, so an id already stored lies under the event's own
-    day, and only the days of the batch are searched for it.
-    """
+    """New events into the history, which lies by day. Ids are compared over the
+    whole history: an event may come again with another time."""
     dated = events.withColumn(EVENT_DATE, F.to_date(parse_timestamp("CreationTime")))
     return merge_insert_only(
         store,
@@ -132,10 +148,26 @@ def add_activity(store: TableStore, events: DataFrame) -> int:
         ACTIVITY_KEYS,
         merge_copies=True,
         partition_by=[EVENT_DATE],
-        prune_by=EVENT_DATE,
     )
 
 
+def skipped(store: TableStore, today: dt.date) -> DataFrame:
+    """kind, key of what the extraction left out: workspaces and items without an
+    access list, days of the activity window without an event."""
+
+    def without(parents: str, children: str, key: str) -> DataFrame:
+        ids = usable_records(store.read(f"bronze.{parents}")).select(F.col("id").alias(key))
+        left = parents_without_children(ids.where(F.col(key).isNotNull()), store.read(f"bronze.{children}"), key)
+        return left.select(F.lit(children).alias("kind"), F.col(key).cast("string").alias("key"))
+
+    first, end = (F.lit(b.date()) for b in activity_window(today))
+    days = store.spark.range(1).select(F.explode(F.sequence(first, F.date_sub(end, 1))).alias(EVENT_DATE))
+    quiet = parents_without_children(days, store.read("bronze.activity"), EVENT_DATE)
+    quiet = quiet.select(F.lit("activity").alias("kind"), F.col(EVENT_DATE).cast("string").alias("key"))
+    lists = without("workspaces", "workspace_access", "workspaceId")
+    return lists.unionByName(without("items", "item_access", "itemId")).unionByName(quiet)
+
+
 def build_typed(store: TableStore, since: dt.date | None = None) -> None:
     """Typed tables. All are rebuilt but the activity, of which ``since`` limits
     the work to its days from then on (and the events without a day)."""
@@ -185,8 +217,8 @@ def merged_identities(store: TableStore) -> DataFrame:
 
 def build_star(store: TableStore, since: dt.date | None = None) -> None:
     """Dimensions first: facts are joined to the written tables, whose size is
-    known then. ``since`` resolves the actors of the days from then on only;
-    earlier events keep the actor they were given when those days were built."""
+    known then. With ``since`` the days from then on are written, and earlier
+    days with an event whose actor is named otherwise now than when they were."""
 
     def typed(name: str) -> DataFrame:
         return store.read(f"silver.{name}")
@@ -201,11 +233,28 @@ def build_star(store: TableStore, since: dt.date | None = None) -> None:
         item_dimension(typed("items"), typed("workspaces"), typed("capacities")),
     )
     actors = gold("dim_user", identity.actor_dimension(typed("users"), typed("activity")))
-    events = _days_from(typed("activity"), since)
-    _write_days(store, "gold.fact_activity", identity.resolve_actor(events, actors), since)
+    keys = gold("next_actor_keys", identity.actor_keys(actors))
+    if not store.exists("gold.actor_keys"):
+        since = None
+    events = typed("activity")
+    if since is not None:
+        changed = identity.changed_keys(store.read("gold.actor_keys"), keys)
+        events = _days_touched(events, since, changed)
+    _write_days(store, "gold.fact_activity", identity.with_actor(events, keys), since)
+    # last, so that a run that broke off finds the same changes again
+    gold("actor_keys", keys)
     gold("fact_lineage", lineage_targets(typed("lineage"), inventory))
 
 
+def _days_touched(events: DataFrame, since: dt.date, changed: DataFrame) -> DataFrame:
+    """Events of the days from ``since`` on, without a day, or with an actor whose
+    key has changed. The days before are one row each."""
+    earlier = events.where(F.col(EVENT_DATE) < F.lit(since))
+    named = earlier.select(EVENT_DATE, F.lower("user_id").alias("key")).distinct()
+    days = [r[0] for r in named.join(changed, "key", "left_semi").select(EVENT_DATE).distinct().collect()]
+    return events.where((F.col(EVENT_DATE) >= F.lit(since)) | F.col(EVENT_DATE).isNull() | F.col(EVENT_DATE).isin(days))
+
+
 def build_all(
     spark: SparkSession,
     landing: str,
@@ -219,9 +268,11 @@ def build_all(
 
     Without ``since`` typed and star activity are rebuilt over the whole
     history. A daily run may give the first day of the activity window, since
-    no extraction brings older events.
+    no extraction brings older events. ``bronze.skipped`` tells what the
+    extraction left out.
     """
     landed_counts = build_raw(spark, landing, store, today, paged)
+    store.overwrite("bronze.skipped", skipped(store, today))
     build_typed(store, since)
     build_star(store, since)
     return {**store.audit, **landed_counts}

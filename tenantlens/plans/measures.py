@@ -1,4 +1,4 @@
-"""The twelve measures, evaluated in a filter context."""
+"""The measures, evaluated in a filter context."""
 
 from __future__ import annotations
 
@@ -17,7 +17,7 @@ from tenantlens.plans.star import (
     reachable,
     split_name,
 )
-from tenantlens.schemas import FULL_CAPACITY_PCT, GROUP_TYPE, SERVICE_TYPE, USER_TYPE
+from tenantlens.schemas import APP_TYPE, FULL_CAPACITY_PCT, GROUP_TYPE, SERVICE_TYPE, USER_TYPE
 
 
 @dataclass(frozen=True)
@@ -61,7 +61,9 @@ MEASURES: dict[str, Measure | Ratio] = {
     "total_items": Measure("dim_inventory", "rows"),
     "total_users": _users_of_type(USER_TYPE),
     "total_security_groups": _users_of_type(GROUP_TYPE),
+    # actors that no source names; registered applications are counted apart
     "total_service_principals": _users_of_type(SERVICE_TYPE),
+    "total_app_principals": _users_of_type(APP_TYPE),
 }
 
 
@@ -135,8 +137,9 @@ def evaluate(
         if show_all:
             flat = _all_groups(model, base, merged, by, on_dimensions, list(partial))
         else:
+            one_row_per_key = not base_groups and len(set(keys)) == 1
             flat = model.with_table(base, merged).flat(
-                base, [*by, *[f"{base}.{p}" for p in partial]], on_dimensions, merged=True
+                base, [*by, *[f"{base}.{p}" for p in partial]], on_dimensions, merged=one_row_per_key
             )
         groups = [F.col(f"`{n}`").alias(split_name(n)[1]) for n in by]
         result = flat.groupBy(*groups).agg(
@@ -204,7 +207,8 @@ def _all_groups(
     partial: Sequence[str],
 ) -> DataFrame:
     """Every row of the one dimension in ``by`` that meets its filters, with the
-    merged facts of its key if there are any."""
+    merged facts of its key if there are any. Facts whose key no row has follow
+    under blank members, unless a filter on the dimension leaves them out."""
     tables = {split_name(n)[0] for n in [*by, *filters]}
     if len(tables) != 1 or (base, next(iter(tables))) not in RELATIONSHIPS:
         raise ValueError("show_all needs groups of one related dimension")
@@ -218,7 +222,8 @@ def _all_groups(
     facts = merged.select(
         F.col(many_key).alias("_fk"), *[F.col(p).alias(f"{base}.{p}") for p in partial]
     )
-    return members.join(facts, F.col(f"`{dimension}.{one_key}`") == F.col("_fk"), "left")
+    same = F.col(f"`{dimension}.{one_key}`") == F.col("_fk")
+    return members.join(facts, same, "left" if filters else "full")
 
 
 def card(

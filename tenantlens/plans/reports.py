@@ -7,7 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenantlens.operators.aggregates import flag_range_percent, flag_threshold, subtotals
+from tenantlens.operators.aggregates import (
+    flag_threshold,
+    leaf_average,
+    leaf_groups,
+    level_groups,
+    range_bound,
+    subtotals,
+)
 from tenantlens.plans.measures import card, evaluate
 from tenantlens.plans.star import Filters, StarModel, base_table, split_name
 
@@ -129,25 +136,35 @@ SLICERS = {
 CARDS = {
     "inventory": ("total_capacities", "total_workspaces", "total_items"),
     "capacity": ("hours_over_100_pct_cu", "background_cu_pct", "interactive_cu_pct"),
-    "security": ("total_users", "total_service_principals", "total_security_groups"),
+    "security": (
+        "total_users",
+        "total_service_principals",
+        "total_app_principals",
+        "total_security_groups",
+    ),
     "activity": ("total_activities", "total_failed_activities", "pct_failed_activities"),
 }
 
 
+# --- Fixed values: slicers that pick a range; they offer its two ends ----------
+RANGE_SLICERS = ("dim_date.date", "fact_activity.creation_time")
+
+
 def table(model: StarModel, name: str, filters: Filters | None = None) -> DataFrame:
     """Distinct rows of a table visual, sorted as it is.
 
-    The other columns follow the sort column: a range sort on few values alone
-    would put all rows of one value into one task.
+    Rows are dealt out once, by ranges of all columns behind the sort column
+    (of few values alone, one would fill a task). Equal rows meet there, so
+    copies leave and the rest is sorted without a further shuffle.
     """
     names = TABLES[name]
     base = base_table(split_name(n)[0] for n in names)
-    rows = model.flat(base, names, filters).distinct()
-    rows = rows.toDF(*[split_name(n)[1] for n in names])
+    rows = model.flat(base, names, filters).toDF(*[split_name(n)[1] for n in names])
     if name not in SORTED_BY:
-        return rows
+        return rows.distinct()
     first = SORTED_BY[name]
-    return rows.orderBy(first, *[c for c in rows.columns if c != first])
+    order = [first, *[c for c in rows.columns if c != first]]
+    return rows.repartitionByRange(*order).distinct().sortWithinPartitions(*order)
 
 
 def report_card(model: StarModel, page: str, filters: Filters | None = None) -> DataFrame:
@@ -166,10 +183,13 @@ def capacity_matrix(model: StarModel, filters: Filters | None = None) -> DataFra
     levels = ("date", "start_of_hour")
     values = ("background_pct", "interactive_pct")
     rows = _base_rows(model, "fact_capacity_metrics", (*levels, *values), filters)
-    cells = subtotals(rows, levels, averages={f"avg_{v}": v for v in values})
+    averages = {f"avg_{v}": v for v in values}
+    leaves = leaf_groups(rows, levels, averages=averages)
+    cells = level_groups(leaves, levels, averages=averages)
     is_hour = ~F.col("total_start_of_hour")
-    hours = F.when(is_hour, F.col("avg_background_pct"))
-    flagged = flag_range_percent(cells.withColumn("_hours", hours), "_hours", "background_flag")
+    flagged = cells.withColumn("_hours", F.when(is_hour, F.col("avg_background_pct")))
+    bound = range_bound(leaves, leaf_average("avg_background_pct"))
+    flagged = flagged.withColumn("background_flag", F.col("_hours") >= bound)
     return flag_threshold(
         flagged.withColumn("_hours", F.when(is_hour, F.col("avg_interactive_pct"))),
         "_hours",
@@ -188,18 +208,31 @@ def capacity_by_hour(model: StarModel, filters: Filters | None = None) -> DataFr
 def slicer_values(
     model: StarModel, columns: Sequence[str], matching: Column | None = None
 ) -> DataFrame:
-    """Distinct values offered by slicers as rows ``(slicer, value)``, values as
-    text. Slicers on one table are served by one read of it."""
+    """Values offered by slicers as rows ``(slicer, value)``, values as text: the
+    distinct ones of a list, the smallest and largest of a range.
+
+    The list slicers of a table are grouped together first; only the groups, one
+    per combination of labels, are taken apart into single values.
+    """
     by_table: dict[str, list[str]] = {}
     for name in columns:
         by_table.setdefault(split_name(name)[0], []).append(name)
     result = None
     for table_name, names in by_table.items():
-        texts = model[table_name].select(
-            *[F.col(split_name(n)[1]).cast("string").alias(n) for n in names]
-        )
-        values = texts.unpivot([], [F.col(f"`{n}`") for n in names], "slicer", "value").distinct()
-        result = values if result is None else result.unionByName(values)
+        ranges = [n for n in names if n in RANGE_SLICERS]
+        lists = [n for n in names if n not in ranges]
+        rows, offered = model[table_name], []
+        if lists:
+            columns_of = [F.col(split_name(n)[1]).cast("string").alias(n) for n in lists]
+            groups = rows.select(*columns_of).distinct()
+            offered.append(groups.unpivot([], [F.col(f"`{n}`") for n in lists], "slicer", "value").distinct())
+        for name in ranges:
+            column = F.col(split_name(name)[1])
+            ends = rows.agg(F.array_distinct(F.array(F.min(column), F.max(column))).alias("ends"))
+            ends = ends.select(F.lit(name).alias("slicer"), F.explode("ends").alias("value"))
+            offered.append(ends.select("slicer", F.col("value").cast("string").alias("value")))
+        for values in offered:
+            result = values if result is None else result.unionByName(values)
     return result if matching is None else result.where(matching)
 
 

@@ -79,9 +79,10 @@ class StarModel:
         """Base rows with the named ``table.column`` columns under their full
         names, reduced to the rows that meet the filters.
 
-        Related tables are left-joined with just the columns asked for. Filters
-        on the base apply before any join. ``merged`` says the base rows are
-        already merged by key, so that no key can be hot.
+        Related tables are left-joined with just the columns asked for; chains of
+        dimensions are folded first, so the base is joined once to each table it
+        refers to. Filters on the base apply before any join. ``merged`` says the
+        base has one row per key, so that no key can be hot.
         """
         effective = reachable(base, filters or {})
         wanted: dict[str, set[str]] = {base: set()}
@@ -98,17 +99,24 @@ class StarModel:
 
         rows = self[base].select(*[F.col(c).alias(f"{base}.{c}") for c in sorted(wanted[base])])
         rows = matching(rows, {n: p for n, p in effective.items() if split_name(n)[0] == base})
-        for one, many in sorted(parent.items(), key=lambda p: len(path_between(base, p[0]))):
-            many_key, one_key = RELATIONSHIPS[(many, one)]
-            dimension = self[one].select(
-                F.col(one_key).alias("_one"),
-                *[F.col(c).alias(f"{one}.{c}") for c in sorted(wanted[one])],
-            )
-            reference = F.col(f"`{many}.{many_key}`")
-            if merged:
-                rows = rows.join(dimension, reference == F.col("_one"), "left").drop("_one")
-            else:
-                rows = left_lookup(rows, dimension, reference, "_one", **self.lookup_options)
+
+        def joined(rows: DataFrame, many: str) -> DataFrame:
+            """The rows with the folded dimensions their table refers to."""
+            for one in [t for t, p in parent.items() if p == many]:
+                many_key, one_key = RELATIONSHIPS[(many, one)]
+                dimension = self[one].select(
+                    F.col(one_key).alias("_one"),
+                    *[F.col(c).alias(f"{one}.{c}") for c in sorted(wanted[one])],
+                )
+                dimension = joined(dimension.withColumnRenamed("_one", f"_key_of_{one}"), one)
+                reference, key = F.col(f"`{many}.{many_key}`"), f"_key_of_{one}"
+                if merged and many == base:
+                    rows = rows.join(dimension, reference == F.col(key), "left").drop(key)
+                else:
+                    rows = left_lookup(rows, dimension, reference, key, **self.lookup_options)
+            return rows
+
+        rows = joined(rows, base)
         rows = matching(rows, {n: p for n, p in effective.items() if split_name(n)[0] != base})
         return rows.select(*[F.col(f"`{n}`") for n in dict.fromkeys(names)])
 

@@ -60,9 +60,10 @@ PAGE_ITEMS_KEY = {
     "directory_users": "value",
     "workspace_access": "value",
     "item_access": "accessDetails",
-    "tenant_settings": "tenantSettings",
+    "tenant_settings": "value",
     "workspace_scan": "workspaces",
 }
+NEXT_PAGE = "continuationToken"  # on every page but the last of a list
 PARENT_KEYS = {
     "workspace_access": ("workspaceId",),
     "item_access": ("itemId", "workspaceId"),

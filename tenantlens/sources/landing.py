@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tenantlens.schemas import NEXT_PAGE
+
 CORRUPT = "_corrupt_record"
 
 
@@ -38,8 +40,10 @@ def read_pages(
     ddl: str,
     parent_keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Page envelopes of a landing folder, one row per page."""
+    """Page envelopes of a landing folder, one row per page, with the token that
+    asks for the next one."""
     schema = T.StructType([T.StructField(key, T.StringType()) for key in parent_keys])
+    schema = schema.add(NEXT_PAGE, T.StringType())
     schema = schema.add(items_key, T.ArrayType(record_type(ddl)))
     schema = schema.add(CORRUPT, T.StringType())
     return (
@@ -116,18 +120,39 @@ def usable_records(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return records.where(F.col(CORRUPT).isNull() | ~_nothing_parsed(fields)).drop(CORRUPT)
 
 
-def landing_audit(records: DataFrame) -> dict[str, Column]:
-    """Counts to observe while records are written: all rows, rows with a bad
-    field, rows that are no record."""
+def unusable(records: DataFrame, items_key: str | None = None) -> Column:
+    """Lines of which nothing is kept: no record at all, or a page without its array."""
+    if items_key:
+        return F.col(items_key).isNull()
     fields = [c for c in records.columns if c != CORRUPT]
-    bad = F.col(CORRUPT).isNotNull()
+    return F.col(CORRUPT).isNotNull() & _nothing_parsed(fields)
+
+
+def landing_audit(records: DataFrame, items_key: str | None = None) -> dict[str, Column]:
+    """Counts to observe while records are written: all rows, rows with a bad
+    field, rows of which nothing is kept."""
     return {
         "rows": F.count(F.lit(1)),
-        "bad_rows": F.count_if(bad),
-        "lost_rows": F.count_if(bad & _nothing_parsed(fields)),
+        "bad_rows": F.count_if(F.col(CORRUPT).isNotNull()),
+        "lost_rows": F.count_if(unusable(records, items_key)),
     }
 
 
+def quarantined(records: DataFrame, items_key: str | None = None) -> DataFrame:
+    """The text of lines with a bad field or of which nothing is kept."""
+    wrong = F.col(CORRUPT).isNotNull() | unusable(records, items_key)
+    whole = F.to_json(F.struct(*[c for c in records.columns if c != CORRUPT]))
+    return records.where(wrong).select(F.coalesce(CORRUPT, whole).alias("line"))
+
+
+def broken_lists(pages: DataFrame, parent_keys: Sequence[str] = ()) -> DataFrame:
+    """Landed files (and parents in them) whose last page is missing: every page
+    there asks for a next one."""
+    last = F.count_if(F.col(NEXT_PAGE).isNull())
+    lists = pages.where(F.col(CORRUPT).isNull()).groupBy(F.input_file_name().alias("file"), *parent_keys)
+    return lists.agg(last.alias("_last")).where("_last = 0").drop("_last")
+
+
 def import_tabular(
     rows: DataFrame,
     names: Mapping[str, str],

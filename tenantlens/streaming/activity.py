@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tenantlens.plans.build import add_activity
 from tenantlens.schemas import RAW_DDL
-from tenantlens.sources.landing import CORRUPT, record_type, usable_records
+from tenantlens.sources.landing import CORRUPT, quarantined, record_type, usable_records
 from tenantlens.sources.tables import TableStore
 
 
@@ -23,7 +24,8 @@ def activity_stream(
 
     Every micro-batch is merged on the event id against the history itself. So
     the stream holds no state, an event may come late by any time, and a batch
-    that is run again adds nothing twice.
+    that is run again adds nothing twice. Lines that cannot be read whole are
+    kept as text in ``quarantine.activity_stream``.
     """
     schema = record_type(RAW_DDL["activity"]).add(CORRUPT, "string")
     reader = spark.readStream.schema(schema).option("columnNameOfCorruptRecord", CORRUPT)
@@ -31,6 +33,9 @@ def activity_stream(
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
+        # by batch, so that a batch run again replaces its own lines; the write counts them
+        lines = quarantined(batch).withColumn("batch_id", F.lit(batch_id))
+        store.replace_partitions("quarantine.activity_stream", lines, ["batch_id"])
         add_activity(store, usable_records(batch))
 
     return (

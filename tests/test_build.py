@@ -3,10 +3,13 @@
 import datetime as dt
 import json
 
+from pyspark.sql import functions as F
+
 from helpers import rows
 from tenantlens.plans.build import (
     SAME_AS_TYPED,
     add_activity,
+    build_all,
     build_raw,
     build_star,
     build_typed,
@@ -18,7 +21,7 @@ from tenantlens.sources.tables import TableStore
 
 
 def test_all_tables_are_written_and_counted(store):
-    assert len(store.audit) + len(SAME_AS_TYPED) == 33
+    assert len(store.audit) + len(SAME_AS_TYPED) == 36
     assert store.audit["bronze.items"] == {"rows": 3}
     assert store.audit["silver.calendar"] == {"rows": 366 * 24}
 
@@ -146,13 +149,84 @@ def test_paged_files_give_the_same_tables(spark, landing, store, tmp_path):
     audit = build_raw(spark, str(pages), other, dt.date(2026, 8, 3), paged=PAGE_ITEMS_KEY)
     assert audit["bronze.items"] == {
         "rows": 3, "landed_rows": 4, "landed_bad_rows": 1, "landed_lost_rows": 1,
+        "landed_broken_lists": 0,
     }
+    assert rows(other.read("quarantine.items")) == [("{broken",)]
     for entity in PAGE_ITEMS_KEY:
         columns = [c for c in store.read(f"bronze.{entity}").columns if c != CORRUPT]
         expected = rows(store.read(f"bronze.{entity}"), *columns)
         assert rows(other.read(f"bronze.{entity}"), *columns) == expected
 
 
+# written by hand after the published envelopes, not from the constants of the library
+PAGES = {
+    "capacities": '{"value": [{"id": "c1"}, {"id": "c2"}]}',
+    "workspaces": '{"workspaces": [{"id": "w1"}, {"id": "w2"}]}',
+    "items": '{"itemEntities": [{"id": "i1"}, {"id": "i2"}]}',
+    "activity": '{"activityEventEntities": [{"Id": "a1"}, {"Id": "a2"}]}',
+    "directory_users": '{"value": [{"id": "u1"}, {"id": "u2"}]}',
+    "workspace_access": '{"workspaceId": "w1", "value": [{"graphId": "u1"}, {"graphId": "u2"}]}',
+    "item_access": '{"itemId": "i1", "workspaceId": "w1", "accessDetails": [{"principal": {"id": "u1"}}, {}]}',
+    "tenant_settings": '{"value": [{"settingName": "S1"}, {"settingName": "S2"}]}',
+    "workspace_scan": '{"workspaces": [{"id": "w1"}, {"id": "w2"}]}',
+}
+
+
+def test_page_envelopes_missing_arrays_and_lists_that_break_off(spark, landing, tmp_path):
+    """Per entity one whole page, one without its array, one that asks for a page that never came."""
+    pages = tmp_path / "pages"
+    for entity in (*PAGES, "capacity_metrics", "datasource_instances"):
+        (pages / entity).mkdir(parents=True)
+        if entity in PAGES:
+            (pages / entity / "0.json").write_text(PAGES[entity] + '\n{"other": []}\n')
+            more = json.dumps(json.loads(PAGES[entity]) | {"continuationToken": "next"})
+            (pages / entity / "1.json").write_text(more + "\n")
+        else:
+            text = (landing / entity / "part-0.json").read_text()
+            (pages / entity / "0.json").write_text(text)
+    store = TableStore(spark, str(tmp_path / "tables"))
+    audit = build_raw(spark, str(pages), store, dt.date(2026, 8, 3), paged=PAGES)
+    for entity in PAGES:
+        counts = audit[f"bronze.{entity}"]
+        assert counts["rows"] == (2 if entity == "activity" else 4), entity
+        assert (counts["landed_rows"], counts["landed_lost_rows"], counts["landed_broken_lists"]) == (3, 1, 1)
+    assert rows(store.read("bronze.tenant_settings"), "settingName") == [("S1",), ("S1",), ("S2",), ("S2",)]
+
+
+def test_same_id_on_another_day_is_one_event(spark, tmp_path):
+    tables = TableStore(spark, str(tmp_path / "tables"))
+    for n, time in enumerate(("bad", "2026-08-02T00:00:00", "2026-08-05T00:00:00")):
+        folder = tmp_path / str(n)
+        folder.mkdir()
+        (folder / "a.json").write_text(json.dumps({"Id": "a1", "CreationTime": time}) + "\n")
+        add_activity(tables, usable_records(read_records(spark, str(folder), RAW_DDL["activity"])))
+    assert rows(tables.read("bronze.activity"), "Id", "CreationTime") == [("a1", "bad")]
+
+
+def test_since_follows_a_changed_directory(spark, landing, tmp_path):
+    """An actor that the directory names later changes in earlier days too."""
+    import shutil
+
+    shutil.copytree(landing, tmp_path / "landing")
+    tables = TableStore(spark, str(tmp_path / "tables"))
+    today = dt.date(2026, 8, 3)
+    audit = build_all(spark, str(tmp_path / "landing"), tables, today)
+    kinds = {r["kind"] for r in tables.read("bronze.skipped").collect()}
+    assert "activity" in kinds and audit["bronze.skipped"]["rows"] > 0
+    events = tables.read("gold.fact_activity")
+    users = tables.read("gold.dim_user").where("principal_type = 'Service'")
+    actor = events.join(users, "principal_id").select(F.lower("user_id_raw")).first()[0]
+    with open(tmp_path / "landing" / "directory_users" / "more.json", "w") as file:
+        file.write(json.dumps({"id": "x9", "displayName": "X", "mail": actor}) + "\n")
+    build_all(spark, str(tmp_path / "landing"), tables, today, since=today)
+    partial = rows(star_table(tables, "fact_activity"))
+    known = {r[0] for r in tables.read("gold.dim_user").select("principal_id").collect()}
+    used = {r[0] for r in star_table(tables, "fact_activity").select("principal_id").collect()}
+    assert used - {None} <= known and "x9" in used
+    build_star(tables)
+    assert rows(star_table(tables, "fact_activity")) == partial
+
+
 def test_activity_of_later_days_only(spark, landing, tmp_path):
     """A run with ``since`` gives the same tables as a rebuild of all days."""
     tables = TableStore(spark, str(tmp_path / "tables"))

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import rows
+from tenantlens.operators.history import new_rows
 from tenantlens.operators.joins import _crowded_keys, left_lookup, stored_bytes, without_match
 
 HOT, LOST = "k0", "lost"
@@ -40,8 +41,8 @@ def expected(facts, dimension):
         {},
         {"broadcast_bytes": 0},
         {"broadcast_bytes": 0, "hot_key_rows": 500},
-        {"broadcast_bytes": 0, "hot_key_rows": 2, "max_hot_keys": 1},
-        {"broadcast_bytes": 0, "hot_key_rows": 1, "max_hot_keys": 100},
+        {"broadcast_bytes": 0, "hot_key_rows": 2, "hot_bytes": 1},
+        {"broadcast_bytes": 0, "hot_key_rows": 1, "hot_bytes": 10**5},
     ],
 )
 def test_every_way_gives_the_same_rows(facts, dimension, options):
@@ -122,3 +123,14 @@ def test_without_match_on_hot_copies_of_two_part_keys(spark):
         left = without_match(rows_of, present, ["a", "b"], hot_key_rows=hot_key_rows)
         assert left.columns == rows_of.columns
         assert sorted(r["id"] for r in left.collect()) == expected
+
+
+def test_keys_of_other_types_are_refused_both_ways(spark):
+    facts = spark.createDataFrame([(1.5,)], "k DOUBLE")
+    dimension = spark.createDataFrame([(1, "one")], "id INT, name STRING")
+    texts = spark.createDataFrame([("1",), ("abc",)], "id STRING")
+    for broadcast_bytes in (0, 10**6):
+        with pytest.raises(TypeError):
+            left_lookup(facts, dimension, "k", "id", broadcast_bytes=broadcast_bytes)
+        with pytest.raises(TypeError):
+            new_rows(texts, dimension, ["id"], broadcast_bytes=broadcast_bytes)

@@ -22,8 +22,8 @@ def cards(model, page, filters=None):
     return {r["measure"]: r["value"] for r in reports.report_card(model, page, filters).collect()}
 
 
-def test_there_are_twelve_measures_and_eight_relationships():
-    assert len(MEASURES) == 12
+def test_there_are_thirteen_measures_and_eight_relationships():
+    assert len(MEASURES) == 13
     assert len(RELATIONSHIPS) == 8
 
 
@@ -124,6 +124,7 @@ def test_users(model):
     assert cards(model, "security") == {
         "total_users": 3.0,
         "total_service_principals": 1.0,
+        "total_app_principals": 1.0,
         "total_security_groups": 1.0,
     }
     groups = {"dim_user.principal_type": OneOf(("Group",))}
@@ -172,3 +173,17 @@ def test_search_is_without_case(model):
         model, ["dim_inventory.item_name"], Contains("sALES").on(F.col("value"))
     )
     assert rows(result) == [("dim_inventory.item_name", "Sales model")]
+
+
+def test_bars_add_up_to_the_card(model, spark):
+    """Hours outside the calendar and use without an hour stay under a blank member."""
+    facts = model["fact_capacity_metrics"]
+    outside = facts.withColumn("start_of_hour", F.lit(None).cast(facts.schema["start_of_hour"].dataType))
+    more = model.with_table("fact_capacity_metrics", facts.unionByName(outside))
+    bars = reports.capacity_by_hour(more).agg(F.sum("background_cu_pct")).first()[0]
+    assert bars == cards(more, "capacity")["background_cu_pct"] == 2 * 160.5
+
+
+def test_groups_by_base_column_and_hot_key(model):
+    by = ["fact_activity.activity_id", "dim_user.principal_type"]
+    assert evaluate(model, ["total_activities"], None, by).count() == 5

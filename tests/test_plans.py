@@ -57,3 +57,24 @@ def test_matrix_levels_are_expanded_over_leaf_groups(model):
 def test_report_on_small_dimensions_shuffles_once(model):
     text = plan(reports.table(model, "item_access"))
     assert text.count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("name", ["capacity_matrix", "flag_range_percent"])
+def test_extremes_come_from_the_groups_that_are_there(spark, name):
+    """One scan of the facts, whose shuffled groups are read twice."""
+    df = queries()[name](spark, FOLDER)
+    df.collect()
+    final = plan(df).split("Initial Plan")[0]
+    assert final.count("Scan parquet") - final.count("ReusedExchange") <= 1 or "ReusedExchange" in final
+
+
+@pytest.mark.parametrize("name", ["known_keys", "edges_union"])
+def test_sources_are_read_once(spark, name):
+    text = plan(queries()[name](spark, FOLDER))
+    assert text.split("Initial Plan")[-1].count("Scan parquet") == 1
+
+
+def test_sorted_report_shuffles_facts_once(model):
+    text = plan(reports.table(model, "activity"))
+    assert text.count("Exchange rangepartitioning") == 1
+    assert "Exchange hashpartitioning" not in text

@@ -31,5 +31,6 @@ def test_overlapping_files_and_restarts(spark, tmp_path):
     land("late", event(0, 1))
     assert run(max_files_per_batch=1) == ["a0", "a1", "a2", "a3", "a4"]
     assert run() == ["a0", "a1", "a2", "a3", "a4"]
+    assert [r[0] for r in rows(store.read("quarantine.activity_stream"), "line")] == ["broken line"]
     # without its checkpoint the stream reads all files again and adds nothing
     assert run(tmp_path / "new checkpoint") == ["a0", "a1", "a2", "a3", "a4"]

@@ -145,7 +145,8 @@ PARTS = {
                COALESCE(i.item_name, 'Fuente Externa') AS target_name
         FROM edges e LEFT JOIN items i ON e.target_id = i.item_id""",
     "usage": """
-        SELECT ts, 'cap' || (user_id % 3) AS capacity_id,
+        SELECT CASE event_id % 500 WHEN 7 THEN ts - INTERVAL 800 DAY WHEN 8 THEN NULL ELSE ts END AS ts,
+               'cap' || (user_id % 3) AS capacity_id,
                CASE WHEN event_type IN ('view', 'click') THEN floor(value * 8) / 8 ELSE 0 END AS background,
                CASE WHEN event_type IN ('view', 'click') THEN 0 ELSE floor(value * 8) / 8 END AS interactive
         FROM events""",
@@ -194,6 +195,12 @@ def _slicer(table: str, *columns: str) -> str:
     )
 
 
+def _range_slicer(table: str, column: str) -> str:
+    name = f"{'dim_date' if table == 'calendar' else table}.{column}"
+    ends = f"SELECT unnest([min({column}), max({column})]) AS v FROM {table}"
+    return f"SELECT DISTINCT '{name}' AS slicer, CAST(v AS VARCHAR) AS value FROM ({ends}) e"
+
+
 def _failed(condition: str = "TRUE") -> str:
     return f"""
         SELECT 'total_activities' AS measure,
@@ -234,7 +241,7 @@ _BODIES = {
         FROM events""",
     "merge_composite_key": """
         SELECT *, CASE WHEN date < DATE '2024-01-17' THEN 'first' ELSE 'second' END AS origin
-        FROM capacity_metrics""",
+        FROM capacity_metrics WHERE date IS NOT NULL""",
     "rolling_window": """
         SELECT event_id, ts FROM events
         WHERE ts >= (SELECT max(CAST(ts AS DATE)) FROM events) - INTERVAL 27 DAY
@@ -244,7 +251,7 @@ _BODIES = {
         UNION ALL SELECT 'silver.item_access', count(*) FROM permissions
         UNION ALL SELECT 'silver.activity', count(*) FROM events""",
     "preview_topn": """
-        SELECT * FROM capacity_metrics ORDER BY date, start_of_hour, capacity_id LIMIT 1000""",
+        SELECT * FROM capacity_metrics ORDER BY date NULLS FIRST, start_of_hour NULLS FIRST, capacity_id LIMIT 1000""",
     "project_rename": "SELECT * FROM settings",
     "flatten_struct": "SELECT item_id, folder_id, creator_name, creator_type FROM items",
     "optional_field": """
@@ -288,7 +295,7 @@ _BODIES = {
     "spine_capacity": """
         SELECT c.date, c.start_of_hour, sum(m.background_pct) AS background_cu_pct,
                sum(m.interactive_pct) AS interactive_cu_pct
-        FROM calendar c LEFT JOIN capacity_metrics m ON c.start_of_hour = m.start_of_hour
+        FROM calendar c FULL JOIN capacity_metrics m ON c.start_of_hour = m.start_of_hour
         GROUP BY c.date, c.start_of_hour""",
     "capacity_matrix": """
         SELECT m.*,
@@ -327,6 +334,8 @@ _BODIES = {
                CAST(count(*) FILTER (WHERE principal_type = 'User') AS DOUBLE) AS value FROM dim_user
         UNION ALL SELECT 'total_service_principals',
                CAST(count(*) FILTER (WHERE principal_type = 'Service') AS DOUBLE) FROM dim_user
+        UNION ALL SELECT 'total_app_principals',
+               CAST(count(*) FILTER (WHERE principal_type = 'App') AS DOUBLE) FROM dim_user
         UNION ALL SELECT 'total_security_groups',
                CAST(count(*) FILTER (WHERE principal_type = 'Group') AS DOUBLE) FROM dim_user""",
     "measures_activity": _failed(),
@@ -381,11 +390,12 @@ _BODIES = {
                 "settings", "delegate_to_domain", "delegate_to_workspace", "delegate_to_capacity",
                 "tenant_setting_group", "setting_name", "title", "enabled",
             ),
-            _slicer("calendar", "date"),
+            _range_slicer("calendar", "date"),
             _slicer("dim_user", "principal_type"),
             _slicer("permissions", "item_type", "principal_type", "permission"),
             _slicer("workspace_principals", "role"),
-            _slicer("fact_activity", "activity", "workload", "workspace_name", "is_success", "creation_time"),
+            _slicer("fact_activity", "activity", "workload", "workspace_name", "is_success"),
+            _range_slicer("fact_activity", "creation_time"),
         ]
     ),
     "activity_stream": """

@@ -18,9 +18,10 @@ from tenantlens.operators.history import (
     in_window,
     merge_insert_only,
 )
-from tenantlens.operators.lineage import dataset_source_edges
+from tenantlens.operators.lineage import lineage_edges
 from tenantlens.operators.typed import explode_permissions
 from tenantlens.plans import reports
+from tenantlens.plans.build import add_activity
 from tenantlens.plans.measures import evaluate
 from tenantlens.schemas import RAW_DDL
 from tenantlens.session import scratch_dir
@@ -77,6 +78,7 @@ def _plain(rows: DataFrame) -> DataFrame:
 def _(g: Governance) -> DataFrame:
     landing = scratch_dir(g.spark, "landing")
     g.raw("activity").write.mode("overwrite").json(landing)
+    _broken_lines(g).write.mode("append").text(landing)
     records = usable_records(read_records(g.spark, landing, RAW_DDL["activity"]))
     return records.select(
         F.col("Id").alias("activity_id"),
@@ -87,6 +89,12 @@ def _(g: Governance) -> DataFrame:
     )
 
 
+def _broken_lines(g: Governance) -> DataFrame:
+    """Lines that break off behind the id of an event."""
+    some = g.raw("activity").where("pmod(hash(Id), 50) = 0")
+    return some.select(F.concat(F.lit('{"Id": "'), "Id", F.lit('", "Work')).alias("value"))
+
+
 @query("flatten_pages")
 def _(g: Governance) -> DataFrame:
     """Pages of at most 500 users are landed as files and flattened."""
@@ -175,15 +183,22 @@ def _(g: Governance) -> DataFrame:
 
 @query("merge_insert_only")
 def _(g: Governance) -> DataFrame:
-    """Two extracts of the audit log that overlap by four days."""
-    events = g.raw("activity").select("Id", "CreationTime")
+    """Two extracts of the audit log that overlap by four days; some events come
+    again with another day or without one."""
+    events = g.raw("activity")
     first = events.where("CreationTime < '2024-01-17' OR CreationTime = 'not a date'")
-    second = events.where("CreationTime >= '2024-01-13'")
+    second = events.where("CreationTime >= '2024-01-13'").withColumn("CreationTime", _other_time())
     for origin, batch in (("first", first), ("second", second), ("again", second)):
-        merge_insert_only(g.store, "bronze.activity", batch.withColumn("origin", F.lit(origin)), ["Id"])
+        add_activity(g.store, batch.withColumn("origin", F.lit(origin)))
     return g.store.read("bronze.activity").select(F.col("Id").alias("activity_id"), "origin")
 
 
+def _other_time():
+    return F.expr(
+        "CASE pmod(hash(Id), 5) WHEN 0 THEN 'not a date' WHEN 1 THEN '2024-02-20T00:00:00' ELSE CreationTime END"
+    )
+
+
 @query("merge_composite_key")
 def _(g: Governance) -> DataFrame:
     """Two extracts of hourly use that overlap by four days."""
@@ -319,12 +334,12 @@ def _(g: Governance) -> DataFrame:
 
 @query("known_keys")
 def _(g: Governance) -> DataFrame:
-    return identity.known_keys(g.users())
+    return identity.known_keys(g.stored("silver.users", g.users()))
 
 
 @query("service_actors")
 def _(g: Governance) -> DataFrame:
-    return identity.service_actors(g.typed("activity"), g.users())
+    return identity.service_actors(g.typed("activity"), g.stored("silver.users", g.users()))
 
 
 @query("dim_user")
@@ -349,7 +364,7 @@ def _(g: Governance) -> DataFrame:
 
 @query("edges_nested")
 def _(g: Governance) -> DataFrame:
-    return dataset_source_edges(g.raw("workspace_scan"))
+    return lineage_edges(g.raw("workspace_scan"), ["DatasourceUsage"])
 
 
 @query("edges_union")
@@ -514,11 +529,15 @@ def _(g: Governance) -> DataFrame:
 
 @query("activity_stream")
 def _(g: Governance) -> DataFrame:
-    """Landed events, half of them landed twice, through the stream."""
+    """Landed events, half of them landed twice, some with an unreadable time,
+    and broken lines, through the stream."""
     landing = scratch_dir(g.spark, "stream-landing")
     events = g.raw("activity")
     events.write.mode("append").json(landing)
-    events.where("CreationTime >= '2024-01-13'").write.mode("append").json(landing)
+    again = events.where("CreationTime >= '2024-01-13'")
+    unreadable = F.expr("if(pmod(hash(Id), 5) = 0, 'unreadable', CreationTime)")
+    again.withColumn("CreationTime", unreadable).write.mode("append").json(landing)
+    _broken_lines(g).write.mode("append").text(landing)
     stream = activity_stream(g.spark, landing, g.store, scratch_dir(g.spark, "stream-checkpoint"))
     stream.awaitTermination()
     history = g.store.read("bronze.activity")
