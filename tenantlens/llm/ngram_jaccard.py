@@ -267,21 +267,11 @@ def missing_pairs(labelled: DataFrame, percent: int) -> DataFrame:
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets link."""
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ok = []
-            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                both = np.concatenate([np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y)])
-                both.sort(kind="stable")
-                common = int((both[1:] == both[:-1]).sum())
-                ok.append(100 * common >= percent * (len(both) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
     one = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x"))
     two = sets.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
-    found = pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
-    return found.distinct()
+    common = F.size(F.array_intersect("x", "y"))
+    links = 100 * common >= percent * (F.size("x") + F.size("y") - common)
+    return pairs.join(one, "a").join(two, "b").filter(links).select("a", "b").distinct()
 
 
 def whole_sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
@@ -294,12 +284,12 @@ def whole_sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
             new = node != np.concatenate([node[:1] - 1 if last is None else [last], node[:-1]])
             last = node[-1] if len(node) else last
             batch = batch.filter(pa.array(new, pa.bool_()))
-            made = [s.tobytes() for s in sets_of(batch, known, n)]
-            yield pa.record_batch([batch.column("node"), pa.array(made, pa.binary())], ["node", "tokens"])
+            made = [signed(s) for s in sets_of(batch, known, n)]
+            yield pa.record_batch([batch.column("node"), pa.array(made, pa.list_(pa.int64()))], ["node", "tokens"])
 
     few = likely_in(docs.select("rank", "text_key", "text"), nodes, ("rank", "text_key"))
     joined = few.join(nodes, ["rank", "text_key"]).select("node", "text")
-    return joined.mapInArrow(encode, "node long, tokens binary")
+    return joined.mapInArrow(encode, "node long, tokens array<long>")
 
 
 def labelled_rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
@@ -371,7 +361,7 @@ def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     keys = ["__rank", "__text_key"]
     stay = stay.toDF(*keys)
     kept = docs.withColumns({"__rank": rank(), "__text_key": F.xxhash64("text")})
-    kept = kept.repartition(*keys).sortWithinPartitions(*keys).join(stay, keys)
+    kept = kept.repartition(*keys).join(stay, keys)
 
     columns = docs.columns
 
@@ -383,4 +373,4 @@ def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
             last = own[-1] if own else last
             yield batch.filter(pa.array(new, pa.bool_())).select(columns)
 
-    return kept.select(*docs.columns, *keys).mapInArrow(first, docs.schema)
+    return kept.select(*columns, *keys).sortWithinPartitions(*keys).mapInArrow(first, docs.schema)
