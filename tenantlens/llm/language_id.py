@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
-from tenantlens.llm.common import stored, texts
+from tenantlens.llm.common import sliced, stored, texts
 
 SAMPLE_DOCS = 4_000
 MOST_GRAMS = 1_000_000
@@ -116,7 +116,7 @@ def gram_counts(sample: DataFrame) -> DataFrame:
     """lang, gram, n: how often each n-gram occurs in the texts of a language."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 500):
             by_lang: dict[str, list[np.ndarray]] = {}
             for text, lang in zip(texts(batch), batch.column("lang").to_pylist(), strict=True):
                 by_lang.setdefault(lang, []).append(grams_of(text.decode()))
@@ -167,7 +167,7 @@ def predictions(docs: DataFrame, learned: LanguageFilter, also: tuple[str, ...]
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
+        for batch in sliced(batches):
             found = [model.predict(None if t is None else t.decode()) for t in texts(batch)]
             yield pa.record_batch(
                 [batch.column(c) for c in also]
@@ -193,7 +193,7 @@ def recognized(docs: DataFrame, learned: LanguageFilter, least_score: float) ->
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
+        for batch in sliced(batches):
             found = [model.predict(None if t is None else t.decode()) for t in texts(batch)]
             yield batch.filter(pa.array([f[0] != UNKNOWN and f[1] >= least_score for f in found], pa.bool_()))
 

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenantlens.llm.common import WHITE, stored, texts
+from tenantlens.llm.common import WHITE, sliced, stored, texts
 
 STRIP = WHITE.encode()
 SLOTS = 4  # of a bucket
@@ -129,7 +129,7 @@ def document_keys(docs: DataFrame) -> DataFrame:
     """doc_id, keys: the distinct digests of a document's non-empty keys, joined."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             found = [
                 b"".join({digest(k) for line in (text or b"").split(b"\n") if (k := key_of(line))})
                 for text in texts(batch)
@@ -271,7 +271,7 @@ def drop_lines(docs: DataFrame, least_refs: int = 10) -> DataFrame:
     joined = left.join(right, F.col("l.doc_id").eqNullSafe(F.col("r.doc_id")), "left")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             out: tuple[list, ...] = ([], [], [])
             for text, gone in zip(texts(batch), batch.column("keys").to_pylist(), strict=True):
                 lines = (text or b"").split(b"\n")

@@ -40,13 +40,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tenantlens.llm.common import stored, texts
+from tenantlens.llm.common import sliced, stored, texts
 
 MAGIC = b"WVM1"
 HEAD = struct.Struct("<4sIIIQQ")
 SHARD_TOKENS = 1 << 19
 BATCH_DOCS = 256
-CACHED_PIECES = 800_000
+CACHED_PIECES = 500_000
 SUPER = 512  # bits of a rank block
 WORDS = SUPER // 64
 # one mark between an ASCII letter and white space is a token of its own either way
@@ -284,7 +284,7 @@ def write_shards(docs: DataFrame, tokenizer_file: str, path: str, end_id: int =
             content = shard_bytes(part, seq, ids, sizes, np.concatenate(parts), encoder.bits)
             return pa.record_batch([pa.array([content], pa.large_binary()).cast(pa.binary())], ["value"])
 
-        for batch in batches:
+        for batch in sliced(batches, 1_000):
             all_ids, all_texts = batch.column("doc_id").cast(pa.int64()).to_pylist(), texts(batch)
             for at in range(0, len(all_ids), BATCH_DOCS):
                 for i, tokens in zip(all_ids[at : at + BATCH_DOCS], encoder.encode(all_texts[at : at + BATCH_DOCS]), strict=True):
