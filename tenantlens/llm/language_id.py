@@ -11,8 +11,8 @@ of all languages that hold an n-gram. A document's score for a language is the
 share of its n-grams with that bit, corrected for the filter's false positives
 ``(share - f) / (1 - f)``; the best one decides, the first by code point if equal.
 
-Scale: one pass over the texts without a shuffle of any text. Training reads at
-most ``SAMPLE_DOCS`` documents of each language, those of the smallest hash; the
+Scale: one pass over the texts without a shuffle of any text. Training reads about
+``SAMPLE_DOCS`` documents of each language, those of the smallest hashes; the
 filter holds at most ``MOST_GRAMS`` n-grams over all languages (its size in bytes is
 below 16 * MOST_GRAMS, whatever the corpus), and is sent to all tasks.
 
@@ -132,12 +132,13 @@ def gram_counts(sample: DataFrame) -> DataFrame:
 
 
 def training_sample(docs: DataFrame) -> DataFrame:
-    """text, lang of at most SAMPLE_DOCS documents per language that are not held out."""
+    """text, lang of about SAMPLE_DOCS documents per language, none held out."""
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
     rows = known.select("text", "lang", F.xxhash64("doc_id", "text").alias("mark"))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("mark"))
-    last = rows.select("lang", "mark").withColumn("place", place).filter(F.col("place") <= SAMPLE_DOCS)
-    limit = stored(last.groupBy("lang").agg(F.max("mark").alias("limit")), "sample-limits")
+    share = F.lit(float(SAMPLE_DOCS)) / F.col("n")
+    limit = F.when(share >= 1, F.lit(2**63 - 1)).otherwise((share * 2.0**64 - 2.0**63).cast("long"))
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    limit = stored(counts.select("lang", limit.alias("limit")), "sample-limits")
     return rows.join(limit, "lang").filter("mark <= limit").select("text", "lang")
 
 
