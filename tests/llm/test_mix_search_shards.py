@@ -145,9 +145,9 @@ def test_shards_give_back_what_the_library_encodes(spark, make, tmp_path, monkey
 
 def test_pipeline_stages_on_odd_documents(spark, make, tmp_path, prose):
     texts = prose(31, 60, 150)
-    rows = [(i, "".join(chr(97 + (ord(c) % 20)) if c.isalpha() else c for c in t) or "a", ("en", "de")[i % 2], f"s{i % 3}") for i, t in enumerate(texts)]
+    rows = [(i, f"common words {t}", ("en", "de")[i % 2], f"s{i % 3}") for i, t in enumerate(texts)]
     leak = "this passage of ten words belongs to the benchmark set alone"
-    rows += [(700, "intro " + leak + " outro", "en", "s1"), (701, None, "en", "s1"), (702, "", None, None), (703, "123", "en", None), (None, "words without an id", None, None), (5, rows[5][1], "de", "s2")]
+    rows += [(700, "common intro " + leak + " words", "en", "s1"), (701, None, "en", "s1"), (702, "", None, None), (703, "123", "en", None), (None, "common words without an id", None, None), (5, rows[5][1], "de", "s2")]
     folder = tmp_path / "sf"
     make(*rows).write.parquet(str(folder / "documents.parquet"))
     spark.createDataFrame([(1, leak), (2, None)], "item_id BIGINT, text STRING").write.parquet(str(folder / "benchmark.parquet"))
