@@ -141,9 +141,9 @@ def likely_in(rows: DataFrame, keys: DataFrame, columns: tuple[str, str]) -> Dat
             yield pa.record_batch([pa.array(word.astype(np.int64)), pa.array(signed(value))], ["word", "value"])
 
     found = keys.select(*columns).mapInArrow(bits, "word long, value long")
-    words = found.groupBy("word").agg(F.bit_or("value").alias("value")).toPandas()  # FILTER_BITS / 64 rows at most
+    words = found.groupBy("word").agg(F.bit_or("value").alias("value")).toArrow()  # FILTER_BITS / 64 rows at most
     table = np.zeros(FILTER_BITS // 64, np.uint64)
-    table[words["word"].to_numpy(np.int64)] = words["value"].to_numpy(np.int64).view(np.uint64)
+    table[words["word"].to_numpy()] = words["value"].to_numpy().view(np.uint64)
     shared = rows.sparkSession.sparkContext.broadcast(table)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -88,10 +88,10 @@ def matches(text: bytes | None, block: list[Signatures], known: WordHashes) -> I
 def signatures(items: DataFrame, n: int, percent: int) -> list[Signatures]:
     """One per shingle length of the items; for a block that fits the driver."""
     by_length: dict[int, list] = {}
-    for row in items.select("item_id", "text").toPandas().itertuples():
-        words = words_of((row.text or "").encode().lower())
+    for row in items.select("item_id", "text").toArrow().to_pylist():
+        words = words_of((row["text"] or "").encode().lower())
         if words:
-            by_length.setdefault(min(n, len(words)), []).append((int(row.item_id), words))
+            by_length.setdefault(min(n, len(words)), []).append((row["item_id"], words))
     return [Signatures(length, own, percent) for length, own in sorted(by_length.items())]
 
 

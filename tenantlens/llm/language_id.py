@@ -155,7 +155,7 @@ def learn(docs: DataFrame) -> LanguageFilter:
     typical = shares.join(best, "gram").filter((F.col("n") >= LEAST_COUNT) & (F.col("share") * RATIO >= F.col("top")))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
     most = max(1, MOST_GRAMS // len(languages))
-    kept: pd.DataFrame = typical.withColumn("place", place).filter(F.col("place") <= most).select("lang", "gram").toPandas()
+    kept: pd.DataFrame = typical.withColumn("place", place).filter(F.col("place") <= most).select("lang", "gram").toArrow().to_pandas()
     own = [kept.loc[kept["lang"] == x, "gram"].to_numpy(np.int64) for x in languages]
     default = max(range(len(languages)), key=lambda i: (sizes[languages[i]], -i))
     return LanguageFilter(languages, own, default)

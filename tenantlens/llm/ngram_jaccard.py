@@ -9,12 +9,13 @@ count. Two sets that link share a shingle among the first
 ``size - ceil(size * percent / 100) + 1`` of each, their prefixes.
 
 1. Equal sets form one class; copies meet in the reading task before anything is
-   shuffled. Classes of the same size and prefix form one group.
+   shuffled. Classes of the same size and prefix form one group, which one of
+   them stands for.
 2. Prefix shingles are dealt out in packed blocks; what only one group holds
    leaves there. Heavy shingles are spread by row instead, so none of them fills a task.
-3. Classes that follow each other in many lists (sorted by size) are verified on
-   whole sets first: most members of a cluster come together here.
-4. All pairs of a list that are not yet in one component follow, filtered by
+3. Groups that follow each other in many lists (sorted by size), and each group's
+   members, are verified on whole sets first: most of a cluster comes together here.
+4. Groups are expanded. All pairs of a list that are not yet in one component follow, filtered by
    size, by the positions of the shared shingles and by their number, and are verified.
 
 A pair that is already connected needs no check, so a cluster of L near copies
@@ -26,7 +27,8 @@ largest sums are sent to all tasks (2 x 8 bytes each). They only set the order,
 which any choice gives the same links.
 
 Defined cases: a null or empty text has an empty set and no link. Repeated rows
-are copies. Ids are below 2^62; a document without one links like others, and a
+are copies; rows of one id and different texts are one document to the links of
+others. Ids are below 2^62; a document without one links like others, and a
 component of none but such has a null id. Other columns take no part.
 """
 
@@ -121,9 +123,9 @@ class Order:
 
 
 def shared_prefixes(docs: DataFrame, order, parts: int, n: int, percent: int) -> DataFrame:
-    """token, size, pos, g1, g2: prefix entries of shingles that several classes may hold."""
+    """token, size, pos, g1, g2 (set), h1, h2 (prefix): entries of shingles that several classes may hold."""
     entry = np.dtype([("token", "<u8"), ("doc", "<u4"), ("pos", "<u4")])
-    head = np.dtype([("g1", "<i8"), ("g2", "<i8"), ("size", "<i8")])
+    head = np.dtype([(c, "<i8") for c in ("g1", "g2", "h1", "h2", "size")])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, ordered = WordHashes(), order.value
@@ -139,7 +141,7 @@ def shared_prefixes(docs: DataFrame, order, parts: int, n: int, percent: int) ->
                 made["token"], made["doc"], made["pos"] = prefix, len(heads), np.arange(len(prefix))
                 rows.append(made)
                 spread.append(np.arange(len(prefix)) >= rare)
-                heads.append((*signed(np.array(digest, np.uint64)).tolist(), len(tokens)))
+                heads.append((*signed(np.array(digest + set_digest(prefix), np.uint64)).tolist(), len(tokens)))
             if not rows:
                 continue
             all_heads, all_rows, heavy = np.array(heads, head), np.concatenate(rows), np.concatenate(spread)
@@ -192,17 +194,16 @@ def shared_prefixes(docs: DataFrame, order, parts: int, n: int, percent: int) ->
                 pa.array(signed(np.ascontiguousarray(entries["token"]))),
                 pa.array(np.ascontiguousarray(own["size"])),
                 pa.array(entries["pos"].astype(np.int64)),
-                pa.array(np.ascontiguousarray(own["g1"])),
-                pa.array(np.ascontiguousarray(own["g2"])),
+                *(pa.array(np.ascontiguousarray(own[c])) for c in ("g1", "g2", "h1", "h2")),
             ],
-            ["token", "size", "pos", "g1", "g2"],
+            ["token", "size", "pos", "g1", "g2", "h1", "h2"],
         )
 
     dealt = docs.select("text").mapInArrow(deal, "part long, heads binary, entries binary")
     return (
         dealt.repartition(parts + SPREAD, "part")
         .sortWithinPartitions("part")
-        .mapInArrow(match, "token long, size long, pos long, g1 long, g2 long")
+        .mapInArrow(match, "token long, size long, pos long, g1 long, g2 long, h1 long, h2 long")
     )
 
 
@@ -220,6 +221,15 @@ def least_shared(percent: int) -> Column:
     return F.greatest(F.lit(1), part(F.col("sa") + F.col("sb"), 100 + percent) - beyond)
 
 
+def group_members(entries: DataFrame) -> DataFrame:
+    """a, b: the first class of each group of equal size and prefix, and each other class of it."""
+    key = ["h1", "h2", "size"]
+    groups = entries.groupBy(*key).agg(F.min("node").alias("a"), F.max("node").alias("last"))
+    groups = stored(groups.filter("a < last").select(*key, "a"), "groups")
+    members = entries.join(groups, key).filter("node <> a")
+    return members.select("a", F.col("node").alias("b")).distinct()
+
+
 def neighbours(lists: DataFrame, percent: int) -> DataFrame:
     """a, b: classes that follow each other in enough lists, sorted by size, to be likely links."""
 
@@ -280,15 +290,15 @@ def whole_sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, last = WordHashes(), None
         for batch in sliced(batches):
-            node = batch.column("node").to_numpy()
-            new = node != np.concatenate([node[:1] - 1 if last is None else [last], node[:-1]])
-            last = node[-1] if len(node) else last
+            own = list(zip(batch.column("node").to_pylist(), batch.column("text_key").to_pylist(), strict=True))
+            new = [key != before for key, before in zip(own, [last, *own], strict=False)]
+            last = own[-1] if own else last
             batch = batch.filter(pa.array(new, pa.bool_()))
             made = [signed(s) for s in sets_of(batch, known, n)]
             yield pa.record_batch([batch.column("node"), pa.array(made, pa.list_(pa.int64()))], ["node", "tokens"])
 
     few = likely_in(docs.select("rank", "text_key", "text"), nodes, ("rank", "text_key"))
-    joined = few.join(nodes, ["rank", "text_key"]).select("node", "text")
+    joined = few.join(nodes, ["rank", "text_key"]).select("node", "text_key", "text")
     return joined.mapInArrow(encode, "node long, tokens array<long>")
 
 
@@ -304,7 +314,8 @@ def labelled_rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
         .agg(F.sum("size").alias("n"))
         .orderBy(F.desc("n"), "g1")
         .limit(MOST_HEAVY)
-        .toPandas()
+        .toArrow()
+        .to_pandas()
     )
     order = spark.sparkContext.broadcast(Order(heavy))
     classes = stored(
@@ -317,7 +328,9 @@ def labelled_rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
     total = members.agg(F.sum(F.col("size") * (100 - percent) / 100 + 1)).first()[0] or 0
     parts = int(total // BLOCK_ENTRIES) + 1
     found = shared_prefixes(docs, order, parts, n, percent)
-    lists = stored(found.join(classes, ["g1", "g2"]).select("token", "size", "pos", "node").distinct(), "lists")
+    entries = found.join(classes, ["g1", "g2"]).select("token", "size", "pos", "node", "h1", "h2")
+    entries = stored(entries.distinct(), "entries")
+    others = stored(group_members(entries), "group-members")
 
     def links(pairs: DataFrame) -> DataFrame:
         pairs = stored(pairs, "pairs")
@@ -326,9 +339,11 @@ def labelled_rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
         sets = stored(whole_sets(docs, stored(reps, "representatives"), n), "whole-sets")
         return stored(verified(pairs, sets, percent), "links")
 
-    first = links(neighbours(lists, percent))
+    # one member stands for each group at first; then the groups are expanded
+    leaders = entries.join(others.select(F.col("b").alias("node")), "node", "left_anti")
+    first = links(neighbours(leaders, percent).unionByName(others).distinct())
     near = stored(components(first), "near")
-    labelled = lists.join(near, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    labelled = entries.drop("h1", "h2").join(near, "node", "left").withColumn("component", F.coalesce("component", "node"))
     ends = labelled.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     # written first: a join of plain scans is one that adaptive execution can split at a hot shingle
     open_tokens = stored(ends.filter("low < high").select("token"), "open-tokens")

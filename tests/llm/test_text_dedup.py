@@ -147,6 +147,22 @@ def classes_by_brute_force(docs, n, percent):
     return sorted(out, key=str)
 
 
+def test_groups_of_equal_prefix_are_expanded(make, monkeypatch):
+    """Sets of equal size that differ behind their prefixes only: the heavy shingles, which come last."""
+    monkeypatch.setattr(ngram_jaccard, "LOCAL_DOCS", 1)
+    docs = []
+    for i in range(48):
+        own = [f"rare{i // 4}x{k}" for k in range(12)]
+        docs.append((i, " ".join(own + [f"common{((0, 1, 12, 13)[i % 4] + k) % 40}" for k in range(30)])))
+    seen = []
+    real = ngram_jaccard.group_members
+    monkeypatch.setattr(ngram_jaccard, "group_members", lambda e: seen.append(real(e).count()) or real(e))
+    for percent in (75, 80):
+        result = ngram_jaccard.jaccard_classes(make(*docs), 1, percent)
+        assert collected(result, "doc_id", "n_shingles", "component_id") == classes_by_brute_force(docs, 1, percent)
+    assert min(seen) >= 12
+
+
 @pytest.mark.parametrize(("n", "percent"), [(5, 80), (2, 60), (1, 80)])
 def test_jaccard_classes_equal_brute_force(make, prose, n, percent):
     docs = list(enumerate(prose(n, 150, 150)))
