@@ -13,7 +13,7 @@ count. Two sets that link share a shingle among the first
    them stands for.
 2. Prefix shingles are dealt out in packed blocks; what only one group holds
    leaves there. Heavy shingles are spread by row instead, so none of them fills a task.
-3. Groups that follow each other in many lists (sorted by size), and each group's
+3. Groups that follow each other in many lists (in a few orders), and each group's
    members, are verified on whole sets first: most of a cluster comes together here.
 4. Groups are expanded. All pairs of a list that are not yet in one component follow, filtered by
    size, by the positions of the shared shingles and by their number, and are verified.
@@ -49,6 +49,7 @@ from tenantlens.llm.substring_dedup import NO_ID, identity, rank
 
 LOCAL_DOCS = 4  # of a slice of the reading task
 MOST_HEAVY = 250_000
+ORDERS = 3
 BLOCK_ENTRIES = 1_500_000  # prefix entries of a part, about
 SPREAD = 64  # tasks that share the heavy shingles
 
@@ -231,26 +232,37 @@ def group_members(entries: DataFrame) -> DataFrame:
 
 
 def neighbours(lists: DataFrame, percent: int) -> DataFrame:
-    """a, b: classes that follow each other in enough lists, sorted by size, to be likely links."""
+    """a, b: classes that follow each other in enough lists to be likely links.
+
+    Lists are sorted by size, and in ``ORDERS`` ways by a hash of the class. An
+    order is the same in all lists, so members of a cluster that share many
+    shingles meet in many lists; with several orders few of them stay alone.
+    """
 
     def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
         for batch in batches:
-            token, size, node = (batch.column(c).to_numpy() for c in ("token", "size", "node"))
+            columns = [batch.column(c).to_numpy() for c in ("token", "size", "node")]
             if last is not None:
-                token, size, node = (np.append(o, c) for o, c in zip(last, (token, size, node), strict=True))
+                columns = [np.append(o, c) for o, c in zip(last, columns, strict=True)]
+            token, size, node = columns
             if not len(token):
                 continue
             last = token[-1], size[-1], node[-1]
-            near = (token[1:] == token[:-1]) & (node[1:] != node[:-1]) & (100 * size[:-1] >= percent * size[1:])
-            columns = (node[:-1], node[1:], size[:-1], size[1:])
-            yield pa.record_batch([pa.array(c[near]) for c in columns], ["a", "b", "sa", "sb"])
-
-    ordered = lists.repartitionByRange("token", "size", "node").sortWithinPartitions("token", "size", "node")
-    pairs = ordered.mapInArrow(follow, "a long, b long, sa long, sb long")
-    counted = pairs.groupBy("a", "b").agg(F.count("*").alias("n"), F.max("sa").alias("sa"), F.max("sb").alias("sb"))
-    likely = counted.filter(2 * F.col("n") >= least_shared(percent))
-    return likely.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+            low, high = np.minimum(size[:-1], size[1:]), np.maximum(size[:-1], size[1:])
+            near = (token[1:] == token[:-1]) & (node[1:] != node[:-1]) & (100 * low >= percent * high)
+            ends = np.minimum(node[:-1], node[1:]), np.maximum(node[:-1], node[1:]), low, high
+            yield pa.record_batch([pa.array(c[near]) for c in ends], ["a", "b", "sa", "sb"])
+
+    found = None
+    for order in range(ORDERS + 1):
+        by = F.xxhash64("node", F.lit(order)) if order else F.col("size")
+        ordered = lists.select("token", "size", "node", by.alias("by")).repartitionByRange("token", "by", "node")
+        pairs = ordered.sortWithinPartitions("token", "by", "node").mapInArrow(follow, "a long, b long, sa long, sb long")
+        counted = pairs.groupBy("a", "b").agg(F.count("*").alias("n"), F.max("sa").alias("sa"), F.max("sb").alias("sb"))
+        likely = counted.filter(2 * F.col("n") >= least_shared(percent)).select("a", "b")
+        found = likely if found is None else found.unionByName(likely)
+    return found.distinct()
 
 
 def missing_pairs(labelled: DataFrame, percent: int) -> DataFrame:
