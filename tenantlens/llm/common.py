@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import pathlib
 from collections.abc import Iterator
@@ -49,10 +51,16 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 
 def sliced(batches: Iterator[pa.RecordBatch], rows: int = 2_000) -> Iterator[pa.RecordBatch]:
-    """Smaller batches, for work that keeps much more than the text of each row."""
+    """Smaller batches, for work that keeps much more than the text of each row.
+
+    A Python worker serves many tasks: what a task leaves unused goes back to the system.
+    """
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # the C library of Linux has it
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes | None]:

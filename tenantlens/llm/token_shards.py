@@ -28,6 +28,7 @@ shard; repeated rows are encoded each; other columns take no part.
 
 from __future__ import annotations
 
+import itertools
 import json
 import re
 import struct
@@ -47,6 +48,7 @@ HEAD = struct.Struct("<4sIIIQQ")
 SHARD_TOKENS = 1 << 19
 BATCH_DOCS = 256
 CACHED_PIECES = 500_000
+KEPT_PIECES = 150_000
 SUPER = 512  # bits of a rank block
 WORDS = SUPER // 64
 # one mark between an ASCII letter and white space is a token of its own either way
@@ -256,6 +258,10 @@ class Encoder:
         for piece, one in zip(other, found, strict=True):
             self.known[piece] = np.array(one.ids, self.kind).tobytes()
 
+    def rest(self) -> None:
+        """Between tasks only the pieces met first stay, which are the frequent ones."""
+        self.known = dict(itertools.islice(self.known.items(), KEPT_PIECES))
+
     def encode(self, batch: list[bytes | None]) -> list[np.ndarray]:
         if not self.by_word:
             found = self.tokenizer.encode_batch_fast([(t or b"").decode() for t in batch], add_special_tokens=False)
@@ -297,6 +303,7 @@ def write_shards(docs: DataFrame, tokenizer_file: str, path: str, end_id: int =
                         seq, held, ids, sizes, parts = seq + 1, 0, [], [], []
         if ids:
             yield shard()
+        encoder.rest()
 
     ordered = [F.asc_nulls_last("doc_id"), F.asc_nulls_first("text_key")]
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
