@@ -166,3 +166,29 @@ def test_licenses_are_found_in_edited_and_long_texts(make, prose):
     assert 0.85 < found[3]["MIT"]["coverage"] < 1
     assert set(found[7]) == {"MIT line"} and found[7]["MIT line"]["n_aligned"] == 5
     assert license_scan.find_licenses(make().limit(0)).count() == 0
+
+
+def test_common_licenses_are_told_apart(make, prose):
+    lines = {
+        "Released under the BSD License": {"BSD line"},
+        "Licensed under CC BY-SA 4.0.": {"CC-BY-SA-4.0 line"},
+        "licensed under a Creative Commons Attribution-NonCommercial 3.0 Unported License": {"CC-BY-NC-3.0 line"},
+        "Licensed under CC BY 4.0. Licensed under CC BY-NC 4.0.": {"CC-BY-4.0 line", "CC-BY-NC-4.0 line"},
+        "This work is licensed under the GNU General Public License, version 2.": {"GPL-2.0 line"},
+        "This work is licensed under the GNU General Public License, version 3.": {"GPL-3.0 line"},
+        "Licensed under the GNU Lesser General Public License v2.1": {"LGPL-2.1 line"},
+        "Licensed under GPLv3": {"GPL-3.0 line"},
+        "Licensed under the Apache License, Version 1.1.": set(),
+        "The GNU General Public License, version 3, is long.": set(),
+    }
+    filler = " ".join(prose(1, 5, 100))
+    docs = [(i, f"{filler}\n{text}\n{filler}") for i, text in enumerate(lines)]
+    whole = [n for n in license_scan.TEMPLATES if not n.endswith("line") and n != "Apache-2.0 notice"]
+    docs += [(100 + i, f"{filler}\n{license_scan.TEMPLATES[n]}\n{filler}") for i, n in enumerate(whole)]
+    found = {doc_id: set() for doc_id, _ in docs}
+    for r in license_scan.find_licenses(make(*docs)).collect():
+        found[r["doc_id"]].add(r["license"])
+        assert r["doc_id"] < 100 or r["coverage"] == 1
+    assert found == dict(enumerate(lines.values())) | {100 + i: {n} for i, n in enumerate(whole)}
+    families = ("Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC-BY-NC-4.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "AGPL-3.0", "MPL-2.0", "Unlicense")
+    assert set(families) <= set(whole) and "IN NO EVENT" in license_scan.TEMPLATES["ISC"]
