@@ -3,18 +3,21 @@ r"""Secret scan with corpus-wide ownership frequency.
 Base findings are three patterns, each leftmost and non-overlapping (``BASE``).
 A fourth kind, ``owned``, are runs of letters, digits and ``+/_-`` of 20 characters or
 more with a digit, a small and a capital letter, outside all base findings, that
-only few owners have: what many owners hold is an example that was copied along.
+only few owners and repositories have: what many hold is an example that was
+copied along.
 
 Every value is counted over the whole corpus by its 128-bit digest, by distinct
 repositories (documents) and distinct owners. A value of at most ``MOST_OWNERS``
-owners counts as live, others as copied; ``n_live`` and ``n_copied`` say so for
-all findings of a document.
+owners and ``MOST_REPOSITORIES`` distinct repositories counts as live, others as
+copied; ``n_live`` and ``n_copied`` say so for all findings of a document. Rows of
+the same id, owner and text are one repository here.
 
-Scale: one pass over the texts; values alone are shuffled, counted first within
-each task and owner, so a value that a third of the documents hold is a few rows.
+Scale: one pass over the texts; values alone are shuffled, once by value and
+document (so none is hot) to leave repeated rows out, then counted within each task
+and owner, so a value that a third of the documents hold is a few rows.
 
 Defined cases: a null text is empty; a null owner is an owner of its own;
-documents with the same id and text are repositories of their own; positions
+repeated rows are reported each; positions
 count code points, the end excluded; other columns take no part.
 """
 
@@ -33,6 +36,7 @@ from pyspark.sql import functions as F
 from tenantlens.llm.common import stored
 
 MOST_OWNERS = 2
+MOST_REPOSITORIES = 10
 LONG = 20  # characters in a row that an access key, a hex string or an owned value has at least
 # fixed values: kind, pattern, group that holds the value, its least length
 BASE = (
@@ -105,7 +109,7 @@ def candidates(docs: DataFrame) -> DataFrame:
 
 
 def document_values(rows: DataFrame) -> DataFrame:
-    """doc_id, owner, text_key, v1, v2: the distinct values of each document."""
+    """doc_id, owner, text_key, v1, v2: the distinct values of each row."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -125,47 +129,61 @@ def document_values(rows: DataFrame) -> DataFrame:
 
 def ownership(values: DataFrame) -> DataFrame:
     """v1, v2, repositories, owners: of every candidate value in the corpus."""
-    by_owner = values.groupBy("v1", "v2", "owner").agg(F.count("*").alias("held"))
+    distinct = values.select("v1", "v2", "owner", "doc_id", "text_key").distinct()
+    by_owner = distinct.groupBy("v1", "v2", "owner").agg(F.count("*").alias("held"))
     return by_owner.groupBy("v1", "v2").agg(F.sum("held").alias("repositories"), F.count("*").alias("owners"))
 
 
-def scan(docs: DataFrame, owner: str = "source", most_owners: int = MOST_OWNERS) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_copied per document."""
+def scan(
+    docs: DataFrame,
+    owner: str = "source",
+    most_owners: int = MOST_OWNERS,
+    most_repositories: int = MOST_REPOSITORIES,
+) -> DataFrame:
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_copied, owners, repositories per document.
+
+    ``owners`` and ``repositories`` are the counts of the values of ``spans``, in their order.
+    """
     rows = docs.select("doc_id", "text", F.col(owner).cast("string").alias("owner"), F.xxhash64("text").alias("text_key"))
     rows = stored(candidates(rows), "secret-spans")
     values = document_values(rows.filter(F.length("kinds") > 0))
-    live = ownership(values).filter(F.col("owners") <= most_owners).select("v1", "v2")
+    counts = stored(ownership(values), "secret-values")
     ids = ["doc_id", "owner", "text_key"]
-    marked = values.join(live, ["v1", "v2"]).groupBy(*ids).agg(F.collect_set(F.struct("v1", "v2")).alias("live"))
+    known = F.collect_set(F.struct("v1", "v2", "owners", "repositories")).alias("counts")
+    marked = values.join(counts, ["v1", "v2"]).groupBy(*ids).agg(known)
     a, b = rows.alias("a"), marked.alias("b")
     same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in ids]
-    whole = a.join(b, same[0] & same[1] & same[2], "left").select("a.doc_id", "kinds", "starts", "ends", "values", "live")
+    whole = a.join(b, same[0] & same[1] & same[2], "left").select("a.doc_id", "kinds", "starts", "ends", "values", "counts")
 
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            columns = (batch.column(c).to_pylist() for c in ("kinds", "starts", "ends", "values", "live"))
-            for kinds, starts, ends, values, alive in zip(*columns, strict=True):
-                good = {np.array([v["v1"], v["v2"]], "<i8").tobytes() for v in alive or ()}
+            columns = (batch.column(c).to_pylist() for c in ("kinds", "starts", "ends", "values", "counts"))
+            for kinds, starts, ends, values, held in zip(*columns, strict=True):
+                found = {np.array([v["v1"], v["v2"]], "<i8").tobytes(): (v["owners"], v["repositories"]) for v in held or ()}
                 spans = zip(np.frombuffer(starts, "<i8").tolist(), kinds, np.frombuffer(ends, "<i8").tolist(), strict=True)
-                base, more, n_live, n_copied = [], [], 0, 0
+                base, shown, n_live, n_copied = [], [], 0, 0
                 for i, span in enumerate(spans):
-                    is_live = values[16 * i : 16 * i + 16] in good
+                    owners, repositories = found[values[16 * i : 16 * i + 16]]
+                    is_live = owners <= most_owners and repositories <= most_repositories
                     if span[1] < len(BASE):
                         base.append(span)
-                    elif is_live:
-                        more.append(span)
+                    if span[1] < len(BASE) or is_live:
+                        shown.append((*span, owners, repositories))
                     n_live += is_live
                     n_copied += not is_live
+                shown.sort()
                 digest = hashlib.sha256(joined(base).encode()).hexdigest()
                 counts = [sum(s[1] == k for s in base) for k in range(len(BASE))]
-                out.append((*counts, digest, joined(base + more), n_live, n_copied))
-            names = ["n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_live", "n_copied"]
-            kinds = [pa.int64()] * 3 + [pa.string()] * 2 + [pa.int64()] * 2
+                held = (",".join(str(s[i]) for s in shown) for i in (3, 4))
+                out.append((*counts, digest, joined(s[:3] for s in shown), n_live, n_copied, *held))
+            names = ["n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_live", "n_copied", "owners", "repositories"]
+            kinds = [pa.int64()] * 3 + [pa.string()] * 2 + [pa.int64()] * 2 + [pa.string()] * 2
             made = [pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)]
             yield pa.record_batch([batch.column("doc_id"), *made], ["doc_id", *names])
 
     return whole.mapInArrow(
         report,
-        "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_live long, n_copied long",
+        "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_live long, n_copied long, "
+        "owners string, repositories string",
     )

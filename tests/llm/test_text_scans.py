@@ -85,6 +85,16 @@ def test_secrets_keep_base_spans_and_tell_copied_from_live(make):
     assert secret_scan.scan(make().limit(0)).count() == 0
 
 
+def test_values_copied_through_documents_of_one_owner_are_not_live(make):
+    copied, lost, live = "Qw7pQ2rS4tU6vW8xY0zA2", "Er5pQ2rS4tU6vW8xY0zB3", "Zx9aB3dE5fG7hJ9kL1mN3"
+    docs = [(i, f"see {copied} in {i}", None, "hot") for i in range(40)] + [(100 + i, f"see {lost}", None, None) for i in range(40)]
+    docs += [(200 + i, f"see {live} in {i}", None, "hot") for i in range(3)] + [(300, f"see {live}", None, "hot")] * 40
+    for r in secret_scan.scan(make(*docs)).collect():
+        alive = r["doc_id"] >= 200
+        assert (r["n_live"], r["n_copied"], r["spans"]) == ((1, 0, "owned:4:25") if alive else (0, 1, ""))
+        assert (r["owners"], r["repositories"]) == (("1", "4") if alive else ("", ""))
+
+
 SYLLABLES = {"aa": "ka lo mi nu pe".split(), "bb": "str und sch ein".split(), "cc": "ção ér où ñan".split()}
 
 
