@@ -20,6 +20,9 @@ count. Two sets that link share a shingle among the first
 
 A pair that is already connected needs no check, so a cluster of L near copies
 costs about L checks and not L squared, and no link between components is lost.
+``jaccard_links`` and ``class_links`` give all links instead, inside components too:
+groups are joined and filtered by their first class, and what is left is expanded to
+members and verified, which costs a check per pair.
 
 Heavy shingles are found over the whole corpus: each task reports what
 ``LOCAL_DOCS`` or more documents of a slice hold, and the ``MOST_HEAVY`` of the
@@ -27,8 +30,7 @@ largest sums are sent to all tasks (2 x 8 bytes each). They only set the order,
 which any choice gives the same links.
 
 Defined cases: a null or empty text has an empty set and no link. Repeated rows
-are copies; rows of one id and different texts are one document to the links of
-others. Ids are below 2^62; a document without one links like others, and a
+are copies; rows of one id and different texts are documents of their own. Ids are below 2^62; a document without one links like others, and a
 component of none but such has a null id. Other columns take no part.
 """
 
@@ -314,9 +316,8 @@ def whole_sets(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
     return joined.mapInArrow(encode, "node long, tokens array<long>")
 
 
-def labelled_rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """rank, text_key, size, component (a rank), n_copies per document."""
-    docs = identity(docs)
+def prepared(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows of the documents (with ``identity``), classes of equal sets, and entries of the lists they share."""
     spark = docs.sparkSession
     table = stored(described(docs, n), "sets")
     members = table.filter("rank IS NOT NULL")
@@ -334,41 +335,69 @@ def labelled_rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
         members.filter("size > 0")
         .groupBy("g1", "g2")
         .agg(F.min(F.struct("rank", "text_key")).alias("rep"), F.count("*").alias("n_copies"))
-        .select("g1", "g2", F.col("rep.rank").alias("node"), F.col("rep.text_key").alias("text_key"), "n_copies"),
+        .select("g1", "g2", "rep.rank", "rep.text_key", "n_copies", F.monotonically_increasing_id().alias("node")),
         "classes",
     )
     total = members.agg(F.sum(F.col("size") * (100 - percent) / 100 + 1)).first()[0] or 0
     parts = int(total // BLOCK_ENTRIES) + 1
     found = shared_prefixes(docs, order, parts, n, percent)
     entries = found.join(classes, ["g1", "g2"]).select("token", "size", "pos", "node", "h1", "h2")
-    entries = stored(entries.distinct(), "entries")
-    others = stored(group_members(entries), "group-members")
+    return members, classes, stored(entries.distinct(), "entries")
+
+
+def linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs of classes (a, b) that link."""
+    pairs = stored(pairs, "pairs")
+    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    reps = classes.select("node", "rank", "text_key").join(nodes, "node", "left_semi")
+    sets = stored(whole_sets(docs, stored(reps, "representatives"), n), "whole-sets")
+    return stored(verified(pairs, sets, percent), "links")
+
+
+def all_pairs(entries: DataFrame, percent: int) -> DataFrame:
+    """a, b: all pairs of classes that may link, inside components too.
+
+    Classes of one group have the same entries, so its first class stands for it in
+    the join and its filters; only what they leave is expanded to members.
+    """
+    key = ["h1", "h2", "size"]
+    leaders = stored(entries.groupBy("token", "pos", *key).agg(F.min("node").alias("node")), "leaders")
+    near = stored(missing_pairs(leaders.withColumn("component", F.col("node")), percent), "group-pairs")
+    nodes = entries.select("node", *key).distinct()
+    members = nodes.join(nodes.groupBy(*key).agg(F.min("node").alias("leader")), key).select("leader", "node")
+    members = stored(members, "members-of-groups")
+    one, two = members.toDF("a", "x"), members.toDF("b", "y")
+    across = near.join(one, "a").join(two, "b").select("x", "y")
+    inside = one.join(members.toDF("a", "y"), "a").filter("x < y").select("x", "y")
+    pairs = across.unionByName(inside)
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+
 
-    def links(pairs: DataFrame) -> DataFrame:
-        pairs = stored(pairs, "pairs")
-        nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        reps = classes.select("node", F.col("node").alias("rank"), "text_key").join(nodes, "node", "left_semi")
-        sets = stored(whole_sets(docs, stored(reps, "representatives"), n), "whole-sets")
-        return stored(verified(pairs, sets, percent), "links")
+def labelled_rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """rank, text_key, size, cluster (a class, null of empty sets), component (a rank), n_copies per document."""
+    docs = identity(docs)
+    members, classes, entries = prepared(docs, n, percent)
+    others = stored(group_members(entries), "group-members")
 
     # one member stands for each group at first; then the groups are expanded
     leaders = entries.join(others.select(F.col("b").alias("node")), "node", "left_anti")
-    first = links(neighbours(leaders, percent).unionByName(others).distinct())
+    first = linked(neighbours(leaders, percent).unionByName(others).distinct(), docs, classes, n, percent)
     near = stored(components(first), "near")
     labelled = entries.drop("h1", "h2").join(near, "node", "left").withColumn("component", F.coalesce("component", "node"))
     ends = labelled.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     # written first: a join of plain scans is one that adaptive execution can split at a hot shingle
     open_tokens = stored(ends.filter("low < high").select("token"), "open-tokens")
     labelled = stored(labelled.join(open_tokens, "token"), "open-lists")
-    second = links(missing_pairs(labelled, percent))
+    second = linked(missing_pairs(labelled, percent), docs, classes, n, percent)
     labels = stored(components(first.unionByName(second)), "components")
 
-    named = classes.join(labels, "node", "left").select(
-        "g1", "g2", "n_copies", F.coalesce("component", "node").alias("component")
-    )
+    named = classes.join(labels, "node", "left").withColumn("cluster", F.coalesce("component", "node"))
+    named = stored(named.select("g1", "g2", "rank", "n_copies", "cluster"), "named")
+    least = named.groupBy("cluster").agg(F.min("rank").alias("component"))
+    named = named.join(least, "cluster").select("g1", "g2", "n_copies", "cluster", "component")
     out = members.join(named, ["g1", "g2"], "left")
     component, copies = F.coalesce("component", "rank"), F.coalesce("n_copies", F.lit(1))
-    return out.select("rank", "text_key", "size", component.alias("component"), copies.alias("n_copies"))
+    return out.select("rank", "text_key", "size", "cluster", component.alias("component"), copies.alias("n_copies"))
 
 
 def jaccard_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -381,6 +410,25 @@ def jaccard_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     )
 
 
+def class_links(docs: DataFrame, n: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
+    """Membership (doc_id, node, n_copies; no node: empty set) and all links (a, b) of classes, each once."""
+    docs = identity(docs)
+    members, classes, entries = prepared(docs, n, percent)
+    links = linked(all_pairs(entries, percent), docs, classes, n, percent)
+    rows = members.join(classes.select("g1", "g2", "node", "n_copies"), ["g1", "g2"], "left")
+    return rows.select(F.when(F.col("rank") < NO_ID, F.col("rank")).alias("doc_id"), "node", "n_copies"), links
+
+
+def jaccard_links(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_links (other documents that link with it, copies included), per document."""
+    rows, links = class_links(docs, n, percent)
+    ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    sizes = rows.filter("node IS NOT NULL").groupBy("node").agg(F.max("n_copies").alias("n_copies"))
+    other = ends.join(sizes.toDF("b", "held"), "b").groupBy("a").agg(F.sum("held").alias("held"))
+    found = F.coalesce("n_copies", F.lit(1)) - 1 + F.coalesce("held", F.lit(0))
+    return rows.join(other.withColumnRenamed("a", "node"), "node", "left").select("doc_id", found.alias("n_links"))
+
+
 def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """One row of each component, all columns kept: that of its smallest id (of equal ids, one)."""
     stay = labelled_rows(docs, n, percent).filter("rank = component").groupBy("rank")

@@ -173,6 +173,33 @@ def test_jaccard_classes_equal_brute_force(make, prose, n, percent):
     assert collected(result, "doc_id", "n_shingles", "component_id") == classes_by_brute_force(docs, n, percent)
 
 
+def links_by_brute_force(docs, n, percent):
+    sets = []
+    for _, text in docs:
+        words = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower())
+        k = min(n, len(words))
+        sets.append({tuple(words[p : p + k]) for p in range(len(words) - k + 1)} if words else set())
+    count = [0] * len(docs)
+    for i, j in itertools.combinations(range(len(docs)), 2):
+        common = len(sets[i] & sets[j])
+        if common and 100 * common >= percent * (len(sets[i]) + len(sets[j]) - common):
+            count[i] += 1
+            count[j] += 1
+    return sorted(((d[0], c) for d, c in zip(docs, count, strict=True)), key=str)
+
+
+@pytest.mark.parametrize(("n", "percent"), [(5, 80), (1, 75)])
+def test_all_links_inside_components_are_counted(make, prose, monkeypatch, n, percent):
+    monkeypatch.setattr(ngram_jaccard, "LOCAL_DOCS", 1)
+    docs = list(enumerate(prose(n, 60, 150))) + [(None, None), (1002, ""), (None, "alone at last")]
+    docs += [(2000 + i, " ".join(f"p{k}" for k in range(60)) + f" end {i // 2}") for i in range(30)]
+    for i in range(24):
+        own = [f"rare{i // 4}x{k}" for k in range(12)]
+        docs.append((3000 + i, " ".join(own + [f"common{((0, 1, 12, 13)[i % 4] + k) % 40}" for k in range(30)])))
+    found = ngram_jaccard.jaccard_links(make(*docs), n, percent)
+    assert collected(found, "doc_id", "n_links") == links_by_brute_force(docs, n, percent)
+
+
 def test_one_of_each_component_stays(make, prose):
     docs = list(enumerate(prose(9, 60, 120))) + [(500, "same id"), (500, "same id"), (None, "no id here"), (600, None)]
     kept = ngram_jaccard.one_of_each(make(*docs))
