@@ -431,8 +431,11 @@ def jaccard_links(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
 
 def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """One row of each component, all columns kept: that of its smallest id (of equal ids, one)."""
-    stay = labelled_rows(docs, n, percent).filter("rank = component").groupBy("rank")
-    stay = stored(stay.agg(F.min("text_key").alias("text_key")), "staying")
+    rows = labelled_rows(docs, n, percent)
+    alone = F.col("cluster").isNull()  # empty sets have no links
+    by = ["cluster", F.when(alone, F.col("rank")).alias("r"), F.when(alone, F.col("text_key")).alias("t")]
+    stay = rows.groupBy(*by).agg(F.min(F.struct("rank", "text_key")).alias("first")).select("first.*")
+    stay = stored(stay.distinct(), "staying")
     keys = ["__rank", "__text_key"]
     stay = stay.toDF(*keys)
     kept = docs.withColumns({"__rank": rank(), "__text_key": F.xxhash64("text")})

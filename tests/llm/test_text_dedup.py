@@ -200,6 +200,15 @@ def test_all_links_inside_components_are_counted(make, prose, monkeypatch, n, pe
     assert collected(found, "doc_id", "n_links") == links_by_brute_force(docs, n, percent)
 
 
+def test_different_texts_of_one_id_are_documents_of_their_own(make):
+    base = [f"w{k}" for k in range(48)]
+    docs = [(1, " ".join(base[:40])), (1, " ".join(f"u{k}" for k in range(47)) + " w44"), (2, " ".join(base)), (0, "one here"), (3, "ONE here"), (3, "clean text of a repeated id")]
+    result = ngram_jaccard.jaccard_classes(make(*docs), 1, 80)
+    assert collected(result, "doc_id", "n_shingles", "component_id") == classes_by_brute_force(docs, 1, 80)
+    kept = ngram_jaccard.one_of_each(make(*docs), 1, 80)
+    assert collected(kept, "doc_id", "text") == sorted([docs[0], docs[1], docs[3], docs[5]], key=str)
+
+
 def test_one_of_each_component_stays(make, prose):
     docs = list(enumerate(prose(9, 60, 120))) + [(500, "same id"), (500, "same id"), (None, "no id here"), (600, None)]
     kept = ngram_jaccard.one_of_each(make(*docs))
