@@ -15,7 +15,7 @@ count. Two sets that link share a shingle among the first
    leaves there. Heavy shingles are spread by row instead, so none of them fills a task.
 3. Groups that follow each other in many lists (in a few orders), and each group's
    members, are verified on whole sets first: most of a cluster comes together here.
-4. Groups are expanded. All pairs of a list that are not yet in one component follow, filtered by
+4. Groups are expanded: this pass joins classes, not groups. All pairs of a list that are not yet in one component follow, filtered by
    size, by the positions of the shared shingles and by their number, and are verified.
 
 A pair that is already connected needs no check, so a cluster of L near copies
