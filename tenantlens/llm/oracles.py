@@ -144,6 +144,83 @@ FROM keyed k LEFT JOIN frequent f ON k.key = f.key
 GROUP BY r, doc_id
 """
 
+# crc32 of a short ASCII text, byte by byte; `crc` holds the table of 256 entries
+CRC = """
+crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(range(8),
+    lambda c, b: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END, n)) AS entries)"""
+CRC_OF = """xor(list_reduce(list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT),
+    lambda c, b: xor(c >> 8, entries[(xor(c, b) & 255) + 1]), 4294967295::BIGINT), 4294967295::BIGINT)"""
+
+
+def _with(path: str, cost: str, edit: str) -> str:
+    """A path (nine digits of cost, then its edits) with one edit more."""
+    return f"(lpad((left({path}, 9)::INTEGER + {cost})::VARCHAR, 9, '0') || substr({path}, 10) || '{edit}')"
+
+
+OP11 = f"""
+WITH RECURSIVE {CRC},
+hit AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {CRC_OF.format(text="coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS hit
+  FROM conversations, crc),
+damaged AS (
+  SELECT conv_id, turn, copy, CASE hit WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE hit WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM (SELECT *, unnest(range(CASE hit WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM hit)),
+convs AS (SELECT conv_id, row_number() OVER () AS c FROM (SELECT DISTINCT conv_id FROM conversations)),
+seen AS (
+  SELECT c, turn, role, text, row_number() OVER w AS i, row_number() OVER (PARTITION BY c, role, text ORDER BY turn NULLS FIRST, copy) AS time,
+    right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS last,
+    left(role, 1) AS initial, lag(left(role, 1)) OVER w AS previous
+  FROM damaged d JOIN convs v ON d.conv_id IS NOT DISTINCT FROM v.conv_id
+  WINDOW w AS (PARTITION BY c ORDER BY turn NULLS FIRST, sha256(concat_ws('|',
+    length(coalesce('=' || d.conv_id, '')), length(role), coalesce('=' || d.conv_id, ''), role, text)), copy)),
+faults AS (
+  SELECT *, CASE WHEN last = '' THEN 'blank' WHEN time > 1 THEN 'duplicate'
+    WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    i > 1 AND previous || initial NOT IN ('su', 'ua', 'au') AS illegal FROM seen),
+told AS (SELECT *, fault IN ('blank', 'duplicate') AS forced, (fault = 'truncated')::INTEGER AS t FROM faults),
+paths AS (  -- one row a step and conversation: the least path into each state
+  SELECT c, 0::BIGINT AS i, '000000000' AS e, NULL::VARCHAR AS s, NULL::VARCHAR AS u, NULL::VARCHAR AS a FROM convs
+  UNION ALL
+  SELECT c, i, {_with("e", "3", "D")},
+    least({_with("s", "3", "D")}, CASE WHEN NOT forced AND initial = 's' THEN {_with("e", "t", "K")} END),
+    least({_with("u", "3", "D")},
+      CASE WHEN NOT forced AND initial = 'u' THEN least({_with("e", "t", "K")}, {_with("s", "t", "K")}, {_with("a", "t", "K")}) END,
+      CASE WHEN NOT forced THEN least({_with("e", "2 + t", "R")}, {_with("s", "2 + t", "R")}, {_with("a", "2 + t", "R")}) END),
+    least({_with("a", "3", "D")}, CASE WHEN NOT forced AND initial = 'a' THEN {_with("u", "t", "K")} END,
+      CASE WHEN NOT forced THEN {_with("u", "2 + t", "R")} END)
+  FROM (
+    SELECT c, told.i, initial, forced, t, e, s, p.u, least(p.a, {_with("p.u", "2", "I")}) AS a
+    FROM (SELECT c, i, e, s, a, least(u, {_with("e", "2", "I")}, {_with("s", "2", "I")}, {_with("a", "2", "I")}) AS u FROM paths) p
+    JOIN told USING (c) WHERE told.i = p.i + 1)),
+ends AS (
+  SELECT c, least(e, a, {_with("u", "2", "I")}, {_with(_with("s", "2", "I"), "2", "I")}) AS path
+  FROM paths WHERE (c, i) IN (SELECT (c, max(i)) FROM paths GROUP BY c)),
+audits AS (SELECT c, left(path, 9)::BIGINT AS cost, substr(path, 10) AS audit FROM ends),
+steps AS (
+  SELECT c, p, edit, count(*) FILTER (WHERE edit <> 'I') OVER w AS i, count(*) FILTER (WHERE edit <> 'D') OVER w AS j
+  FROM (SELECT c, unnest(string_split(audit, '')) AS edit, generate_subscripts(string_split(audit, ''), 1) AS p FROM audits)
+  WHERE edit <> ''
+  WINDOW w AS (PARTITION BY c ORDER BY p)),
+led AS (
+  SELECT s.*, t.role, t.text, max((s.j = 1 AND s.edit = 'K' AND t.initial = 's')::INTEGER) OVER (PARTITION BY s.c) AS lead
+  FROM steps s LEFT JOIN told t ON t.c = s.c AND t.i = s.i WHERE s.edit <> 'D'),
+texts AS (
+  SELECT c, string_agg(CASE edit WHEN 'K' THEN role ELSE CASE (j - lead) % 2 WHEN 1 THEN 'user' ELSE 'assistant' END END
+    || ':' || CASE edit WHEN 'I' THEN '' ELSE text END, chr(10) ORDER BY p) AS repaired FROM led GROUP BY c),
+counted AS (
+  SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+    count(*) FILTER (WHERE fault = 'truncated') AS truncated, count(*) FILTER (WHERE illegal) AS illegal
+  FROM told GROUP BY c)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, cost, audit,
+  sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM convs JOIN audits USING (c) LEFT JOIN counted USING (c) LEFT JOIN texts USING (c)
+"""
+
 ORACLES = {
     "op1_substring_dedup": OP1,
     "op2_source_mix": OP2,
@@ -151,4 +228,5 @@ ORACLES = {
     "op4_decontamination": OP4,
     "op8_ngram_jaccard": OP8,
     "op10_line_dedup": OP10,
+    "op11_conversation_repair": OP11,
 }
