@@ -12,6 +12,7 @@ from tenantlens.llm import (
     license_scan,
     line_dedup,
     ngram_jaccard,
+    piece_codec,
     secret_scan,
     source_mix,
     substring_dedup,
@@ -22,6 +23,7 @@ from tenantlens.llm.common import table
 from tenantlens.session import scratch_dir
 
 VOCABULARY = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,6 +84,19 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.report(conversation_repair.repair(rows))
 
 
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    coded = piece_codec.coded(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_source_mix": op2_source_mix,
@@ -94,4 +109,5 @@ QUERIES = {
     "op9_license_scan": op9_license_scan,
     "op10_line_dedup": op10_line_dedup,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_sentencepiece": op12_sentencepiece,
 }
