@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenantlens.llm.common import sliced, stored
-from tenantlens.llm.ordered import BLOCK_ROWS, Stretch, dealt, in_batches, stretches, typed
+from tenantlens.llm.ordered import BLOCK_ROWS, Stretch, dealt, in_batches, scanned, stretches, typed
 
 EMPTY, SYSTEM, USER, ASSISTANT = STATES = range(4)
 KEEP, REROLE, DELETE, INSERT, TRUNCATED = 0, 2, 3, 2, 1
@@ -311,25 +311,6 @@ def _with_repeats(blocks: DataFrame) -> DataFrame:
     return joined.mapInArrow(lambda batches: in_batches(flagged(batches), schema), schema)
 
 
-def _scanned(blocks: DataFrame, step, ddl: str, last_first: bool) -> DataFrame:
-    """The rows of each conversation in the order of its blocks, or against it, through
-    ``step(row, carried)``: what it returns is put out, and its second value carried on."""
-    order = [F.col(c).desc() if last_first else F.col(c) for c in ("part", "block")]
-    ordered = blocks.repartition("conv_id").sortWithinPartitions("conv_id", *order)
-    schema = typed(blocks, "part", "block", ddl=ddl)
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        whose, carried = None, None
-        for batch in batches:
-            for row in batch.to_pylist():
-                if whose != (key := (row["conv_id"],)):
-                    whose, carried = key, None
-                values, carried = step(row, carried)
-                yield row["part"], row["block"], *values
-
-    return ordered.mapInArrow(lambda batches: in_batches(scan(batches), schema), schema)
-
-
 def _handed_back(row: dict, carried: int | None) -> tuple[tuple, int]:
     """The vector behind a block, as far as its outcomes are known."""
     right, known = carried or 0, dict((o["right"], o["left"]) for o in row["outcomes"])
@@ -360,8 +341,8 @@ def right_vectors(blocks: DataFrame) -> tuple[DataFrame, int]:
         outcomes = known.groupBy("conv_id", "part", "block").agg(
             F.collect_list(F.struct("right", "left")).alias("outcomes")  # VECTORS at most
         )
-        scan = _scanned(outcomes, _handed_back, "right int, known boolean, last boolean", last_first=True)
-        scan = stored(scan, "repair-scan")
+        scan = scanned(outcomes, _handed_back, "right int, known boolean, last boolean", last_first=True)
+        scan = stored(scan.drop("conv_id"), "repair-scan")
         missing = scan.filter("NOT known").select("part", "block", "right")
         if missing.isEmpty():
             return scan.drop("known"), passes
@@ -395,7 +376,7 @@ def _spread_repaired(blocks: DataFrame) -> DataFrame:
                 yield *[row[c] for c in ("conv_id", "part", "block", "last_turn")], row["initials"][-1:], to
 
     ways = placed.mapInArrow(lambda batches: in_batches(led(batches), ends), ends)
-    states = _scanned(ways, _led, "state int, turn_before long, initial_before string", last_first=False)
+    states = scanned(ways, _led, "state int, turn_before long, initial_before string").drop("conv_id")
     texts = blocks.select("part", "block", "whole", "roles", "texts")
     whole = placed.join(states, ["part", "block"]).join(texts, ["part", "block"])
     schema = typed(blocks, "conv_id", ddl=f"{PLACE}, {FOUND}")

@@ -221,6 +221,46 @@ SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce
 FROM convs JOIN audits USING (c) LEFT JOIN counted USING (c) LEFT JOIN texts USING (c)
 """
 
+OP13 = f"""
+WITH {CRC},
+turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+      sha256(concat_ws('|', length(coalesce(role, '')), coalesce(role, ''), coalesce(text, '')))) AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id, {CRC_OF.format(text="conv_id::VARCHAR")} % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns), crc),
+rebuilt AS (
+  SELECT c.conv_id, t.i, 0 AS part, role, text FROM convs c JOIN turns t ON t.conv_id = c.conv_id - c.conv_id % 5 AND t.i <= c.h
+  UNION ALL
+  SELECT c.conv_id, t.i, 1, role, text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.i > c.h),
+placed AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, i) AS depth,
+    sha256(length(role) || '|' || role || '|' || text) AS turn, strlen(text) AS size FROM rebuilt),
+paths AS (
+  SELECT conv_id, 0 AS depth, '' AS node, 0 AS size FROM convs
+  UNION ALL
+  SELECT conv_id, depth, sha256(string_agg(turn, ',') OVER (PARTITION BY conv_id ORDER BY depth)), size FROM placed),
+lasts AS (SELECT conv_id, max(depth) AS last FROM paths GROUP BY conv_id),
+nodes AS (
+  SELECT node, p.depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(size) AS size,
+    string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE p.depth = last) AS ends
+  FROM paths p JOIN lasts USING (conv_id) GROUP BY node, p.depth),
+parents AS (
+  SELECT n.node, n.depth, up.node AS parent, un.conv_id AS parent_conv_id
+  FROM nodes n JOIN paths up ON up.conv_id = n.conv_id AND up.depth = n.depth - 1
+  JOIN nodes un ON un.node = up.node AND un.depth = up.depth),
+kids AS (SELECT parent AS node, depth - 1 AS depth, count(*) AS n_children FROM parents GROUP BY ALL),
+below AS (
+  SELECT p.node, p.depth, sum((n.n_convs - 1) * n.size) AS saved_tokens, count(*) FILTER (WHERE k.node IS NULL) AS n_leaves
+  FROM nodes n JOIN paths p ON p.conv_id = n.conv_id AND p.depth <= n.depth
+  LEFT JOIN kids k ON k.node = n.node AND k.depth = n.depth GROUP BY p.node, p.depth)
+SELECT n.conv_id, n.depth::BIGINT AS depth, parent_conv_id, n_convs, coalesce(n_children, 0)::BIGINT AS n_children,
+  n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(ends, '')) AS ends_sha256
+FROM nodes n JOIN below USING (node, depth) LEFT JOIN parents USING (node, depth) LEFT JOIN kids USING (node, depth)
+"""
+
 ORACLES = {
     "op1_substring_dedup": OP1,
     "op2_source_mix": OP2,
@@ -229,4 +269,5 @@ ORACLES = {
     "op8_ngram_jaccard": OP8,
     "op10_line_dedup": OP10,
     "op11_conversation_repair": OP11,
+    "op13_prefix_trie": OP13,
 }

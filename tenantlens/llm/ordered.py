@@ -8,7 +8,7 @@ in blocks, numbered within the task: (part, block) is their order in the group.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -109,3 +109,23 @@ def in_batches(
             held, size = [], 0
     if held:
         yield made()
+
+
+def scanned(blocks: DataFrame, step: Callable, ddl: str, last_first: bool = False) -> DataFrame:
+    """The blocks of each ``conv_id`` in their order, or against it, one at a time through
+    ``step(row, carried)``: its first value is put out with the place of the block, its
+    second is handed to the next block. Blocks should be thin here."""
+    order = [F.col(c).desc() if last_first else F.col(c) for c in ("part", "block")]
+    ordered = blocks.repartition("conv_id").sortWithinPartitions("conv_id", *order)
+    schema = typed(blocks, "conv_id", "part", "block", ddl=ddl)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        whose, carried = None, None
+        for batch in batches:
+            for row in batch.to_pylist():
+                if whose != (key := (row["conv_id"],)):
+                    whose, carried = key, None
+                values, carried = step(row, carried)
+                yield row["conv_id"], row["part"], row["block"], *values
+
+    return ordered.mapInArrow(lambda batches: in_batches(scan(batches), schema), schema)

@@ -13,6 +13,7 @@ from tenantlens.llm import (
     line_dedup,
     ngram_jaccard,
     piece_codec,
+    prefix_trie,
     secret_scan,
     source_mix,
     substring_dedup,
@@ -97,6 +98,13 @@ def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes = prefix_trie.trie(prefix_trie.paths(table(spark, sf_dir, "conversations")))
+    return nodes.select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"
+    )
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_source_mix": op2_source_mix,
@@ -110,4 +118,5 @@ QUERIES = {
     "op10_line_dedup": op10_line_dedup,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_sentencepiece": op12_sentencepiece,
+    "op13_prefix_trie": op13_prefix_trie,
 }
