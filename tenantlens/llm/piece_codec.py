@@ -10,16 +10,17 @@ that no piece has.
 Short texts have their agendas side by side as rows of arrays (``many_ids``), long ones
 a heap.
 
-*Segments.* A merge can cross from one segment (spaces and what follows them) to the
-next only if a piece has a space behind another character. The vocabulary is asked
-for that once; if there is none, segments are encoded each for itself, and frequent
-ones are kept.
+*Segments.* Two neighbouring characters can come together only if some piece has them
+side by side. Characters that do so are of one class (letters mostly are one, marks
+and digits others); unless a piece has a space behind another character, merges stay
+inside a stretch of one class with the spaces before it. Such segments are encoded
+each for itself, and frequent ones are kept.
 
 *Decoding* turns pieces and runs of byte pieces back to text.
 
-*Check.* In each Arrow batch the library encodes what is new: segments not met before,
-as one text, and texts that are not such segments alone, whole. It decodes all ids. A
-difference stops the job (``check=False`` leaves that out). Normalization is the library's.
+*Check.* In each Arrow batch the library encodes what is new: the segments not met
+before, as one text; texts with pieces that the user defined, and all texts of a
+vocabulary without segments, whole. It decodes all ids. A difference stops the job (``check=False`` leaves that out). Normalization is the library's.
 
 Scale: one pass, no shuffle. A task holds a slice of a batch; an agenda is as long as
 its segment. The model file is sent with the job.
@@ -48,6 +49,7 @@ from sentencepiece import sentencepiece_model_pb2 as model_format
 from tenantlens.llm.common import sliced
 
 SPACE = "▁"
+APART = "\n"  # between segments that are checked
 KEPT_SEGMENTS = 300_000
 SHORT = (6, 10, 16, 32, 64)  # characters of the segments whose agendas lie side by side
 ROWS = 20_000  # agendas side by side
@@ -84,8 +86,8 @@ class PieceCodec:
         self.all_leading = spec.normalizer_spec.remove_extra_whitespaces
         own = sorted((p.piece for p in spec.pieces if p.type == kinds.USER_DEFINED), key=len, reverse=True)
         self.own = re.compile("(" + "|".join(map(re.escape, own)) + ")") if own else None
-        self.crossing = any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.scores)
-        self.segment = re.compile("(?s).+" if self.crossing else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+        self.crossing = any(re.search(f"[^{SPACE}]{SPACE}|{APART}", p) for p in self.scores)
+        self.segment = re.compile("(?s).+" if self.crossing else self._segments())
         # ids whose text does not depend on others
         self.plain = {i: p.replace(SPACE, " ") for p, i in self.id_of.items() if p in self.scores and i not in self.byte_of}
         self.plain |= {i: chr(b) for i, b in self.byte_of.items() if b < 128}
@@ -97,6 +99,28 @@ class PieceCodec:
         self.pair_scores = np.array([self.scores[self.pieces[i]] for i in self.pair_unions])
         self.kept: dict[str, list[int]] = {}
 
+    def _segments(self) -> str:
+        """Pattern of the stretches that no merge leaves. Characters that follow each other
+        in some piece are of one class; a piece lies in one class but for its spaces."""
+        root: dict[str, str] = {}
+
+        def top(x: str) -> str:
+            while root.setdefault(x, x) != x:
+                x = root[x]
+            return x
+
+        for piece in self.scores:
+            for a, b in itertools.pairwise(piece.lstrip(SPACE)):
+                root[top(a)] = top(b)
+            if piece[:1] == SPACE and (rest := piece.lstrip(SPACE)):
+                top(rest[0])
+        classes: dict[str, list[str]] = {}
+        for x in root:
+            classes.setdefault(top(x), []).append(x)
+        inside = [f"[{re.escape(''.join(sorted(c)))}]+" for c in sorted(classes.values(), key=len, reverse=True)]
+        alone = f"[^{re.escape(''.join(sorted(root)))}{SPACE}]"
+        return f"(?s){SPACE}*(?:{'|'.join([*inside, alone])})|{SPACE}+"
+
     def merged(self, text: str) -> list[str]:
         """Symbols of a text after all merges."""
         symbols: list[str] = list(text)
@@ -219,50 +243,53 @@ class PieceCodec:
         return out
 
     def encode(self, texts: list[str], check: bool = False) -> list[list[int]]:
-        """Ids of each text. ``check``: texts that are segments with spaces before them
-        are checked segment by segment, each when it is first met, others as a whole."""
-        parts = []  # of each text: segments, and what the user defined between them
+        """Ids of each text. ``check``: each segment is checked when it is first met, and
+        texts that segments do not tell, as a whole."""
+        parts, whole = [], []
         fresh: dict[str, list[int]] = {}
-        whole = []
         for at, text in enumerate(texts):
             normal = self.library.normalize(text)
             pieces = self.own.split(normal) if self.own else [normal]
-            found = [p if n % 2 else self.segment.findall(p) for n, p in enumerate(pieces)]
-            fresh.update(dict.fromkeys(s for p in found[::2] for s in p if s not in self.kept))
+            found = []  # of each stretch between pieces that the user defined: segments, ids known
+            for n, piece in enumerate(pieces):
+                segments = [piece] if n % 2 else self.segment.findall(piece)
+                known = [[self.id_of[piece]]] if n % 2 else list(map(self.kept.get, segments))
+                if None in known:
+                    fresh.update((s, ()) for s, ids in zip(segments, known, strict=True) if ids is None)
+                found.append((segments, known))
             parts.append(found)
-            if check and normal and (len(pieces) > 1 or self.crossing or normal[0] != SPACE or normal[-1] == SPACE):
+            if check and len(pieces) > 1:
                 whole.append(at)
         names = list(fresh)
         fresh = dict(zip(names, self.many_ids(names), strict=True))
-        if check and not self.crossing and not self._checked(fresh):
+        if check and (self.crossing or not self._checked(fresh)):
             whole = range(len(texts))
         room = KEPT_SEGMENTS - len(self.kept)
         self.kept.update(itertools.islice(((s, i) for s, i in fresh.items() if len(s) <= SHORT[-1]), max(0, room)))
         out = []
         for found in parts:
             ids: list[int] = []
-            for n, p in enumerate(found):
-                if n % 2:
-                    ids.append(self.id_of[p])
-                else:
-                    ids.extend(itertools.chain.from_iterable([self.kept.get(s) or fresh[s] for s in p]))
+            for segments, known in found:
+                if None in known:
+                    known = [fresh[s] if i is None else i for s, i in zip(segments, known, strict=True)]
+                ids.extend(itertools.chain.from_iterable(known))
             out.append(ids if self.byte_fallback else _one_unknown(ids, self.unknown))
         if whole and [out[i] for i in whole] != self.library.encode([texts[i] for i in whole], num_threads=1):
             raise ValueError("ids differ from the sentencepiece library")
         return out
 
     def _checked(self, fresh: dict[str, list[int]]) -> bool:
-        """New segments, one after the other as a text, against the library; False if
-        they make no text that it would leave as it is."""
-        joined = [s for s in fresh if s[0] == SPACE and s[-1] != SPACE]
-        text = "".join(joined).replace(SPACE, " ")
-        if self.dummy:  # the library puts the first space itself
-            text = text[1:]
-        ids = list(itertools.chain.from_iterable([fresh[s] for s in joined]))
-        ids = ids if self.byte_fallback else _one_unknown(ids, self.unknown)
-        if self.library.normalize(text) != "".join(joined):
+        """New segments against the library, as one text with a character between them that
+        no piece has; False if the library would not leave that text as it is."""
+        text = "".join(APART + s for s in fresh)
+        if self.library.normalize(text.replace(SPACE, " ")) != SPACE * self.dummy + text:
             return False
-        if ids != self.library.encode(text):
+        apart, ids = self._ids(APART), self._ids(SPACE) if self.dummy and text else []
+        for found in fresh.values():
+            ids += apart
+            ids += found
+        ids = ids if self.byte_fallback else _one_unknown(ids, self.unknown)
+        if ids != self.library.encode(text.replace(SPACE, " ")):
             raise ValueError("ids differ from the sentencepiece library")
         return True
 
