@@ -8,7 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tenantlens.llm import conversation_repair, ordered, piece_codec, prefix_trie
+from tenantlens.llm import conversation_repair, piece_codec, prefix_trie
+from tenantlens.llm.common import stored
 
 TALK = "conv_id BIGINT, turn BIGINT, role STRING, text STRING"
 WHITE = " \t\n\x0b\f\r"
@@ -183,7 +184,7 @@ def test_passes_do_not_grow_with_the_blocks(spark, talks):
     rows = [(1, t, "user", f"Row {t}.") for t in range(90)]
     undamaged = talks(rows).withColumn("copies", F.lit(1))
     blocks = conversation_repair.blocks_of(conversation_repair.marked(undamaged), 3).filter("NOT whole")
-    kinds = ordered.stored(conversation_repair._with_repeats(blocks), "test")
+    kinds = stored(conversation_repair._with_repeats(blocks), "test")
     assert kinds.count() >= 30
     assert conversation_repair.right_vectors(kinds)[1] <= 4
 
