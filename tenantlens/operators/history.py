@@ -9,9 +9,11 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tenantlens.operators.key_index import KeyIndex
 from tenantlens.operators.joins import (
     BROADCAST_BYTES,
     common_types,
+    holds_unordered,
     stored_bytes,
     without_match,
 )
@@ -58,12 +60,33 @@ def new_rows(
     return batch.join(F.broadcast(found), keys, "left_anti").select(*batch.columns)
 
 
+def _unknown_rows(
+    batch: DataFrame,
+    known: DataFrame,
+    keys: Sequence[str],
+    *,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    **hot_key_options: int,
+) -> DataFrame:
+    """Batch rows whose key is not among ``known`` ones of the batch."""
+    if stored_bytes(known) > broadcast_bytes:
+        return without_match(batch, known, list(keys), **hot_key_options)
+    return batch.join(F.broadcast(known), list(keys), "left_anti").select(*batch.columns)
+
+
 def one_per_key(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Copies of a key inside one batch merged to the smallest row; rows with a
-    missing key part all stay. Copies meet pre-merged, one per task."""
+    missing key part all stay. Copies meet pre-merged, one per task. Columns that have
+    no order, such as the whole record, are compared as JSON text."""
     missing = _missing_key(keys)
     row = F.struct(*[F.col(f"`{c}`") for c in batch.columns])
-    kept = batch.where(~missing).groupBy(*keys).agg(F.min(row).alias("_row")).select("_row.*")
+    loose = [f.name for f in batch.schema.fields if holds_unordered(f.dataType)]
+    if loose:
+        ordered = [F.col(f"`{c}`") for c in batch.columns if c not in loose]
+        smallest = F.min_by(row, F.struct(*ordered, F.to_json(F.struct(*[F.col(f"`{c}`") for c in loose]))))
+    else:
+        smallest = F.min(row)
+    kept = batch.where(~missing).groupBy(*keys).agg(smallest.alias("_row")).select("_row.*")
     return kept.unionByName(batch.where(missing))
 
 
@@ -75,26 +98,39 @@ def merge_insert_only(
     *,
     merge_copies: bool = False,
     partition_by: Sequence[str] = (),
+    held: bool = False,
+    index: KeyIndex | None = None,
     **join_options: int,
 ) -> int:
     """Append the batch rows whose key is not in the table yet; never change a
-    row. The first load creates the table. Returns the rows added.
+    row. The first load creates the table. Returns the rows added. ``held`` says that
+    the caller keeps the batch, so that it is not stored here once more. ``index``
+    tells which keys are there already, and is brought up to date.
 
     Rows are only added, and those that are there are found again, so a run
     that broke off is repaired by running it once more. Rows without a key
     cannot be found again: every run adds them.
     """
     loaded = store.exists(name)
-    if loaded or merge_copies:
+    if not held and (loaded or merge_copies):
         # read several times below, and parsed from its files only once
         batch = batch.persist(StorageLevel.DISK_ONLY)
     try:
         rows = one_per_key(batch, keys) if merge_copies else batch
+        if loaded and index is not None and index.takes(batch):
+            state = index.ready()
+            rows = _unknown_rows(rows, index.known(batch, state), keys, **join_options)
+            added = store.append(name, rows, partition_by)["rows"]
+            index.added(state)
+            return added
         if loaded:
             rows = new_rows(rows, store.read(name), keys, **join_options)
         return store.append(name, rows, partition_by)["rows"]
     finally:
-        batch.unpersist()
+        if index is not None:
+            index.release()
+        if not held:
+            batch.unpersist()
 
 
 def window_bounds(

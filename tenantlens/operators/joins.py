@@ -81,18 +81,19 @@ def spread_slot(rows: DataFrame, apart: Column, *keys: Column) -> Column:
     its place would not do: the optimizer takes a constant out of the join keys.
     """
     hashable = [
-        F.col(f"`{f.name}`") for f in rows.schema.fields if not _holds_map(f.dataType)
+        F.col(f"`{f.name}`") for f in rows.schema.fields if not holds_unordered(f.dataType)
     ]
     dealt = F.xxhash64(*hashable, F.spark_partition_id())
     return F.when(apart, dealt).otherwise(slot(*keys))
 
 
-def _holds_map(data_type: T.DataType) -> bool:
+def holds_unordered(data_type: T.DataType) -> bool:
+    """Whether values of the type hold maps or variants: these are neither hashed nor ordered."""
     if isinstance(data_type, T.StructType):
-        return any(_holds_map(f.dataType) for f in data_type.fields)
+        return any(holds_unordered(f.dataType) for f in data_type.fields)
     if isinstance(data_type, T.ArrayType):
-        return _holds_map(data_type.elementType)
-    return isinstance(data_type, T.MapType)
+        return holds_unordered(data_type.elementType)
+    return isinstance(data_type, (T.MapType, T.VariantType))
 
 
 def _crowded_keys(keyed: DataFrame, hot_key_rows: int, max_hot_keys: int) -> list[Row]:

@@ -21,14 +21,23 @@ from tenantlens.operators.history import (
     merge_insert_only,
 )
 from tenantlens.operators.inventory import item_dimension, workspace_dimension
+from tenantlens.operators.key_index import KeyIndex
 from tenantlens.operators.lineage import lineage_edges, lineage_targets
 from tenantlens.operators.typed import typed_table
 from tenantlens.plans.star import StarModel
-from tenantlens.schemas import PAGE_ITEMS_KEY, PARENT_KEYS, RAW_DDL, TYPED_COLUMNS
+from tenantlens.schemas import (
+    NEXT_PAGE,
+    NEXT_PAGE_OF,
+    PAGE_ITEMS_KEY,
+    PARENT_KEYS,
+    RAW_DDL,
+    TYPED_COLUMNS,
+)
 from tenantlens.sources.calendar import calendar_hours, calendar_table
 from tenantlens.sources.landing import (
     attach_parent_keys,
     broken_lists,
+    count_broken,
     flatten_pages,
     landing_audit,
     parents_without_children,
@@ -71,28 +80,28 @@ SAME_AS_TYPED = {
     "fact_capacity_metrics": "capacity_metrics",
 }
 EVENT_DATE = "event_date"
+ACTOR_DAYS = "actor_days"
+INDEXED_FROM_BYTES = 256 << 20
 
 
-def landed(
-    spark: SparkSession, landing: str, entity: str, paged: bool, observation: Observation
-) -> DataFrame:
+def landed(lines: DataFrame, entity: str, key: str | None, observation: Observation) -> DataFrame:
     """Records of one entity; bad lines are counted by the observation."""
-    lines, key = _lines(spark, landing, entity, paged)
     counts = landing_audit(lines, key)
     lines = lines.observe(observation, *[c.alias(n) for n, c in counts.items()])
-    if not paged:
+    if key is None:
         return lines
     parents = PARENT_KEYS.get(entity, ())
     return attach_parent_keys(lines, key, {p: p for p in parents}) if parents else flatten_pages(lines, key)
 
 
 def _lines(spark: SparkSession, landing: str, entity: str, paged: bool) -> tuple[DataFrame, str | None]:
-    """Records or pages as landed, and the pages' array."""
+    """Records or pages as landed, and the pages' array. The files are listed here, once."""
     path, ddl = f"{landing}/{entity}", RAW_DDL[entity]
     if not paged:
         return read_records(spark, path, ddl), None
     key = PAGE_ITEMS_KEY[entity]
-    return read_pages(spark, path, key, ddl, PARENT_KEYS.get(entity, ())), key
+    token = NEXT_PAGE_OF.get(entity, NEXT_PAGE)
+    return read_pages(spark, path, key, ddl, PARENT_KEYS.get(entity, ()), token, whole=True), key
 
 
 def build_raw(
@@ -106,20 +115,22 @@ def build_raw(
     or for entities in ``paged`` one page. Returns the rows of each write with
     the count of lines (pages) read, of bad ones, of ones of which nothing is
     kept, and of page lists that break off. The text of bad lines is kept in
-    ``quarantine.<entity>``; only if there are any, the files are read again."""
+    ``quarantine.<entity>``; only if there are any, the same files are read again.
+    Records are kept whole, see ``sources.landing``."""
     paged = set(paged)
     audit = {}
 
     def load(entity: str, write) -> None:
-        lines = Observation(f"land {entity}")
-        written = write(landed(spark, landing, entity, entity in paged, lines))
-        read = {f"landed_{n}": int(v or 0) for n, v in lines.get.items()}
+        counted = Observation(f"land {entity}")
+        lines, key = _lines(spark, landing, entity, entity in paged)
+        written = write(landed(lines, entity, key, counted))
+        read = {f"landed_{n}": int(v or 0) for n, v in counted.get.items()}
         if entity in paged:
-            pages, _ = _lines(spark, landing, entity, True)
-            read["landed_broken_lists"] = broken_lists(pages, PARENT_KEYS.get(entity, ())).count()
+            lists = broken_lists(lines, PARENT_KEYS.get(entity, ()))
+            read["landed_broken_lists"] = count_broken(lists)
         audit[f"bronze.{entity}"] = {"rows": written, **read}
         if read["landed_bad_rows"] or read["landed_lost_rows"] or store.exists(f"quarantine.{entity}"):
-            store.overwrite(f"quarantine.{entity}", quarantined(*_lines(spark, landing, entity, entity in paged)))
+            store.overwrite(f"quarantine.{entity}", quarantined(lines, key))
 
     for entity in SNAPSHOTS:
         load(entity, lambda rows, e=entity: store.overwrite(f"bronze.{e}", rows)["rows"])
@@ -137,17 +148,26 @@ def build_raw(
     return audit
 
 
-def add_activity(store: TableStore, events: DataFrame) -> int:
+def add_activity(
+    store: TableStore, events: DataFrame, held: bool = False, indexed_from: int = INDEXED_FROM_BYTES
+) -> int:
     """New events into the history, which lies by day. Ids are compared over the
-    whole history: an event may come again with another time."""
+    whole history: an event may come again with another time. A history of
+    ``indexed_from`` bytes or more is asked by its key index, a smaller one is read.
+    ``held``: the caller keeps the events stored meanwhile."""
     dated = events.withColumn(EVENT_DATE, F.to_date(parse_timestamp("CreationTime")))
+    index = None
+    if store.exists(name := "bronze.activity") and store.bytes(name) >= indexed_from:
+        index = KeyIndex(store, name, ACTIVITY_KEYS, near=EVENT_DATE)
     return merge_insert_only(
         store,
-        "bronze.activity",
+        name,
         dated,
         ACTIVITY_KEYS,
         merge_copies=True,
         partition_by=[EVENT_DATE],
+        held=held,
+        index=index,
     )
 
 
@@ -178,6 +198,7 @@ def build_typed(store: TableStore, since: dt.date | None = None) -> None:
         store.overwrite(f"silver.{entity}", typed_table(entity, raw))
     events = _days_from(store.read("bronze.activity"), since)
     _write_days(store, "silver.activity", dated_activity(events), since)
+    _write_actor_days(store, since)
     store.overwrite("silver.users", merged_identities(store))
     scan = usable_records(store.read("bronze.workspace_scan"))
     store.overwrite("silver.lineage", lineage_edges(scan))
@@ -189,6 +210,18 @@ def dated_activity(raw: DataFrame) -> DataFrame:
     return typed_table("activity", raw).withColumn(EVENT_DATE, F.to_date("creation_time"))
 
 
+def _write_actor_days(store: TableStore, since: dt.date | None) -> None:
+    """Who acted on which day, from the days just written; from all days if there is no
+    such table yet."""
+    if not store.index.exists(ACTOR_DAYS):
+        since = None
+    seen = identity.actor_days(_days_from(store.read("silver.activity"), since), EVENT_DATE)
+    if since is None:
+        store.index.overwrite(ACTOR_DAYS, seen, [EVENT_DATE], gather=True)
+    else:
+        store.index.replace_partitions(ACTOR_DAYS, seen, [EVENT_DATE])
+
+
 def _days_from(events: DataFrame, since: dt.date | None) -> DataFrame:
     day = F.col(EVENT_DATE)
     return events if since is None else events.where((day >= F.lit(since)) | day.isNull())
@@ -232,26 +265,27 @@ def build_star(store: TableStore, since: dt.date | None = None) -> None:
         "dim_inventory",
         item_dimension(typed("items"), typed("workspaces"), typed("capacities")),
     )
-    actors = gold("dim_user", identity.actor_dimension(typed("users"), typed("activity")))
+    seen = store.index.read(ACTOR_DAYS)
+    users = typed("users")
+    actors = gold("dim_user", users.unionByName(identity.unnamed_actors(seen, users)))
     keys = gold("next_actor_keys", identity.actor_keys(actors))
     if not store.exists("gold.actor_keys"):
         since = None
     events = typed("activity")
     if since is not None:
         changed = identity.changed_keys(store.read("gold.actor_keys"), keys)
-        events = _days_touched(events, since, changed)
+        events = _days_touched(events, seen, since, changed)
     _write_days(store, "gold.fact_activity", identity.with_actor(events, keys), since)
     # last, so that a run that broke off finds the same changes again
     gold("actor_keys", keys)
     gold("fact_lineage", lineage_targets(typed("lineage"), inventory))
 
 
-def _days_touched(events: DataFrame, since: dt.date, changed: DataFrame) -> DataFrame:
-    """Events of the days from ``since`` on, without a day, or with an actor whose
-    key has changed. The days before are one row each."""
-    earlier = events.where(F.col(EVENT_DATE) < F.lit(since))
-    named = earlier.select(EVENT_DATE, F.lower("user_id").alias("key")).distinct()
-    days = [r[0] for r in named.join(changed, "key", "left_semi").select(EVENT_DATE).distinct().collect()]
+def _days_touched(events: DataFrame, seen: DataFrame, since: dt.date, changed: DataFrame) -> DataFrame:
+    """Events of the days from ``since`` on, without a day, or with an actor whose key
+    has changed. Which days these are is looked up among the actors by day."""
+    named = seen.where(F.col(EVENT_DATE) < F.lit(since)).join(changed, "key", "left_semi")
+    days = [r[0] for r in named.select(EVENT_DATE).distinct().collect()]  # one a day at most
     return events.where((F.col(EVENT_DATE) >= F.lit(since)) | F.col(EVENT_DATE).isNull() | F.col(EVENT_DATE).isin(days))
 
 

@@ -206,13 +206,19 @@ def capacity_by_hour(model: StarModel, filters: Filters | None = None) -> DataFr
 
 
 def slicer_values(
-    model: StarModel, columns: Sequence[str], matching: Column | None = None
+    model: StarModel,
+    columns: Sequence[str],
+    matching: Column | None = None,
+    filters: Filters | None = None,
 ) -> DataFrame:
     """Values offered by slicers as rows ``(slicer, value)``, values as text: the
     distinct ones of a list, the smallest and largest of a range.
 
     The list slicers of a table are grouped together first; only the groups, one
     per combination of labels, are taken apart into single values.
+
+    With ``filters`` a slicer offers the values of the rows that meet all of them but
+    its own: a choice made in a slicer does not narrow that slicer.
     """
     by_table: dict[str, list[str]] = {}
     for name in columns:
@@ -221,6 +227,10 @@ def slicer_values(
     for table_name, names in by_table.items():
         ranges = [n for n in names if n in RANGE_SLICERS]
         lists = [n for n in names if n not in ranges]
+        if filters:
+            values = _values_in_context(model, table_name, lists, ranges, filters)
+            result = values if result is None else result.unionByName(values)
+            continue
         rows, offered = model[table_name], []
         if lists:
             columns_of = [F.col(split_name(n)[1]).cast("string").alias(n) for n in lists]
@@ -236,6 +246,41 @@ def slicer_values(
     return result if matching is None else result.where(matching)
 
 
+def _values_in_context(
+    model: StarModel, base: str, lists: Sequence[str], ranges: Sequence[str], filters: Filters
+) -> DataFrame:
+    """Values of all slicers of one table, each under the filters but its own, from one
+    scan: a row whose mask lacks one bit counts for the slicer of that filter alone."""
+    columns = {n: split_name(n)[1] for n in [*lists, *ranges]}
+    rows, bits = model.unmet(base, filters, list(dict.fromkeys(columns.values())))
+    labels = [F.col(columns[n]).cast("string").alias(f"_v{i}") for i, n in enumerate(lists)]
+    ends = [end(columns[n]).alias(f"_{side}{i}") for i, n in enumerate(ranges) for side, end in (("min", F.min), ("max", F.max))]
+    some = rows.where(F.bit_count("_unmet") <= 1)
+    groups = some.groupBy(*labels, "_unmet")
+    groups = groups.agg(*ends) if ends else groups.agg(F.lit(True).alias("_any"))
+
+    def counts_for(name: str) -> Column:
+        return F.col("_unmet").bitwiseAND(F.lit(~bits.get(name, 0)).cast("bigint")) == 0
+
+    offered = []
+    if lists:
+        each = [
+            F.when(counts_for(n), F.struct(F.lit(n).alias("slicer"), F.col(f"_v{i}").alias("value")))
+            for i, n in enumerate(lists)
+        ]
+        found = groups.select(F.explode(F.array_compact(F.array(*each))).alias("_found"))
+        offered.append(found.select("_found.*").distinct())
+    for i, name in enumerate(ranges):
+        low, high = (f(F.when(counts_for(name), F.col(f"_{side}{i}"))) for side, f in (("min", F.min), ("max", F.max)))
+        values = groups.agg(F.array_distinct(F.array(low, high)).alias("ends"))
+        values = values.select(F.lit(name).alias("slicer"), F.explode("ends").alias("value"))
+        offered.append(values.select("slicer", F.col("value").cast("string").alias("value")))
+    result = offered[0]
+    for values in offered[1:]:
+        result = result.unionByName(values)
+    return result
+
+
 def _base_rows(
     model: StarModel, base: str, columns: Sequence[str], filters: Filters | None
 ) -> DataFrame:

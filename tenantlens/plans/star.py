@@ -6,7 +6,7 @@ from collections import ChainMap
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenantlens.functions.predicates import Predicate
@@ -120,6 +120,49 @@ class StarModel:
         rows = matching(rows, {n: p for n, p in effective.items() if split_name(n)[0] != base})
         return rows.select(*[F.col(f"`{n}`") for n in dict.fromkeys(names)])
 
+    def unmet(self, base: str, filters: Filters, columns: Sequence[str]) -> tuple[DataFrame, dict[str, int]]:
+        """Base rows with ``columns`` and ``_unmet``, a bit for each filter that the row
+        does not meet; and the bit of each filter that reaches the base.
+
+        A related table is brought as key and mask only, with the masks of the tables
+        behind it folded in before. Rows without a related row get the mask of a row of
+        blanks.
+        """
+        effective = reachable(base, filters)
+        if len(effective) > 62:
+            raise ValueError("more filters than a mask has bits")
+        bits = {name: 1 << i for i, name in enumerate(effective)}
+        return self._masked(base, {n: (p, bits[n]) for n, p in effective.items()}, list(columns)), bits
+
+    def _masked(self, base: str, tests: Mapping[str, tuple[Predicate, int]], columns: list[str]) -> DataFrame:
+        behind: dict[str, dict] = {}
+        mask = F.lit(0).cast("bigint")
+        for name, (predicate, bit) in tests.items():
+            table, column = split_name(name)
+            if table == base:
+                mask = mask.bitwiseOR(_bit_unless(predicate, F.col(column), bit))
+            else:
+                behind.setdefault(path_between(base, table)[1], {})[name] = (predicate, bit)
+        keys = [RELATIONSHIPS[(base, one)][0] for one in behind]
+        rows = self[base].select(*dict.fromkeys([*columns, *keys]), mask.alias("_unmet"))
+        for one, inner in behind.items():
+            many_key, one_key = RELATIONSHIPS[(base, one)]
+            side = self._masked(one, inner, [one_key])
+            side = side.select(F.col(one_key).alias("_one"), F.col("_unmet").alias("_other"))
+            blank = F.lit(0).cast("bigint")
+            for name, (predicate, bit) in inner.items():
+                table, column = split_name(name)
+                nothing = F.lit(None).cast(self[table].schema[column].dataType)
+                blank = blank.bitwiseOR(_bit_unless(predicate, nothing, bit))
+            rows = left_lookup(rows, side, many_key, "_one", **self.lookup_options)
+            both = F.col("_unmet").bitwiseOR(F.coalesce("_other", blank))
+            rows = rows.withColumn("_unmet", both).drop("_other")
+        return rows.select(*columns, "_unmet")
+
+
+def _bit_unless(predicate: Predicate, column: Column, bit: int) -> Column:
+    return F.when(predicate.on(column), F.lit(0).cast("bigint")).otherwise(F.lit(bit).cast("bigint"))
+
 
 def reachable(base: str, filters: Filters) -> dict[str, Predicate]:
     """The filters that have an effect on the base table."""

@@ -64,6 +64,8 @@ PAGE_ITEMS_KEY = {
     "workspace_scan": "workspaces",
 }
 NEXT_PAGE = "continuationToken"  # on every page but the last of a list
+NEXT_PAGE_OF = {"activity": "continuationUri", "directory_users": "@odata.nextLink"}
+REQUESTED_PAGE = "_requested"  # written by the extraction: the token that the page answers
 PARENT_KEYS = {
     "workspace_access": ("workspaceId",),
     "item_access": ("itemId", "workspaceId"),

@@ -17,6 +17,12 @@ class TableStore:
         self.root = root.rstrip("/")
         self.audit: dict[str, dict[str, int]] = {}
 
+    @property
+    def index(self) -> TableStore:
+        """Look-up tables that are derived from the others, beside them and not among
+        their counts; what is lost there is made again."""
+        return TableStore(self.spark, f"{self.root}/index")
+
     def path(self, name: str) -> str:
         return f"{self.root}/{name.replace('.', '/')}"
 
@@ -28,6 +34,12 @@ class TableStore:
         data = jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/[^_.]*")
         return bool(data.getFileSystem(conf).globStatus(data))
 
+    def bytes(self, name: str) -> int:
+        """Size of the table's files."""
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(self.path(name))
+        return path.getFileSystem(conf).getContentSummary(path).getLength()
+
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
@@ -60,6 +72,12 @@ class TableStore:
             rows = rows.hint("rebalance", *partition_by)
         return self._write(name, rows, "append", partition_by)
 
+    def append_as_is(
+        self, name: str, rows: DataFrame, partition_by: Sequence[str] = ()
+    ) -> dict[str, int]:
+        """Adds rows in the order and in the tasks they come in."""
+        return self._write(name, rows, "append", partition_by)
+
     def replace_partitions(
         self, name: str, rows: DataFrame, partition_by: Sequence[str]
     ) -> dict[str, int]:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tenantlens.plans.build import add_activity
 from tenantlens.schemas import RAW_DDL
-from tenantlens.sources.landing import CORRUPT, quarantined, record_type, usable_records
+from tenantlens.sources.landing import quarantined, records_of, usable_records
 from tenantlens.sources.tables import TableStore
 
 
@@ -27,19 +28,23 @@ def activity_stream(
     that is run again adds nothing twice. Lines that cannot be read whole are
     kept as text in ``quarantine.activity_stream``.
     """
-    schema = record_type(RAW_DDL["activity"]).add(CORRUPT, "string")
-    reader = spark.readStream.schema(schema).option("columnNameOfCorruptRecord", CORRUPT)
+    reader = spark.readStream
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        # by batch, so that a batch run again replaces its own lines; the write counts them
-        lines = quarantined(batch).withColumn("batch_id", F.lit(batch_id))
-        store.replace_partitions("quarantine.activity_stream", lines, ["batch_id"])
-        add_activity(store, usable_records(batch))
+    def merge(lines: DataFrame, batch_id: int) -> None:
+        batch = records_of(lines, RAW_DDL["activity"]).persist(StorageLevel.DISK_ONLY)  # parsed once
+        try:
+            # by batch, so that a batch run again replaces its own lines; the write counts them
+            bad = quarantined(batch).withColumn("batch_id", F.lit(batch_id))
+            if not bad.isEmpty():
+                store.replace_partitions("quarantine.activity_stream", bad, ["batch_id"])
+            add_activity(store, usable_records(batch), held=True)
+        finally:
+            batch.unpersist()
 
     return (
-        reader.json(landing)
+        reader.text(landing)
         .writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

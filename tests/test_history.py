@@ -13,6 +13,7 @@ from tenantlens.operators.history import (
     merge_insert_only,
     new_rows,
 )
+from tenantlens.operators.key_index import KeyIndex
 from tenantlens.sources.tables import TableStore
 
 
@@ -121,6 +122,50 @@ def test_pruned_merge_reads_the_days_of_the_batch_only(spark, empty):
     assert "PartitionFilters: [isnotnull(day" in seen._jdf.queryExecution().toString()
 
 
+def dated(spark, *data):
+    rows_ = [(k, v, dt.date(2026, 8, d) if d else None) for k, v, d in data]
+    return spark.createDataFrame(rows_, "k STRING, v STRING, day DATE")
+
+
+@pytest.mark.parametrize("broadcast_bytes", [0, 10**6])
+def test_key_index_gives_what_the_history_gives(spark, empty, broadcast_bytes):
+    """Known keys of the same day, of other days and new ones, missing keys, copies; the
+    index lost, behind and grown out of its buckets."""
+    import random
+    import shutil
+
+    rng = random.Random(4)
+    options = {"partition_by": ["day"], "merge_copies": True, "broadcast_bytes": broadcast_bytes}
+    for n in range(5):
+        batch = dated(spark, *[(rng.choice([f"k{rng.randint(0, 300)}"] * 9 + [None]), str(n), rng.choice([1, 2, 3, None])) for _ in range(90)])
+        index = KeyIndex(empty, "indexed", ["k"], near="day", bucket_keys=16, broadcast_bytes=broadcast_bytes)
+        batch = batch.persist()
+        merge_insert_only(empty, "plain", batch, ["k"], **options)
+        merge_insert_only(empty, "indexed", batch, ["k"], index=index, **options)
+        assert rows(empty.read("indexed"), "k", "v") == rows(empty.read("plain"), "k", "v")
+        batch.unpersist()
+        if n == 2:
+            shutil.rmtree(empty.index.path("indexed"))
+        if n == 3:  # an append that the index has not seen
+            for table in ("plain", "indexed"):
+                empty.append(table, dated(spark, ("late", "x", 2)), ["day"])
+    state = KeyIndex(empty, "indexed", ["k"], bucket_keys=16)._state()
+    assert state["buckets"] > 1 and state["rows"] == empty.read("indexed").count()
+
+
+def test_key_index_reads_only_buckets_that_its_filter_names(spark, empty):
+    empty.append("t", dated(spark, *[(f"k{i}", "1", 1) for i in range(4000)]), ["day"])
+    index = KeyIndex(empty, "t", ["k"], near="day", bucket_keys=100)
+    state = index.ready()
+    assert state == index.ready() and state["buckets"] == 40
+    found = index.known(dated(spark, ("k7", "2", 9), ("new", "2", 9)), state)
+    assert rows(found, "k") == [("k7",)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    buckets = [p for p in plan.split("PartitionFilters: [")[1:] if p.startswith("bucket") or "bucket#" in p[:40]]
+    assert buckets and all(p[: p.index("]")].count(",") < 4 for p in buckets)
+    index.release()
+
+
 def test_broken_first_load_is_repaired(spark, empty):
     """Some files of a load are there, its job never committed."""
     import pathlib

@@ -201,6 +201,38 @@ def _range_slicer(table: str, column: str) -> str:
     return f"SELECT DISTINCT '{name}' AS slicer, CAST(v AS VARCHAR) AS value FROM ({ends}) e"
 
 
+# rows of each table with the two labels that are chosen on related tables
+PARTS |= {
+    "chosen_inventory": """
+        SELECT i.*, w.capacity_name AS chosen_capacity
+        FROM dim_inventory i LEFT JOIN dim_workspace w ON i.workspace_id = w.workspace_id""",
+    "chosen_permissions": """
+        SELECT p.item_type, p.raw_type AS principal_type, p.permission, i.chosen_capacity,
+               u.principal_type AS chosen_type
+        FROM permissions p LEFT JOIN chosen_inventory i ON p.item_id = i.item_id
+        LEFT JOIN dim_user u ON p.principal_id = u.principal_id""",
+    "chosen_access": """
+        SELECT a.role, w.capacity_name AS chosen_capacity, u.principal_type AS chosen_type
+        FROM workspace_principals a LEFT JOIN dim_workspace w ON a.workspace_id = w.workspace_id
+        LEFT JOIN dim_user u ON a.principal_id = u.principal_id""",
+    "chosen_activity": """
+        SELECT f.*, u.principal_type AS chosen_type
+        FROM fact_activity f LEFT JOIN dim_user u ON f.principal_id = u.principal_id""",
+}
+
+
+def _offered(prefix: str, table: str, condition: str, *columns: str) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT DISTINCT '{prefix}.{c}' AS slicer, CAST({c} AS VARCHAR) AS value FROM {table} WHERE {condition}"
+        for c in columns
+    )
+
+
+_CAPACITY = "chosen_capacity IN ('NATION_1', 'NATION_4', 'NATION_8', 'NATION_12', 'NATION_20')"
+_TYPE = "chosen_type IN ('User', 'Service')"
+_WORKLOAD = "workload IN ('W1', 'W3')"
+
+
 def _failed(condition: str = "TRUE") -> str:
     return f"""
         SELECT 'total_activities' AS measure,
@@ -215,12 +247,29 @@ def _failed(condition: str = "TRUE") -> str:
 
 
 _BODIES = {
-    "ingest_json": "SELECT activity_id, user_id, user_type, workload, is_success FROM activity",
+    "ingest_json": """
+        SELECT a.activity_id, a.user_id, a.user_type, a.workload, a.is_success,
+               CAST(regexp_extract(e.props, '[0-9]+') AS BIGINT) AS client_k,
+               CASE WHEN event_id % 3 <> 0 THEN floor(e.value * 8) / 8 END AS amount,
+               CAST(8 + (a.user_id IS NOT NULL)::INTEGER + (a.workspace_name IS NOT NULL)::INTEGER
+                    + (a.is_success IS NOT NULL)::INTEGER + (event_id % 3 <> 0)::INTEGER AS BIGINT) AS n_fields
+        FROM activity a JOIN events e ON a.activity_id = 'a' || e.event_id""",
     "flatten_pages": """
         SELECT 'u' || c_custkey AS id, c_name AS display_name,
                CASE WHEN c_acctbal >= 2000 THEN lower(c_mktsegment) || c_custkey || '@x.org' END AS mail,
-               'u' || c_custkey || '@corp.org' AS user_principal_name
+               'u' || c_custkey || '@corp.org' AS user_principal_name,
+               CASE WHEN c_nationkey = 0 THEN 'Guest' ELSE 'Member' END AS user_type
         FROM customer""",
+    "page_chains": """
+        SELECT list, CASE WHEN min(page) > 1 THEN 'start missing' ELSE 'breaks off' END AS fault,
+               count(*) AS pages
+        FROM (SELECT *, page - row_number() OVER (PARTITION BY list ORDER BY page) AS piece
+              FROM (SELECT *, row_number() OVER (PARTITION BY list ORDER BY span) AS page,
+                           count(*) OVER (PARTITION BY list) AS whole
+                    FROM (SELECT DISTINCT CAST(c_nationkey AS VARCHAR) AS list, c_custkey // 20 AS span
+                          FROM customer) s) p
+              WHERE (CAST(list AS INTEGER) * 7 + page * 5) % 11 <> 3) q
+        GROUP BY list, piece, whole HAVING min(page) > 1 OR max(page) < whole""",
     "attach_parent_keys": """
         SELECT 'ws' || (o_custkey // 16) AS workspace_id, 'u' || o_custkey AS principal_id,
                o_orderkey AS grant_no
@@ -239,6 +288,14 @@ _BODIES = {
                CASE WHEN ts < TIMESTAMP '2024-01-17' OR event_id % 1000 = 999
                     THEN 'first' ELSE 'second' END AS origin
         FROM events""",
+    "merge_key_index": """
+        SELECT 'a' || event_id AS activity_id,
+               CASE WHEN ts < TIMESTAMP '2024-01-17' OR event_id % 1000 = 999
+                    THEN 'first' ELSE 'second' END AS origin
+        FROM events""",
+    "build_since": """
+        SELECT f.activity_id, f.creation_time, f.principal_id, f.user_id_raw, u.principal_type
+        FROM fact_activity f LEFT JOIN dim_user u ON f.principal_id = u.principal_id""",
     "merge_composite_key": """
         SELECT *, CASE WHEN date < DATE '2024-01-17' THEN 'first' ELSE 'second' END AS origin
         FROM capacity_metrics WHERE date IS NOT NULL""",
@@ -398,6 +455,35 @@ _BODIES = {
             _range_slicer("fact_activity", "creation_time"),
         ]
     ),
+    "slicer_context": "\nUNION ALL\n".join(
+        [
+            _slicer("dim_workspace", "capacity_name"),
+            _offered("dim_workspace", "dim_workspace", _CAPACITY.replace("chosen_capacity", "capacity_name"), "workspace_name"),
+            _offered(
+                "dim_inventory", "chosen_inventory", _CAPACITY,
+                "creator_name", "item_state", "item_name", "item_type", "workspace_name",
+            ),
+            _slicer(
+                "settings", "delegate_to_domain", "delegate_to_workspace", "delegate_to_capacity",
+                "tenant_setting_group", "setting_name", "title", "enabled",
+            ),
+            _range_slicer("calendar", "date"),
+            _slicer("dim_user", "principal_type"),
+            _offered(
+                "fact_item_access", "chosen_permissions", f"{_CAPACITY} AND {_TYPE}",
+                "item_type", "principal_type", "permission",
+            ),
+            _offered("fact_workspace_access", "chosen_access", f"{_CAPACITY} AND {_TYPE}", "role"),
+            _offered("fact_activity", "chosen_activity", _TYPE, "workload"),
+            _offered(
+                "fact_activity", "chosen_activity", f"{_TYPE} AND {_WORKLOAD}",
+                "activity", "workspace_name", "is_success",
+            ),
+            f"""SELECT DISTINCT 'fact_activity.creation_time' AS slicer, CAST(v AS VARCHAR) AS value
+            FROM (SELECT unnest([min(creation_time), max(creation_time)]) AS v
+                  FROM chosen_activity WHERE {_TYPE} AND {_WORKLOAD}) e""",
+        ]
+    ),
     "activity_stream": """
         SELECT activity_id,
                COALESCE(strftime(creation_time, '%Y-%m-%dT%H:%M:%S'), 'not a date') AS creation_time,

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,24 +22,27 @@ from tenantlens.operators.history import (
 from tenantlens.operators.lineage import lineage_edges
 from tenantlens.operators.typed import explode_permissions
 from tenantlens.plans import reports
-from tenantlens.plans.build import add_activity
+from tenantlens.plans.build import add_activity, build_all, star_table
 from tenantlens.plans.measures import evaluate
-from tenantlens.schemas import RAW_DDL
+from tenantlens.schemas import NEXT_PAGE_OF, RAW_DDL
 from tenantlens.session import scratch_dir
 from tenantlens.sources.calendar import calendar_hours
 from tenantlens.sources.landing import (
+    RECORD,
     attach_parent_keys,
+    broken_lists,
     flatten_pages,
     import_tabular,
     parents_without_children,
     parse_records,
     read_pages,
     read_records,
+    record_fields,
     usable_records,
 )
 from tenantlens.sources.tables import preview
 from tenantlens.streaming.activity import activity_stream
-from workload.standins import Governance
+from workload.standins import RECORDS, Governance
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -76,16 +80,28 @@ def _plain(rows: DataFrame) -> DataFrame:
 
 @query("ingest_json")
 def _(g: Governance) -> DataFrame:
+    """Records with two fields that the schema does not name, typed afterwards from the
+    whole record, and the number of fields each record was delivered with."""
     landing = scratch_dir(g.spark, "landing")
-    g.raw("activity").write.mode("overwrite").json(landing)
+    delivered = g.source("events").select(
+        *[F.expr(e).alias(n) for n, e in RECORDS["activity"][1].items()],
+        F.expr("named_struct('k', get_json_object(props, '$.k'), 'kind', event_type)").alias("Client"),
+        F.expr("if(event_id % 3 = 0, NULL, floor(value * 8) / 8)").alias("Amount"),
+    )
+    delivered.write.mode("overwrite").json(landing)
     _broken_lines(g).write.mode("append").text(landing)
-    records = usable_records(read_records(g.spark, landing, RAW_DDL["activity"]))
+    g.store.overwrite("bronze.activity", usable_records(read_records(g.spark, landing, RAW_DDL["activity"])))
+    later = {"client_k": ("$.Client.k", "bigint"), "amount": ("$.Amount", "double")}
+    records = record_fields(g.store.read("bronze.activity"), later)
     return records.select(
         F.col("Id").alias("activity_id"),
         F.col("UserId").alias("user_id"),
         F.col("UserType").alias("user_type"),
         F.col("Workload").alias("workload"),
         F.col("IsSuccess").alias("is_success"),
+        "client_k",
+        "amount",
+        F.size(F.json_object_keys(F.to_json(RECORD))).alias("n_fields"),
     )
 
 
@@ -95,31 +111,55 @@ def _broken_lines(g: Governance) -> DataFrame:
     return some.select(F.concat(F.lit('{"Id": "'), "Id", F.lit('", "Work')).alias("value"))
 
 
+def _user_pages(g: Governance, size: int) -> DataFrame:
+    """Users in pages of at most ``size``, each with the link of the next and its own, one
+    list per nation."""
+    users = g.source("customer").select(
+        F.struct(*[F.expr(e).alias(n) for n, e in RECORDS["directory_users"][1].items()]).alias("user"),
+        F.col("c_nationkey").cast("string").alias("list"),
+        F.expr(f"c_custkey div {size}").alias("span"),
+    )
+    spans = users.groupBy("list", "span").agg(F.collect_list("user").alias("value"))
+    in_list = Window.partitionBy("list").orderBy("span")
+    link = F.concat(F.lit("https://users?skip="), "list", F.lit("-"), "span")
+    return spans.select(
+        "list",
+        F.row_number().over(in_list).alias("page"),
+        "value",
+        F.lead(link).over(in_list).alias("@odata.nextLink"),
+        F.when(F.row_number().over(in_list) > 1, link).alias("_requested"),
+    )
+
+
 @query("flatten_pages")
 def _(g: Governance) -> DataFrame:
-    """Pages of at most 500 users are landed as files and flattened."""
+    """Pages of users, their lists spread over files, flattened; each user has itself whole."""
     landing = scratch_dir(g.spark, "pages")
-    records = g.raw("directory_users").withColumn(
-        "page", F.expr("CAST(substr(id, 2) AS BIGINT) div 500")
-    )
-    last = records.agg(F.max("page")).first()[0]
-    pages = records.groupBy("page").agg(
-        F.collect_list(F.struct("id", "displayName", "mail", "userPrincipalName", "userType")).alias(
-            "value"
-        )
-    )
-    pages.select(
-        "value", F.when(F.col("page") < last, F.col("page").cast("string")).alias("continuationToken")
-    ).write.mode("overwrite").json(landing)
-    flat = flatten_pages(
-        read_pages(g.spark, landing, "value", RAW_DDL["directory_users"]), "value"
-    )
+    _user_pages(g, 500).drop("list", "page").repartition(7).write.mode("overwrite").json(landing)
+    ddl, token = RAW_DDL["directory_users"], NEXT_PAGE_OF["directory_users"]
+    pages = read_pages(g.spark, landing, "value", ddl, token=token, whole=True)
+    if not broken_lists(pages).isEmpty():
+        raise ValueError("a list is broken")
+    flat = record_fields(flatten_pages(pages, "value"), {"kind": ("$.userType", "string")})
     return flat.select(
         "id", F.col("displayName").alias("display_name"), "mail",
         F.col("userPrincipalName").alias("user_principal_name"),
+        F.when(F.col("kind") == F.col("userType"), F.col("kind")).alias("user_type"),
     )
 
 
+@query("page_chains")
+def _(g: Governance) -> DataFrame:
+    """Lists of pages over many files, some pages of which never came: the pieces left."""
+    landing = scratch_dir(g.spark, "chains")
+    pages = _user_pages(g, 20).where("pmod(cast(list as int) * 7 + page * 5, 11) <> 3")
+    pages.repartition(16).write.mode("overwrite").json(landing)
+    found = read_pages(
+        g.spark, landing, "value", RAW_DDL["directory_users"], ["list"], NEXT_PAGE_OF["directory_users"]
+    )
+    return broken_lists(found, ["list"]).select("list", "fault", "pages")
+
+
 @query("attach_parent_keys")
 def _(g: Governance) -> DataFrame:
     """Child lists per workspace, in pages of at most 1,000 orders."""
@@ -199,6 +239,17 @@ def _other_time():
     )
 
 
+@query("merge_key_index")
+def _(g: Governance) -> DataFrame:
+    """The same extracts, with the history asked by its key index."""
+    events = g.raw("activity")
+    first = events.where("CreationTime < '2024-01-17' OR CreationTime = 'not a date'")
+    second = events.where("CreationTime >= '2024-01-13'").withColumn("CreationTime", _other_time())
+    for origin, batch in (("first", first), ("second", second), ("again", second)):
+        add_activity(g.store, batch.withColumn("origin", F.lit(origin)), indexed_from=0)
+    return g.store.read("bronze.activity").select(F.col("Id").alias("activity_id"), "origin")
+
+
 @query("merge_composite_key")
 def _(g: Governance) -> DataFrame:
     """Two extracts of hourly use that overlap by four days."""
@@ -314,6 +365,36 @@ def _(g: Governance) -> DataFrame:
     return reports.slicer_values(g.star(), ["dim_tenant_setting.title"], found)
 
 
+# --- Layer build --------------------------------------------------------------
+
+
+@query("build_since")
+def _(g: Governance) -> DataFrame:
+    """Landed files through all layers, then a second day whose run rebuilds the days from
+    its ``since`` on: the directory has grown, so that earlier days change as well."""
+    landing, cut = scratch_dir(g.spark, "landing"), "2024-01-20"
+
+    def land(entity: str, rows: DataFrame, mode: str = "overwrite") -> None:
+        rows.write.mode(mode).json(f"{landing}/{entity}")
+
+    for entity in ("capacities", "workspaces", "items", "workspace_access", "item_access", "tenant_settings", "workspace_scan"):
+        land(entity, g.raw(entity))
+    land("capacity_metrics", g.capacity_hours())
+    g.spark.range(1).select(F.lit("{}").alias("value")).write.text(f"{landing}/datasource_instances")
+    users, events = g.raw("directory_users"), g.raw("activity")
+    late = F.expr("CAST(substr(id, 2) AS BIGINT) % 10 = 3")
+    before = F.expr(f"CreationTime < '{cut}' OR CreationTime = 'not a date'")
+    land("directory_users", users.where(~late))
+    land("activity", events.where(before))
+    build_all(g.spark, landing, g.store, g.today)
+    land("directory_users", users.where(late), "append")
+    land("activity", events.where(~before), "append")
+    build_all(g.spark, landing, g.store, g.today, since=dt.date.fromisoformat(cut))
+    facts = star_table(g.store, "fact_activity").select("activity_id", "creation_time", "principal_id", "user_id_raw")
+    actors = star_table(g.store, "dim_user").select(F.col("principal_id").alias("of"), "principal_type")
+    return facts.join(actors, F.col("principal_id") == F.col("of"), "left").drop("of")
+
+
 # --- Joins and identity -------------------------------------------------------
 
 
@@ -524,6 +605,18 @@ def _(g: Governance) -> DataFrame:
     return reports.slicer_values(g.star(), list(dict.fromkeys(names)))
 
 
+@query("slicer_context")
+def _(g: Governance) -> DataFrame:
+    """All slicers while three of them are set."""
+    names = [n for page in reports.SLICERS.values() for n in page]
+    chosen = {
+        "dim_workspace.capacity_name": OneOf(("NATION_1", "NATION_4", "NATION_8", "NATION_12", "NATION_20")),
+        "dim_user.principal_type": OneOf(("User", "Service")),
+        "fact_activity.workload": OneOf(("W1", "W3")),
+    }
+    return reports.slicer_values(g.star(), list(dict.fromkeys(names)), filters=chosen)
+
+
 # --- Streaming ----------------------------------------------------------------
 
 
