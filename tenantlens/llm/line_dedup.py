@@ -14,8 +14,10 @@ keys on average whatever the corpus. Key blocks of bounded size meet their
 shard's filter in a plain join, which Spark may split; nothing is collected.
 
 Defined cases: a null or empty text is one empty line; empty keys are never
-dropped; rows with the same ``doc_id`` are documents of their own; a null
-``doc_id`` is an id like any other; other columns take no part.
+dropped; rows with the same ``doc_id``, and rows without one, are documents of their
+own; a line repeated in one document counts once; very long texts are read whole, a
+slice of a batch at a time; an empty table gives an empty result; other columns take
+no part.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenantlens.llm.common import WHITE, sliced, stored, texts
+from tenantlens.llm.substring_dedup import identity
 
 STRIP = WHITE.encode()
 SLOTS = 4  # of a bucket
@@ -126,7 +129,7 @@ class CuckooFilter:
 
 
 def document_keys(docs: DataFrame) -> DataFrame:
-    """doc_id, keys: the distinct digests of a document's non-empty keys, joined."""
+    """rank, text_key, keys: the distinct digests of a document's non-empty keys, joined."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
@@ -135,10 +138,12 @@ def document_keys(docs: DataFrame) -> DataFrame:
                 for text in texts(batch)
             ]
             yield pa.record_batch(
-                [batch.column("doc_id").cast(pa.int64()), pa.array(found, pa.binary())], ["doc_id", "keys"]
+                [batch.column("rank"), batch.column("text_key"), pa.array(found, pa.binary())],
+                ["rank", "text_key", "keys"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(keys, "doc_id long, keys binary")
+    rows = identity(docs).select("rank", "text_key", "text")
+    return rows.mapInArrow(keys, "rank long, text_key long, keys binary")
 
 
 def reference_counts(keys: DataFrame) -> DataFrame:
@@ -185,19 +190,19 @@ def build_filters(counts: DataFrame, least_refs: int, shards: int) -> DataFrame:
 def updated_filters(
     filters: DataFrame, before: DataFrame, after: DataFrame, least_refs: int, shards: int
 ) -> DataFrame:
-    """Filters after a change of the counts: keys that crossed the threshold go in or out."""
+    """Filters after a change of the counts: keys that crossed the threshold go in or out.
+    A filter that has become full is built anew, larger, from the counts of its shard."""
 
     def update(key: tuple, old: pd.DataFrame, changes: pd.DataFrame) -> pd.DataFrame:
         into, out = changes[changes["enters"]], changes[~changes["enters"]]
         k1, k2 = into["k1"].to_numpy(), into["k2"].to_numpy()
         if old.empty:
-            made = CuckooFilter.holding(k1, k2)
+            row = CuckooFilter.holding(k1, k2).row()
         else:
             made = CuckooFilter.of_row(int(old["buckets"].iloc[0]), old["cells"].iloc[0])
             made.delete(out["k1"].to_numpy(), out["k2"].to_numpy())
-            if not made.insert(k1, k2):
-                raise RuntimeError("filter full: build_filters with more shards")
-        return pd.DataFrame([(key[0], *made.row())], columns=["shard", "buckets", "cells"])
+            row = made.row() if made.insert(k1, k2) else (0, None)  # full
+        return pd.DataFrame([(key[0], *row)], columns=["shard", "buckets", "cells"])
 
     old, new = before.withColumnRenamed("refs", "was"), after.withColumnRenamed("refs", "now")
     held = F.coalesce("was", F.lit(0)) >= least_refs
@@ -207,22 +212,25 @@ def updated_filters(
         .filter(held != holds)
         .select("k1", "k2", shard_column(shards), holds.alias("enters"))
     )
-    return filters.groupBy("shard").cogroup(changes.groupBy("shard")).applyInPandas(update, FILTERS)
+    updated = filters.groupBy("shard").cogroup(changes.groupBy("shard")).applyInPandas(update, FILTERS)
+    updated = stored(updated, "line-filters")
+    full = updated.filter("cells IS NULL").select("shard")
+    whole = after.withColumn("shard", shard_column(shards)).join(full, "shard", "left_semi")
+    return updated.filter("cells IS NOT NULL").unionByName(build_filters(whole.drop("shard"), least_refs, shards))
 
 
 def maybe_frequent(keys: DataFrame, filters: DataFrame, shards: int) -> DataFrame:
-    """doc_id, k1, k2 of all keys that their shard's filter does not rule out."""
-    block_type = np.dtype([("doc_id", "<i8"), ("known", "?"), ("k1", "<i8"), ("k2", "<i8")])
+    """rank, text_key, k1, k2 of all keys that their shard's filter does not rule out."""
+    block_type = np.dtype([(c, "<i8") for c in ("rank", "text_key", "k1", "k2")])
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             joined = batch.column("keys").to_pylist()
             pairs = np.frombuffer(b"".join(joined), "<i8").reshape(-1, 2)
-            ids = batch.column("doc_id")
             row = np.repeat(np.arange(len(joined)), [len(x) // 16 for x in joined])
             rows = np.empty(len(row), block_type)
-            rows["doc_id"] = ids.fill_null(0).to_numpy()[row]
-            rows["known"] = ids.is_valid().to_numpy(zero_copy_only=False)[row]
+            for c in ("rank", "text_key"):
+                rows[c] = batch.column(c).to_numpy()[row]
             rows["k1"], rows["k2"] = pairs[:, 0], pairs[:, 1]
             shard = rows["k1"] % shards
             order = np.argsort(shard, kind="stable")
@@ -245,17 +253,10 @@ def maybe_frequent(keys: DataFrame, filters: DataFrame, shards: int) -> DataFram
             for block, buckets, cells in zip(*(batch.column(c).to_pylist() for c in ("block", "buckets", "cells")), strict=True):
                 rows = np.frombuffer(block, block_type)
                 rows = rows[CuckooFilter.of_row(buckets, cells).contains(rows["k1"].copy(), rows["k2"].copy())]
-                yield pa.record_batch(
-                    [
-                        pa.array(rows["doc_id"], mask=~rows["known"]),
-                        pa.array(rows["k1"]),
-                        pa.array(rows["k2"]),
-                    ],
-                    ["doc_id", "k1", "k2"],
-                )
+                yield pa.record_batch([pa.array(rows[c]) for c in block_type.names], list(block_type.names))
 
     asked = keys.mapInArrow(blocks, "shard int, block binary")
-    return asked.join(filters, "shard").mapInArrow(probe, "doc_id long, k1 long, k2 long")
+    return asked.join(filters, "shard").mapInArrow(probe, "rank long, text_key long, k1 long, k2 long")
 
 
 def drop_lines(docs: DataFrame, least_refs: int = 10) -> DataFrame:
@@ -266,9 +267,9 @@ def drop_lines(docs: DataFrame, least_refs: int = 10) -> DataFrame:
     shards = max(1, frequent.count() // SHARD_KEYS)
     filters = stored(build_filters(counts, least_refs, shards), "line-filters")
     exact = maybe_frequent(keys, filters, shards).join(frequent, ["k1", "k2"], "left_semi")
-    dropped = exact.groupBy("doc_id").agg(F.collect_list(F.struct("k1", "k2")).alias("keys"))
-    left, right = docs.select("doc_id", "text").alias("l"), dropped.alias("r")
-    joined = left.join(right, F.col("l.doc_id").eqNullSafe(F.col("r.doc_id")), "left")
+    # of one text: rows of one id, or without one, do not share their keys, and copies repeat them
+    dropped = exact.groupBy("rank", "text_key").agg(F.collect_set(F.struct("k1", "k2")).alias("keys"))
+    joined = identity(docs).join(dropped, ["rank", "text_key"], "left")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
@@ -289,7 +290,7 @@ def drop_lines(docs: DataFrame, least_refs: int = 10) -> DataFrame:
                 ["doc_id", "n_lines", "n_dropped", "kept_text"],
             )
 
-    return joined.select("l.doc_id", "l.text", "r.keys").mapInArrow(
+    return joined.select("doc_id", "text", "keys").mapInArrow(
         keep, "doc_id long, n_lines long, n_dropped long, kept_text string"
     )
 
