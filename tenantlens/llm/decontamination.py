@@ -13,12 +13,15 @@ being a small part of a long text, so:
   signature value of those items are looked up.
 * Candidates are verified on the words themselves, shingle by shingle.
 
-Scale: one pass over the documents, no shuffle. Items are sent to the tasks in
-blocks of at most ``BLOCK_WORDS`` words; a larger benchmark takes several passes.
+Scale: one pass over the documents, no shuffle but that of the matches. Items are sent
+to the tasks in blocks of about ``BLOCK_WORDS`` words; a larger benchmark takes several
+passes. Equal texts of items are one item to the search, however often they come.
 
 Defined cases: null and empty texts, and items without words, are in nothing and
-hold nothing; repeated items are found each; rows of the same id are judged each
-for itself; other columns take no part.
+hold nothing; repeated items are found each; an item without an id is found like
+others and told with a null id; rows of the same id, or without one, are judged each
+for itself; very long texts are searched whole, one at a time; an empty table of
+documents or of items gives an empty result; other columns take no part.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenantlens.llm.common import WordHashes, gram_hashes, texts, words_of
@@ -38,7 +41,7 @@ BLOCK_WORDS = 2_000_000
 class Signatures:
     """Items of one shingle length, their signatures partitioned by document size."""
 
-    def __init__(self, n: int, items: list[tuple[int, list[bytes]]], percent: int):
+    def __init__(self, n: int, items: list[tuple[str, list[bytes]]], percent: int):
         known = WordHashes()
         self.n, self.items = n, []
         values, owners, needs = [], [], []
@@ -58,8 +61,8 @@ class Signatures:
             self.values[needs < 1 << bits].max(initial=0) if (needs < 1 << bits).any() else None for bits in range(65)
         ]
 
-    def search(self, words: list[bytes], hashes: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """item_id, size of its set, shingles shared, of all items in the text."""
+    def search(self, words: list[bytes], hashes: np.ndarray) -> Iterator[tuple[str, int, int]]:
+        """item, size of its set, shingles shared, of all items in the text."""
         grams = gram_hashes(hashes, self.n)
         if not len(grams) or (most := self.most[len(grams).bit_length()]) is None:
             return
@@ -78,7 +81,7 @@ class Signatures:
                 yield item_id, len(shingles), common
 
 
-def matches(text: bytes | None, block: list[Signatures], known: WordHashes) -> Iterator[tuple[int, int, int]]:
+def matches(text: bytes | None, block: list[Signatures], known: WordHashes) -> Iterator[tuple[str, int, int]]:
     words = words_of((text or b"").lower())
     hashes = known.of(words)
     for own in block:
@@ -88,25 +91,31 @@ def matches(text: bytes | None, block: list[Signatures], known: WordHashes) -> I
 def signatures(items: DataFrame, n: int, percent: int) -> list[Signatures]:
     """One per shingle length of the items; for a block that fits the driver."""
     by_length: dict[int, list] = {}
-    for row in items.select("item_id", "text").toArrow().to_pylist():
+    for row in items.select("item", "text").toArrow().to_pylist():
         words = words_of((row["text"] or "").encode().lower())
         if words:
-            by_length.setdefault(min(n, len(words)), []).append((row["item_id"], words))
+            by_length.setdefault(min(n, len(words)), []).append((row["item"], words))
     return [Signatures(length, own, percent) for length, own in sorted(by_length.items())]
 
 
+def digest() -> Column:
+    return F.sha2(F.col("text"), 256)
+
+
 def item_blocks(items: DataFrame, n: int, percent: int) -> Iterator[list[Signatures]]:
-    """Signatures of all items, in blocks of bounded size."""
-    items = items.filter("item_id IS NOT NULL AND text IS NOT NULL")
+    """Signatures of all different item texts, named by their digests, in blocks of bounded size."""
+    items = items.filter("text IS NOT NULL").select(digest().alias("item"), "text").distinct()
     letters = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = int(letters // (2 * BLOCK_WORDS)) + 1  # a word and its space are two characters at least
     for block in range(blocks):
-        yield signatures(items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block), n, percent)
+        yield signatures(items.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block), n, percent)
 
 
 def leaks(docs: DataFrame, items: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, item_id, n_item, n_common, containment: a row per item that lies in a document."""
-    names = ["doc_id", "item_id", "n_item", "n_common", "containment"]
+    """doc_id, item_id, n_item, n_common, containment: a row per item that lies in a document.
+
+    Different texts are searched for; each match is then told for all items of that text."""
+    names = ["doc_id", "item", "n_item", "n_common", "containment"]
     out = None
     for block in item_blocks(items, n, percent):
         shared = docs.sparkSession.sparkContext.broadcast(block)
@@ -116,17 +125,18 @@ def leaks(docs: DataFrame, items: DataFrame, n: int = 5, percent: int = 80) -> D
             for batch in batches:
                 found = []
                 for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch), strict=True):
-                    for item_id, size, common in matches(text, shared.value, known):
-                        found.append((doc_id, item_id, size, common, common / size))
+                    for item, size, common in matches(text, shared.value, known):
+                        found.append((doc_id, item, size, common, common / size))
                 columns = list(zip(*found, strict=True)) or [()] * 5
-                kinds = [pa.int64()] * 4 + [pa.float64()]
+                kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.float64()]
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
         rows = docs.select("doc_id", "text").mapInArrow(
-            search, "doc_id long, item_id long, n_item long, n_common long, containment double"
+            search, "doc_id long, item string, n_item long, n_common long, containment double"
         )
         out = rows if out is None else out.unionByName(rows)
-    return out
+    ids = items.filter("text IS NOT NULL").select(digest().alias("item"), F.col("item_id").cast("long").alias("item_id"))
+    return out.join(ids, "item").select("doc_id", "item_id", *names[2:])
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
