@@ -45,7 +45,7 @@ goals AS (
           (SELECT arg_min(level, place) FROM levels WHERE level * weight <= 3 * source_size), 0)) AS target FROM levels)),
 running AS (
   SELECT s.*, source_size, target, epochs, target - epochs * source_size AS rest,
-    sum(size) OVER (PARTITION BY s.source ORDER BY key) AS after
+    sum(size) OVER (PARTITION BY s.source ORDER BY key, size ROWS UNBOUNDED PRECEDING) AS after
   FROM sized s JOIN goals g ON s.source IS NOT DISTINCT FROM g.source),
 mixed AS (
   SELECT *, (epochs + CASE WHEN size > 0 AND rest > 0 AND (after <= rest OR

@@ -8,7 +8,8 @@ A source gives each document as often as whole epochs fit into its target. What
 is left of the target is drawn without replacement by exponential keys
 ``-ln(u) / quality weight`` (Efraimidis-Spirakis): ascending keys are prefix-summed
 to the budget, and the document at its end is taken if that comes nearer. ``u`` is
-a hash of id, text and seed, so reruns and retried tasks agree.
+a hash of id, text and seed, so reruns and retried tasks agree. Equal rows have one
+key; where the budget ends in them, as many of them are taken as fit.
 
 Scale: texts are read once, for size and hash. Keys fall into ``BUCKETS`` ranges;
 prefix sums go over the sizes of a source's buckets, and only the bucket where the
@@ -16,9 +17,10 @@ budget ends is sorted, so a source with a third of all rows is never in one task
 The decision is one key per source, which documents are compared with where they
 lie. All of it is DataFrame functions.
 
-Defined cases: a null text has size 0; null is a source of its own; documents of
-the same id and text share a key and go together; an empty table gives no rows;
-a missing quality weighs 1; other columns take no part.
+Defined cases: a null text has size 0; null is a source of its own; rows of the same
+id and text are documents of their own, taken one by one; a very long text counts all
+its words; an empty table gives no rows; a missing quality weighs 1; other columns take
+no part.
 """
 
 from __future__ import annotations
@@ -68,6 +70,23 @@ def sized(docs: DataFrame, labels: DataFrame | None, seed: int = SEED) -> DataFr
     return rows.select("doc_id", "source", "size", (-F.log("u") / weight).alias("key"))
 
 
+def numbered(rows: DataFrame, group: str) -> DataFrame:
+    """Written rows with ``__copy``, their number within ``group`` from 0. A large group is
+    numbered in the parts it was written in, and the parts' counts are summed."""
+    rows = stored(rows.withColumn("__row", F.monotonically_increasing_id()), "mix-copies")
+    part = F.shiftright("__row", 33).alias("__part")
+    counts = rows.groupBy(group, part).agg(F.count("*").alias("__n"))
+    before = Window.partitionBy(group).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(
+        F.col(group).alias("__group"), F.col("__part").alias("__of_part"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before")
+    )
+    inside = F.row_number().over(Window.partitionBy(group, part).orderBy("__row")) - 1
+    each = rows.withColumn("__inside", inside)
+    same = F.col(group).eqNullSafe(F.col("__group")) & (part == F.col("__of_part"))
+    joined = each.join(counts, same).withColumn("__copy", F.col("__before") + F.col("__inside"))
+    return joined.drop("__row", "__inside", "__group", "__of_part", "__before")
+
+
 def targets(rows: DataFrame) -> DataFrame:
     """source, source_size, target: one row per source."""
     sums = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -110,28 +129,43 @@ def cuts(rows: DataFrame) -> DataFrame:
     )
     inside = rows.filter("size > 0").select("source", "size", "key", bucket)
     inside = inside.join(last, F.col("source").eqNullSafe(F.col("of")) & (F.col("bucket") == F.col("at")))
-    # documents of equal key are summed together: the frame is by key, not by row
-    running = F.col("before") + F.sum("size").over(Window.partitionBy("of").orderBy("key"))
-    inside = inside.groupBy("of", "before", "rest", "key").agg(F.sum("size").alias("size"))
-    inside = inside.withColumn("after", running)
-    nearer = (F.col("after") <= F.col("rest")) | (
-        (F.col("after") - F.col("size") < F.col("rest"))
-        & (F.col("after") - F.col("rest") < F.col("rest") - (F.col("after") - F.col("size")))
+    # equal rows have equal keys: they are one step of the sum, of so many copies
+    inside = inside.groupBy("of", "before", "rest", "key", "size").agg(F.count("*").alias("copies"))
+    step = F.col("size") * F.col("copies")
+    running = F.sum(step).over(Window.partitionBy("of").orderBy("key", "size"))
+    inside = inside.withColumn("left", F.col("rest") - F.col("before") - running + step)
+    ends = inside.filter((F.col("left") > 0) & (F.col("left") <= step))
+    fits = F.floor(F.col("left") / F.col("size"))
+    over = (fits + 1) * F.col("size") - F.col("left")
+    nearer = (fits < F.col("copies")) & (over < F.col("left") - fits * F.col("size")) & (F.col("left") > fits * F.col("size"))
+    ends = ends.select(
+        F.col("of").alias("of_"),
+        F.col("key").alias("cut"),
+        F.col("size").alias("cut_size"),
+        F.least(fits + nearer.cast("long"), F.col("copies")).alias("cut_copies"),
+    )
+    # a budget that rounding has put behind the last row takes all of the bucket
+    upto_bucket = -F.log(F.lit(1.0) - (F.col("at") + 1) / F.lit(float(BUCKETS)))
+    behind = last.select("of", F.when(F.col("at") < BUCKETS - 1, upto_bucket).otherwise(F.lit(float("inf"))).alias("behind"))
+    found = behind.join(ends, F.col("of").eqNullSafe(F.col("of_")), "left").select(
+        "of",
+        F.coalesce("cut", "behind").alias("cut"),
+        F.coalesce("cut_size", F.lit(0)).alias("cut_size"),
+        F.coalesce("cut_copies", F.lit(0)).alias("cut_copies"),
     )
-    ends = inside.groupBy("of").agg(F.max(F.when(nearer, F.col("key"))).alias("inside_cut"))
-    # everything before the bucket, if nothing in it is taken
-    floor_key = last.select("of", F.when(F.col("at") > 0, -F.log(1.0 - F.col("at") / F.lit(float(BUCKETS)))).alias("floor_cut"))
-    found = ends.join(floor_key.withColumnRenamed("of", "of_"), F.col("of").eqNullSafe(F.col("of_")))
-    found = found.select("of", F.coalesce("inside_cut", "floor_cut").alias("cut"))
     return goal.join(found, goal["source"].eqNullSafe(found["of"]), "left").select(
-        "source", "source_size", "target", "epochs", "cut"
+        "source", "source_size", "target", "epochs", "cut", "cut_size", "cut_copies"
     )
 
 
-def taken_times(key: Column, prefix: str = "") -> Column:
-    """How often a document of this key is taken, beside its source's row of ``cuts``."""
-    once_more = F.when(key <= F.col(prefix + "cut"), F.lit(1)).otherwise(F.lit(0))
-    return F.col(prefix + "epochs") + once_more
+def _at_cut(key: Column, size: Column, prefix: str = "") -> Column:
+    """Whether a document is one of the equal rows that the budget ends in."""
+    return F.coalesce((key == F.col(prefix + "cut")) & (size == F.col(prefix + "cut_size")), F.lit(False))
+
+
+def _before_cut(key: Column, size: Column, prefix: str = "") -> Column:
+    cut = F.col(prefix + "cut")
+    return F.coalesce((key < cut) | ((key == cut) & (size < F.col(prefix + "cut_size"))), F.lit(False))
 
 
 def mix(docs: DataFrame, labels: DataFrame | None = None, seed: int = SEED) -> DataFrame:
@@ -139,20 +173,33 @@ def mix(docs: DataFrame, labels: DataFrame | None = None, seed: int = SEED) -> D
     rows = stored(sized(docs, labels, seed), "mix-rows")
     per_source = stored(cuts(rows), "mix-cuts").withColumnRenamed("source", "of")
     joined = rows.join(per_source, F.col("source").eqNullSafe(F.col("of")))
-    return joined.select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * taken_times(F.col("key"))).alias("taken")
-    )
+    key, size = F.col("key"), F.col("size")
+    out = ["doc_id", "size", "source_size", "target"]
+    plain = joined.filter(~_at_cut(key, size))
+    plain = plain.select(*out, (size * (F.col("epochs") + _before_cut(key, size).cast("int"))).alias("taken"))
+    copies = numbered(joined.filter(_at_cut(key, size)).select(*out, "of", "epochs", "cut_copies"), "of")
+    once_more = (F.col("__copy") < F.col("cut_copies")).cast("int")
+    return plain.unionByName(copies.select(*out, (size * (F.col("epochs") + once_more)).alias("taken")))
 
 
 def mixed(docs: DataFrame, labels: DataFrame | None = None, seed: int = SEED) -> DataFrame:
     """The rows of ``docs``, all columns kept, each as often as the mix takes it."""
     per_source = stored(cuts(stored(sized(docs, labels, seed), "mix-rows")), "mix-cuts")
-    per_source = per_source.select(F.col("source").alias("__of"), "epochs", "cut").toDF("__of", "__epochs", "__cut")
+    names = ["epochs", "cut", "cut_size", "cut_copies"]
+    per_source = per_source.select("source", *names).toDF("__of", *[f"__{n}" for n in names])
     rows, weight = docs, F.lit(1.0)
     if labels is not None:
         known = quality_of(labels).toDF("__id", "__quality")
         rows = rows.join(known, F.col("doc_id") == F.col("__id"), "left")
         weight = weight_of("__quality")
     rows = rows.join(per_source, F.col("source").eqNullSafe(F.col("__of")))
-    times = F.when(size_of() > 0, taken_times(-F.log(draw(seed=seed)) / weight, "__")).otherwise(F.lit(0))
-    return rows.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), times.cast("int")))).select(*docs.columns)
+    rows = rows.withColumns({"__size": size_of(), "__key": -F.log(draw(seed=seed)) / weight})
+    key, size = F.col("__key"), F.col("__size")
+    needed = [*docs.columns, "__of", "__epochs", "__cut_copies", "__size"]
+    before = F.col("__epochs") + _before_cut(key, size, "__").cast("int")
+    plain = rows.filter(~_at_cut(key, size, "__")).select(*docs.columns, "__size", before.alias("__times"))
+    copies = numbered(rows.filter(_at_cut(key, size, "__")).select(*needed), "__of")
+    once_more = F.col("__epochs") + (F.col("__copy") < F.col("__cut_copies")).cast("int")
+    both = plain.unionByName(copies.select(*docs.columns, "__size", once_more.alias("__times")))
+    times = F.when(F.col("__size") > 0, F.col("__times")).otherwise(F.lit(0)).cast("int")
+    return both.withColumn("__each", F.explode(F.array_repeat(F.lit(0), times))).select(*docs.columns)
