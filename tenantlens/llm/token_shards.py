@@ -17,8 +17,9 @@ little-endian, closed by one newline, which Spark's text writer adds. Reading is
 by ``binaryFile``. ``WaveletMatrix`` gives access, rank, count and select on the
 planes as they lie in the file.
 
-Scale: one range shuffle of the texts, cut into shards as they stream by, so a
-task holds one shard whatever the corpus. Spark's own commit protocol writes the
+Scale: texts are encoded where they are read; what is dealt out by ranges of doc_id are
+packed ids, cut into shards as they stream by, so a task holds one shard whatever the
+corpus. Spark's own commit protocol writes the
 files: a task that is run again leaves no second copy. Offsets are sums over
 shards within each partition, then over partitions.
 
@@ -37,23 +38,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tenantlens.llm.common import sliced, stored, texts
+from tenantlens.llm.common import sliced, stored
 
 MAGIC = b"WVM1"
 HEAD = struct.Struct("<4sIIIQQ")
 SHARD_TOKENS = 1 << 19
-BATCH_DOCS = 256
+BATCH_DOCS = 500
 CACHED_PIECES = 500_000
 KEPT_PIECES = 150_000
 SUPER = 512  # bits of a rank block
 WORDS = SUPER // 64
 # one mark between an ASCII letter and white space is a token of its own either way
 LETTERS = re.compile(rb"[a-z]+")
-MARK = re.compile(rb"(?<=[a-z])([.,;:!?])(?=[ \t\n\x0b\f\r]|$)")
+MARK = r"([a-z])([.,;:!?])([ \t\n\x0b\f\r]|$)"
 # fixed values: the steps of a vocabulary file that drop white space and lower-case
 BY_WORD = [
     [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
@@ -216,9 +218,10 @@ class Encoder:
     """Encodes texts; pieces between white space only once, kept for all tasks of a worker.
 
     A vocabulary that drops white space and lower-cases (``BY_WORD``) gives a text the
-    ids of its pieces. A piece of ASCII letters is a word to the model as it stands;
-    other pieces, and texts that may hold special tokens, go through the whole
-    tokenizer. For other vocabularies every text does.
+    ids of its pieces. Arrow splits the texts of a batch and numbers the different
+    pieces; numpy gathers their ids. A piece of ASCII letters is a word to the model as
+    it stands, other pieces go through the whole tokenizer. So do, whole, texts that
+    hold an added token of the vocabulary, and all texts under other vocabularies.
     """
 
     def __init__(self, spec: str):
@@ -231,6 +234,7 @@ class Encoder:
         read = json.loads(spec)
         steps = [read.get("normalizer") or {}, read.get("pre_tokenizer") or {}]
         self.by_word = [s.get("normalizers") or s.get("pretokenizers") for s in steps] == BY_WORD
+        self.added = [t["content"] for t in read.get("added_tokens") or ()]
 
     @classmethod
     def of(cls, spec: str) -> Encoder:
@@ -239,13 +243,6 @@ class Encoder:
             _ENCODERS[key] = cls(spec)
         return _ENCODERS[key]
 
-    def pieces(self, text: bytes | None) -> list[bytes]:
-        if not text:
-            return []
-        if b"<|" in text:
-            return text.split()
-        return MARK.sub(rb" \1", text.lower()).split()
-
     def learn(self, missing: set[bytes]) -> None:
         tokenize, other = self.tokenizer.model.tokenize, []
         for piece in missing:
@@ -262,57 +259,97 @@ class Encoder:
         """Between tasks only the pieces met first stay, which are the frequent ones."""
         self.known = dict(itertools.islice(self.known.items(), KEPT_PIECES))
 
-    def encode(self, batch: list[bytes | None]) -> list[np.ndarray]:
+    def whole(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(one.ids, self.kind) for one in found]
+
+    def encode(self, column: pa.Array) -> list[np.ndarray]:
+        """Ids of each text of a column; a null is an empty text."""
+        text = pc.fill_null(column.cast(pa.string()), "")
         if not self.by_word:
-            found = self.tokenizer.encode_batch_fast([(t or b"").decode() for t in batch], add_special_tokens=False)
-            return [np.array(one.ids, self.kind) for one in found]
-        split = [self.pieces(t) for t in batch]
+            return self.whole(text.to_pylist())
+        special = np.zeros(len(text), bool)
+        for token in self.added:
+            special |= pc.match_substring(text, token).to_numpy(zero_copy_only=False)
+        out = self._by_pieces(pc.if_else(pa.array(special), "", text) if special.any() else text)
+        rows = np.flatnonzero(special).tolist()
+        for row, ids in zip(rows, self.whole([text[i].as_py() for i in rows]), strict=True):
+            out[row] = ids
+        return out
+
+    def _by_pieces(self, text: pa.Array) -> list[np.ndarray]:
+        marked = pc.replace_substring_regex(pc.ascii_lower(text), MARK, r"\1 \2\3")
+        lists = pc.ascii_split_whitespace(marked)
+        pieces = lists.flatten().dictionary_encode()
+        names = pieces.dictionary.cast(pa.binary()).to_pylist()
         if len(self.known) > CACHED_PIECES:
             self.known.clear()
-        self.learn(set().union(*split).difference(self.known))
-        return [np.frombuffer(b"".join(map(self.known.__getitem__, p)), self.kind) for p in split]
+        self.learn(set(names).difference(self.known, (b"",)))
+        found = [self.known[p] if p else b"" for p in names]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.kind.itemsize
+        flat = np.frombuffer(b"".join(found), self.kind)
+        begins = np.cumsum(sizes) - sizes
+        chosen = pieces.indices.to_numpy()
+        lengths = sizes[chosen]
+        stops = np.cumsum(lengths)
+        at = np.arange(int(lengths.sum())) + np.repeat(begins[chosen] - (stops - lengths), lengths)
+        ids = flat[at]
+        bounds = np.concatenate([[0], stops])[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        return [ids[a:b] for a, b in itertools.pairwise(bounds.tolist())]
+
+
+def encoded_rows(docs: DataFrame, tokenizer_file: str) -> tuple[DataFrame, int]:
+    """doc_id, text_key and the ids of each text, packed; and the bits that an id needs."""
+    spark = docs.sparkSession
+    with open(tokenizer_file, encoding="utf-8") as file:
+        text = file.read()
+    spec = spark.sparkContext.broadcast(text)  # a vocabulary, a few MB
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder.of(spec.value)
+        for batch in sliced(batches, BATCH_DOCS):
+            ids = [x.tobytes() for x in encoder.encode(batch.column("text"))]
+            yield pa.record_batch(
+                [batch.column("doc_id").cast(pa.int64()), batch.column("text_key"), pa.array(ids, pa.binary())],
+                ["doc_id", "text_key", "ids"],
+            )
+        encoder.rest()
+
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    return rows.mapInArrow(encode, "doc_id long, text_key long, ids binary"), Encoder.of(text).bits
 
 
 def write_shards(docs: DataFrame, tokenizer_file: str, path: str, end_id: int = 2) -> None:
     """Encodes ``docs`` (doc_id, text) into shard files under ``path``."""
-    spark = docs.sparkSession
-    with open(tokenizer_file, encoding="utf-8") as file:
-        spec = spark.sparkContext.broadcast(file.read())  # a vocabulary, a few MB
+    rows, bits = encoded_rows(docs, tokenizer_file)
+    rows = stored(rows, "token-ids")  # the ranges are sampled from it, and it is dealt out by them
+    kind = np.dtype("<u2" if bits <= 16 else "<u4")
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder, part = Encoder.of(spec.value), TaskContext.get().partitionId()
-        end = np.array([end_id], encoder.kind)
+        part, end = TaskContext.get().partitionId(), np.array([end_id], kind).tobytes()
         seq, held, ids, sizes, parts = 0, 0, [], [], []
 
         def shard() -> pa.RecordBatch:
-            content = shard_bytes(part, seq, ids, sizes, np.concatenate(parts), encoder.bits)
+            tokens = np.frombuffer(b"".join(parts), kind)
+            content = shard_bytes(part, seq, ids, sizes, tokens, bits)
             return pa.record_batch([pa.array([content], pa.large_binary()).cast(pa.binary())], ["value"])
 
         for batch in sliced(batches, 1_000):
-            all_ids, all_texts = batch.column("doc_id").cast(pa.int64()).to_pylist(), texts(batch)
-            for at in range(0, len(all_ids), BATCH_DOCS):
-                for i, tokens in zip(all_ids[at : at + BATCH_DOCS], encoder.encode(all_texts[at : at + BATCH_DOCS]), strict=True):
-                    ids.append(i)
-                    sizes.append(len(tokens) + 1)
-                    parts += [tokens, end]
-                    held += len(tokens) + 1
-                    if held >= SHARD_TOKENS:
-                        yield shard()
-                        seq, held, ids, sizes, parts = seq + 1, 0, [], [], []
+            for i, tokens in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist(), strict=True):
+                ids.append(i)
+                sizes.append(len(tokens) // kind.itemsize + 1)
+                parts += [tokens, end]
+                held += sizes[-1]
+                if held >= SHARD_TOKENS:
+                    yield shard()
+                    seq, held, ids, sizes, parts = seq + 1, 0, [], [], []
         if ids:
             yield shard()
-        encoder.rest()
 
     ordered = [F.asc_nulls_last("doc_id"), F.asc_nulls_first("text_key")]
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
-    shards = (
-        rows.repartitionByRange(*ordered)
-        .sortWithinPartitions(*ordered)
-        .select("doc_id", "text")
-        .mapInArrow(encode, "value binary")
-    )
+    shards = rows.repartitionByRange(*ordered).sortWithinPartitions(*ordered).mapInArrow(cut, "value binary")
     shards.select(F.col("value").cast("string")).write.option("maxRecordsPerFile", 1).text(path)
 
 
