@@ -37,7 +37,7 @@ component of none but such has a null id. Other columns take no part.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import groupby, pairwise
 
 import numpy as np
 import pandas as pd
@@ -52,8 +52,12 @@ from tenantlens.llm.substring_dedup import NO_ID, identity, rank
 LOCAL_DOCS = 4  # of a slice of the reading task
 MOST_HEAVY = 250_000
 ORDERS = 3
-BLOCK_ENTRIES = 1_500_000  # prefix entries of a part, about
-SPREAD = 64  # tasks that share the heavy shingles
+BLOCK_ENTRIES = 500_000  # prefix entries of a part, about
+SPREAD = 64  # tasks, at least, that share the heavy shingles
+LIST_ROWS = 500  # rows of a block of a list
+COMPARED_WORDS = 1 << 20  # of bitmaps compared at once
+EXPANDED = 1 << 18  # pairs of rows looked at together, about
+LISTED = ["token", "size", "pos", "group", "node"]
 
 
 def sets_of(batch: pa.RecordBatch, known: WordHashes, n: int) -> list[np.ndarray]:
@@ -67,12 +71,23 @@ def set_digest(tokens: np.ndarray) -> tuple[int, int]:
     return int(one), int(two)
 
 
+def parity(tokens: np.ndarray) -> bytes:
+    """Bitmap of a set: bit ``b`` tells whether an odd number of shingles falls on it. Two
+    sets that differ in ``d`` shingles have bitmaps that differ in ``d`` bits at most; the
+    halves of a bitmap, XORed, are the bitmap of half the width."""
+    width = 1 << max(9, (2 * len(tokens) - 1).bit_length()) if len(tokens) else 512
+    at = (mixed(tokens + np.uint64(0x51ED270B)) & np.uint64(width - 1)).astype(np.int64)
+    odd = (np.bincount(at, minlength=width) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").tobytes()
+
+
 def prefix_size(size: int, percent: int) -> int:
     return size - -(-size * percent // 100) + 1
 
 
 def described(docs: DataFrame, n: int) -> DataFrame:
-    """A row per document (rank, text_key, size, g1, g2), and rows of heavy shingles (g1: shingle, size: documents)."""
+    """A row per document (rank, text_key, size, g1, g2, bits), and rows of heavy shingles
+    (g1: shingle, size: documents)."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
@@ -92,12 +107,13 @@ def described(docs: DataFrame, n: int) -> DataFrame:
                     pa.array(np.concatenate([[len(s) for s in found], count]).astype(np.int64)),
                     pa.array(np.concatenate([signed(digests[:, 0]), signed(local)])),
                     pa.concat_arrays([pa.array(signed(digests[:, 1].copy())), pa.nulls(k, pa.int64())]),
+                    pa.array([parity(s) for s in found] + [None] * k, pa.binary()),
                 ],
-                ["rank", "text_key", "size", "g1", "g2"],
+                ["rank", "text_key", "size", "g1", "g2", "bits"],
             )
 
     return docs.select("text", "rank", "text_key").mapInArrow(
-        describe, "rank long, text_key long, size long, g1 long, g2 long"
+        describe, "rank long, text_key long, size long, g1 long, g2 long, bits binary"
     )
 
 
@@ -127,6 +143,7 @@ class Order:
 
 def shared_prefixes(docs: DataFrame, order, parts: int, n: int, percent: int) -> DataFrame:
     """token, size, pos, g1, g2 (set), h1, h2 (prefix): entries of shingles that several classes may hold."""
+    spread_over = max(SPREAD, parts)
     entry = np.dtype([("token", "<u8"), ("doc", "<u4"), ("pos", "<u4")])
     head = np.dtype([(c, "<i8") for c in ("g1", "g2", "h1", "h2", "size")])
 
@@ -149,7 +166,7 @@ def shared_prefixes(docs: DataFrame, order, parts: int, n: int, percent: int) ->
                 continue
             all_heads, all_rows, heavy = np.array(heads, head), np.concatenate(rows), np.concatenate(spread)
             part = (mixed(all_rows["token"]) % np.uint64(parts)).astype(np.int64)
-            salt = -1 - (all_rows["doc"] + all_heads["g1"][0] % SPREAD).astype(np.int64) % SPREAD
+            salt = -1 - (all_rows["doc"] + all_heads["g1"][0] % spread_over).astype(np.int64) % spread_over
             part[heavy] = salt[heavy]
             by_part = np.argsort(part, kind="stable")
             cuts = np.flatnonzero(np.diff(part[by_part])) + 1
@@ -170,41 +187,51 @@ def shared_prefixes(docs: DataFrame, order, parts: int, n: int, percent: int) ->
                 yield from zip(*(batch.column(c).to_pylist() for c in ("part", "heads", "entries")), strict=True)
 
         for part, group in groupby(blocks(), key=lambda b: b[0]):
-            if part < 0:  # heavy shingles: all are shared
-                for _, heads, entries in group:
-                    yield rows(np.frombuffer(heads, head), np.frombuffer(entries, entry))
-                continue
-            heads, entries, base = [], [], 0
-            for _, h, e in group:
-                own = np.frombuffer(e, entry).copy()
-                own["doc"] += base
-                heads.append(np.frombuffer(h, head))
-                entries.append(own)
-                base += len(heads[-1])
-            all_heads, all_entries = np.concatenate(heads), np.concatenate(entries)
-            del heads, entries
-            token = all_entries["token"]
-            by_token = np.argsort(token)
-            same = token[by_token][1:] == token[by_token][:-1]
-            kept = by_token[np.concatenate([same, [False]]) | np.concatenate([[False], same])]
-            for at in range(0, len(kept), 200_000):
-                yield rows(all_heads, all_entries[kept[at : at + 200_000]])
-
-    def rows(heads: np.ndarray, entries: np.ndarray) -> pa.RecordBatch:
-        own = heads[entries["doc"]]
-        return pa.record_batch(
-            [
-                pa.array(signed(np.ascontiguousarray(entries["token"]))),
-                pa.array(np.ascontiguousarray(own["size"])),
-                pa.array(entries["pos"].astype(np.int64)),
-                *(pa.array(np.ascontiguousarray(own[c])) for c in ("g1", "g2", "h1", "h2")),
-            ],
-            ["token", "size", "pos", "g1", "g2", "h1", "h2"],
-        )
+            one_of_each, held, size = None, [], 0  # an entry of each shingle of the part met so far
+            for _, heads, entries in group:
+                own = np.frombuffer(entries, entry)
+                found = flat(np.frombuffer(heads, head), own)
+                if part < 0:  # heavy shingles: all are shared
+                    yield from batches_of(found)
+                    continue
+                held.append(found)
+                size += len(found)
+                if size >= 2 * BLOCK_ENTRIES:
+                    shared, one_of_each = repeated(one_of_each, np.concatenate(held))
+                    yield from batches_of(shared)
+                    held, size = [], 0
+            if held:
+                yield from batches_of(repeated(one_of_each, np.concatenate(held))[0])
+
+    row = np.dtype([(c, "<i8") for c in ("token", "size", "pos", "g1", "g2", "h1", "h2")] + [("told", "?")])
+
+    def flat(heads: np.ndarray, entries: np.ndarray) -> np.ndarray:
+        out, own = np.zeros(len(entries), row), heads[entries["doc"]]
+        out["token"], out["pos"] = entries["token"].view(np.int64), entries["pos"]
+        for c in ("size", "g1", "g2", "h1", "h2"):
+            out[c] = own[c]
+        return out
+
+    def repeated(before: np.ndarray | None, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows whose shingle comes again, and a row of each shingle."""
+        rows = rows if before is None else np.concatenate([before, rows])
+        rows = rows[np.argsort(rows["token"], kind="stable")]
+        same = rows["token"][1:] == rows["token"][:-1]
+        shared = np.concatenate([same, [False]]) | np.concatenate([[False], same])
+        first = np.concatenate([[True], ~same])
+        out = rows[shared & ~rows["told"]]
+        rows["told"] |= shared
+        return out, rows[first]
+
+    def batches_of(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(rows), 200_000):
+            some = rows[at : at + 200_000]
+            names = [c for c in row.names if c != "told"]
+            yield pa.record_batch([pa.array(np.ascontiguousarray(some[c])) for c in names], names)
 
     dealt = docs.select("text").mapInArrow(deal, "part long, heads binary, entries binary")
     return (
-        dealt.repartition(parts + SPREAD, "part")
+        dealt.repartition(parts + spread_over, "part")
         .sortWithinPartitions("part")
         .mapInArrow(match, "token long, size long, pos long, g1 long, g2 long, h1 long, h2 long")
     )
@@ -267,26 +294,129 @@ def neighbours(lists: DataFrame, percent: int) -> DataFrame:
     return found.distinct()
 
 
-def missing_pairs(labelled: DataFrame, percent: int) -> DataFrame:
-    """a, b: all pairs of different components that may link by the prefix shingles they share."""
-    a, b = labelled.alias("a"), labelled.alias("b")
-    across = a.join(
-        b,
-        (F.col("a.token") == F.col("b.token"))
-        & ((F.col("a.size") < F.col("b.size")) | ((F.col("a.size") == F.col("b.size")) & (F.col("a.node") < F.col("b.node"))))
-        & (F.col("a.component") != F.col("b.component"))
-        & (100 * F.col("a.size") >= percent * F.col("b.size")),
-    )
-    # nothing before the first shared shingle is shared, so what follows bounds the overlap
-    bound = F.least(F.max(F.col("a.size") - F.col("a.pos")), F.max(F.col("b.size") - F.col("b.pos")))
-    counted = across.groupBy(F.col("a.node").alias("a"), F.col("b.node").alias("b")).agg(
-        F.count("*").alias("n"), bound.alias("bound"), F.max("a.size").alias("sa"), F.max("b.size").alias("sb")
-    )
-    close = counted.filter(
-        ((100 + percent) * F.col("bound") >= percent * (F.col("sa") + F.col("sb")))
-        & (F.col("n") >= least_shared(percent))
-    )
-    return close.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+def missing_pairs(labelled: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """a, b: pairs of different components that may link, by the lists they share.
+
+    A list is compared in units of bounded size: its rows are dealt into blocks, and a
+    unit holds two of them. In it pairs of groups must pass by size and position (nothing
+    before the first shared shingle is shared, so what follows bounds the overlap; at
+    later ones a pair may fail, at its first it does not). They are expanded to pairs of
+    rows, which must pass by bitmaps (each bit that differs is a shingle that only one
+    set has). All filters are exact; only pairs that pass leave the task.
+    """
+    many = labelled.groupBy("token").agg(F.ceil(F.count("*") / F.lit(float(LIST_ROWS))).cast("int").alias("blocks"))
+    rows = labelled.join(many, "token").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    rows = rows.join(classes.select("node", "bits"), "node")
+    others = F.sequence(F.lit(0), F.col("blocks") - 1)
+    unit = F.explode(F.transform(others, lambda o: F.struct(F.least(o, "block").alias("i"), F.greatest(o, "block").alias("j"))))
+    columns = [*LISTED, "component", "block", "bits"]
+    units = rows.select(*columns, unit.alias("unit")).select(*columns, "unit.i", "unit.j")
+    key = ["token", "i", "j"]
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[np.ndarray] = []
+        for unit in _units(batches, key):
+            found += close_pairs(unit, percent)
+            if sum(map(len, found)) >= 100_000:
+                yield _pairs(found)
+                found = []
+        yield _pairs(found)
+
+    ordered = units.repartition(*key).sortWithinPartitions(*key)
+    return ordered.mapInArrow(match, "a long, b long").distinct()
+
+
+def _pairs(found: list[np.ndarray]) -> pa.RecordBatch:
+    each = np.unique(np.concatenate([*found, np.empty((0, 2), np.int64)]), axis=0)
+    return pa.record_batch([pa.array(each[:, 0].copy()), pa.array(each[:, 1].copy())], ["a", "b"])
+
+
+def _units(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[dict[str, np.ndarray]]:
+    """The rows of each unit, which follow each other."""
+    held: list[dict[str, np.ndarray]] = []
+    last = None
+    for batch in batches:
+        columns = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in batch.schema.names}
+        marks = np.stack([columns[c] for c in key])
+        cuts = [0, *(np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+        for a, b in pairwise(cuts):
+            if a == b:
+                continue
+            if held and tuple(marks[:, a]) != last:
+                yield {c: np.concatenate([h[c] for h in held]) for c in columns}
+                held = []
+            last = tuple(marks[:, a])
+            held.append({c: v[a:b] for c, v in columns.items()})
+    if held:
+        yield {c: np.concatenate([h[c] for h in held]) for c in held[0]}
+
+
+def close_pairs(unit: dict[str, np.ndarray], percent: int) -> list[np.ndarray]:
+    """Pairs of a unit that pass the filters, as arrays of (smaller node, larger node).
+
+    Rows of one group have one size and one place in the list: sizes and positions are
+    compared by group, and the group pairs that are left are expanded to their rows.
+    """
+    same = ("group", "size", "pos")
+    order = np.lexsort([unit[c] for c in same])
+    unit = {c: v[order] for c, v in unit.items()}
+    change = np.any([unit[c][1:] != unit[c][:-1] for c in same], axis=0)
+    starts = np.flatnonzero(np.concatenate([[True], change]))
+    counts = np.diff(np.append(starts, len(order)))
+    size, pos = unit["size"][starts], unit["pos"][starts]
+    widths = np.fromiter(map(len, unit["bits"]), np.int64, len(order))
+    out = []
+    step = max(1, COMPARED_WORDS // len(starts))
+    for at in range(0, len(starts), step):
+        one = np.arange(at, min(at + step, len(starts)))[:, None]
+        two = np.arange(len(starts))[None, :]
+        need = -(-(size[one] + size[two]) * percent // (100 + percent))
+        ok = (one <= two) & (pos[one] + need <= size[one]) & (pos[two] + need <= size[two])
+        ok &= 100 * np.minimum(size[one], size[two]) >= percent * np.maximum(size[one], size[two])
+        x, y = np.nonzero(ok)
+        x = x + at
+        products = np.cumsum(counts[x] * counts[y])
+        for part in np.split(np.arange(len(x)), np.searchsorted(products, np.arange(EXPANDED, products[-1] if len(x) else 0, EXPANDED))):
+            if len(part):
+                out += _expanded(unit, starts, counts, x[part], y[part], widths, percent)
+    return out
+
+
+def _expanded(unit, starts, counts, x, y, widths, percent) -> list[np.ndarray]:
+    """The close ones of all rows of these pairs of groups."""
+    total = counts[x] * counts[y]
+    pair = np.repeat(np.arange(len(x)), total)
+    inside = np.arange(int(total.sum())) - np.repeat(np.cumsum(total) - total, total)
+    left = starts[x][pair] + inside // counts[y][pair]
+    right = starts[y][pair] + inside % counts[y][pair]
+    i, j = unit["i"][0], unit["j"][0]
+    b, c = unit["block"][left], unit["block"][right]
+    ok = (left < right) & (unit["component"][left] != unit["component"][right])
+    ok &= ((b == i) & (c == j)) | ((b == j) & (c == i))
+    left, right = left[ok], right[ok]
+    narrow = np.minimum(widths[left], widths[right])
+    out = []
+    for width in np.unique(narrow).tolist():
+        chosen = np.flatnonzero(narrow == width)
+        step = max(1, 8 * COMPARED_WORDS // width)
+        for at in range(0, len(chosen), step):
+            l, r = left[chosen[at : at + step]], right[chosen[at : at + step]]
+            differ = np.bitwise_count(_bitmaps(unit["bits"], l, width) ^ _bitmaps(unit["bits"], r, width)).sum(axis=1, dtype=np.int64)
+            both = unit["size"][l] + unit["size"][r]
+            close = differ <= both - 2 * -(-both * percent // (100 + percent))
+            if close.any():
+                out.append(np.sort(np.stack([unit["node"][l[close]], unit["node"][r[close]]], axis=1), axis=1))
+    return out
+
+
+def _bitmaps(bits: np.ndarray, rows: np.ndarray, width: int) -> np.ndarray:
+    """Bitmaps of these rows, those that are wider folded."""
+    distinct, place = np.unique(rows, return_inverse=True)
+    made = np.empty((len(distinct), width // 8), np.uint64)
+    for n, row in enumerate(distinct.tolist()):
+        whole = np.frombuffer(bits[row], np.uint64)
+        made[n] = np.bitwise_xor.reduce(whole.reshape(-1, width // 8), axis=0)
+    return made[place]
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -334,14 +464,16 @@ def prepared(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFram
     classes = stored(
         members.filter("size > 0")
         .groupBy("g1", "g2")
-        .agg(F.min(F.struct("rank", "text_key")).alias("rep"), F.count("*").alias("n_copies"))
-        .select("g1", "g2", "rep.rank", "rep.text_key", "n_copies", F.monotonically_increasing_id().alias("node")),
+        .agg(F.min(F.struct("rank", "text_key", "bits")).alias("rep"), F.count("*").alias("n_copies"))
+        .select("g1", "g2", "rep.rank", "rep.text_key", "rep.bits", "n_copies", F.monotonically_increasing_id().alias("node")),
         "classes",
     )
     total = members.agg(F.sum(F.col("size") * (100 - percent) / 100 + 1)).first()[0] or 0
     parts = int(total // BLOCK_ENTRIES) + 1
     found = shared_prefixes(docs, order, parts, n, percent)
-    entries = found.join(classes, ["g1", "g2"]).select("token", "size", "pos", "node", "h1", "h2")
+    entries = found.join(classes, ["g1", "g2"]).select(
+        "token", "size", "pos", "node", "h1", "h2", F.xxhash64("h1", "h2", "size").alias("group")
+    )
     return members, classes, stored(entries.distinct(), "entries")
 
 
@@ -354,25 +486,6 @@ def linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, n: int, percen
     return stored(verified(pairs, sets, percent), "links")
 
 
-def all_pairs(entries: DataFrame, percent: int) -> DataFrame:
-    """a, b: all pairs of classes that may link, inside components too.
-
-    Classes of one group have the same entries, so its first class stands for it in
-    the join and its filters; only what they leave is expanded to members.
-    """
-    key = ["h1", "h2", "size"]
-    leaders = stored(entries.groupBy("token", "pos", *key).agg(F.min("node").alias("node")), "leaders")
-    near = stored(missing_pairs(leaders.withColumn("component", F.col("node")), percent), "group-pairs")
-    nodes = entries.select("node", *key).distinct()
-    members = nodes.join(nodes.groupBy(*key).agg(F.min("node").alias("leader")), key).select("leader", "node")
-    members = stored(members, "members-of-groups")
-    one, two = members.toDF("a", "x"), members.toDF("b", "y")
-    across = near.join(one, "a").join(two, "b").select("x", "y")
-    inside = one.join(members.toDF("a", "y"), "a").filter("x < y").select("x", "y")
-    pairs = across.unionByName(inside)
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-
-
 def labelled_rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """rank, text_key, size, cluster (a class, null of empty sets), component (a rank), n_copies per document."""
     docs = identity(docs)
@@ -388,7 +501,7 @@ def labelled_rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
     # written first: a join of plain scans is one that adaptive execution can split at a hot shingle
     open_tokens = stored(ends.filter("low < high").select("token"), "open-tokens")
     labelled = stored(labelled.join(open_tokens, "token"), "open-lists")
-    second = linked(missing_pairs(labelled, percent), docs, classes, n, percent)
+    second = linked(missing_pairs(labelled, classes, percent), docs, classes, n, percent)
     labels = stored(components(first.unionByName(second)), "components")
 
     named = classes.join(labels, "node", "left").withColumn("cluster", F.coalesce("component", "node"))
@@ -414,7 +527,8 @@ def class_links(docs: DataFrame, n: int = 5, percent: int = 80) -> tuple[DataFra
     """Membership (doc_id, node, n_copies; no node: empty set) and all links (a, b) of classes, each once."""
     docs = identity(docs)
     members, classes, entries = prepared(docs, n, percent)
-    links = linked(all_pairs(entries, percent), docs, classes, n, percent)
+    alone = entries.select(*LISTED, F.col("node").alias("component"))
+    links = linked(missing_pairs(alone, classes, percent), docs, classes, n, percent)
     rows = members.join(classes.select("g1", "g2", "node", "n_copies"), ["g1", "g2"], "left")
     return rows.select(F.when(F.col("rank") < NO_ID, F.col("rank")).alias("doc_id"), "node", "n_copies"), links
 
