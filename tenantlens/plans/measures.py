@@ -126,7 +126,7 @@ def evaluate(
     outside = [n for n in by if split_name(n)[0] != base]
     joined = bool(outside or on_dimensions)
     if joined and any(leaf.kind == "distinct" for leaf in parts):
-        raise ValueError("a distinct count cannot be merged over related tables")
+        return _with_distinct(model, names, filters, by, show_all, measures)
 
     partial = {f"_p{i}": _aggregate(leaf, context(leaf)) for i, leaf in enumerate(parts)}
     if joined:
@@ -161,6 +161,63 @@ def evaluate(
     return result.select(*[split_name(n)[1] for n in by], *columns)
 
 
+def _with_distinct(
+    model: StarModel,
+    names: Sequence[str],
+    filters: Filters | None,
+    by: Sequence[str],
+    show_all: bool,
+    measures: Mapping[str, Measure | Ratio],
+) -> DataFrame:
+    """Measures of which some count distinct values over related tables. Sums are merged
+    by foreign key; distinct values are not sums, so they are reduced to one row per
+    value, foreign keys and groups of the base first. These rows are joined to the
+    dimensions and counted there; no row of the facts is."""
+    apart = [n for n in names if any(leaf.kind == "distinct" for leaf in _leaves(measures[n]))]
+    if show_all or any(isinstance(measures[n], Ratio) for n in apart):
+        raise ValueError("distinct counts over related tables stand for themselves and have no empty groups")
+    together = [n for n in names if n not in apart]
+    columns = [split_name(n)[1] for n in by]
+    results = [evaluate(model, together, filters, by, measures=measures)] if together else []
+    for name in apart:
+        results.append(_distinct_over(model, name, measures[name], filters or {}, by))
+    whole = results[0]
+    for more in results[1:]:
+        if not columns:
+            whole = whole.crossJoin(more)  # one row each
+            continue
+        told = more.toDF(*[f"_{c}" if c in columns else c for c in more.columns])
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in columns]
+        whole = whole.join(told, same, "full")
+        keys = [F.coalesce(c, f"_{c}").alias(c) for c in columns]
+        whole = whole.select(*keys, *[c for c in whole.columns if c.lstrip("_") not in columns])
+    filled = [F.coalesce(n, F.lit(0)).alias(n) if n in apart else F.col(n) for n in names]
+    return whole.select(*columns, *filled)
+
+
+def _distinct_over(model: StarModel, name: str, leaf: Measure, filters: Filters, by: Sequence[str]) -> DataFrame:
+    effective = {n: p for n, p in reachable(leaf.base, filters).items() if n not in {f"{leaf.base}.{c}" for c in leaf.own}}
+    own = {f"{leaf.base}.{c}": p for c, p in leaf.own.items()}
+    rows = model[leaf.base]
+    on_dimensions = {}
+    for key, predicate in {**effective, **own}.items():
+        table, column = split_name(key)
+        if table == leaf.base:
+            rows = rows.where(predicate.on(F.col(column)))
+        else:
+            on_dimensions[key] = predicate
+    outside = [n for n in by if split_name(n)[0] != leaf.base]
+    groups = [split_name(n)[1] for n in by if split_name(n)[0] == leaf.base]
+    keys = _foreign_keys(leaf.base, [*outside, *on_dimensions])
+    values = rows.select(*dict.fromkeys([leaf.column, *groups, *keys])).distinct()
+    value = f"{leaf.base}.{leaf.column}"
+    flat = model.with_table(leaf.base, values).flat(leaf.base, [*by, value], on_dimensions)
+    named = [F.col(f"`{n}`").alias(split_name(n)[1]) for n in by]
+    column = F.col(f"`{value}`")
+    blank = F.coalesce(F.max(column.isNull().cast("int")), F.lit(0))
+    return flat.groupBy(*named).agg((F.count_distinct(column) + blank).alias(name))
+
+
 def _across_own_groups(
     result: DataFrame, part: str, leaf: Measure, by: Sequence[str]
 ) -> Column:

@@ -307,6 +307,10 @@ _BODIES = {
         SELECT 'silver.workspace_access' AS table_name, count(*) AS row_count FROM orders
         UNION ALL SELECT 'silver.item_access', count(*) FROM permissions
         UNION ALL SELECT 'silver.activity', count(*) FROM events""",
+    "audit_by_day": """
+        SELECT CAST(creation_time AS DATE) AS event_date, count(*) AS bronze_rows, count(*) AS silver_rows,
+               count(*) AS gold_rows, TRUE AS agrees
+        FROM activity GROUP BY 1""",
     "preview_topn": """
         SELECT * FROM capacity_metrics ORDER BY date NULLS FIRST, start_of_hour NULLS FIRST, capacity_id LIMIT 1000""",
     "project_rename": "SELECT * FROM settings",
@@ -406,6 +410,15 @@ _BODIES = {
         WHERE f.workload IN ('W1', 'W2', 'W3')
           AND (u.principal_type IN ('User', 'Service') OR u.principal_type IS NULL)
         GROUP BY u.principal_type""",
+    "distinct_over_relation": """
+        SELECT u.principal_type,
+               count(DISTINCT f.principal_id) + max((f.principal_id IS NULL)::INTEGER) AS distinct_actors,
+               count(*) AS total_activities,
+               count(DISTINCT f.workspace_name) + max((f.workspace_name IS NULL)::INTEGER) AS distinct_workspaces
+        FROM fact_activity f LEFT JOIN dim_user u ON f.principal_id = u.principal_id
+        WHERE f.workload IN ('W1', 'W2')
+          AND (u.principal_type IN ('User', 'Service') OR u.principal_type IS NULL)
+        GROUP BY u.principal_type""",
     "activity_matrix": """
         SELECT workspace_name, workload, operation,
                grouping(workspace_name) = 1 AS total_workspace_name,

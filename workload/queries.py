@@ -22,8 +22,9 @@ from tenantlens.operators.history import (
 from tenantlens.operators.lineage import lineage_edges
 from tenantlens.operators.typed import explode_permissions
 from tenantlens.plans import reports
-from tenantlens.plans.build import add_activity, build_all, star_table
-from tenantlens.plans.measures import evaluate
+from tenantlens.plans.audit import activity_by_day
+from tenantlens.plans.build import EVENT_DATE, add_activity, build_all, dated_activity, star_table
+from tenantlens.plans.measures import MEASURES, Measure, evaluate
 from tenantlens.schemas import NEXT_PAGE_OF, RAW_DDL
 from tenantlens.session import scratch_dir
 from tenantlens.sources.calendar import calendar_hours
@@ -278,6 +279,16 @@ def _(g: Governance) -> DataFrame:
     return g.spark.createDataFrame(counts, "table_name STRING, row_count BIGINT")
 
 
+@query("audit_by_day")
+def _(g: Governance) -> DataFrame:
+    """Events by day as landed, typed and in the star schema, with their digests compared."""
+    add_activity(g.store, g.raw("activity"))
+    g.store.overwrite("silver.activity", dated_activity(g.store.read("bronze.activity")), [EVENT_DATE])
+    facts = identity.resolve_actor(g.store.read("silver.activity"), g.gold("dim_user"))
+    g.store.overwrite("gold.fact_activity", facts, [EVENT_DATE], gather=True)
+    return activity_by_day(g.store)
+
+
 @query("preview_topn")
 def _(g: Governance) -> DataFrame:
     return preview(g.typed("capacity_metrics"), "date", "start_of_hour", "capacity_id")
@@ -555,6 +566,19 @@ def _(g: Governance) -> DataFrame:
     return evaluate(g.star(), names, context, ["dim_user.principal_type"])
 
 
+@query("distinct_over_relation")
+def _(g: Governance) -> DataFrame:
+    """Distinct actors and operations beside a sum, by an attribute of a related table and
+    under a filter on it."""
+    measures = MEASURES | {
+        "distinct_actors": Measure("fact_activity", "distinct", "principal_id"),
+        "distinct_workspaces": Measure("fact_activity", "distinct", "workspace_name"),
+    }
+    names = ["distinct_actors", "total_activities", "distinct_workspaces"]
+    context = {"fact_activity.workload": OneOf(("W1", "W2")), "dim_user.principal_type": OneOf(("User", "Service", None))}
+    return evaluate(g.star(), names, context, ["dim_user.principal_type"], measures=measures)
+
+
 @query("activity_matrix")
 def _(g: Governance) -> DataFrame:
     return reports.activity_matrix(g.star())
