@@ -4,15 +4,17 @@ Vectors become integers, ``floor(scale * x)`` of each component. Every vector's
 distances to ``PIVOTS`` pivots are computed once and kept beside it. As
 ``q . c = (|q|^2 + |c|^2 - |q - c|^2) / 2`` and no pivot p lets ``|q - c|`` be
 less than ``|d(q, p) - d(c, p)|``, the largest of these differences bounds a
-candidate's score from above. A query evaluates candidates in the order of their
-bounds and stops at the first that cannot reach its k-th score; ties are
-evaluated, so the result is exact.
+candidate's score from above. In each block a query evaluates candidates in the order
+of their bounds, a chunk at a time, and stops where the next bound cannot reach its k-th
+score; ties are evaluated, so the result is exact. Blocks are searched each for itself:
+no score passes from one to another.
 
 Scale: the stated queries meet all rows in blocks. Candidate blocks lie once in
 ``groups``, query blocks are sent to every group, and each pair of blocks is one
 row of a join: memory is that of two blocks. A task returns k rows per query and
 block, which a ranking with partial limits reduces. Pivots are a fixed number per
-vector length, of at most ``LENGTHS`` lengths; other vectors are evaluated plainly.
+vector length, of at most ``LENGTHS`` lengths; other vectors are evaluated plainly. There
+are as many groups as candidate blocks, up to 512: beyond, a task has several blocks.
 
 Defined cases: vectors that are null or hold a null or non-finite component, or
 have no id, take no part; vectors are compared with those of their own length
@@ -37,7 +39,7 @@ PIVOTS = 32
 LENGTHS = 64
 BLOCK_ROWS = 4_096
 BLOCK_QUERIES = 512
-FIRST = 128  # candidates of the highest bounds, evaluated before the others
+FIRST = 128  # candidates of the first chunk; later ones are twice as large each
 EXACT = 2**53
 LIMIT = 2**63 - 1
 BLOCK = "width int, block long, ids binary, keys binary, vectors binary, wide boolean, distances binary"
@@ -160,8 +162,7 @@ class Candidates:
         return products(query, self.vectors[chosen])
 
     def best(self, query: np.ndarray, q_id: int, q_far: np.ndarray | None, k: int) -> list[tuple[int, int]]:
-        """(score, id) of the k best: those of the highest bounds set a score, then all
-        whose bound reaches it are evaluated."""
+        """(score, id) of the k best, in the order of the bounds."""
         other = self.ids != q_id
         if q_far is None or len(self.ids) <= FIRST:
             return top(self.scores(query, other), self.ids[other], k)
@@ -170,13 +171,15 @@ class Candidates:
         bound = (q_norm + self.norms - low * low) / 2
         bound += 1 + 1e-9 * (q_norm + self.norms)  # rounding
         bound[~other] = -np.inf
-        first = np.argpartition(-bound, FIRST)[:FIRST]
-        first = first[other[first]]
-        kept = top(self.scores(query, first), self.ids[first], k)
-        rest = bound >= (kept[-1][0] if len(kept) == k else -np.inf)
-        rest[first], rest[~other] = False, False
-        if rest.any():
-            kept = sorted(kept + top(self.scores(query, rest), self.ids[rest], k), key=lambda x: (-x[0], x[1]))[:k]
+        chosen = np.argpartition(-bound, FIRST)[:FIRST]
+        chosen = chosen[other[chosen]]
+        kept = top(self.scores(query, chosen), self.ids[chosen], k)
+        bound[chosen] = -np.inf
+        left = np.flatnonzero(bound >= (kept[-1][0] if len(kept) == k else np.finfo(float).min))
+        left, at, size = left[np.argsort(-bound[left])], 0, FIRST
+        while at < len(left) and (len(kept) < k or bound[left[at]] >= kept[-1][0]):
+            chosen, at, size = left[at : at + size], at + size, 2 * size
+            kept = sorted(kept + top(self.scores(query, chosen), self.ids[chosen], k), key=lambda x: (-x[0], x[1]))[:k]
         return kept
 
 
