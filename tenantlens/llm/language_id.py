@@ -3,18 +3,17 @@ r"""Language identification by language-bitmask n-gram filters.
 Texts are lower-cased, everything ASCII that is no letter becomes white space,
 and words are set between single spaces; n-grams are runs of four bytes of that.
 
-Training counts n-grams per language. An n-gram belongs to every language where
-it occurs ``LEAST_COUNT`` times and at least a ``1 / RATIO`` as often, by share, as
-where it is most frequent. All languages lie in one bit-sliced Bloom filter: a
-position holds one bit per language, so ``HASHES`` look-ups, ANDed, return the mask
-of all languages that hold an n-gram. A document's score for a language is the
+Training takes the n-grams of each language's sample, all of them. All languages lie in
+one bit-sliced Bloom filter: a position holds one bit per language, so ``HASHES``
+look-ups, ANDed, return the mask of all languages that hold an n-gram; a language that
+is added changes no other's bits. A document's score for a language is the
 share of its n-grams with that bit, corrected for the filter's false positives
 ``(share - f) / (1 - f)``; the best one decides, the first by code point if equal.
 
 Scale: one pass over the texts without a shuffle of any text. Training reads about
-``SAMPLE_DOCS`` documents of each language, those of the smallest hashes; the
-filter holds at most ``MOST_GRAMS`` n-grams over all languages (its size in bytes is
-below 16 * MOST_GRAMS, whatever the corpus), and is sent to all tasks.
+``SAMPLE_DOCS`` documents of each language, those of the smallest hashes of id and text,
+repeated rows once; this sample is the only bound. What reaches the driver are the
+different n-grams of the samples, and the filter made of them goes to all tasks.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0; so is
 every text if nothing could be learned. A text none of whose n-grams is known
@@ -32,14 +31,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
-from pyspark.sql.window import Window
 
 from tenantlens.llm.common import sliced, stored, texts
 
 SAMPLE_DOCS = 4_000
-MOST_GRAMS = 1_000_000
-LEAST_COUNT = 3
-RATIO = 4.0
 HASHES = 3
 BITS_PER_GRAM = 12
 UNKNOWN = "und"
@@ -137,9 +132,10 @@ def training_sample(docs: DataFrame) -> DataFrame:
     rows = known.select("text", "lang", F.xxhash64("doc_id", "text").alias("mark"))
     share = F.lit(float(SAMPLE_DOCS)) / F.col("n")
     limit = F.when(share >= 1, F.lit(2**63 - 1)).otherwise((share * 2.0**64 - 2.0**63).cast("long"))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    counts = rows.groupBy("lang").agg(F.count_distinct("mark").alias("n"))
     limit = stored(counts.select("lang", limit.alias("limit")), "sample-limits")
-    return rows.join(limit, "lang").filter("mark <= limit").select("text", "lang")
+    drawn = rows.join(limit, "lang").filter("mark <= limit")
+    return drawn.dropDuplicates(["lang", "mark"]).select("text", "lang")
 
 
 def learn(docs: DataFrame) -> LanguageFilter:
@@ -150,12 +146,7 @@ def learn(docs: DataFrame) -> LanguageFilter:
     languages = sorted(sizes, key=lambda x: x.encode())
     if not languages:
         return LanguageFilter([], [], 0)
-    shares = counts.join(F.broadcast(totals), "lang").withColumn("share", F.col("n") / F.col("total"))
-    best = shares.groupBy("gram").agg(F.max("share").alias("top"))
-    typical = shares.join(best, "gram").filter((F.col("n") >= LEAST_COUNT) & (F.col("share") * RATIO >= F.col("top")))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    most = max(1, MOST_GRAMS // len(languages))
-    kept: pd.DataFrame = typical.withColumn("place", place).filter(F.col("place") <= most).select("lang", "gram").toArrow().to_pandas()
+    kept: pd.DataFrame = counts.select("lang", "gram").toArrow().to_pandas()  # of the samples alone
     own = [kept.loc[kept["lang"] == x, "gram"].to_numpy(np.int64) for x in languages]
     default = max(range(len(languages)), key=lambda i: (sizes[languages[i]], -i))
     return LanguageFilter(languages, own, default)

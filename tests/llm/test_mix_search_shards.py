@@ -66,6 +66,28 @@ def test_mix_meets_targets_and_takes_whole_epochs_first(make, spark):
     assert source_mix.mix(make().limit(0), labels).count() == source_mix.mixed(make().limit(0), labels).count() == 0
 
 
+def test_mix_takes_as_many_repeated_rows_as_fit(make):
+    """One row a hundred times, beside a source of rows of their own."""
+    docs = [(1, "w " * 10, None, "a")] * 100 + [(100 + i, "w " * 7, None, "b") for i in range(100)]
+    docs += [(2, "w " * 3, None, "c")] * 5
+    rows = source_mix.mix(make(*docs)).collect()
+    taken = {}
+    for r in rows:
+        key = (r["source_size"], r["target"])
+        taken[key] = taken.get(key, 0) + r["taken"]
+    assert len(rows) == len(docs) and len(taken) == 3
+    assert all(abs(v - target) <= 10 for (_, target), v in taken.items())
+    assert sorted(r["taken"] for r in rows) == sorted(r["taken"] for r in source_mix.mix(make(*reversed(docs))).collect())
+    mixed = source_mix.mixed(make(*docs)).groupBy("source").agg(F.sum(source_mix.size_of()).alias("n")).collect()
+    assert sorted(r["n"] for r in mixed) == sorted(taken.values())
+
+
+def test_copies_are_numbered_over_the_parts_they_lie_in(spark):
+    rows = spark.range(0, 5000, 1, 16).select((F.col("id") % 7 == 0).alias("of"), "id")
+    found = source_mix.numbered(rows, "of").groupBy("of").agg(F.count("*"), F.countDistinct("__copy"), F.max("__copy")).collect()
+    assert sorted((n, d, m) for _, n, d, m in found) == [(715, 715, 714), (4285, 4285, 4284)]
+
+
 def test_quality_weights_are_preferred(make, spark):
     docs = [(i, "w " * 10, None, "a" if i % 2 else "b") for i in range(2000)]
     labels = spark.createDataFrame([(i, int(i % 4 < 2), 0) for i in range(2000)], "doc_id BIGINT, quality INT, toxic INT")

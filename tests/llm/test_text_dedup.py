@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tenantlens.llm import line_dedup, ngram_jaccard, substring_dedup
 from tenantlens.llm.components import components
@@ -120,6 +121,71 @@ def test_cuckoo_filter_holds_loses_and_grows():
     assert index.contains(k1[:20_000], k2[:20_000]).mean() < 0.01
 
 
+def test_filters_grow_a_hundredfold(make):
+    """A filter built for a few keys is built anew where many more have come; and back."""
+    def lines(start, count):
+        return "\n".join(f"line {k}" for k in range(start, start + count))
+
+    few, many = make(*[(i, lines(0, 3)) for i in range(10)]), make(*[(i, lines(100, 400)) for i in range(10)])
+    before = line_dedup.reference_counts(line_dedup.document_keys(few))
+    after = line_dedup.changed_counts(before, many, None)
+    filters = line_dedup.build_filters(before, 10, 2)
+    grown = line_dedup.updated_filters(filters, before, after, 10, 2)
+
+    def hits(index):
+        asked = line_dedup.document_keys(few.unionByName(many))
+        return line_dedup.maybe_frequent(asked, index, 2).select("k1", "k2").distinct().count()
+
+    assert hits(filters) <= 6 and hits(grown) == 403
+    assert hits(line_dedup.updated_filters(grown, after, before, 10, 2)) <= 6
+
+
+def test_lines_of_many_rows_without_an_id(spark):
+    """A third and more of the rows have no id or one id: none of them gets the others' keys."""
+    text = F.concat_ws("\n", F.lit("Common"), F.concat(F.lit("own "), "id"), F.concat(F.lit("shared "), F.col("id") % 500))
+    who = F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, F.lit(7)).otherwise(F.col("id"))
+    docs = spark.range(0, 30_000, 1, 8).select(who.alias("doc_id"), text.alias("text"))
+    kept = line_dedup.drop_lines(docs)
+    assert {(r["n_dropped"], r["count"]) for r in kept.groupBy("n_dropped").count().collect()} == {(2, 30_000)}
+    assert kept.filter(~F.col("kept_text").startswith("own ")).count() == 0
+    keys = line_dedup.document_keys(docs)
+    assert keys.select("rank", "text_key").distinct().count() == 30_000
+
+
+def one_cluster(size, changed, words=200, seed=1):
+    rng = np.random.default_rng(seed)
+    base = [f"w{k}" for k in range(words)]
+    out = []
+    for i in range(size):
+        own = list(base)
+        for at in rng.choice(words, changed, replace=False):
+            own[at] = f"x{i}y{at}"
+        out.append((i, " ".join(own)))
+    return out
+
+
+def test_pairs_of_a_loose_cluster_stay_few(make, monkeypatch):
+    """Texts that are 0.6 to 0.75 alike share many prefix shingles; bitmaps rule them out."""
+    seen = []
+    real = ngram_jaccard.missing_pairs
+    monkeypatch.setattr(ngram_jaccard, "missing_pairs", lambda *a: seen.append(real(*a).count()) or real(*a))
+    docs = one_cluster(300, 4)
+    result = ngram_jaccard.jaccard_classes(make(*docs), 5, 80)
+    assert collected(result, "doc_id", "n_shingles", "component_id") == classes_by_brute_force(docs, 5, 80)
+    assert max(seen) < 300 * 299 / 2 / 20
+
+
+def test_bitmaps_bound_the_difference():
+    rng = np.random.default_rng(6)
+    for size in (1, 40, 255, 256, 257, 3000):
+        a = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+        b = np.unique(np.concatenate([a[: size * 4 // 5], rng.integers(0, 2**63, size // 3).astype(np.uint64)]))
+        bits = np.array([ngram_jaccard.parity(a), ngram_jaccard.parity(b)], object)
+        width = min(map(len, bits))
+        one, two = (ngram_jaccard._bitmaps(bits, np.array([k]), width)[0] for k in (0, 1))
+        assert np.bitwise_count(one ^ two).sum() <= len(np.setxor1d(a, b))
+
+
 def classes_by_brute_force(docs, n, percent):
     sets = []
     for _, text in docs:
