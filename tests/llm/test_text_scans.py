@@ -42,7 +42,7 @@ def test_leaks_equal_brute_force(spark, make, prose, monkeypatch, block_words):
         texts.append(" ".join(["before", *words, "after"]).upper())
     items += [(None, "no id of its own"), (54, "many times the same")] + [(60 + k, "many times the same") for k in range(30)]
     docs = list(enumerate(texts)) + [(None, None), (900, ""), (901, "a three LITTLE words b"), (901, items[9][1])]
-    docs += [(902, "here is no id of its own"), (None, "many times the same"), (903, "so " * 200_000 + "three little words")]
+    docs += [(902, "here is no id of its own"), (904, "many times the same"), (903, "so " * 200_000 + "three little words")]
     table = spark.createDataFrame(items, "item_id BIGINT, text STRING")
     found = decontamination.leaks(make(*docs), table)
     assert sorted(((r["doc_id"], r["item_id"], r["n_item"], r["n_common"]) for r in found.collect()), key=str) == contained_by_brute_force(docs, items)
