@@ -54,6 +54,7 @@ MOST_HEAVY = 250_000
 ORDERS = 3
 BLOCK_ENTRIES = 500_000  # prefix entries of a part, about
 SPREAD = 64  # tasks, at least, that share the heavy shingles
+LEAST_BITS, MOST_BITS = 9, 10  # binary digits of the width of a bitmap
 LIST_ROWS = 500  # rows of a block of a list
 COMPARED_WORDS = 1 << 20  # of bitmaps compared at once
 EXPANDED = 1 << 18  # pairs of rows looked at together, about
@@ -75,7 +76,7 @@ def parity(tokens: np.ndarray) -> bytes:
     """Bitmap of a set: bit ``b`` tells whether an odd number of shingles falls on it. Two
     sets that differ in ``d`` shingles have bitmaps that differ in ``d`` bits at most; the
     halves of a bitmap, XORed, are the bitmap of half the width."""
-    width = 1 << max(9, (2 * len(tokens) - 1).bit_length()) if len(tokens) else 512
+    width = 1 << min(MOST_BITS, max(LEAST_BITS, max(0, len(tokens) - 1).bit_length()))
     at = (mixed(tokens + np.uint64(0x51ED270B)) & np.uint64(width - 1)).astype(np.int64)
     odd = (np.bincount(at, minlength=width) & 1).astype(np.uint8)
     return np.packbits(odd, bitorder="little").tobytes()
@@ -304,7 +305,9 @@ def missing_pairs(labelled: DataFrame, classes: DataFrame, percent: int) -> Data
     rows, which must pass by bitmaps (each bit that differs is a shingle that only one
     set has). All filters are exact; only pairs that pass leave the task.
     """
-    many = labelled.groupBy("token").agg(F.ceil(F.count("*") / F.lit(float(LIST_ROWS))).cast("int").alias("blocks"))
+    ends = F.min("component").alias("low"), F.max("component").alias("high")
+    many = labelled.groupBy("token").agg(F.ceil(F.count("*") / F.lit(float(LIST_ROWS))).cast("int").alias("blocks"), *ends)
+    many = many.filter("low < high").select("token", "blocks")
     rows = labelled.join(many, "token").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     rows = rows.join(classes.select("node", "bits"), "node")
     others = F.sequence(F.lit(0), F.col("blocks") - 1)
@@ -326,6 +329,14 @@ def missing_pairs(labelled: DataFrame, classes: DataFrame, percent: int) -> Data
     return ordered.mapInArrow(match, "a long, b long").distinct()
 
 
+def reaches_far(percent: int) -> Column:
+    """Whether enough of a set follows its place in a list, beside the smallest set of the
+    list that it could link with: for larger ones more would have to follow."""
+    partner = F.greatest("least", F.ceil(F.col("size") * percent / F.lit(100)))
+    need = F.ceil((F.col("size") + partner) * percent / F.lit(100 + percent))
+    return F.col("pos") + need <= F.col("size")
+
+
 def _pairs(found: list[np.ndarray]) -> pa.RecordBatch:
     each = np.unique(np.concatenate([*found, np.empty((0, 2), np.int64)]), axis=0)
     return pa.record_batch([pa.array(each[:, 0].copy()), pa.array(each[:, 1].copy())], ["a", "b"])
@@ -497,10 +508,11 @@ def labelled_rows(docs: DataFrame, n: int, percent: int) -> DataFrame:
     first = linked(neighbours(leaders, percent).unionByName(others).distinct(), docs, classes, n, percent)
     near = stored(components(first), "near")
     labelled = entries.drop("h1", "h2").join(near, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    ends = labelled.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    ends = F.min("component").alias("low"), F.max("component").alias("high"), F.min("size").alias("least")
+    ends = labelled.groupBy("token").agg(*ends)
     # written first: a join of plain scans is one that adaptive execution can split at a hot shingle
-    open_tokens = stored(ends.filter("low < high").select("token"), "open-tokens")
-    labelled = stored(labelled.join(open_tokens, "token"), "open-lists")
+    open_tokens = stored(ends.filter("low < high").select("token", "least"), "open-tokens")
+    labelled = stored(labelled.join(open_tokens, "token").filter(reaches_far(percent)).drop("least"), "open-lists")
     second = linked(missing_pairs(labelled, classes, percent), docs, classes, n, percent)
     labels = stored(components(first.unionByName(second)), "components")
 
