@@ -17,9 +17,9 @@ little-endian, closed by one newline, which Spark's text writer adds. Reading is
 by ``binaryFile``. ``WaveletMatrix`` gives access, rank, count and select on the
 planes as they lie in the file.
 
-Scale: texts are encoded where they are read; what is dealt out by ranges of doc_id are
-packed ids, cut into shards as they stream by, so a task holds one shard whatever the
-corpus. Spark's own commit protocol writes the
+Scale: one range shuffle of the texts (packed ids of made-up words are as large as
+compressed text), cut into shards as they stream by, so a task holds one shard whatever
+the corpus. Spark's own commit protocol writes the
 files: a task that is run again leaves no second copy. Offsets are sums over
 shards within each partition, then over partitions.
 
@@ -34,6 +34,7 @@ import json
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,7 +51,7 @@ HEAD = struct.Struct("<4sIIIQQ")
 SHARD_TOKENS = 1 << 19
 BATCH_DOCS = 500
 CACHED_PIECES = 500_000
-KEPT_PIECES = 150_000
+KEPT_PIECES = 300_000
 SUPER = 512  # bits of a rank block
 WORDS = SUPER // 64
 # one mark between an ASCII letter and white space is a token of its own either way
@@ -230,6 +231,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(spec)
         self.bits = max(1, (self.tokenizer.get_vocab_size(with_added_tokens=True) - 1).bit_length())
         self.kind = np.dtype("<u2" if self.bits <= 16 else "<u4")
+        self.code = "H" if self.bits <= 16 else "I"
         self.known: dict[bytes, bytes] = {}
         read = json.loads(spec)
         steps = [read.get("normalizer") or {}, read.get("pre_tokenizer") or {}]
@@ -247,13 +249,12 @@ class Encoder:
         tokenize, other = self.tokenizer.model.tokenize, []
         for piece in missing:
             if LETTERS.fullmatch(piece):
-                ids = [t.id for t in tokenize(piece.decode())]
-                self.known[piece] = np.array(ids, self.kind).tobytes()
+                self.known[piece] = array(self.code, [t.id for t in tokenize(piece.decode())]).tobytes()
             else:
                 other.append(piece)
         found = self.tokenizer.encode_batch_fast([p.decode() for p in other], add_special_tokens=False)
         for piece, one in zip(other, found, strict=True):
-            self.known[piece] = np.array(one.ids, self.kind).tobytes()
+            self.known[piece] = array(self.code, one.ids).tobytes()
 
     def rest(self) -> None:
         """Between tasks only the pieces met first stay, which are the frequent ones."""
@@ -298,58 +299,45 @@ class Encoder:
         return [ids[a:b] for a, b in itertools.pairwise(bounds.tolist())]
 
 
-def encoded_rows(docs: DataFrame, tokenizer_file: str) -> tuple[DataFrame, int]:
-    """doc_id, text_key and the ids of each text, packed; and the bits that an id needs."""
+def write_shards(docs: DataFrame, tokenizer_file: str, path: str, end_id: int = 2) -> None:
+    """Encodes ``docs`` (doc_id, text) into shard files under ``path``."""
     spark = docs.sparkSession
     with open(tokenizer_file, encoding="utf-8") as file:
-        text = file.read()
-    spec = spark.sparkContext.broadcast(text)  # a vocabulary, a few MB
+        spec = spark.sparkContext.broadcast(file.read())  # a vocabulary, a few MB
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.of(spec.value)
-        for batch in sliced(batches, BATCH_DOCS):
-            ids = [x.tobytes() for x in encoder.encode(batch.column("text"))]
-            yield pa.record_batch(
-                [batch.column("doc_id").cast(pa.int64()), batch.column("text_key"), pa.array(ids, pa.binary())],
-                ["doc_id", "text_key", "ids"],
-            )
-        encoder.rest()
-
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
-    return rows.mapInArrow(encode, "doc_id long, text_key long, ids binary"), Encoder.of(text).bits
-
-
-def write_shards(docs: DataFrame, tokenizer_file: str, path: str, end_id: int = 2) -> None:
-    """Encodes ``docs`` (doc_id, text) into shard files under ``path``."""
-    rows, bits = encoded_rows(docs, tokenizer_file)
-    rows = stored(rows, "token-ids")  # the ranges are sampled from it, and it is dealt out by them
-    kind = np.dtype("<u2" if bits <= 16 else "<u4")
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, end = TaskContext.get().partitionId(), np.array([end_id], kind).tobytes()
+        encoder, part = Encoder.of(spec.value), TaskContext.get().partitionId()
+        end = np.array([end_id], encoder.kind)
         seq, held, ids, sizes, parts = 0, 0, [], [], []
 
         def shard() -> pa.RecordBatch:
-            tokens = np.frombuffer(b"".join(parts), kind)
-            content = shard_bytes(part, seq, ids, sizes, tokens, bits)
+            content = shard_bytes(part, seq, ids, sizes, np.concatenate(parts), encoder.bits)
             return pa.record_batch([pa.array([content], pa.large_binary()).cast(pa.binary())], ["value"])
 
-        for batch in sliced(batches, 1_000):
-            for i, tokens in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist(), strict=True):
+        for batch in sliced(batches, BATCH_DOCS):
+            all_ids = batch.column("doc_id").cast(pa.int64()).to_pylist()
+            for i, tokens in zip(all_ids, encoder.encode(batch.column("text")), strict=True):
                 ids.append(i)
-                sizes.append(len(tokens) // kind.itemsize + 1)
+                sizes.append(len(tokens) + 1)
                 parts += [tokens, end]
-                held += sizes[-1]
+                held += len(tokens) + 1
                 if held >= SHARD_TOKENS:
                     yield shard()
                     seq, held, ids, sizes, parts = seq + 1, 0, [], [], []
         if ids:
             yield shard()
+        encoder.rest()
 
     ordered = [F.asc_nulls_last("doc_id"), F.asc_nulls_first("text_key")]
-    shards = rows.repartitionByRange(*ordered).sortWithinPartitions(*ordered).mapInArrow(cut, "value binary")
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    shards = (
+        rows.repartitionByRange(*ordered)
+        .sortWithinPartitions(*ordered)
+        .select("doc_id", "text")
+        .mapInArrow(encode, "value binary")
+    )
     shards.select(F.col("value").cast("string")).write.option("maxRecordsPerFile", 1).text(path)
 
 
