@@ -79,6 +79,28 @@ def one_per_key(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     missing key part all stay. Copies meet pre-merged, one per task. Columns that have
     no order, such as the whole record, are compared as JSON text."""
     missing = _missing_key(keys)
+    kept = _smallest_per_key(batch.where(~missing), keys)
+    return kept.unionByName(batch.where(missing))
+
+
+def _without_copies(batch: DataFrame, keys: Sequence[str], broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``one_per_key`` of a stored batch. The keys are counted first: few of a batch come
+    more than once, and only the rows of those are moved and compared whole."""
+    keys = list(keys)
+    counted = batch.where(~_missing_key(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = counted.where("_n > 1").select(*keys)
+    size = stored_bytes(repeated)
+    if not size:
+        return batch
+    if size > broadcast_bytes:
+        return one_per_key(batch, keys)
+    sent = F.broadcast(repeated)
+    once = batch.join(sent, keys, "left_anti").select(*batch.columns)
+    copies = batch.join(sent, keys, "left_semi").select(*batch.columns)
+    return once.unionByName(_smallest_per_key(copies, keys))
+
+
+def _smallest_per_key(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     row = F.struct(*[F.col(f"`{c}`") for c in batch.columns])
     loose = [f.name for f in batch.schema.fields if holds_unordered(f.dataType)]
     if loose:
@@ -86,8 +108,7 @@ def one_per_key(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
         smallest = F.min_by(row, F.struct(*ordered, F.to_json(F.struct(*[F.col(f"`{c}`") for c in loose]))))
     else:
         smallest = F.min(row)
-    kept = batch.where(~missing).groupBy(*keys).agg(smallest.alias("_row")).select("_row.*")
-    return kept.unionByName(batch.where(missing))
+    return batch.groupBy(*keys).agg(smallest.alias("_row")).select("_row.*")
 
 
 def merge_insert_only(
@@ -116,7 +137,7 @@ def merge_insert_only(
         # read several times below, and parsed from its files only once
         batch = batch.persist(StorageLevel.DISK_ONLY)
     try:
-        rows = one_per_key(batch, keys) if merge_copies else batch
+        rows = _without_copies(batch, keys) if merge_copies else batch
         if loaded and index is not None and index.takes(batch):
             state = index.ready()
             rows = _unknown_rows(rows, index.known(batch, state), keys, **join_options)

@@ -7,6 +7,7 @@ be run again alone.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -39,6 +40,7 @@ from tenantlens.sources.landing import (
     broken_lists,
     count_broken,
     flatten_pages,
+    landed_files,
     landing_audit,
     parents_without_children,
     quarantined,
@@ -79,6 +81,12 @@ SAME_AS_TYPED = {
     "fact_item_access": "item_access",
     "fact_capacity_metrics": "capacity_metrics",
 }
+# Sources of the principals, the first one to be asked first.
+PRINCIPALS = {
+    "workspace_access": identity.principals_of_workspace_access,
+    "item_access": identity.principals_of_item_access,
+    "directory_users": identity.principals_of_directory,
+}
 EVENT_DATE = "event_date"
 ACTOR_DAYS = "actor_days"
 INDEXED_FROM_BYTES = 256 << 20
@@ -110,16 +118,31 @@ def build_raw(
     store: TableStore,
     today: dt.date,
     paged: Iterable[str] = (),
+    keep: bool = False,
 ) -> dict[str, dict[str, int]]:
     """Raw tables from the files ``<landing>/<entity>``: one record per line,
     or for entities in ``paged`` one page. Returns the rows of each write with
     the count of lines (pages) read, of bad ones, of ones of which nothing is
     kept, and of page lists that break off. The text of bad lines is kept in
     ``quarantine.<entity>``; only if there are any, the same files are read again.
-    Records are kept whole, see ``sources.landing``."""
+    Records are kept whole, see ``sources.landing``. ``keep``: a snapshot whose landed
+    files are those it was made from stays as it is, with its counts."""
     paged = set(paged)
     audit = {}
 
+    def snapshot(entity: str) -> None:
+        name = f"bronze.{entity}"
+        # listed before they are read: what lands meanwhile is another state
+        shape = f"{RAW_DDL[entity]} {entity in paged}"
+        files = "\n".join([shape, *sorted(landed_files(spark, f"{landing}/{entity}"))])
+        source = hashlib.sha256(files.encode()).hexdigest()
+        made = store.made(name) if keep else {}
+        if made.get("source") == source:
+            audit[name], store.audit[name] = made["counts"], {"rows": made["counts"]["rows"]}
+            return
+        load(entity, lambda rows: store.overwrite(name, rows)["rows"])
+        store.note(name, source, audit[name])
+
     def load(entity: str, write) -> None:
         counted = Observation(f"land {entity}")
         lines, key = _lines(spark, landing, entity, entity in paged)
@@ -133,7 +156,7 @@ def build_raw(
             store.overwrite(f"quarantine.{entity}", quarantined(lines, key))
 
     for entity in SNAPSHOTS:
-        load(entity, lambda rows, e=entity: store.overwrite(f"bronze.{e}", rows)["rows"])
+        snapshot(entity)
     load("activity", lambda rows: add_activity(store, usable_records(rows)))
     load(
         "capacity_metrics",
@@ -190,21 +213,39 @@ def skipped(store: TableStore, today: dt.date) -> DataFrame:
 
 def build_typed(store: TableStore, since: dt.date | None = None) -> None:
     """Typed tables. All are rebuilt but the activity, of which ``since`` limits
-    the work to its days from then on (and the events without a day)."""
+    the work to its days from then on (and the events without a day). With ``since``
+    a table made from a raw table that has not been written since stays too."""
+    keep = since is not None
     for entity in TYPED_COLUMNS:
         if entity == "activity":
             continue
         raw = usable_records(store.read(f"bronze.{entity}"))
-        store.overwrite(f"silver.{entity}", typed_table(entity, raw))
+        _derived(store, f"silver.{entity}", f"bronze.{entity}", typed_table(entity, raw), keep)
     events = _days_from(store.read("bronze.activity"), since)
     _write_days(store, "silver.activity", dated_activity(events), since)
     _write_actor_days(store, since)
-    store.overwrite("silver.users", merged_identities(store))
+    store.overwrite("silver.users", merged_identities(store, keep))
     scan = usable_records(store.read("bronze.workspace_scan"))
-    store.overwrite("silver.lineage", lineage_edges(scan))
+    _derived(store, "silver.lineage", "bronze.workspace_scan", lineage_edges(scan), keep)
     store.overwrite("silver.calendar", calendar_table(store.read("bronze.calendar")))
 
 
+def _derived(
+    store: TableStore, name: str, source: str, rows: DataFrame, keep: bool, into: TableStore | None = None
+) -> None:
+    """A table made from one other alone. ``keep``: it stays as it is, with its counts, if
+    that one has not been written since."""
+    into = into or store
+    written = store.made(source).get("write")
+    made = into.made(name) if keep else {}
+    if written and made.get("source") == written:
+        into.audit[name] = made["counts"]
+        return
+    counts = into.overwrite(name, rows)
+    if written:
+        into.note(name, written, counts)
+
+
 def dated_activity(raw: DataFrame) -> DataFrame:
     """Typed events with the day they lie under."""
     return typed_table("activity", raw).withColumn(EVENT_DATE, F.to_date("creation_time"))
@@ -235,17 +276,15 @@ def _write_days(store: TableStore, name: str, rows: DataFrame, since: dt.date |
         store.replace_partitions(name, rows, [EVENT_DATE])
 
 
-def merged_identities(store: TableStore) -> DataFrame:
-    def raw(entity: str) -> DataFrame:
-        return usable_records(store.read(f"bronze.{entity}"))
-
-    return identity.merge_identities(
-        [
-            identity.principals_of_workspace_access(raw("workspace_access")),
-            identity.principals_of_item_access(raw("item_access")),
-            identity.principals_of_directory(raw("directory_users")),
-        ]
-    )
+def merged_identities(store: TableStore, keep: bool = False) -> DataFrame:
+    """Principals of all sources, from the distinct descriptions of each, which are stored
+    beside the tables and with ``keep`` stay where the source has stayed."""
+    found = []
+    for entity, principals in PRINCIPALS.items():
+        rows = principals(usable_records(store.read(f"bronze.{entity}"))).distinct()
+        _derived(store, name := f"principals.{entity}", f"bronze.{entity}", rows, keep, store.index)
+        found.append(store.index.read(name))
+    return identity.merge_identities(found)
 
 
 def build_star(store: TableStore, since: dt.date | None = None) -> None:
@@ -303,9 +342,11 @@ def build_all(
     Without ``since`` typed and star activity are rebuilt over the whole
     history. A daily run may give the first day of the activity window, since
     no extraction brings older events. ``bronze.skipped`` tells what the
-    extraction left out.
+    extraction left out. With ``since`` a snapshot whose landed files are the same as
+    before stays as it is, and so do the tables made from it alone; a run without it
+    makes them all again, as one after a change of their rules must.
     """
-    landed_counts = build_raw(spark, landing, store, today, paged)
+    landed_counts = build_raw(spark, landing, store, today, paged, keep=since is not None)
     store.overwrite("bronze.skipped", skipped(store, today))
     build_typed(store, since)
     build_star(store, since)

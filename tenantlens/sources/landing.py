@@ -52,6 +52,17 @@ def records_of(lines: DataFrame, ddl: str) -> DataFrame:
     return parsed.select(*[c for c in parsed.columns if c != RECORD], RECORD)
 
 
+def landed_files(spark: SparkSession, path: str) -> list[str]:
+    """Name, size and time of all files of a landing folder."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    found, files = [], folder.getFileSystem(conf).listFiles(folder, True)
+    while files.hasNext():
+        file = files.next()
+        found.append(f"{file.getPath().toString()} {file.getLen()} {file.getModificationTime()}")
+    return found
+
+
 def read_records(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     """Records of a landing folder with the whole record in RECORD; the text of bad
     lines is kept in CORRUPT."""

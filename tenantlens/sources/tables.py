@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -9,6 +11,9 @@ from pyspark.sql import functions as F
 
 from tenantlens.schemas import PREVIEW_ROWS
 
+MADE = "_made.json"
+
+
 class TableStore:
     """Names such as ``gold.dim_user`` are folders ``<root>/gold/dim_user``."""
 
@@ -43,6 +48,32 @@ class TableStore:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
+    def made(self, name: str) -> dict:
+        """What the table was made from, with its counts and the number of that write;
+        nothing if it was not noted. The note lies in the table's folder, so that every
+        later overwrite takes it away."""
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/{MADE}")
+        files = path.getFileSystem(conf)
+        if not (self.exists(name) and files.exists(path)):
+            return {}
+        stream = files.open(path)
+        try:
+            return json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def note(self, name: str, source: str, counts: dict[str, int]) -> None:
+        """Notes what the table was made from; to be called after its write."""
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.path(name)}/{MADE}")
+        made = {"source": source, "counts": counts, "write": uuid.uuid4().hex}
+        stream = path.getFileSystem(conf).create(path, True)
+        try:
+            stream.write(json.dumps(made).encode())
+        finally:
+            stream.close()
+
     def overwrite(
         self,
         name: str,

@@ -212,3 +212,17 @@ def test_window_is_half_open(spark):
     )
     inside = times.where(in_window(F.col("ts"), capacity_window(dt.date(2026, 8, 30))))
     assert rows(inside) == [(dt.datetime(2026, 8, 16),)]
+
+
+def test_only_repeated_keys_are_compared_whole(spark):
+    """Rows of keys that come once are neither sorted nor moved to merge copies."""
+    from tenantlens.operators.history import _without_copies, one_per_key
+
+    batch = spark.createDataFrame(
+        [("a", 2), ("a", 1), ("b", 3), (None, 4), (None, 4), ("c", None)], "Id STRING, v INT"
+    )
+    expected = sorted(map(str, one_per_key(batch, ["Id"]).collect()))
+    for limit in (1 << 20, 1):
+        assert sorted(map(str, _without_copies(batch, ["Id"], limit).collect())) == expected
+    single = batch.where("Id IS NULL OR Id <> 'a'")
+    assert "Aggregate" not in _without_copies(single, ["Id"])._jdf.queryExecution().executedPlan().toString()
