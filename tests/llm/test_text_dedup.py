@@ -300,3 +300,21 @@ def test_hashes_tell_sets_apart():
     digests = {ngram_jaccard.set_digest(np.array(s, np.uint64)) for s in ([1, 2], [2, 1], [1], [], [3])}
     assert len(digests) == 4
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
+
+
+def test_batches_of_texts_are_bounded_by_bytes(spark):
+    """A worker gets about a slice of texts at once, however many rows a batch may have."""
+    import pyarrow as pa
+
+    from tenantlens.llm.common import MOST_BATCH_BYTES, sliced
+
+    def sizes(batches):
+        for batch in batches:
+            parts = [s.num_rows for s in sliced(iter([batch]))]
+            yield pa.record_batch([pa.array([batch.nbytes]), pa.array([min(parts)]), pa.array([sum(parts)])], ["bytes", "least", "rows"])
+
+    rows = spark.range(0, 9000, 1, 1).select(F.repeat(F.lit("x"), 2000).alias("text"))
+    found = rows.mapInArrow(sizes, "bytes long, least long, rows long").collect()
+    assert max(r["bytes"] for r in found) < 1.1 * MOST_BATCH_BYTES
+    assert sum(r["rows"] for r in found) == 9000
+    assert sorted(r["least"] for r in found)[1] > 1000  # only the last batch may be small
