@@ -175,6 +175,18 @@ def test_pairs_of_a_loose_cluster_stay_few(make, monkeypatch):
     assert max(seen) < 300 * 299 / 2 / 20
 
 
+def test_long_texts_are_verified_only_if_wide_bitmaps_are_alike(make, monkeypatch):
+    """Sets of 4,000 shingles that are 0.65 alike: the bitmaps of the lists are too narrow to tell."""
+    seen = []
+    real = ngram_jaccard.verified
+    monkeypatch.setattr(ngram_jaccard, "verified", lambda p, *a: seen.append(p.count()) or real(p, *a))
+    docs = one_cluster(24, 80, words=4000)
+    docs.append((100, docs[7][1] + " one more"))
+    result = ngram_jaccard.jaccard_classes(make(*docs), 5, 80)
+    assert collected(result, "doc_id", "n_shingles", "component_id") == classes_by_brute_force(docs, 5, 80)
+    assert 1 <= max(seen) <= 24
+
+
 def test_bitmaps_bound_the_difference():
     rng = np.random.default_rng(6)
     for size in (1, 40, 255, 256, 257, 3000):
