@@ -9,6 +9,7 @@ from test_queries import FOLDER, NAMES, pytestmark  # noqa: F401
 from tenantlens.functions.predicates import HalfOpen, OneOf
 from tenantlens.plans import reports
 from tenantlens.plans.measures import evaluate
+from workload.standins import Governance
 
 
 def plan(df):
@@ -78,3 +79,9 @@ def test_sorted_report_shuffles_facts_once(model):
     text = plan(reports.table(model, "activity"))
     assert text.count("Exchange rangepartitioning") == 1
     assert "Exchange hashpartitioning" not in text
+
+
+def test_actor_keys_are_made_once(spark):
+    """The events look their actors up in a written table: no aggregate is repeated in the plan."""
+    made = Governance(spark, "/root/testdata/sf0.001").make("fact_activity")
+    assert "Aggregate" not in made._jdf.queryExecution().optimizedPlan().toString()

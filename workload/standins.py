@@ -281,7 +281,9 @@ class Governance:
         if table == "dim_user":
             return self.dim_user()
         if table == "fact_activity":
-            return identity.resolve_actor(self.typed("activity"), self.gold("dim_user"))
+            # written first: the keys are measured and looked up more than once
+            keys = self.stored("silver.actor_keys", identity.actor_keys(self.gold("dim_user")))
+            return identity.with_actor(self.typed("activity"), keys)
         if table == "fact_lineage":
             return lineage_targets(self.edges(), self.gold("dim_inventory"))
         return self.typed(SAME_AS_TYPED[table])
