@@ -49,7 +49,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenantlens.llm.common import WordHashes, likely_in, mixed, shingles, signed, sliced, stored, texts, words_of
+from tenantlens.llm.common import WordHashes, give_back, likely_in, mixed, shingles, signed, sliced, stored, texts, words_of
 from tenantlens.llm.components import components
 from tenantlens.llm.substring_dedup import NO_ID, identity, rank
 
@@ -233,6 +233,8 @@ def shared_prefixes(docs: DataFrame, order, parts: int, n: int, percent: int) ->
                     held, size = [], 0
             if held:
                 yield from batches_of(repeated(one_of_each, np.concatenate(held))[0])
+        one_of_each, held = None, []
+        give_back()
 
     dealt_columns = ["part", "heads", "token", "doc", "pos"]
     row = np.dtype([("token", "<i8"), ("pos", "<i4"), ("g1", "<i8"), ("told", "?")])
@@ -319,6 +321,7 @@ def neighbours(lists: DataFrame, percent: int) -> DataFrame:
                 near = (token[1:] == token[:-1]) & (node[1:] != node[:-1]) & (100 * low >= percent * high)
                 ends = [c[near] for c in (np.minimum(node[:-1], node[1:]), np.maximum(node[:-1], node[1:]), low, high)]
                 yield pa.record_batch([pa.array(c) for c in [np.full(len(ends[0]), order), *ends]], ["by", "a", "b", "sa", "sb"])
+        give_back()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         held, rows = [], 0
@@ -370,6 +373,7 @@ def missing_pairs(lists: DataFrame, classes: DataFrame, percent: int) -> DataFra
                     yield _pairs(found)
                     found = []
         yield _pairs(found)
+        give_back()
 
     ordered = units.repartition(*key).sortWithinPartitions(*key)
     return ordered.mapInArrow(match, "a long, b long").distinct()
@@ -674,5 +678,6 @@ def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
             new = [key != before for key, before in zip(own, [last, *own], strict=False)]
             last = own[-1] if own else last
             yield batch.filter(pa.array(new, pa.bool_())).select(columns)
+        give_back()
 
     return kept.select(*columns, *keys).sortWithinPartitions(*keys).mapInArrow(first, docs.schema)
