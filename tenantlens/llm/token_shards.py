@@ -50,13 +50,20 @@ MAGIC = b"WVM1"
 HEAD = struct.Struct("<4sIIIQQ")
 SHARD_TOKENS = 1 << 19
 BATCH_DOCS = 500
-CACHED_PIECES = 500_000
-KEPT_PIECES = 300_000
+CACHED_PIECES = 150_000  # of each Python worker, about 25 MB; others are encoded where they are met
 SUPER = 512  # bits of a rank block
 WORDS = SUPER // 64
-# one mark between an ASCII letter and white space is a token of its own either way
-LETTERS = re.compile(rb"[a-z]+")
-MARK = r"([a-z])([.,;:!?])([ \t\n\x0b\f\r]|$)"
+# Latin letters; U+0130 is left out: in lower case it ends in a combining dot
+LATIN = "ß-öø-įı-ɏ"
+# one mark between a letter and white space is a token of its own either way
+MARK = rf"([a-zÀ-ÖØ-Þ{LATIN}])([.,;:!?])([ \t\n\x0b\f\r]|$)"
+# what the split of ``BY_WORD`` cuts into runs of letters, single digits and runs of marks:
+# pieces without an apostrophe, which begins words of its own
+PLAIN = re.compile(f"[!-&(-~{LATIN}]+")
+WORDS_OF = re.compile(f"[a-z{LATIN}]+|[0-9]|[!-&(-/:-@[-`{{-~]+")
+# the characters that stand for bytes in a ByteLevel vocabulary: themselves, or the next free ones
+SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_CHARS = {b: b for b in SHOWN} | dict(zip((b for b in range(256) if b not in SHOWN), range(256, 512), strict=False))
 # fixed values: the steps of a vocabulary file that drop white space and lower-case
 BY_WORD = [
     [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
@@ -220,9 +227,11 @@ class Encoder:
 
     A vocabulary that drops white space and lower-cases (``BY_WORD``) gives a text the
     ids of its pieces. Arrow splits the texts of a batch and numbers the different
-    pieces; numpy gathers their ids. A piece of ASCII letters is a word to the model as
-    it stands, other pieces go through the whole tokenizer. So do, whole, texts that
-    hold an added token of the vocabulary, and all texts under other vocabularies.
+    pieces; numpy gathers their ids. The words of a piece of Latin letters, digits and
+    ASCII marks go to the model, as the characters of their bytes; other pieces go through
+    the whole tokenizer. So do, whole, texts that hold an added token of the vocabulary,
+    and all texts under other vocabularies. The pieces met first stay for the tasks to
+    come: they are the frequent ones.
     """
 
     def __init__(self, spec: str):
@@ -232,7 +241,7 @@ class Encoder:
         self.bits = max(1, (self.tokenizer.get_vocab_size(with_added_tokens=True) - 1).bit_length())
         self.kind = np.dtype("<u2" if self.bits <= 16 else "<u4")
         self.code = "H" if self.bits <= 16 else "I"
-        self.known: dict[bytes, bytes] = {}
+        self.known: dict[bytes, bytes] = {b"": b""}
         read = json.loads(spec)
         steps = [read.get("normalizer") or {}, read.get("pre_tokenizer") or {}]
         self.by_word = [s.get("normalizers") or s.get("pretokenizers") for s in steps] == BY_WORD
@@ -245,20 +254,27 @@ class Encoder:
             _ENCODERS[key] = cls(spec)
         return _ENCODERS[key]
 
-    def learn(self, missing: set[bytes]) -> None:
-        tokenize, other = self.tokenizer.model.tokenize, []
-        for piece in missing:
-            if LETTERS.fullmatch(piece):
-                self.known[piece] = array(self.code, [t.id for t in tokenize(piece.decode())]).tobytes()
+    def learn(self, missing: list[bytes]) -> list[bytes]:
+        """Ids of pieces not met before, kept while there is room."""
+        tokenize, code, out, other = self.tokenizer.model.tokenize, self.code, [], []
+        for at, piece in enumerate(missing):
+            if piece.isalpha():  # of ASCII letters
+                ids = [t.id for t in tokenize(piece.decode())]
+            elif PLAIN.fullmatch(text := piece.decode().lower()):
+                ids = []
+                for word in WORDS_OF.findall(text):
+                    shown = word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_CHARS)
+                    ids += [t.id for t in tokenize(shown)]
             else:
-                other.append(piece)
-        found = self.tokenizer.encode_batch_fast([p.decode() for p in other], add_special_tokens=False)
-        for piece, one in zip(other, found, strict=True):
-            self.known[piece] = array(self.code, one.ids).tobytes()
-
-    def rest(self) -> None:
-        """Between tasks only the pieces met first stay, which are the frequent ones."""
-        self.known = dict(itertools.islice(self.known.items(), KEPT_PIECES))
+                ids = []
+                other.append(at)
+            out.append(array(code, ids).tobytes())
+        found = self.tokenizer.encode_batch_fast([missing[at].decode() for at in other], add_special_tokens=False)
+        for at, one in zip(other, found, strict=True):
+            out[at] = array(code, one.ids).tobytes()
+        room = max(0, CACHED_PIECES - len(self.known))
+        self.known.update(itertools.islice(zip(missing, out, strict=True), room))
+        return out
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -282,11 +298,11 @@ class Encoder:
         marked = pc.replace_substring_regex(pc.ascii_lower(text), MARK, r"\1 \2\3")
         lists = pc.ascii_split_whitespace(marked)
         pieces = lists.flatten().dictionary_encode()
-        names = pieces.dictionary.cast(pa.binary()).to_pylist()
-        if len(self.known) > CACHED_PIECES:
-            self.known.clear()
-        self.learn(set(names).difference(self.known, (b"",)))
-        found = [self.known[p] if p else b"" for p in names]
+        names = pieces.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.known.get, names))
+        missing = [at for at, ids in enumerate(found) if ids is None]
+        for at, ids in zip(missing, self.learn([names[at] for at in missing]), strict=True):
+            found[at] = ids
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.kind.itemsize
         flat = np.frombuffer(b"".join(found), self.kind)
         begins = np.cumsum(sizes) - sizes
@@ -328,7 +344,6 @@ def write_shards(docs: DataFrame, tokenizer_file: str, path: str, end_id: int =
                     seq, held, ids, sizes, parts = seq + 1, 0, [], [], []
         if ids:
             yield shard()
-        encoder.rest()
 
     ordered = [F.asc_nulls_last("doc_id"), F.asc_nulls_first("text_key")]
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
