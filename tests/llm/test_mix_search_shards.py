@@ -96,6 +96,43 @@ def test_quality_weights_are_preferred(make, spark):
     assert share[1] > 1.5 * share[0]
 
 
+def moved(plan):
+    """Rows written to the shuffles of a plan that has run."""
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        return moved(plan.executedPlan())
+    if "QueryStage" in plan.nodeName():
+        return moved(plan.plan())
+    own = plan.metrics().get("shuffleRecordsWritten")
+    children = [plan.children().apply(i) for i in range(plan.children().size())]
+    return (own.get().value() if own.isDefined() else 0) + sum(map(moved, children))
+
+
+def test_mix_moves_only_texts_whose_label_decides(make, spark, tmp_path):
+    rng = random.Random(8)
+    docs = [(i, "w " * rng.randint(0, 30), None, rng.choice("abcd")) for i in range(6000)] + [(None, "w w", None, "a")] * 3
+    labelled = [(i, int(i % 4 < 2), 0) for i in range(0, 6000, 3)]
+    labels = spark.createDataFrame(labelled, "doc_id BIGINT, quality INT, toxic INT")
+    taken = {}
+    make(*docs).write.parquet(path := str(tmp_path / "docs"))
+    docs = spark.read.parquet(path)
+    for r in source_mix.mix(docs, labels).collect():
+        if r["taken"]:
+            taken[r["doc_id"]] = taken.get(r["doc_id"], 0) + r["taken"]
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "16k")  # for one row a source, not for the labels
+    try:
+        rows = source_mix.mixed(docs, labels)
+        found = {}
+        for r in rows.collect():
+            found[r["doc_id"]] = found.get(r["doc_id"], 0) + len(r["text"].split())
+    finally:
+        spark.conf.set(threshold, before)
+    assert found == taken
+    # a label may decide for keys between half and twice the cut: 0.47 of them at most
+    assert 0 < moved(rows._jdf.queryExecution().executedPlan()) - 2 * len(labelled) < 0.5 * docs.count()
+
+
 def test_top_k_equals_brute_force_with_odd_vectors(spark):
     rng = np.random.default_rng(2)
     data = [(i, [float(x) for x in rng.normal(size=8)]) for i in range(700)]
