@@ -9,12 +9,14 @@ of their bounds, a chunk at a time, and stops where the next bound cannot reach
 score; ties are evaluated, so the result is exact. Blocks are searched each for itself:
 no score passes from one to another.
 
-Scale: the stated queries meet all rows in blocks. Candidate blocks lie once in
-``groups``, query blocks are sent to every group, and each pair of blocks is one
-row of a join: memory is that of two blocks. A task returns k rows per query and
-block, which a ranking with partial limits reduces. Pivots are a fixed number per
-vector length, of at most ``LENGTHS`` lengths; other vectors are evaluated plainly. There
-are as many groups as candidate blocks, up to 512: beyond, a task has several blocks.
+Scale: the stated queries meet all rows in blocks. Candidate blocks are dealt out once, as
+are query blocks, and each pair of blocks is one row of a product of the two: a task has
+one part of each, holds at most about ``QUERY_BLOCKS`` query blocks and reads its candidate
+blocks one by one. Nothing is copied for other tasks and no block passes through the
+driver. A task returns k rows per query and block, which a ranking with partial limits
+reduces. Pivots are a fixed number per vector length, of at most ``LENGTHS`` lengths; other
+vectors are evaluated plainly. There are as many parts as candidate blocks, up to
+``GROUPS``: beyond, a task has several blocks.
 
 Defined cases: vectors that are null or hold a null or non-finite component, or
 have no id, take no part; vectors are compared with those of their own length
@@ -39,6 +41,8 @@ PIVOTS = 32
 LENGTHS = 64
 BLOCK_ROWS = 4_096
 BLOCK_QUERIES = 512
+GROUPS = 512  # parts of the candidates at most
+QUERY_BLOCKS = 64  # in a part of the queries
 FIRST = 128  # candidates of the first chunk; later ones are twice as large each
 EXACT = 2**53
 LIMIT = 2**63 - 1
@@ -213,11 +217,11 @@ def searched(queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
                 columns = list(zip(*out, strict=True)) or [()] * 4
                 yield pa.record_batch([pa.array(c, pa.int64()) for c in columns], ["query_id", "key", "vec_id", "score"])
 
-    groups = min(512, max(1, candidates.count()))
-    own = candidates.withColumn("group", F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int"))
+    own = candidates.drop("block", "keys").repartition(min(GROUPS, max(1, candidates.count())))
     marked = queries.select("width", *(F.col(c).alias("q_" + c) for c in ("ids", "keys", "vectors", "wide", "distances")))
-    marked = marked.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    pairs = own.join(marked, ["width", "group"]).drop("group", "block", "keys")
+    marked = marked.repartition(max(1, -(-queries.count() // QUERY_BLOCKS)))
+    # never by broadcast: the driver would collect a side, whose size is only estimated
+    pairs = own.join(marked.hint("shuffle_replicate_nl"), "width")
     return pairs.mapInArrow(search, "query_id long, key long, vec_id long, score long")
 
 

@@ -150,6 +150,23 @@ def test_top_k_equals_brute_force_with_odd_vectors(spark):
     assert topk_search.top_k(table.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_blocks_meet_without_passing_through_the_driver(spark, tmp_path, monkeypatch):
+    for name, size in {"BLOCK_ROWS": 64, "BLOCK_QUERIES": 4, "QUERY_BLOCKS": 2, "GROUPS": 5}.items():
+        monkeypatch.setattr(topk_search, name, size, raising=False)
+    rng = np.random.default_rng(7)
+    vectors = [*rng.integers(-99, 99, (900, 6)).tolist(), *rng.integers(-99, 99, (300, 3)).tolist()]
+    data = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
+    spark.createDataFrame(data, "vec_id BIGINT, embedding ARRAY<DOUBLE>").repartition(3).write.parquet(path := str(tmp_path / "vectors"))
+    found = topk_search.top_k(spark.read.parquet(path), F.col("vec_id") % 20 == 0, k=3, scale=1)
+    # the query blocks are far below the threshold, their copies for all candidates would not be
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    expected = []
+    for q_id in range(0, 1200, 20):
+        scores = [(-sum(a * b for a, b in zip(vectors[q_id], c, strict=True)), i) for i, c in enumerate(vectors) if i != q_id and len(c) == len(vectors[q_id])]
+        expected += [(q_id, n + 1, i, -s) for n, (s, i) in enumerate(sorted(scores)[:3])]
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in found.collect()) == expected
+
+
 def test_pivots_rule_out_clustered_candidates():
     rng = np.random.default_rng(4)
     centers = rng.normal(size=(20, 8)) * 2000
