@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tenantlens.schemas import PREVIEW_ROWS
 
 MADE = "_made.json"
+CODEC = "zstd"  # raw tables repeat the field names in each whole record
 
 
 class TableStore:
@@ -129,7 +130,7 @@ class TableStore:
     ) -> dict[str, int]:
         observation = Observation(f"write {name}")
         observed = rows.observe(observation, F.count(F.lit(1)).alias("rows"))
-        writer = observed.write.mode(mode).options(**options)
+        writer = observed.write.mode(mode).options(compression=CODEC, **options)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(self.path(name))

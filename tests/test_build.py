@@ -366,3 +366,21 @@ def test_since_keeps_what_its_landed_files_made(spark, landing, tmp_path):
     build_all(spark, folder, tables, today)
     assert not set(tables.read("bronze.item_access").inputFiles()) & set(files["bronze.item_access"])
     assert {n: rows(tables.read(n)) for n in names} == partial
+
+
+def test_whole_records_are_packed(spark, tmp_path):
+    """Raw tables hold each record twice, typed and whole: on disk that is less than its text."""
+    text = spark.range(5000).select(
+        F.format_string('{"id": "i%d", "displayName": "item %d", "workspaceId": "w%d"}', "id", "id", F.col("id") % 7).alias("value")
+    )
+    text.coalesce(1).write.text(str(tmp_path / "landing"))
+    tables = TableStore(spark, str(tmp_path / "tables"))
+    records = usable_records(read_records(spark, str(tmp_path / "landing"), RAW_DDL["items"]))
+    day = records.withColumn("day", F.lit(1))
+    tables.overwrite("bronze.items", records)
+    tables.append("bronze.days", day, ["day"])
+    tables.replace_partitions("bronze.days", day, ["day"])
+    for name in ("bronze.items", "bronze.days"):
+        assert tables.read(name).count() == 5000
+        assert all(f.endswith(".zstd.parquet") for f in tables.read(name).inputFiles()), name
+        assert tables.bytes(name) < 5000 * 60 / 3

@@ -1,5 +1,6 @@
 """Every registered query against its SQL on the smallest test tables."""
 
+import gzip
 import pathlib
 
 import pytest
@@ -7,6 +8,7 @@ import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 from compare import connect, difference
 from tenantlens.operators import history, joins
+from workload import queries as workload_queries
 from workload import standins
 from workload.oracles import ORACLES
 from workload.queries import QUERIES
@@ -36,6 +38,17 @@ def test_entry(spark):
     assert entry(spark).count() > 0
 
 
+def test_build_since_lands_packed_files_that_several_tasks_read(spark, con, monkeypatch, tmp_path):
+    monkeypatch.setattr(workload_queries, "scratch_dir", lambda session, label: str(tmp_path / label))
+    monkeypatch.setattr(workload_queries, "LANDED_RECORDS", 1_000, raising=False)
+    assert difference(queries()["build_since"](spark, FOLDER), con, oracle_sql()["build_since"]) is None
+    files = sorted((tmp_path / "landing" / "item_access").glob("part-*"))
+    assert len(files) > 5 and {f.suffix for f in files} == {".gz"}
+    text = [gzip.decompress(f.read_bytes()) for f in files]
+    assert max(t.count(b"\n") for t in text) <= 1_000
+    assert 5 * sum(f.stat().st_size for f in files) < sum(map(len, text))
+
+
 JOINED = [
     "dim_inventory",
     "dim_workspace",

@@ -46,6 +46,7 @@ from tenantlens.streaming.activity import activity_stream
 from workload.standins import RECORDS, Governance
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+LANDED_RECORDS = 500_000  # in a compressed landed file
 
 
 def query(name: str):
@@ -386,7 +387,9 @@ def _(g: Governance) -> DataFrame:
     landing, cut = scratch_dir(g.spark, "landing"), "2024-01-20"
 
     def land(entity: str, rows: DataFrame, mode: str = "overwrite") -> None:
-        rows.write.mode(mode).json(f"{landing}/{entity}")
+        # compressed files are read by one task each, so none holds more than a task should parse
+        packed = {"compression": "gzip", "maxRecordsPerFile": LANDED_RECORDS}
+        rows.write.mode(mode).options(**packed).json(f"{landing}/{entity}")
 
     for entity in ("capacities", "workspaces", "items", "workspace_access", "item_access", "tenant_settings", "workspace_scan"):
         land(entity, g.raw(entity))
